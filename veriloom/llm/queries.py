@@ -5,30 +5,70 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, quality_rules
+from . import line_dedup, mil_quality, mixing, packing, pii, quality_rules, simhash, token_store, topk, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_lines", "n_dropped", "text")
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.quality_cascade(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", *quality_rules.BASE, "base_failed", "kept")
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    n = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)]
+    return found.select("doc_id", *n, F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined("spans").alias("spans"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score_toxicity(docs.select("doc_id", "text", "lang"), model)
+    return scored.select("doc_id", toxicity.held().alias("held_out"), "score", (F.col("score") >= toxicity.AT).cast("int").alias("predicted"), "toxic")
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"))
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op8_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = mil_quality.fit(docs, table(spark, sf_dir, "labels"))
+    scored = mil_quality.score_quality(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", mil_quality.held().alias("held_out"), "score", (F.col("score") >= mil_quality.AT).cast("int").alias("predicted"))
+
+
+def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = token_store.new_path(spark)
+    manifest = token_store.write_tokens(table(spark, sf_dir, "documents"), path)
+    return token_store.read_tokens(spark, path, manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 QUERIES: dict[str, Query] = {
-    "op2_line_dedup": op2_line_dedup,
-    "op4_quality_rules": op4_quality_rules,
-    "op10_mixing": op10_mixing,
+    f.__name__: f
+    for f in (op1_simhash, op2_line_dedup, op3_topk, op4_quality_rules, op5_pii, op6_toxicity, op7_packing, op8_mil_quality, op9_token_store, op10_mixing)
 }
 
 ORACLE: dict[str, str] = {}
@@ -51,6 +91,17 @@ SELECT doc_id, count(*) FILTER (filled) AS n_lines, count(*) FILTER (dropped) AS
 FROM marked GROUP BY doc_id
 """
 
+ORACLE["op3_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
+  FROM v q, v c WHERE q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+"""
+
 ORACLE["op4_quality_rules"] = r"""
 WITH w AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM documents),
 windows AS (
