@@ -1,7 +1,7 @@
 """Line dedup by a log-template tree, with DataFrame functions only.
 
 A line goes down a tree of fixed depth: its number of tokens, its LEAD leading tokens, then its template, in which every
-token that holds a digit (dates, counters, identifiers) is generalised to `<*>`. A template that several documents share
+token that holds a digit (dates, counters, identifiers) is generalised to `<*>`, if most tokens are constant. A template that several documents share
 recurs: the document with the smallest id keeps its lines, all others lose them. Only (path, document, position) is
 shuffled to find them, never a text; counts are pre-aggregated, so that a template with a third of all lines is one row a
 task.
@@ -20,9 +20,11 @@ NO_ID = -(2**63)
 
 
 def template(line: Column) -> Column:
-    """The line with single spaces and `<*>` for each token that holds a digit."""
+    """The line with single spaces and `<*>` for each token that holds a digit; where these are over half of the tokens, the line itself."""
     one = F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))
-    return F.when(F.regexp_like(one, F.lit("[0-9]")), F.regexp_replace(one, "[^ ]*[0-9][^ ]*", "<*>")).otherwise(one)
+    general = F.regexp_replace(one, "[^ ]*[0-9][^ ]*", "<*>")
+    few = 2 * F.regexp_count(one, F.lit("[^ ]*[0-9][^ ]*")) <= F.regexp_count(one, F.lit(" ")) + 1
+    return F.when(F.regexp_like(one, F.lit("[0-9]")) & few, general).otherwise(one)
 
 
 def template_paths(docs: DataFrame) -> DataFrame:

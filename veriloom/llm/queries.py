@@ -76,9 +76,11 @@ ORACLE: dict[str, str] = {}
 ORACLE["op2_line_dedup"] = r"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents),
+single AS (
+  SELECT doc_id, pos, line, regexp_matches(line, '[^\x20\x09-\x0D]') AS filled, trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g')) AS one FROM lines),
 templates AS (
-  SELECT doc_id, pos, line, regexp_matches(line, '[^\x20\x09-\x0D]') AS filled,
-         regexp_replace(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g')), '[^ ]*[0-9][^ ]*', '<*>', 'g') AS template FROM lines),
+  SELECT doc_id, pos, line, filled, CASE WHEN 2 * len(list_filter(string_split(one, ' '), lambda x: regexp_matches(x, '[0-9]'))) <= len(string_split(one, ' '))
+         THEN regexp_replace(one, '[^ ]*[0-9][^ ]*', '<*>', 'g') ELSE one END AS template FROM single),
 recurring AS (
   SELECT template, min(doc_id) AS first_doc FROM templates WHERE filled GROUP BY template
   HAVING count(DISTINCT doc_id) >= CASE WHEN len(string_split(template, ' ')) < 8 THEN 10 ELSE 2 END),

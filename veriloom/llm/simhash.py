@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -172,48 +172,35 @@ def _shard_links(rows: DataFrame, radius: int) -> DataFrame:
     return rows.repartition(*shard).sortWithinPartitions(*shard).mapInArrow(run, "a long, b long")
 
 
-def _deal(masks: list[int]) -> Column:
-    """A row for each mask: its number and the fingerprint's bits under it."""
-    return F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("bits")) for k, m in enumerate(masks)]))
+def _finer(mask: int, n: int) -> list[int]:
+    """The mask and one of n blocks of the bits that it leaves free."""
+    return [mask | m for m in blocks([b for b in range(64) if not mask >> b & 1], n)]
 
 
 def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, shard_nodes: int = SHARD_NODES) -> DataFrame:
     """Links (a, b) that span the classes of distinct fingerprints (fp) linked at radius or fewer differing bits."""
     five = blocks(list(range(64)), radius + 2)
-    pairs = [a | b for a, b in combinations(five, 2)]
-    dealt = distinct.select(_deal(pairs).alias("s"), "fp").select("s.k", "s.bits", "fp")
-    sizes = cut(dealt.groupBy("k", "bits").agg(F.count("*").alias("n")).where("n > 1"))
-    in_shard = dealt.join(sizes, ["k", "bits"])
-    found = cut(_shard_links(in_shard.where(F.col("n") <= shard_nodes).drop("n"), radius))
-    # Shards too large for one tree: each pair of blocks has remaining bits of its own, dealt by radius + 1 blocks of them.
-    hot = sizes.where(F.col("n") > shard_nodes)
-    if hot.limit(1).count():
-        paths = {k: [b for b in range(64) if not pairs[k] >> b & 1] for k in range(len(pairs))}
-        large = in_shard.where(F.col("n") > shard_nodes).select(F.col("k").alias("k0"), F.col("bits").alias("b0"), "fp")
-        found = found.union(_dealt_again(large, paths, radius, shard_nodes))
-    return found
-
-
-def _dealt_again(large: DataFrame, free: dict[int, list[int]], radius: int, shard_nodes: int) -> DataFrame:
-    """Links of shards (k0, b0) that are dealt by blocks of the bits that k0 leaves free; k0 then numbers the path."""
-    masks = {k: blocks(bits, radius + 1) for k, bits in free.items()}
-    deal = F.element_at(
-        F.map_from_arrays(
-            F.array(*[F.lit(k) for k in masks]),
-            F.array(*[F.array(*[F.struct(F.lit(k * (radius + 1) + j).alias("k"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("bits")) for j, m in enumerate(ms)]) for k, ms in masks.items()]),
-        ),
-        F.col("k0"),
-    )
-    dealt = large.select("b0", F.explode(deal).alias("s"), "fp").select(F.col("s.k").alias("k0"), F.struct("b0", "s.bits").alias("b"), "fp")
-    dealt = dealt.select("k0", F.xxhash64("b").alias("b0"), "fp")  # two shards in one only add a comparison
-    left = {k * (radius + 1) + j: [b for b in bits if not masks[k][j] >> b & 1] for k, bits in free.items() for j in range(radius + 1)}
-    sizes = cut(dealt.groupBy("k0", "b0").agg(F.count("*").alias("n")).where("n > 1"))
-    in_shard = dealt.join(sizes, ["k0", "b0"])
-    deep = min(map(len, left.values())) <= 3 * (radius + 1)  # 2 ** 12 fingerprints at most agree in all else
-    found = cut(_shard_links((in_shard if deep else in_shard.where(F.col("n") <= shard_nodes)).drop("n"), radius))
-    if not deep and sizes.where(F.col("n") > shard_nodes).limit(1).count():
-        found = found.union(_dealt_again(in_shard.where(F.col("n") > shard_nodes).drop("n"), left, radius, shard_nodes))
-    return found
+    masks = [a | b for a, b in combinations(five, 2)]
+    rows = distinct.select(F.explode(F.array(*[F.lit(_signed(m)) for m in masks])).alias("mask"), "fp")
+    found = None
+    while True:
+        shard = ["mask", "bits"]
+        dealt = rows.withColumn("bits", F.col("fp").bitwiseAND(F.col("mask")))
+        sizes = cut(dealt.groupBy(*shard).agg(F.count("*").alias("n")).where("n > 1"))
+        in_shard = dealt.join(sizes, shard)
+        # With 12 free bits a shard has 4,096 fingerprints at most, whatever the input.
+        last = all(64 - m.bit_count() <= 12 for m in masks)
+        small = in_shard if last else in_shard.where(F.col("n") <= shard_nodes)
+        links = cut(_shard_links(small.select(*shard, "fp"), radius))
+        found = links if found is None else found.union(links)
+        if last or not sizes.where(F.col("n") > shard_nodes).limit(1).count():
+            return found
+        # Shards too large for one tree: their fingerprints agree within one of radius + 1 blocks of the free bits too.
+        finer = [(_signed(m), _signed(x)) for m in masks for x in _finer(m, radius + 1)]
+        table = F.broadcast(distinct.sparkSession.createDataFrame(finer, "mask long, finer long"))  # radius + 1 rows for each mask
+        large = in_shard.where(F.col("n") > shard_nodes).select("mask", "fp")
+        rows = cut(large.join(table, "mask").select(F.col("finer").alias("mask"), "fp").distinct())
+        masks = sorted({x for m in masks for x in _finer(m, radius + 1)})
 
 
 def simhash_components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, seed: int = SEED, shard_nodes: int = SHARD_NODES) -> DataFrame:
@@ -239,13 +226,12 @@ def near_dedup(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, se
     Columns as in docs. Empty: no rows.
     """
     found = simhash_components(docs, shingle, radius, seed)
-    least = found.groupBy("component").agg(F.min("component_id").alias("doc_id"))
-    # Ids that stay; a repeated id may stand for several components, so rows go by (id, fingerprint).
-    keep = found.join(least, ["component"]).where(found["doc_id"].eqNullSafe(least["doc_id"])).groupBy("component").agg(F.min(F.struct(found["doc_id"], found["fp"])).alias("k")).select("k.doc_id", "k.fp")
-    key = cut(keep.select(F.col("doc_id").alias("_id")).distinct())
+    heads = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    keep = cut(heads.groupBy("component").agg(F.min(F.struct("doc_id", "fp")).alias("k")).select("k.doc_id", "k.fp"))
+    key = keep.select(F.col("doc_id").alias("_id")).distinct()
     rows = docs.join(key, docs["doc_id"].eqNullSafe(key["_id"]), "left_semi")
-    repeated = rows.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
-    return rows if not repeated else _one_each(rows, keep, shingle, seed)
+    repeated = found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
+    return _one_each(rows, keep, shingle, seed) if repeated else rows
 
 
 def _one_each(rows: DataFrame, keep: DataFrame, shingle: int, seed: int) -> DataFrame:
