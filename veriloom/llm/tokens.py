@@ -1,8 +1,8 @@
 """Token ids of whole texts with the tokenizers library, as little-endian unsigned 32-bit integers.
 
 Byte-level BPE never merges across the place before a single space that a visible character follows, so a text's ids are
-the ids of its pieces in a row. A worker keeps the ids of the pieces it has seen (KEPT at most, then it starts anew) and
-encodes the unseen pieces of a batch in one call.
+the ids of its pieces in a row. A worker keeps the ids of pieces that it has seen, in two generations of KEPT at most, and
+encodes the unseen pieces of some texts in one call.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ import re
 from collections.abc import Iterable
 
 KEPT = 400_000
+#: Pieces that one call of the library gets at most.
+CALL = 4_000
 _UNEVEN = re.compile(r" (?:\s|\Z)")
 _BREAK = re.compile(r" (?=\S)")
 
@@ -31,60 +33,73 @@ class Encoder:
         self.np = np
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {"": b""}
+        #: Pieces without the space before them; a text's first piece, which has none, is encoded on its own.
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         #: Whether an id's token begins with the mark of a leading space.
         self.opens = np.zeros(self.model.get_vocab_size(), dtype=bool)
         for token, i in self.model.get_vocab().items():
             self.opens[i] = token.startswith("Ġ")
 
     def _ids(self, text: str):
-        return self.np.array(self.model.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        return self.np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
-    def _learn(self, unseen: set[str]) -> None:
-        if len(self.known) + len(unseen) > KEPT:
-            self.known = {"": b""}
+    def _learn(self, unseen: list[str]) -> None:
+        """Adds pieces to the young generation, which has room for them."""
         plain = []
         for piece in unseen:
-            if piece[0] == " " and piece.count(" ") == 1:
-                plain.append(piece)
+            kept = self.old.get(piece)
+            if kept is not None:
+                self.young[piece] = kept
+            elif " " in piece:
+                self.young[piece] = self._ids(" " + piece).tobytes()
             else:
-                self.known[piece] = self._ids(piece).tobytes()
-        for lo in range(0, len(plain), 2_000):
-            part = plain[lo : lo + 2_000]
-            ids = self._ids("".join(part))
+                plain.append(piece)
+        for lo in range(0, len(plain), CALL):
+            part = plain[lo : lo + CALL]
+            ids = self._ids(" " + " ".join(part))
             cuts = self.np.flatnonzero(self.opens[ids])
             if len(cuts) == len(part):
-                self.known.update(zip(part, (x.tobytes() for x in self.np.split(ids, cuts[1:]))))
+                data, ends = ids.tobytes(), [*(4 * cuts[1:]).tolist(), 4 * len(ids)]
+                at = 0
+                for piece, end in zip(part, ends):
+                    self.young[piece] = data[at:end]
+                    at = end
             else:  # a token with the mark inside a piece: one at a time
-                self.known.update((x, self._ids(x).tobytes()) for x in part)
+                self.young.update((x, self._ids(" " + x).tobytes()) for x in part)
+
+    def _room(self) -> None:
+        if len(self.young) > KEPT:
+            self.old, self.young = self.young, {}
+
+    def _joined(self, pieces: list[str]) -> bytes:
+        out = []
+        for lo in range(0, len(pieces), max(1, KEPT // 4)):
+            part = pieces[lo : lo + max(1, KEPT // 4)]
+            self._room()
+            found = list(map(self.young.get, part))
+            if None in found:
+                self._learn(list({p for p, x in zip(part, found) if x is None}))
+                found = map(self.young.__getitem__, part)
+            out.append(b"".join(found))
+        return b"".join(out)
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
         """The ids of each text; null: none."""
         split = []
         for text in texts:
-            pieces = (_BREAK.split(text) if _UNEVEN.search(text) else text.split(" ")) if text else [""]
-            split.append([pieces[0], *map(" ".__add__, pieces[1:])])
-        unseen = set().union(*split) - self.known.keys()
-        if unseen:
-            if len(unseen) > KEPT // 2:  # one huge batch: text by text, so that what is kept stays bounded
-                return [self._one(x) for x in split]
-            before = len(self.known)
-            self._learn(unseen)
-            if len(self.known) < before:
-                again = set().union(*split) - self.known.keys()
-                self._learn(again)
-        known = self.known
-        return [b"".join(map(known.__getitem__, x)) for x in split]
-
-    def _one(self, pieces: list[str]) -> bytes:
-        out = []
-        for lo in range(0, len(pieces), KEPT // 4):
-            part = pieces[lo : lo + KEPT // 4]
-            self._learn(set(part) - self.known.keys())
-            if missing := set(part) - self.known.keys():
-                self._learn(missing)
-            out.append(b"".join(map(self.known.__getitem__, part)))
-        return b"".join(out)
+            split.append((_BREAK.split(text) if _UNEVEN.search(text) else text.split(" ")) if text else [""])
+        unseen: set[str] = set()
+        self._room()
+        get = self.young.get
+        for pieces in split:
+            found = map(get, pieces[1:])
+            unseen.update(p for p, x in zip(pieces[1:], found) if x is None)
+            if len(unseen) > KEPT:  # the rest of so large a batch learns text by text
+                break
+        else:
+            self._learn(list(unseen))
+        return [(self._ids(x[0]).tobytes() if x[0] else b"") + self._joined(x[1:]) for x in split]
 
 
 _encoders: dict[str, Encoder] = {}
