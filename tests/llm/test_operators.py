@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from veriloom.llm import components, line_dedup, mil_quality, mixing, packing, pii, quality_rules, queries, simhash, token_store, tokens, topk, toxicity
+from veriloom.llm import components, line_dedup, mil_quality, mixing, near_dedup, packing, pii, quality_rules, queries, simhash, token_store, tokens, topk, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, component string, `rank` int"
 rng = random.Random(5)
@@ -98,12 +98,12 @@ def test_bk_forest_and_shards_against_all_pairs(spark):
                 x ^= 1 << int(b)
             fps.add(x)
     fps = sorted(fps)
-    root = simhash.bk_forest_links(np.array(fps, dtype=np.uint64), np.array([0]), 3)
+    a, b = simhash.bk_spanning_links(np.array(fps, dtype=np.uint64), np.array([0]), 3)
     want = classes(fps)
-    assert root.tolist() == want
-    frame = spark.createDataFrame([(x - 2**64 if x >= 2**63 else x,) for x in fps], "fp long")
-    for shard_nodes in (2_000, 8):  # 8: shards are dealt again and again
-        got = {r.node: r.component for r in components.components(simhash.fingerprint_links(frame, 3, shard_nodes)).collect()}
+    assert all((fps[i] ^ fps[j]).bit_count() <= 3 for i, j in zip(a, b)) and len(a) == len(fps) - len(set(want))
+    frame = spark.createDataFrame([(0, x - 2**64 if x >= 2**63 else x) for x in fps], "family int, fp long")
+    for shard_nodes in (2_000, 20):  # 20: shards are dealt again
+        got = {r.node: r.component for r in components.components(simhash.fingerprint_links(frame, 3, shard_nodes).select("a", "b")).collect()}
         groups = collections.defaultdict(set)
         for x, c in zip(fps, want):
             groups[c].add(x - 2**64 if x >= 2**63 else x)
@@ -111,13 +111,24 @@ def test_bk_forest_and_shards_against_all_pairs(spark):
             assert {got.get(x, x) for x in g} == {min(g)}
 
 
-def test_near_dedup_keeps_one_of_each(docs, nothing):
-    kept = simhash.near_dedup(docs)
-    assert kept.columns == docs.columns
-    given = docs.select("doc_id", "text").collect()
-    want = len(set(classes([print_of(r.text) for r in given])))
-    assert kept.count() == want
-    assert simhash.near_dedup(nothing).count() == 0
+def test_near_copies(docs, nothing, spark):
+    base = [prose(200).split() for _ in range(6)]
+    rows = []
+    for k, w in enumerate(base):
+        for j in range(8):
+            v = list(w)
+            for _ in range(j // 2):  # up to three changed words: similarity over 0.8
+                v[rng.randrange(len(v))] = "changed"
+            rows.append((100 * k + j, " ".join(v)))
+        rows.append((100 * k + 50, " ".join(w[:60] + prose(140).split())))  # a third is shared: no copy
+    frame = spark.createDataFrame(rows + [(None, None), (900, ""), (901, " "), (1, rows[1][1]), (902, "short text")], "doc_id long, text string").withColumn("component", F.lit(1))
+    sets = {(d, t): near_dedup.shingle_set(t) for d, t in rows}
+    kept = sorted(r.doc_id for r in near_dedup.drop_near_copies(frame).collect())
+    assert kept == sorted([100 * k for k in range(6)] + [100 * k + 50 for k in range(6)] + [900, 902])
+    for r in near_dedup.near_components(frame).where("doc_id < 600").collect():
+        assert r.doc_id % 100 == 50 or any(len(a & b) >= 0.8 * len(a | b) for a in [sets[x] for x in sets if x[0] == r.doc_id] for b in [sets[x] for x in sets if x[0] == r.doc_id // 100 * 100])
+    assert near_dedup.drop_near_copies(docs).columns == docs.columns
+    assert near_dedup.drop_near_copies(nothing).count() == 0
 
 
 def test_components_of_chains(spark):

@@ -15,7 +15,6 @@ from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import cut
 from .components import components
@@ -70,20 +69,24 @@ def blocks(bits: list[int], n: int) -> list[int]:
     return [sum(1 << b for b in bits[len(bits) * k // n : len(bits) * (k + 1) // n]) for k in range(n)]
 
 
-def bk_forest_links(fps, starts, radius: int, chunk: int = 65_536):
-    """root, for each fingerprint the first of its class under links within radius; fps: uint64 array, starts: where each shard begins.
+def _finer(mask: int, n: int) -> list[int]:
+    """The mask and one of n blocks of the bits that it leaves free."""
+    return [mask | m for m in blocks([b for b in range(64) if not mask >> b & 1], n)]
+
 
-    One tree for each shard, built level by level: all of a node's descendants at one distance share a child, the first of
-    them. Queries go down from the root and follow only the edges whose key is within radius of their own distance.
+def bk_spanning_links(fps, starts, radius: int, chunk: int = 32_768):
+    """(a, b): indices of links that span each shard's classes, a link of fewer differing bits before one of more.
+
+    One BK-tree for each shard, children keyed by the distance to the parent; a query follows the edges within radius of
+    its own distance.
     """
     import numpy as np
 
     n = len(fps)
     apart = lambda a, b: np.bitwise_count(fps[a] ^ fps[b]).astype(np.int64)
-    sizes = np.diff(np.append(starts, n))
-    top = np.repeat(starts, sizes)
+    top = np.repeat(starts, np.diff(np.append(starts, n)))
     parent, edge = np.full(n, -1), np.zeros(n, dtype=np.int64)
-    open_, at = np.setdiff1d(np.arange(n), starts, assume_unique=True), None
+    open_ = np.setdiff1d(np.arange(n), starts, assume_unique=True)
     at = top[open_]
     while len(open_):
         key = at * 65 + apart(open_, at)
@@ -96,7 +99,6 @@ def bk_forest_links(fps, starts, radius: int, chunk: int = 65_536):
     keys = np.where(parent >= 0, parent * 65 + edge, -1)
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
-
     root = np.arange(n)
 
     def find(x):
@@ -106,20 +108,30 @@ def bk_forest_links(fps, starts, radius: int, chunk: int = 65_536):
                 return up
             root[x] = root[up]
 
+    out_a, out_b = [], []
+
+    def union(a, b, d):
+        by = np.argsort(d, kind="stable")
+        a, b = a[by], b[by]
+        while len(a):
+            ra, rb = find(a), find(b)
+            far = ra != rb
+            a, b, ra, rb = a[far], b[far], ra[far], rb[far]
+            if not len(a):
+                return
+            _, first = np.unique(np.maximum(ra, rb), return_index=True)  # the nearest link of each root
+            root[np.maximum(ra, rb)[first]] = np.minimum(ra, rb)[first]
+            out_a.append(a[first])
+            out_b.append(b[first])
+
     for lo in range(0, n, chunk):
         query = np.arange(lo, min(n, lo + chunk))
         node = top[query]
         while len(query):
-            for part in range(0, len(query), 4 * chunk):
-                q, p = query[part : part + 4 * chunk], node[part : part + 4 * chunk]
-                near = apart(q, p) <= radius
-                a, b = q[near], p[near]
-                while len(a):
-                    a, b = find(a), find(b)
-                    apart_still = a != b
-                    a, b = a[apart_still], b[apart_still]
-                    np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
             d = apart(query, node)
+            for part in range(0, len(query), 8 * chunk):
+                near = (d[part : part + 8 * chunk] <= radius) & (query[part : part + 8 * chunk] != node[part : part + 8 * chunk])
+                union(query[part : part + 8 * chunk][near], node[part : part + 8 * chunk][near], d[part : part + 8 * chunk][near])
             nq, nn = [], []
             for step in range(-radius, radius + 1):
                 want = np.where((d + step >= 1) & (d + step <= 64), node * 65 + d + step, -2)
@@ -128,28 +140,28 @@ def bk_forest_links(fps, starts, radius: int, chunk: int = 65_536):
                 nq.append(query[hit])
                 nn.append(order[place[hit]])
             query, node = np.concatenate(nq), np.concatenate(nn)
-    return find(np.arange(n))
+    empty = np.array([], dtype=np.int64)
+    return np.concatenate([empty, *out_a]), np.concatenate([empty, *out_b])
 
 
 def _shard_links(rows: DataFrame, radius: int) -> DataFrame:
-    """Links (a, b) from rows (shard columns, fp) that lie in order, a shard within one partition."""
-    shard = [c for c in rows.columns if c != "fp"]
+    """Spanning links (family, a, b) of shards (family, mask, bits), each within one partition and in order there."""
+    shard = ["family", "mask", "bits"]
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        def links(table):
-            fps = table.column("fp").to_numpy().view(np.uint64)
-            new = np.zeros(len(fps), dtype=bool)
-            new[0] = True
+        def links(t):
+            fps = t.column("fp").to_numpy().view(np.uint64)
+            new = np.ones(len(fps), dtype=bool)
+            new[1:] = False
             for c in shard:
-                v = table.column(c).to_numpy()
+                v = t.column(c).to_numpy()
                 new[1:] |= v[1:] != v[:-1]
-            starts = np.flatnonzero(new)
-            root = bk_forest_links(fps, starts, radius)
-            far = root != np.arange(len(fps))
-            return pa.RecordBatch.from_arrays([pa.array(fps[far].view(np.int64)), pa.array(fps[root[far]].view(np.int64))], ["a", "b"]), int(starts[-1])
+            a, b = bk_spanning_links(fps, np.flatnonzero(new), radius)
+            family = t.column("family").to_numpy()
+            return pa.RecordBatch.from_arrays([pa.array(family[a]), pa.array(fps[a].view(np.int64)), pa.array(fps[b].view(np.int64))], ["family", "a", "b"])
 
         held = None
         for batch in batches:
@@ -157,49 +169,43 @@ def _shard_links(rows: DataFrame, radius: int) -> DataFrame:
                 continue
             now = pa.Table.from_batches([batch])
             held = now if held is None else pa.concat_tables([held, now]).combine_chunks()
-            # The last shard may go on in the next batch.
-            last = np.ones(held.num_rows, dtype=bool)
+            last = np.ones(held.num_rows, dtype=bool)  # the last shard may go on in the next batch
             for c in shard:
                 v = held.column(c).to_numpy()
                 last &= v == v[-1]
-            whole = int(held.num_rows - last[::-1].argmin()) if not last.all() else 0
+            whole = 0 if last.all() else held.num_rows - int(last[::-1].argmin())
             if whole:
-                yield links(held.slice(0, whole))[0]
+                yield links(held.slice(0, whole))
                 held = held.slice(whole)
         if held is not None and held.num_rows:
-            yield links(held)[0]
+            yield links(held)
 
-    return rows.repartition(*shard).sortWithinPartitions(*shard).mapInArrow(run, "a long, b long")
-
-
-def _finer(mask: int, n: int) -> list[int]:
-    """The mask and one of n blocks of the bits that it leaves free."""
-    return [mask | m for m in blocks([b for b in range(64) if not mask >> b & 1], n)]
+    return rows.select(*shard, "fp").repartition(*shard).sortWithinPartitions(*shard).mapInArrow(run, "family int, a long, b long")
 
 
 def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, shard_nodes: int = SHARD_NODES) -> DataFrame:
-    """Links (a, b) that span the classes of distinct fingerprints (fp) linked at radius or fewer differing bits."""
-    five = blocks(list(range(64)), radius + 2)
-    masks = [a | b for a, b in combinations(five, 2)]
-    rows = distinct.select(F.explode(F.array(*[F.lit(_signed(m)) for m in masks])).alias("mask"), "fp")
-    found = None
+    """Links (family, a, b) that span the classes of distinct (family, fp) at radius or fewer differing bits.
+
+    Of radius + 2 blocks of bits two agree at least: a shard is a pair of blocks with its bits there. A shard of over
+    shard_nodes fingerprints is dealt again by radius + 1 blocks of its free bits, of which one agrees at least.
+    """
+    pairs = [a | b for a, b in combinations(blocks(list(range(64)), radius + 2), 2)]
+    masks = sorted(set(pairs))
+    rows = distinct.select("family", F.explode(F.array(*[F.lit(_signed(m)) for m in masks])).alias("mask"), "fp")
+    found, shard = None, ["family", "mask", "bits"]
     while True:
-        shard = ["mask", "bits"]
         dealt = rows.withColumn("bits", F.col("fp").bitwiseAND(F.col("mask")))
         sizes = cut(dealt.groupBy(*shard).agg(F.count("*").alias("n")).where("n > 1"))
         in_shard = dealt.join(sizes, shard)
-        # With 12 free bits a shard has 4,096 fingerprints at most, whatever the input.
-        last = all(64 - m.bit_count() <= 12 for m in masks)
-        small = in_shard if last else in_shard.where(F.col("n") <= shard_nodes)
-        links = cut(_shard_links(small.select(*shard, "fp"), radius))
+        last = all(64 - m.bit_count() <= 12 for m in masks)  # 4,096 fingerprints in a shard at most
+        links = cut(_shard_links(in_shard if last else in_shard.where(F.col("n") <= shard_nodes), radius))
         found = links if found is None else found.union(links)
         if last or not sizes.where(F.col("n") > shard_nodes).limit(1).count():
             return found
-        # Shards too large for one tree: their fingerprints agree within one of radius + 1 blocks of the free bits too.
         finer = [(_signed(m), _signed(x)) for m in masks for x in _finer(m, radius + 1)]
         table = F.broadcast(distinct.sparkSession.createDataFrame(finer, "mask long, finer long"))  # radius + 1 rows for each mask
-        large = in_shard.where(F.col("n") > shard_nodes).select("mask", "fp")
-        rows = cut(large.join(table, "mask").select(F.col("finer").alias("mask"), "fp").distinct())
+        large = in_shard.where(F.col("n") > shard_nodes).select("family", "mask", "fp")
+        rows = cut(large.join(table, "mask").select("family", F.col("finer").alias("mask"), "fp").distinct())
         masks = sorted({x for m in masks for x in _finer(m, radius + 1)})
 
 
@@ -212,40 +218,9 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RA
     """
     prints = cut(fingerprints(docs, shingle, seed))
     nodes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    of = components(fingerprint_links(nodes.select("fp"), radius, shard_nodes)).withColumnRenamed("node", "fp")
+    of = components(fingerprint_links(nodes.select(F.lit(0).alias("family"), "fp"), radius, shard_nodes).select("a", "b")).withColumnRenamed("node", "fp")
     joined = nodes.join(of, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     ids = joined.groupBy("component").agg(F.min("first").alias("component_id"))
     names = cut(joined.join(ids, "component").select("fp", "component", "component_id"))
     out = prints.join(names, "fp")
     return out.select("doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component", "component_id")
-
-
-def near_dedup(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, seed: int = SEED) -> DataFrame:
-    """One row of each component: the one with its smallest doc_id (nulls only if there is no other), of equal ids one whole row.
-
-    Columns as in docs. Empty: no rows.
-    """
-    found = simhash_components(docs, shingle, radius, seed)
-    heads = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keep = cut(heads.groupBy("component").agg(F.min(F.struct("doc_id", "fp")).alias("k")).select("k.doc_id", "k.fp"))
-    key = keep.select(F.col("doc_id").alias("_id")).distinct()
-    rows = docs.join(key, docs["doc_id"].eqNullSafe(key["_id"]), "left_semi")
-    repeated = found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
-    return _one_each(rows, keep, shingle, seed) if repeated else rows
-
-
-def _one_each(rows: DataFrame, keep: DataFrame, shingle: int, seed: int) -> DataFrame:
-    """Where ids repeat: of the rows with a kept (id, fingerprint), one."""
-
-    def run(batches: Iterator) -> Iterator:
-        import numpy as np
-        import pyarrow as pa
-
-        for batch in batches:
-            fps = np.array([fingerprint((x.as_py() or "").encode(), shingle, seed) for x in batch.column("text")], dtype="<u8").view("<i8")
-            yield batch.append_column("_fp", pa.array(fps))
-
-    printed = rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("_fp", LongType())]))
-    key = keep.withColumnsRenamed({"doc_id": "_id", "fp": "_key"})
-    kept = printed.join(key, printed["doc_id"].eqNullSafe(key["_id"]) & (printed["_fp"] == key["_key"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_fp"]).drop("_fp")
