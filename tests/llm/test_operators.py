@@ -397,12 +397,82 @@ def test_passages_of_long_texts_in_pieces():
     assert len(whole) == -(-len(text.split()) // mil_quality.PASSAGE) and np.isfinite(whole).all()
 
 
-def test_pipeline_stages(spark, sf_dir):
+def brute_lines(rows):
+    """rows: (doc_id, text); the lines that stay, by the rules of line_dedup."""
+
+    def template(line):
+        w = words(line)
+        fields = [x for x in w if re.search("[0-9]", x)]
+        return " ".join("<*>" if x in fields and 2 * len(fields) <= len(w) else x for x in w)
+
+    holders = collections.defaultdict(set)
+    for d, text in rows:
+        for x in text.split("\n"):
+            if words(x):
+                holders[template(x)].add(d)
+    gone = {t: min(h) for t, h in holders.items() if len(h) >= (10 if len(t.split(" ")) < 8 else 2)}
+    out = {}
+    for d, text in rows:
+        lines = text.split("\n")
+        kept = [x for x in lines if not words(x) or gone.get(template(x), d) == d]
+        out[d] = "" if len(kept) < len(lines) and not any(map(words, kept)) else "\n".join(kept)
+    return out
+
+
+def test_pipeline_against_brute_force(spark, sf_dir):
     import corpus_pipeline
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        out = stage(spark, docs, sf_dir)
-        assert out.columns == docs.columns, name
-        assert out.count() > 0
+    stages = dict(corpus_pipeline.STAGES)
+    assert list(stages) == ["toxicity", "line_dedup", "simhash_near_dedup", "mixing", "packing"]
+
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scores = toxicity._Scorer(model)
+    given = {r.doc_id: r for r in docs.collect()}
+    want = {d for d, r in given.items() if model.score(next(scores.logits([r.text]))) < model.thresholds.get(r.lang, toxicity.AT)}
+    clean = stages["toxicity"](spark, docs, sf_dir)
+    assert clean.columns == docs.columns and {r.doc_id for r in clean.collect()} == want
+
+    lines = stages["line_dedup"](spark, docs, sf_dir)
+    got = {r.doc_id: r for r in lines.collect()}
+    assert lines.columns == docs.columns and {d: r.text for d, r in got.items()} == brute_lines([(d, r.text) for d, r in given.items()])
+    assert all(r.n_chars == len(r.text) for r in got.values())
+
+    kept = {r.doc_id for r in stages["simhash_near_dedup"](spark, docs, sf_dir).collect()}
+    sets = {d: near_dedup.shingle_set(r.text) for d, r in given.items()}
+    similar = collections.defaultdict(set)
+    for a in sets:
+        for b in sets:
+            if a != b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                similar[a].add(b)
+    heads, seen = set(), set()
+    for d in sorted(sets):
+        if d not in seen:
+            heads.add(d)
+            todo = [d]
+            while todo:
+                x = todo.pop()
+                if x not in seen:
+                    seen.add(x)
+                    todo += similar[x]
+    assert heads <= kept and len(kept - heads) <= 0.1 * (len(sets) - len(heads))
+
+    mixed = collections.Counter(r.doc_id for r in stages["mixing"](spark, docs, sf_dir).collect())
+    again = mixing.mix_sources(docs).collect()
+    assert mixed == collections.Counter({r.doc_id: r.copies for r in again if r.copies}) and max(mixed.values()) <= 2
+    taken = collections.Counter()
+    for r in again:
+        taken[r.source] += r.taken
+        n = len(words(r.text))
+        digests = [int(hashlib.sha256(f"mix:{r.doc_id}".encode()).hexdigest()[8 * k : 8 * k + 8], 16) / 2**32 for k in range(mixing.DRAWS)]
+        rate = r.target / r.source_size
+        assert r.size == n and r.copies in {int(rate) + (x < rate - int(rate)) for x in digests}
+    assert all(abs(taken[r.source] - r.target) <= max(0.1 * r.target, 1_000) for r in again)
+
+    pieces = collections.defaultdict(list)
+    for r in stages["packing"](spark, docs, sf_dir).collect():
+        assert r.ids_crc32 == zlib.crc32(r.ids)
+        pieces[r.doc_id].append((r.start, bytes(r.ids)))
+    for d, r in given.items():
+        assert np.frombuffer(b"".join(x for _, x in sorted(pieces[d])), "<u4").tolist() == [*plain_ids(r.text), 1]
     assert corpus_pipeline.run(spark, sf_dir).count() > 0
