@@ -73,7 +73,7 @@ def _padded(ids, n=max(WIDTHS)):
     return ids if len(ids) >= n else np.concatenate([ids, np.full((n - len(ids), 3), BUCKETS)])
 
 
-def train(texts: list[str], y: list[int], updates: int = 30_000, rate: float = 0.08, seed: int = 7) -> Model:
+def train(texts: list[str], y: list[int], updates: int = 15_000, rate: float = 0.08, seed: int = 7) -> Model:
     """AdaGrad over single documents in a fixed order of their hash; a missing class gives a constant score."""
     import numpy as np
 
@@ -182,7 +182,8 @@ class _Scorer:
 
     def _maxima(self, words: list[str]):
         np = self.np
-        unseen = list(set(words) - self.rows.keys())
+        rows = self.rows
+        unseen = [w for w in set(words) if w not in rows]
         if unseen:
             if len(self.rows) + len(unseen) > KEPT:
                 self._clear()
