@@ -4,8 +4,8 @@ Texts become 64-bit fingerprints; equal ones are one node. Fingerprints within R
 blocks, two at least. So a fingerprint goes to ten shards, one for each pair of blocks with its bits there, and every link
 lies within a shard. A shard's BK-tree has its children keyed by the integer Hamming distance to the parent, and a search
 follows only the edges within the radius. A shard of over SHARD_NODES fingerprints is dealt again by blocks of its
-remaining bits, as often as needed, so that no tree grows with the input; a tree is given to the shard's own queries by the
-shuffle, since a broadcast of all trees would grow with the corpus. What leaves a shard is a spanning set of its links.
+remaining bits. A tree is given to the shard's own queries by the shuffle, since a broadcast of all trees would grow with
+the corpus. What leaves a shard is a spanning set of its links.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from .components import components
 SHINGLE = 3
 RADIUS = 3
 SEED = 42
-SHARD_NODES = 2_000
+SHARD_NODES = 5_000
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -74,11 +74,12 @@ def _finer(mask: int, n: int) -> list[int]:
     return [mask | m for m in blocks([b for b in range(64) if not mask >> b & 1], n)]
 
 
-def bk_spanning_links(fps, starts, radius: int, chunk: int = 32_768):
-    """(a, b): indices of links that span each shard's classes, a link of fewer differing bits before one of more.
+def bk_spanning_links(fps, starts, radius: int, first_chunk: int = 256, chunk: int = 32_768):
+    """(a, b): indices of links that span each shard's classes, in a chunk of queries those of fewer differing bits first.
 
     One BK-tree for each shard, children keyed by the distance to the parent; a query follows the edges within radius of
-    its own distance.
+    its own distance. Between chunks of queries, subtrees that have grown into one class are marked: a query of that class
+    need not enter them, so that a dense group of copies costs little more than its size.
     """
     import numpy as np
 
@@ -87,11 +88,12 @@ def bk_spanning_links(fps, starts, radius: int, chunk: int = 32_768):
     top = np.repeat(starts, np.diff(np.append(starts, n)))
     parent, edge = np.full(n, -1), np.zeros(n, dtype=np.int64)
     open_ = np.setdiff1d(np.arange(n), starts, assume_unique=True)
-    at = top[open_]
+    at, levels = top[open_], []
     while len(open_):
         key = at * 65 + apart(open_, at)
         _, first, which = np.unique(key, return_index=True, return_inverse=True)
         child = open_[first]
+        levels.append(child)
         parent[child], edge[child] = at[first], key[first] % 65
         deeper = np.ones(len(open_), dtype=bool)
         deeper[first] = False
@@ -99,6 +101,7 @@ def bk_spanning_links(fps, starts, radius: int, chunk: int = 32_768):
     keys = np.where(parent >= 0, parent * 65 + edge, -1)
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
+    barren = np.searchsorted(keys, np.arange(n) * 65) == np.searchsorted(keys, np.arange(n) * 65 + 65)  # nodes without children
     root = np.arange(n)
 
     def find(x):
@@ -124,22 +127,31 @@ def bk_spanning_links(fps, starts, radius: int, chunk: int = 32_768):
             out_a.append(a[first])
             out_b.append(b[first])
 
-    for lo in range(0, n, chunk):
-        query = np.arange(lo, min(n, lo + chunk))
+    lo, size = 0, first_chunk
+    while lo < n:
+        of = find(np.arange(n))
+        least, most = of.copy(), of.copy()
+        for child in reversed(levels):
+            np.minimum.at(least, parent[child], least[child])
+            np.maximum.at(most, parent[child], most[child])
+        one = np.where(least == most, least, -1)  # the class of a whole subtree
+        query = np.arange(lo, min(n, lo + size))
+        lo, size = lo + size, min(2 * size, chunk)
         node = top[query]
+        new = one[node] != of[query]
+        query, node = query[new], node[new]
         while len(query):
             d = apart(query, node)
-            for part in range(0, len(query), 8 * chunk):
-                near = (d[part : part + 8 * chunk] <= radius) & (query[part : part + 8 * chunk] != node[part : part + 8 * chunk])
-                union(query[part : part + 8 * chunk][near], node[part : part + 8 * chunk][near], d[part : part + 8 * chunk][near])
-            nq, nn = [], []
-            for step in range(-radius, radius + 1):
-                want = np.where((d + step >= 1) & (d + step <= 64), node * 65 + d + step, -2)
-                place = np.searchsorted(keys, want)
-                hit = (place < n) & (keys[np.minimum(place, n - 1)] == want)
-                nq.append(query[hit])
-                nn.append(order[place[hit]])
-            query, node = np.concatenate(nq), np.concatenate(nn)
+            near = (d <= radius) & (query != node)
+            union(query[near], node[near], d[near])
+            inner = ~barren[node]
+            query, node, d = query[inner], node[inner], d[inner]
+            low = np.searchsorted(keys, node * 65 + np.maximum(1, d - radius), side="left")
+            many = np.searchsorted(keys, node * 65 + np.minimum(64, d + radius), side="right") - low
+            query = np.repeat(query, many)
+            node = order[np.repeat(low - np.cumsum(many) + many, many) + np.arange(len(query))]
+            new = one[node] != of[query]
+            query, node = query[new], node[new]
     empty = np.array([], dtype=np.int64)
     return np.concatenate([empty, *out_a]), np.concatenate([empty, *out_b])
 
@@ -187,26 +199,23 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, shard_nodes: in
     """Links (family, a, b) that span the classes of distinct (family, fp) at radius or fewer differing bits.
 
     Of radius + 2 blocks of bits two agree at least: a shard is a pair of blocks with its bits there. A shard of over
-    shard_nodes fingerprints is dealt again by radius + 1 blocks of its free bits, of which one agrees at least.
+    shard_nodes fingerprints is dealt again by radius + 1 blocks of its free bits, of which one agrees at least: unrelated
+    fingerprints part there, and those that stay together are near copies, which one tree takes cheaply.
     """
-    pairs = [a | b for a, b in combinations(blocks(list(range(64)), radius + 2), 2)]
-    masks = sorted(set(pairs))
+    masks = sorted({a | b for a, b in combinations(blocks(list(range(64)), radius + 2), 2)})
+    shard = ["family", "mask", "bits"]
     rows = distinct.select("family", F.explode(F.array(*[F.lit(_signed(m)) for m in masks])).alias("mask"), "fp")
-    found, shard = None, ["family", "mask", "bits"]
-    while True:
-        dealt = rows.withColumn("bits", F.col("fp").bitwiseAND(F.col("mask")))
-        sizes = cut(dealt.groupBy(*shard).agg(F.count("*").alias("n")).where("n > 1"))
-        in_shard = dealt.join(sizes, shard)
-        last = all(64 - m.bit_count() <= 12 for m in masks)  # 4,096 fingerprints in a shard at most
-        links = cut(_shard_links(in_shard if last else in_shard.where(F.col("n") <= shard_nodes), radius))
-        found = links if found is None else found.union(links)
-        if last or not sizes.where(F.col("n") > shard_nodes).limit(1).count():
-            return found
-        finer = [(_signed(m), _signed(x)) for m in masks for x in _finer(m, radius + 1)]
-        table = F.broadcast(distinct.sparkSession.createDataFrame(finer, "mask long, finer long"))  # radius + 1 rows for each mask
-        large = in_shard.where(F.col("n") > shard_nodes).select("family", "mask", "fp")
-        rows = cut(large.join(table, "mask").select("family", F.col("finer").alias("mask"), "fp").distinct())
-        masks = sorted({x for m in masks for x in _finer(m, radius + 1)})
+    dealt = rows.withColumn("bits", F.col("fp").bitwiseAND(F.col("mask")))
+    sizes = cut(dealt.groupBy(*shard).agg(F.count("*").alias("n")).where("n > 1"))
+    in_shard = dealt.join(sizes, shard)
+    found = cut(_shard_links(in_shard.where(F.col("n") <= shard_nodes), radius))
+    if not sizes.where(F.col("n") > shard_nodes).limit(1).count():
+        return found
+    finer = [(_signed(m), _signed(x)) for m in masks for x in _finer(m, radius + 1)]
+    table = F.broadcast(distinct.sparkSession.createDataFrame(finer, "mask long, finer long"))  # radius + 1 rows for each mask
+    large = in_shard.where(F.col("n") > shard_nodes).select("family", "mask", "fp").join(table, "mask")
+    again = large.select("family", F.col("finer").alias("mask"), "fp").distinct().withColumn("bits", F.col("fp").bitwiseAND(F.col("mask")))
+    return found.union(cut(_shard_links(again, radius)))
 
 
 def simhash_components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, seed: int = SEED, shard_nodes: int = SHARD_NODES) -> DataFrame:
