@@ -41,21 +41,12 @@ def _dictionary(content: bytes):
     return zstandard.ZstdCompressionDict(content) if content else None
 
 
-def _encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(tokens.encoder(tokenizer).encode(batch.column(0).to_pylist()), pa.binary())], ["ids"])
-
-    return docs.select("text").mapInArrow(run, "ids binary")
-
-
 def train_dictionary(docs: DataFrame, tokenizer: str, sample_rows: int = 1_000, size: int = 65_536) -> bytes:
     """A zstandard dictionary from the id arrays of sample_rows documents at most; too few for one: no dictionary."""
     import zstandard
 
-    samples = [bytes(r["ids"])[:262_144] for r in _encoded(docs.limit(sample_rows), tokenizer).collect()]
+    texts = [r["text"] for r in docs.select("text").limit(sample_rows).collect()]
+    samples = [x[:262_144] for x in tokens.encoder(tokenizer).encode(texts)]
     try:
         return zstandard.train_dictionary(size, [x for x in samples if x]).as_bytes()
     except (zstandard.ZstdError, ValueError):
