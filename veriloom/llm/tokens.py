@@ -11,7 +11,7 @@ import os
 import re
 from collections.abc import Iterable
 
-KEPT = 400_000
+KEPT = 500_000
 #: Pieces that one call of the library gets at most.
 CALL = 4_000
 _UNEVEN = re.compile(r" (?:\s|\Z)")
@@ -40,21 +40,33 @@ class Encoder:
         self.opens = np.zeros(self.model.get_vocab_size(), dtype=bool)
         for token, i in self.model.get_vocab().items():
             self.opens[i] = token.startswith("Ġ")
+        self.marks = {c: self._ids(c).tobytes() for c in ".,!?;:|"}
 
     def _ids(self, text: str):
         return self.np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
     def _learn(self, unseen: list[str]) -> None:
         """Adds pieces to the young generation, which has room for them."""
-        plain = []
+        plain, marked = [], []
+        bases = set()
         for piece in unseen:
             kept = self.old.get(piece)
             if kept is not None:
                 self.young[piece] = kept
+            elif piece[-1] in self.marks and piece[:-1].isalpha():  # letters and a mark are never merged
+                marked.append(piece)
+                if piece[:-1] not in self.young:
+                    bases.add(piece[:-1])
             elif " " in piece:
                 self.young[piece] = self._ids(" " + piece).tobytes()
             else:
                 plain.append(piece)
+        for piece in bases.difference(plain):
+            kept = self.old.get(piece)
+            if kept is not None:
+                self.young[piece] = kept
+            else:
+                plain.append(piece)
         for lo in range(0, len(plain), CALL):
             part = plain[lo : lo + CALL]
             ids = self._ids(" " + " ".join(part))
@@ -67,6 +79,7 @@ class Encoder:
                     at = end
             else:  # a token with the mark inside a piece: one at a time
                 self.young.update((x, self._ids(" " + x).tobytes()) for x in part)
+        self.young.update((x, self.young[x[:-1]] + self.marks[x[-1]]) for x in marked)
 
     def _room(self) -> None:
         if len(self.young) > KEPT:
@@ -84,22 +97,30 @@ class Encoder:
             out.append(b"".join(found))
         return b"".join(out)
 
+    def _heads(self, heads: list[str]) -> list[bytes]:
+        """The ids of texts' first pieces, in one call."""
+        return [self.np.array(x.ids, dtype="<u4").tobytes() for x in self.model.encode_batch_fast(heads, add_special_tokens=False)]
+
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
         """The ids of each text; null: none."""
-        split = []
-        for text in texts:
-            split.append((_BREAK.split(text) if _UNEVEN.search(text) else text.split(" ")) if text else [""])
-        unseen: set[str] = set()
         self._room()
-        get = self.young.get
-        for pieces in split:
-            found = map(get, pieces[1:])
-            unseen.update(p for p, x in zip(pieces[1:], found) if x is None)
-            if len(unseen) > KEPT:  # the rest of so large a batch learns text by text
-                break
-        else:
+        get, heads, rest, looked, unseen = self.young.get, [], [], [], set()
+        for text in texts:
+            pieces = (_BREAK.split(text) if _UNEVEN.search(text) else text.split(" ")) if text else [""]
+            heads.append(pieces[0])
+            del pieces[0]
+            rest.append(pieces)
+            found = None
+            if len(unseen) <= KEPT:  # else the rest of so large a batch learns text by text
+                found = list(map(get, pieces))
+                if None in found:
+                    unseen.update(p for p, x in zip(pieces, found) if x is None)
+            looked.append(found)
+        if len(unseen) <= KEPT:
             self._learn(list(unseen))
-        return [(self._ids(x[0]).tobytes() if x[0] else b"") + self._joined(x[1:]) for x in split]
+            known = self.young
+            return [head + b"".join([known[p] if x is None else x for p, x in zip(pieces, found)]) for head, pieces, found in zip(self._heads(heads), rest, looked)]
+        return [head + self._joined(pieces) for head, pieces in zip(self._heads(heads), rest)]
 
 
 _encoders: dict[str, Encoder] = {}
