@@ -76,9 +76,10 @@ def with_measures(docs: DataFrame) -> DataFrame:
     return out.select("*", "_w.*", "_l.*").drop("_w", "_l")
 
 
-def cascade_order(measured: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = 2_000) -> list[Rule]:
-    """The rules by rejection per cost, from sample_rows rows at most."""
-    sample = measured.limit(sample_rows).persist()
+def cascade_order(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = 2_000) -> list[Rule]:
+    """The rules by rejection per cost, from sample_rows rows at most; no more partitions are read than these need."""
+    first = docs.select("text").limit(sample_rows).collect()
+    sample = with_measures(docs.sparkSession.createDataFrame(first, "text string")).persist()
     try:
         n = max(1, sample.count())
 
@@ -106,7 +107,7 @@ def quality_cascade(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_row
     """
     measured = with_measures(docs.drop("base_failed", "failed_rule", "kept"))
     chain = None
-    for r in cascade_order(measured, rules, sample_rows):
+    for r in cascade_order(docs, rules, sample_rows):
         chain = (F if chain is None else chain).when(F.expr(r.rejects), F.lit(r.name))
     base = F.expr("n_words < 20 OR 100 * n_repeat_words > 30 * n_words")
     out = measured.withColumn("base_failed", base).withColumn("failed_rule", F.lit(None).cast("string") if chain is None else chain)
