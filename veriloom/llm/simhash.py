@@ -206,14 +206,13 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, shard_nodes: in
     shard = ["family", "mask", "bits"]
     rows = distinct.select("family", F.explode(F.array(*[F.lit(_signed(m)) for m in masks])).alias("mask"), "fp")
     dealt = rows.withColumn("bits", F.col("fp").bitwiseAND(F.col("mask")))
-    sizes = cut(dealt.groupBy(*shard).agg(F.count("*").alias("n")).where("n > 1"))
-    in_shard = dealt.join(sizes, shard)
-    found = cut(_shard_links(in_shard.where(F.col("n") <= shard_nodes), radius))
-    if not sizes.where(F.col("n") > shard_nodes).limit(1).count():
+    hot = cut(dealt.groupBy(*shard).agg(F.count("*").alias("n")).where(F.col("n") > shard_nodes).select(*shard))
+    found = cut(_shard_links(dealt.join(hot, shard, "left_anti"), radius))
+    if not hot.limit(1).count():
         return found
     finer = [(_signed(m), _signed(x)) for m in masks for x in _finer(m, radius + 1)]
     table = F.broadcast(distinct.sparkSession.createDataFrame(finer, "mask long, finer long"))  # radius + 1 rows for each mask
-    large = in_shard.where(F.col("n") > shard_nodes).select("family", "mask", "fp").join(table, "mask")
+    large = dealt.join(hot, shard, "left_semi").select("family", "mask", "fp").join(table, "mask")
     again = large.select("family", F.col("finer").alias("mask"), "fp").distinct().withColumn("bits", F.col("fp").bitwiseAND(F.col("mask")))
     return found.union(cut(_shard_links(again, radius)))
 
