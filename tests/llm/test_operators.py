@@ -476,3 +476,36 @@ def test_pipeline_against_brute_force(spark, sf_dir):
     for d, r in given.items():
         assert np.frombuffer(b"".join(x for _, x in sorted(pieces[d])), "<u4").tolist() == [*plain_ids(r.text), 1]
     assert corpus_pipeline.run(spark, sf_dir).count() > 0
+
+
+def brute_components(texts):
+    sets = [near_dedup.shingle_set(t) for t in texts]
+    of = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if of[i] != of[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                of = [of[j] if x == of[i] else x for x in of]
+    return sorted(sorted(i for i, x in enumerate(of) if x == c) for c in set(of))
+
+
+def near_groups(spark, texts):
+    got = collections.defaultdict(list)
+    for r in near_dedup.near_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        got[r.component].append(r.doc_id)
+    return sorted(map(sorted, got.values()))
+
+
+def test_near_copies_by_contiguous_edits(spark):
+    r = random.Random(8)
+    prose = lambda n: [r.choice(VOCABULARY) for _ in range(n)]
+    texts = []
+    for k in range(60):
+        w = prose(r.randrange(150, 500))
+        n = len(w)
+        part = int(n * r.uniform(0.11, 0.19))
+        at = r.randrange(n - part)
+        edited = (w[:-part], w + prose(part), w[:at] + prose(part // 2) + w[at + part // 2 :], w[:at] + w[at + part :])[k % 4]
+        texts += [" ".join(w), " ".join(edited)]
+    want = brute_components(texts)
+    assert sum(len(g) == 2 for g in want) > 45
+    assert near_groups(spark, texts) == want

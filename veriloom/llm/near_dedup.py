@@ -1,19 +1,25 @@
-"""Near-copy removal by SimHash: BK-trees propose pairs, an exact comparison of word shingles decides.
+"""Near-copy removal: SimHash with BK-trees joins the easy groups, a prefix filter finds every other pair, word shingles decide.
 
-Each text gets FAMILIES fingerprints over two-word shingles, from hashes that differ by a mixing step. Pairs within RADIUS
-bits in any family are candidates (three independent chances for a similar pair); of a shard's links a spanning set is
-kept, the nearest first, whatever the size of the group. A candidate links if the Jaccard similarity of the sets of
-five-word shingles reaches SIMILARITY. One text of each connected group stays.
+Texts whose Jaccard similarity of the sets of five-word shingles reaches SIMILARITY link; one text of each connected group
+stays. Candidates come in two steps, and only a pair that passed the exact comparison ever counts as joined:
+
+1. Each text gets FAMILIES fingerprints over two-word shingles, from hashes that differ by a mixing step. A spanning set of
+   the pairs within RADIUS bits, the nearest first, is compared. This makes dense groups one class at a linear cost, and
+   loses pairs (contiguous edits near the threshold most).
+2. The prefix filter loses none: under one order of all shingles, two sets of that similarity share one of the first
+   n - ceil(SIMILARITY n) + 1 shingles of each. Classes that share such a shingle are compared, first STARS times each
+   with one other of its list, then every text of the one class with every text of the other if they are still apart.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, lookup
 from .components import components
 from .simhash import SEED, SHARD_NODES, fingerprint_links
 
@@ -22,6 +28,10 @@ PRINT_SHINGLE = 2
 RADIUS = 5
 SHINGLE = 5
 SIMILARITY = 0.8
+STARS = 2
+#: Texts from which common shingles are learnt; they come last in the order, which saves candidates and changes no result.
+SAMPLE = 4_000
+COMMON = 100_000
 
 
 def family_prints(text: bytes, families: int = FAMILIES, shingle: int = PRINT_SHINGLE, seed: int = SEED) -> list[int]:
@@ -94,6 +104,122 @@ def similar_pairs(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILA
     return both.mapInArrow(run, "a long, b long")
 
 
+def prefix(shingles: frozenset, common: dict[int, int], similarity: float = SIMILARITY) -> list[int]:
+    """The first shingles, rare ones first, of which two sets of the similarity share one; empty set: zero, as for all without words."""
+    n = len(shingles)
+    if not n:
+        return [0]
+    first = n - math.ceil(similarity * n - 1e-9) + 1
+    return sorted(shingles, key=lambda h: (common.get(h, 0), h))[:first]
+
+
+def _common_shingles(texts: DataFrame, n: int) -> dict[int, int]:
+    """Shingles that several of a sample's texts hold, with their number; n: about how many texts there are."""
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            for t in batch.column(0):
+                s = shingle_set(t.as_py())
+                yield pa.RecordBatch.from_arrays([pa.array(np.fromiter(s, dtype="<u8", count=len(s)).view("<i8"))], ["shingle"])
+
+    sample = texts.where(F.pmod("node", F.lit(max(1, n // SAMPLE))) == 0).select("text").mapInArrow(run, "shingle long")
+    often = sample.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 2").orderBy(F.desc("n"), "shingle").limit(COMMON)
+    return {r.shingle % 2**64: r.n for r in often.collect()}
+
+
+def shared_shingles(texts: DataFrame, common: dict[int, int], similarity: float = SIMILARITY) -> DataFrame:
+    """shingle, class, node: the prefixes of texts (node, class, text), those shingles that several classes hold; a node for each class and batch at least."""
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            made = [np.array(prefix(shingle_set(t.as_py()), common, similarity), dtype="<u8").view("<i8") for t in batch.column(2)]
+            sizes = [len(x) for x in made]
+            shingle, of, node = np.concatenate(made), np.repeat(batch.column(1).to_numpy(), sizes), np.repeat(batch.column(0).to_numpy(), sizes)
+            by = np.lexsort((of, shingle))
+            shingle, of, node = shingle[by], of[by], node[by]
+            new = np.ones(len(by), dtype=bool)
+            new[1:] = (shingle[1:] != shingle[:-1]) | (of[1:] != of[:-1])
+            yield pa.RecordBatch.from_arrays([pa.array(x[new]) for x in (shingle, of, node)], ["shingle", "class", "node"])
+
+    def several(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        def lists(t):
+            shingle, of = t.column("shingle").to_numpy(), t.column("class").to_numpy()
+            new = np.ones(len(shingle), dtype=bool)
+            new[1:] = shingle[1:] != shingle[:-1]
+            at = np.flatnonzero(new)
+            many = np.minimum.reduceat(of, at) != np.maximum.reduceat(of, at)
+            return t.filter(pa.array(np.repeat(many, np.diff(np.append(at, len(shingle)))))).to_batches()
+
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            now = pa.Table.from_batches([batch])
+            held = now if held is None else pa.concat_tables([held, now]).combine_chunks()
+            shingle = held.column("shingle").to_numpy()
+            whole = int(np.searchsorted(shingle, shingle[-1]))  # the last list may go on in the next batch
+            if whole:
+                yield from lists(held.slice(0, whole))
+                held = held.slice(whole)
+        if held is not None:
+            yield from lists(held)
+
+    schema = "shingle long, class long, node long"
+    return texts.select("node", "class", "text").mapInArrow(run, schema).repartition("shingle").sortWithinPartitions("shingle").mapInArrow(several, schema)
+
+
+def _labelled(rows: DataFrame, of: DataFrame, column: str) -> DataFrame:
+    """rows with label, the component of the node in the column; a node without links is its own."""
+    found = lookup(rows, of.select(F.col("node").alias(column), F.col("component").alias("label")), column)
+    return found.withColumn("label", F.coalesce("label", column))
+
+
+def similar_links(docs: DataFrame, reps: DataFrame, links: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Links (a, b) of similar texts whose components are those of all similar pairs; links: some similar pairs. reps: node, doc_id of each text once."""
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        used = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+        owner = used.join(reps.select("node", F.col("doc_id").alias("_id")), "node").withColumnRenamed("node", "_node")
+        noded = _noded(docs)
+        texts = noded.join(owner, noded["doc_id"].eqNullSafe(owner["_id"]) & (noded["node"] == owner["_node"]), "left_semi").select("node", "text").dropDuplicates(["node"])
+        return cut(similar_pairs(pairs, cut(texts), similarity))
+
+    links = compared(links)
+    of = cut(components(links))
+    common = _common_shingles(_noded(docs), reps.count())
+    lists = cut(shared_shingles(_labelled(_noded(docs), of, "node").withColumnRenamed("label", "class"), common, similarity))
+    for k in range(STARS):
+        rows = _labelled(lists, of, "class")
+        hub = rows.groupBy("shingle").agg(F.min_by(F.struct("label", "node"), F.xxhash64("label", F.lit(k))).alias("hub"))
+        pairs = rows.join(hub, "shingle").where("label <> hub.label").select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"))
+        pairs = cut(pairs.distinct())
+        if pairs.isEmpty():  # each list is one class
+            return links
+        more = compared(pairs)
+        if more.isEmpty():
+            break
+        links = links.union(more)
+        of = cut(components(links))
+    rows = cut(_labelled(lists, of, "class").select("shingle", "label").distinct())
+    both = cut(rows.join(rows.withColumnRenamed("label", "other"), "shingle").where("label < other").select("label", "other").distinct())
+    if both.isEmpty():
+        return links
+    members = _labelled(reps.select("node"), of, "node")
+    pairs = both.join(members.withColumnRenamed("node", "a"), "label").join(members.select(F.col("label").alias("other"), F.col("node").alias("b")), "other")
+    return links.union(compared(cut(pairs.select("a", "b"))))
+
+
 def near_components(docs: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS, shard_nodes: int = SHARD_NODES) -> DataFrame:
     """doc_id, node (a hash of the text), component: a row for each row; rows of one component are copies or near copies."""
 
@@ -114,11 +240,7 @@ def near_components(docs: DataFrame, similarity: float = SIMILARITY, radius: int
     across = links.join(end("a"), ["family", "a"]).join(end("b"), ["family", "b"]).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
     equal = owned.join(first, ["family", "fp"]).where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
     pairs = cut(across.union(equal).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    used = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    owner = used.join(reps.select("node", F.col("doc_id").alias("_id")), "node").withColumnRenamed("node", "_node")
-    noded = _noded(docs)
-    texts = noded.join(owner, noded["doc_id"].eqNullSafe(owner["_id"]) & (noded["node"] == owner["_node"]), "left_semi").select("node", "text").dropDuplicates(["node"])
-    of = components(cut(similar_pairs(pairs, cut(texts), similarity)))
+    of = components(similar_links(docs, reps, pairs, similarity))
     out = prints.select("doc_id", "node").join(of, "node", "left")
     return out.select("doc_id", "node", F.coalesce("component", "node").alias("component"))
 
