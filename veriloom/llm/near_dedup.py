@@ -7,8 +7,8 @@ stays. Candidates come in two steps, and only a pair that passed the exact compa
    the pairs within RADIUS bits, the nearest first, is compared. This makes dense groups one class at a linear cost, and
    loses pairs (contiguous edits near the threshold most).
 2. The prefix filter loses none: under one order of all shingles, two sets of that similarity share one of the first
-   n - ceil(SIMILARITY n) + 1 shingles of each. Classes that share such a shingle are compared, first STARS times each
-   with one other of its list, then every text of the one class with every text of the other if they are still apart.
+   n - ceil(SIMILARITY n) + 1 shingles of each. Texts of different classes that share so many of these that they may be
+   similar are compared: first STARS times with one text of each shingle's list, then every such pair that is still apart.
 """
 
 from __future__ import annotations
@@ -131,7 +131,7 @@ def _common_shingles(texts: DataFrame, n: int) -> dict[int, int]:
 
 
 def shared_shingles(texts: DataFrame, common: dict[int, int], similarity: float = SIMILARITY) -> DataFrame:
-    """shingle, class, node: the prefixes of texts (node, class, text), those shingles that several classes hold; a node for each class and batch at least."""
+    """shingle, class, node, n (its shingles): the prefixes of texts (node, class, text), those shingles that several classes hold."""
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -140,14 +140,11 @@ def shared_shingles(texts: DataFrame, common: dict[int, int], similarity: float
         for batch in batches:
             if not batch.num_rows:
                 continue
-            made = [np.array(prefix(shingle_set(t.as_py()), common, similarity), dtype="<u8").view("<i8") for t in batch.column(2)]
+            sets = [shingle_set(t.as_py()) for t in batch.column(2)]
+            made = [np.array(prefix(x, common, similarity), dtype="<u8").view("<i8") for x in sets]
             sizes = [len(x) for x in made]
-            shingle, of, node = np.concatenate(made), np.repeat(batch.column(1).to_numpy(), sizes), np.repeat(batch.column(0).to_numpy(), sizes)
-            by = np.lexsort((of, shingle))
-            shingle, of, node = shingle[by], of[by], node[by]
-            new = np.ones(len(by), dtype=bool)
-            new[1:] = (shingle[1:] != shingle[:-1]) | (of[1:] != of[:-1])
-            yield pa.RecordBatch.from_arrays([pa.array(x[new]) for x in (shingle, of, node)], ["shingle", "class", "node"])
+            of, node, n = (np.repeat(x, sizes) for x in (batch.column(1).to_numpy(), batch.column(0).to_numpy(), np.array([len(x) for x in sets], dtype=np.int32)))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.concatenate(made), of, node, n)], ["shingle", "class", "node", "n"])
 
     def several(batches: Iterator) -> Iterator:
         import numpy as np
@@ -175,7 +172,7 @@ def shared_shingles(texts: DataFrame, common: dict[int, int], similarity: float
         if held is not None:
             yield from lists(held)
 
-    schema = "shingle long, class long, node long"
+    schema = "shingle long, class long, node long, n int"
     return texts.select("node", "class", "text").mapInArrow(run, schema).repartition("shingle").sortWithinPartitions("shingle").mapInArrow(several, schema)
 
 
@@ -199,25 +196,35 @@ def similar_links(docs: DataFrame, reps: DataFrame, links: DataFrame, similarity
     of = cut(components(links))
     common = _common_shingles(_noded(docs), reps.count())
     lists = cut(shared_shingles(_labelled(_noded(docs), of, "node").withColumnRenamed("label", "class"), common, similarity))
+    ends = ["a", "b", "n_a", "n_b"]
     for k in range(STARS):
-        rows = _labelled(lists, of, "class")
-        hub = rows.groupBy("shingle").agg(F.min_by(F.struct("label", "node"), F.xxhash64("label", F.lit(k))).alias("hub"))
-        pairs = rows.join(hub, "shingle").where("label <> hub.label").select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"))
-        pairs = cut(pairs.distinct())
-        if pairs.isEmpty():  # each list is one class
-            return links
-        more = compared(pairs)
+        rows = _labelled(lists, of, "class").select("shingle", "label", "node", "n").distinct()
+        hub = rows.groupBy("shingle").agg(F.min_by(F.struct("label", "node", "n"), F.xxhash64("label", "node", F.lit(k))).alias("hub"))
+        met = rows.join(hub, "shingle").where("label <> hub.label").select(F.col("node").alias("a"), F.col("hub.node").alias("b"), F.col("n").alias("n_a"), F.col("hub.n").alias("n_b"))
+        more = compared(cut(_possible(met.groupBy(*ends).agg(F.count("*").alias("met")), similarity)))
         if more.isEmpty():
             break
         links = links.union(more)
         of = cut(components(links))
-    rows = cut(_labelled(lists, of, "class").select("shingle", "label").distinct())
-    both = cut(rows.join(rows.withColumnRenamed("label", "other"), "shingle").where("label < other").select("label", "other").distinct())
-    if both.isEmpty():
-        return links
-    members = _labelled(reps.select("node"), of, "node")
-    pairs = both.join(members.withColumnRenamed("node", "a"), "label").join(members.select(F.col("label").alias("other"), F.col("node").alias("b")), "other")
-    return links.union(compared(cut(pairs.select("a", "b"))))
+    rows = cut(_labelled(lists, of, "class").select("shingle", "label", "node", "n").distinct())
+    left, right = (rows.select("shingle", F.col("label").alias(f"label_{x}"), F.col("node").alias(x), F.col("n").alias(f"n_{x}")) for x in "ab")
+    met = left.join(right, "shingle").where("label_a < label_b").where(_sizes_fit(similarity)).groupBy(*ends).agg(F.count("*").alias("met"))
+    return links.union(compared(cut(_possible(met, similarity))))
+
+
+def _sizes_fit(similarity: float):
+    return F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b") - 1e-6
+
+
+def _possible(met: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) that may reach the similarity, from a, b, n_a, n_b and met, the number of shingles that both prefixes hold.
+
+    Of the text whose prefix ends first, no other shingle of the prefix is in the other text: met and what lies behind its
+    prefix bound the common shingles, which must be at least similarity / (1 + similarity) of n_a + n_b.
+    """
+    rest = F.greatest(F.ceil(similarity * F.greatest("n_a", "n_b") - 1e-9) - 1, F.lit(0))
+    most = F.col("met") + rest >= similarity / (1 + similarity) * (F.col("n_a") + F.col("n_b")) - 1e-6
+    return met.where(_sizes_fit(similarity) & most).select("a", "b")
 
 
 def near_components(docs: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS, shard_nodes: int = SHARD_NODES) -> DataFrame:
