@@ -509,3 +509,16 @@ def test_near_copies_by_contiguous_edits(spark):
     want = brute_components(texts)
     assert sum(len(g) == 2 for g in want) > 45
     assert near_groups(spark, texts) == want
+
+
+def test_near_copies_in_dense_groups(spark):
+    r = random.Random(9)
+    texts = []
+    for _ in range(12):
+        base = [r.choice(VOCABULARY) for _ in range(300)]
+        for _ in range(12):
+            w = list(base)
+            for at in r.sample(range(300), r.randrange(3, 7)):  # similarity from pair to pair on both sides of 0.8
+                w[at] = "".join(r.choice("vwxyz") for _ in range(6))
+            texts.append(" ".join(w))
+    assert near_groups(spark, texts) == brute_components(texts)
