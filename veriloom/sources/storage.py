@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,31 +13,50 @@ from pyspark.sql.types import StructType
 
 def exists(spark: SparkSession, path: str) -> bool:
     """By Spark's own file systems, so for any store that it reads."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    p, fs = _file_system(spark, path)
+    return fs.exists(p)
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """A missing path is an empty table, blank lines are skipped, a malformed line raises."""
+    """The last whole version of a table of JSON lines, or plain JSON-lines files there. A missing path is an empty table, blank lines are skipped, a malformed line raises."""
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
-    lines = spark.read.text(path).where(F.trim("value") != "")
+    lines = spark.read.text(f"{path}/{_version(spark, path)}" if exists(spark, f"{path}/{CURRENT}") else path).where(F.trim("value") != "")
     checked = lines.select(F.from_json("value", schema if isinstance(schema, str) else schema.json(), {"mode": "FAILFAST"}).alias("r"))
     return checked.select("r.*")
 
 
+#: The file of a versioned table that names its current version.
+CURRENT = "_CURRENT"
+
+
+def _version(spark: SparkSession, path: str) -> str:
+    return spark.read.text(f"{path}/{CURRENT}", wholetext=True).first()["value"].strip()
+
+
 def write_jsonl(rows: DataFrame, path: str) -> None:
-    """Whole or not at all: written beside the path, then renamed onto it."""
+    """Whole or not at all: a new version is written in full, then one renamed file points to it; readers see the old or the new one.
+
+    The versions before the last two are deleted. A crash at any moment leaves the table as it was, or a version that
+    nothing points to.
+    """
     spark = rows.sparkSession
-    beside = f"{path}.{uuid.uuid4().hex}.tmp"
-    rows.write.json(beside)
-    jvm = spark.sparkContext._jvm
-    new, old = jvm.org.apache.hadoop.fs.Path(beside), jvm.org.apache.hadoop.fs.Path(path)
-    fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(old, True)
-    if not fs.rename(new, old):
-        raise OSError(f"can't rename {beside}")
+    old = _version(spark, path) if exists(spark, f"{path}/{CURRENT}") else None
+    new = f"v-{uuid.uuid4().hex}"
+    rows.write.json(f"{path}/{new}")
+    beside, fs = _file_system(spark, f"{path}/{CURRENT}.{new}")
+    out = fs.create(beside)
+    out.write(bytearray(new.encode()))
+    out.close()
+    # One rename that replaces: the file contexts' form of it is atomic where the store's is.
+    context = spark.sparkContext._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    overwrite = spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = spark.sparkContext._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(beside, _file_system(spark, f"{path}/{CURRENT}")[0], overwrite)
+    for status in fs.listStatus(_file_system(spark, path)[0]):
+        name = status.getPath().getName()
+        if name.startswith("v-") and name not in (new, old):
+            fs.delete(status.getPath(), True)
 
 
 class StepStorage:
@@ -78,7 +98,7 @@ def read_inventory(spark: SparkSession, path: str, schema) -> DataFrame:
 def read_tree(spark: SparkSession, root: str, suffix: str = "lean") -> DataFrame:
     """path (below root), content of a source tree, dependency folders left out."""
     files = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter=f"*.{suffix}").select(F.col("_metadata.file_path").alias("full"), F.col("value").alias("content"))
-    below = F.regexp_extract("full", rf".*?{root.rstrip('/').split('://')[-1]}/(.*)$", 1)
+    below = F.regexp_extract("full", rf".*?{re.escape(root.rstrip('/').split('://')[-1])}/(.*)$", 1)
     return files.select(below.alias("path"), "content").where(~F.regexp_like("path", F.lit(r"(?:^|/)\.lake/")))
 
 
@@ -89,13 +109,49 @@ def write_results(rows: DataFrame, root: str, key: str = "id", error: str = "err
     kept.where(F.col(error).isNotNull()).select(key, error).write.partitionBy(key).mode("overwrite").json(f"{root}/errors")
 
 
+#: Tables that cut() wrote in this process, oldest first.
+_written: list[str] = []
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a folder of this machine serves local runs; a cluster has none and raises."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        found = f"file://{tempfile.mkdtemp(prefix='spark-')}"
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found.rstrip("/")
+
+
 def cut(rows: DataFrame) -> DataFrame:
-    """The rows, read from a table in the shared folder (spark.checkpoint.dir; where that is unset, a folder of this machine)."""
+    """The same rows, read from a table in the shared folder: the lineage ends there and a lost executor loses nothing."""
     spark = rows.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        root = f"file://{tempfile.mkdtemp(prefix='spark-')}"
-        spark.conf.set("spark.checkpoint.dir", root)
-    path = f"{root.rstrip('/')}/step-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
     rows.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(rows.schema).parquet(path)
+
+
+def mark() -> int:
+    """For discard(): the place after the tables that were cut so far."""
+    return len(_written)
+
+
+def discard(spark: SparkSession, since: int = 0, but: DataFrame | None = None) -> None:
+    """Deletes the tables that were cut since a mark, but those that the frame reads; what was made of the others must be written by then."""
+    kept = {f.rsplit("/", 2)[-2] for f in but.inputFiles()} if but is not None else set()
+    for path in _written[since:]:
+        if path.rsplit("/", 1)[-1] not in kept:
+            _delete(spark, path)
+            _written.remove(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p, fs = _file_system(spark, path)
+    fs.delete(p, True)
