@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from veriloom.llm import line_dedup, mixing, near_dedup, packing, toxicity
 from veriloom.llm.common import cut, table
+from veriloom.sources import storage
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +53,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = cut(docs)
+        since = storage.mark()
+        made = stage(spark, docs, sf_dir)
+        if k == len(STAGES) - 1:
+            return made
+        docs = cut(made)
+        storage.discard(spark, since, but=docs)  # the stage's own tables
     return docs
