@@ -4,8 +4,9 @@ Texts become 64-bit fingerprints; equal ones are one node. Fingerprints within R
 blocks, two at least. So a fingerprint goes to ten shards, one for each pair of blocks with its bits there, and every link
 lies within a shard. A shard's BK-tree has its children keyed by the integer Hamming distance to the parent, and a search
 follows only the edges within the radius. A shard of over SHARD_NODES fingerprints is dealt again by blocks of its
-remaining bits. A tree is given to the shard's own queries by the shuffle, since a broadcast of all trees would grow with
-the corpus. What leaves a shard is a spanning set of its links.
+remaining bits; one of over BLOCK_NODES even then is cut into blocks, and each pair of blocks is a tree of its own. A tree is
+given to the shard's own queries by the shuffle, since a broadcast of all trees would grow with the corpus. What leaves a
+shard is a spanning set of its links.
 """
 
 from __future__ import annotations
@@ -16,13 +17,15 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, split_join
 from .components import components
 
 SHINGLE = 3
 RADIUS = 3
 SEED = 42
 SHARD_NODES = 5_000
+#: Two blocks of so many fingerprints are the most that one tree holds.
+BLOCK_NODES = 250_000
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -157,8 +160,8 @@ def bk_spanning_links(fps, starts, radius: int, first_chunk: int = 256, chunk: i
 
 
 def _shard_links(rows: DataFrame, radius: int) -> DataFrame:
-    """Spanning links (family, a, b) of shards (family, mask, bits), each within one partition and in order there."""
-    shard = ["family", "mask", "bits"]
+    """Spanning links (family, a, b) of shards (family, mask, bits, block), each within one partition and in order there."""
+    shard = ["family", "mask", "bits", "block"]
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -195,26 +198,36 @@ def _shard_links(rows: DataFrame, radius: int) -> DataFrame:
     return rows.select(*shard, "fp").repartition(*shard).sortWithinPartitions(*shard).mapInArrow(run, "family int, a long, b long")
 
 
-def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, shard_nodes: int = SHARD_NODES) -> DataFrame:
+def _with_sizes(dealt: DataFrame, most: int) -> DataFrame:
+    """dealt and size, the fingerprints of its shard where these are over most, else null."""
+    shard = ["family", "mask", "bits"]
+    return split_join(dealt, cut(dealt.groupBy(*shard).agg(F.count("*").alias("size")).where(F.col("size") > most)), shard, "size", how="left")
+
+
+def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, shard_nodes: int = SHARD_NODES, block_nodes: int = BLOCK_NODES) -> DataFrame:
     """Links (family, a, b) that span the classes of distinct (family, fp) at radius or fewer differing bits.
 
     Of radius + 2 blocks of bits two agree at least: a shard is a pair of blocks with its bits there. A shard of over
     shard_nodes fingerprints is dealt again by radius + 1 blocks of its free bits, of which one agrees at least: unrelated
-    fingerprints part there, and those that stay together are near copies, which one tree takes cheaply.
+    fingerprints part there, and those that stay together are near copies, which one tree takes cheaply. If these are over
+    block_nodes, blocks of them by a hash meet pair by pair.
     """
     masks = sorted({a | b for a, b in combinations(blocks(list(range(64)), radius + 2), 2)})
-    shard = ["family", "mask", "bits"]
     rows = distinct.select("family", F.explode(F.array(*[F.lit(_signed(m)) for m in masks])).alias("mask"), "fp")
-    dealt = rows.withColumn("bits", F.col("fp").bitwiseAND(F.col("mask")))
-    hot = cut(dealt.groupBy(*shard).agg(F.count("*").alias("n")).where(F.col("n") > shard_nodes).select(*shard))
-    found = cut(_shard_links(dealt.join(hot, shard, "left_anti"), radius))
-    if not hot.limit(1).count():
+    dealt = _with_sizes(rows.withColumn("bits", F.col("fp").bitwiseAND(F.col("mask"))), shard_nodes)
+    found = cut(_shard_links(dealt.where("size IS NULL").withColumn("block", F.lit(0).cast("long")), radius))
+    hot = cut(dealt.where("size IS NOT NULL").select("family", "mask", "fp"))
+    if hot.isEmpty():
         return found
     finer = [(_signed(m), _signed(x)) for m in masks for x in _finer(m, radius + 1)]
     table = F.broadcast(distinct.sparkSession.createDataFrame(finer, "mask long, finer long"))  # radius + 1 rows for each mask
-    large = dealt.join(hot, shard, "left_semi").select("family", "mask", "fp").join(table, "mask")
-    again = large.select("family", F.col("finer").alias("mask"), "fp").distinct().withColumn("bits", F.col("fp").bitwiseAND(F.col("mask")))
-    return found.union(cut(_shard_links(again, radius)))
+    again = hot.join(table, "mask").select("family", F.col("finer").alias("mask"), "fp").distinct().withColumn("bits", F.col("fp").bitwiseAND(F.col("mask")))
+    sized = _with_sizes(cut(again), block_nodes)
+    n = F.coalesce(F.ceil(F.col("size") / block_nodes), F.lit(1))
+    own = sized.withColumn("n", n).withColumn("own", F.pmod(F.xxhash64("fp"), F.col("n")))
+    paired = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    block = F.when(F.col("n") > 1, F.least("own", "other") * F.col("n") + F.greatest("own", "other")).otherwise(F.lit(0).cast("long"))
+    return found.union(cut(_shard_links(paired.withColumn("block", block), radius)))
 
 
 def simhash_components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, seed: int = SEED, shard_nodes: int = SHARD_NODES) -> DataFrame:
