@@ -1,36 +1,64 @@
-"""Bounded samples of labelled texts, and thresholds from held-back rows of them."""
+"""Bounded samples of labelled texts, models that a task learns from them, and thresholds from held-back rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import pickle
+from collections.abc import Callable, Iterator
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Bytes of text of each class after which a sample ends, in the order of its hash: a bound on what one task holds.
+SAMPLE_BYTES = 32_000_000
+#: Bytes of a model that come back in one row.
+CHUNK = 4_000_000
+
 
 def held_out(mod: int, rest: int):
     """Whether crc32 of the id as text leaves rest by mod; a null id is never held out."""
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(mod)) == rest, F.lit(False))
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, mod: int, rest: int, rows: tuple[int, int], bytes_each: int = 60_000):
-    """(texts, labels, langs, ids) of rows[c] documents at most of each class c, the first by a hash of the id, none held out.
+def sample(docs: DataFrame, labels: DataFrame, label: str, mod: int, rest: int, rows: tuple[int, int], bytes_most: int = SAMPLE_BYTES) -> DataFrame:
+    """_id, _y, text, lang of rows[c] labelled documents at most of each class c, the first by a hash of the id, none held out.
 
-    Rows with a null label or id are skipped; of several labels of an id the largest counts. A text of over bytes_each
-    bytes is passed over for training, so that the sample's size is bounded; such texts are scored whole like all others.
+    A class's sample also ends once its texts hold bytes_most bytes; texts are whole, of any length, and none is passed
+    over for its size. Labels without a document, with a null id or null label don't count; of several labels of an id the
+    largest does, and of several rows of an id the smallest text.
     """
     of = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).where(~held_out(mod, rest)).groupBy("doc_id").agg((F.max(label) > 0).cast("int").alias("_y"))
-    order = F.xxhash64("doc_id", F.lit(label))
+    of = of.join(docs.select("doc_id"), "doc_id", "left_semi").withColumn("_order", F.xxhash64("doc_id", F.lit(label)))
     ids = None
     for c, n in enumerate(rows):
-        some = of.where(F.col("_y") == c).orderBy(order, "doc_id").limit(n)
+        some = of.where(F.col("_y") == c).orderBy("_order", "doc_id").limit(n)
         ids = some if ids is None else ids.union(some)
     ids = F.broadcast(ids.withColumnRenamed("doc_id", "_id"))  # sum(rows) rows at most
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
-    joined = docs.select("doc_id", "text", lang.alias("lang")).join(ids, F.col("doc_id") == F.col("_id"))
-    joined = joined.where(F.octet_length(F.coalesce("text", F.lit(""))) <= bytes_each)
-    # Rows may repeat an id: one text each, and no more rows than asked for.
-    one = joined.groupBy("_id", "_y").agg(F.min(F.struct(F.coalesce("text", F.lit("")).alias("text"), "lang")).alias("t"))
-    got = one.select("_id", "_y", "t.text", "t.lang").toArrow().sort_by("_id")
-    return got.column("text").to_pylist(), got.column("_y").to_pylist(), got.column("lang").to_pylist(), got.column("_id").to_pylist()
+    joined = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), lang.alias("lang")).join(ids, F.col("doc_id") == F.col("_id"))
+    one = joined.groupBy("_id", "_y", "_order").agg(F.min(F.struct("text", "lang")).alias("t"))
+    before = Window.partitionBy("_y").orderBy("_order", "_id").rowsBetween(Window.unboundedPreceding, -1)  # rows[c] rows
+    one = one.withColumn("_before", F.coalesce(F.sum(F.octet_length("t.text")).over(before), F.lit(0)))
+    return one.where(F.col("_before") < bytes_most).select("_id", "_y", "t.text", "t.lang")
+
+
+def learnt(rows: DataFrame, fit: Callable[[Iterator], object]):
+    """fit's model of a sample, learnt in one task: fit gets (text, label, lang) one by one in the order of ids. The driver gets the model only."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        def one_by_one():
+            for batch in batches:
+                for text, y, lang in zip(batch.column(1), batch.column(2), batch.column(3)):
+                    yield text.as_py(), y.as_py(), lang.as_py()
+
+        data = pickle.dumps(fit(one_by_one()), protocol=5)
+        for k, lo in enumerate(range(0, len(data), CHUNK)):
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([data[lo : lo + CHUNK]], pa.binary())], ["k", "part"])
+
+    sorted_ = rows.select("_id", "text", "_y", "lang").repartition(1).sortWithinPartitions("_id")  # bounded by the sample's rows and bytes
+    parts = sorted_.mapInArrow(run, "k int, part binary").collect()
+    return pickle.loads(b"".join(bytes(r["part"]) for r in sorted(parts, key=lambda r: r["k"]))) if parts else fit(iter(()))
 
 
 def threshold(logits, y) -> float:

@@ -2,7 +2,7 @@
 
 A text is a bag of passages of PASSAGE words. Each passage is encoded from counts of its characters and words; gated
 attention weighs the encodings, and the weighted sum gives the score. Encoder, gate and score are learnt together, in
-numpy, from document labels of a bounded sample.
+numpy, in one task, from document labels of a bounded sample.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .labelled import held_out, sample, threshold
+from .labelled import held_out, learnt, sample, threshold
 
 PASSAGE = 64
 HIDDEN, GATE = 16, 8
@@ -150,17 +150,23 @@ def train(bags: list, y: list[int], steps: int = 400, rate: float = 0.02, decay:
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: tuple[int, int] = SAMPLE) -> Model:
-    """The model from labels (doc_id, quality); every fifth document of the sample sets where the score reads AT."""
-    texts, y, _, _ = sample(docs, labels, "quality", FOLD, OUT, rows)
-    lut = _classes()
-    bags = [encode(t, lut) for t in texts]
+def learn(rows: Iterator) -> Model:
+    """The model from (text, label, lang); every fifth row sets where the score reads AT."""
+    lut, bags, y = _classes(), [], []
+    for text, v, _ in rows:
+        bags.append(encode(text, lut))
+        y.append(v)
     back = [k % 5 == 0 for k in range(len(y))]
     model = train([b for b, k in zip(bags, back) if not k], [v for v, k in zip(y, back) if not k])
     model.shift = threshold(model.logits([b for b, k in zip(bags, back) if k]), [v for v, k in zip(y, back) if k])
     return model
 
 
+def fit(docs: DataFrame, labels: DataFrame, rows: tuple[int, int] = SAMPLE) -> Model:
+    """The model from labels (doc_id, quality)."""
+    return learnt(sample(docs, labels, "quality", FOLD, OUT, rows), learn)
+
+
 def score_quality(docs: DataFrame, model: Model) -> DataFrame:
     """docs and score (0 to 1; higher: better).
 

@@ -1,9 +1,9 @@
 """Toxicity by a convolutional text classifier.
 
 A word is the sum of three hashed embeddings: the word, its first four and its first five letters. Filters of several
-widths run over the whole text, the maximum of each over all positions goes to a logistic unit. Trained in numpy on a
-bounded sample of labelled rows; the sample's held-back part sets where the score reads 0.7, and for each language a
-threshold of its own. The score knows the text alone; the language only chooses a threshold.
+widths run over the whole text, the maximum of each over all positions goes to a logistic unit. Trained in numpy, in one
+task, on a bounded sample of labelled rows; the sample's held-back part sets where the score reads 0.7, and for each
+language a threshold of its own. The score knows the text alone; the language only chooses a threshold.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .labelled import held_out, sample, threshold
+from .labelled import held_out, learnt, sample, threshold
 
 BUCKETS = 2**18
 DIM = 8
@@ -67,40 +67,50 @@ def _forward(model: Model, x):
     return float(h @ model.out + model.bias_out), h, places
 
 
-def _padded(ids, n=max(WIDTHS)):
-    import numpy as np
+class Words:
+    """Numbers of words as they come, and the three features of each; number 0 is padding."""
+
+    def __init__(self):
+        self.number: dict[str, int] = {"": 0}
+        self.features: list[tuple[int, int, int]] = [(BUCKETS, BUCKETS, BUCKETS)]
+
+    def read(self, text: str):
+        import numpy as np
 
-    return ids if len(ids) >= n else np.concatenate([ids, np.full((n - len(ids), 3), BUCKETS)])
+        out = np.zeros(max(len(w := text.split()), max(WIDTHS)), dtype=np.int32)
+        for k, x in enumerate(w):
+            i = self.number.get(x)
+            if i is None:
+                i = self.number[x] = len(self.features)
+                self.features.append(word_features(x))
+            out[k] = i
+        return out
 
 
-def train(texts: list[str], y: list[int], updates: int = 15_000, rate: float = 0.08, seed: int = 7) -> Model:
-    """AdaGrad over single documents in a fixed order of their hash; a missing class gives a constant score."""
+def train(words: Words, docs: list, y: list[int], updates: int = 15_000, rate: float = 0.08, seed: int = 7) -> Model:
+    """AdaGrad over single documents (numbers of words) in a fixed order; a missing class gives a constant score."""
     import numpy as np
 
     rng = np.random.default_rng(seed)
-    known: dict[str, tuple] = {}
-    docs = []
-    for t in texts:
-        rows = []
-        for w in t.split():
-            f = known.get(w)
-            if f is None:
-                f = known[w] = word_features(w)
-            rows.append(f)
-        docs.append(_padded(np.array(rows, dtype=np.int64).reshape(-1, 3)))
+    feats = np.array(words.features, dtype=np.int32)
+    of = lambda d: np.unique(feats[np.unique(d)])
     emb = np.zeros((BUCKETS + 1, DIM), dtype=np.float32)  # the last row: padding
     # A feature of one or two documents could only learn to name them: it stays at zero, like an unseen one.
-    df = np.bincount(np.concatenate([np.unique(d) for d in docs]), minlength=BUCKETS + 1) if docs else np.zeros(BUCKETS + 1)
+    df, hits = np.zeros(BUCKETS + 1, dtype=np.int64), np.zeros(BUCKETS + 1, dtype=np.int64)
+    for d, v in zip(docs, y):
+        own = of(d)
+        df[own] += 1
+        hits[own] += v
     common = df >= (3 if len(docs) >= 1_000 else 2)
     common[BUCKETS] = False
-    docs = [np.where(common[d], d, BUCKETS) for d in docs]
+    feats = np.where(common[feats], feats, BUCKETS)
     used = np.flatnonzero(common)
     emb[used] = rng.normal(0, 0.02, (len(used), DIM))
     conv = [rng.normal(0, 0.3, (k, DIM, FILTERS)).astype(np.float32) for k in WIDTHS]
     model = Model(emb, conv, [np.zeros(FILTERS, dtype=np.float32) for _ in WIDTHS], rng.normal(0, 0.3, FILTERS * len(WIDTHS)).astype(np.float32), -1.0)
     # The first coordinate starts as the feature's shrunken log odds, and each width's first filter reads it.
     if docs and len(used):
-        hits = np.bincount(np.concatenate([np.unique(d) for d, v in zip(docs, y) if v] or [np.array([], dtype=np.int64)]), minlength=BUCKETS + 1)[used]
+        hits = hits[used]
         pos = max(1, sum(y))
         odds = np.log((hits + 0.5) / (pos + 1)) - np.log((df[used] - hits + 0.5) / (len(y) - sum(y) + 1))
         emb[used, 0] += 0.3 * odds * df[used] / (df[used] + 4)
@@ -117,7 +127,7 @@ def train(texts: list[str], y: list[int], updates: int = 15_000, rate: float = 0
     bias_cells = [np.full(FILTERS, 1e-2) for _ in WIDTHS]
     for _ in range(max(5, min(40, updates // max(1, len(docs))))):
         for i in rng.permutation(len(docs)):
-            ids = docs[i]
+            ids = feats[docs[i]]
             x = emb[ids].sum(axis=1)
             logit, h, places = _forward(model, x)
             p = 1 / (1 + math.exp(-max(-30.0, min(30.0, logit))))
@@ -212,21 +222,30 @@ class _Scorer:
             yield float(np.tanh(best + bias) @ self.model.out + self.model.bias_out)
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: tuple[int, int] = SAMPLE) -> Model:
-    """The model from labels (doc_id, toxic), its score and thresholds set on every fifth document of the sample."""
-    texts, y, langs, _ = sample(docs, labels, "toxic", FOLD, OUT, rows)
-    back = [k % 5 == 0 for k in range(len(y))]
-    model = train([t for t, b in zip(texts, back) if not b], [v for v, b in zip(y, back) if not b])
-    kept = [(t, v, g) for t, v, g, b in zip(texts, y, langs, back) if b]
-    found = list(_Scorer(model).logits(t for t, _, _ in kept))
-    model.shift = threshold(found, [v for _, v, _ in kept])
-    for lang in sorted({g for _, _, g in kept if g is not None}):
-        own = [(x, v) for x, (_, v, g) in zip(found, kept) if g == lang]
+def learn(rows: Iterator) -> Model:
+    """The model from (text, label, lang); its score and thresholds are set on every fifth row."""
+    words, docs, y, back = Words(), [], [], []
+    for k, (text, v, lang) in enumerate(rows):
+        if k % 5 == 0:
+            back.append((text, v, lang))
+        else:
+            docs.append(words.read(text))
+            y.append(v)
+    model = train(words, docs, y)
+    found = list(_Scorer(model).logits(t for t, _, _ in back))
+    model.shift = threshold(found, [v for _, v, _ in back])
+    for lang in sorted({g for _, _, g in back if g is not None}):
+        own = [(x, v) for x, (_, v, g) in zip(found, back) if g == lang]
         if min(sum(v for _, v in own), sum(1 - v for _, v in own)) >= 20:
             model.thresholds[lang] = model.score((threshold(*zip(*own)) + model.shift) / 2)
     return model
 
 
+def fit(docs: DataFrame, labels: DataFrame, rows: tuple[int, int] = SAMPLE) -> Model:
+    """The model from labels (doc_id, toxic)."""
+    return learnt(sample(docs, labels, "toxic", FOLD, OUT, rows), learn)
+
+
 def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
     """docs and score (0 to 1) and toxic (whether it reaches its language's threshold, or AT).
 
