@@ -1,10 +1,15 @@
 """Line dedup by a log-template tree, with DataFrame functions only.
 
-A line goes down a tree of fixed depth: its number of tokens, its LEAD leading tokens, then its template, in which every
-token that holds a digit (dates, counters, identifiers) is generalised to `<*>`, if most tokens are constant. A template that several documents share
-recurs: the document with the smallest id keeps its lines, all others lose them. Only (path, document, position) is
-shuffled to find them, never a text; counts are pre-aggregated, so that a template with a third of all lines is one row a
-task.
+A line goes down a tree of fixed depth: its number of tokens, its LEAD leading tokens (`<*>` for one that holds a digit),
+then the templates of that node, which are learnt from the node's own lines. A template's centre has at each place the token
+that most of the node's distinct lines have there; a line is of the template if at most one in FIELDS of its tokens differ
+from the centre, and the places where its lines vary are the template's fields. Lines that fit no centre make the next
+one, ROUNDS times; what then remains is its own template. A template that several documents share recurs: the document with
+the smallest id keeps its lines, all others lose them.
+
+Lines travel as hashes. Tokens are counted for one line of each distinct text, and only in nodes with several of them, from
+pre-aggregated (node, place, token) rows; nodes and templates that hold a large share of all lines are joined by a broadcast
+of at most 1 / share rows, so none is one task's work.
 """
 
 from __future__ import annotations
@@ -12,14 +17,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD
+from .common import WORD, cut, split_join
 
 #: Leading tokens that are levels of the tree.
 LEAD = 3
+#: Of a line's tokens one in so many may differ from its template's centre.
+FIELDS = 4
+#: Centres that a node gets at most, one after the other from the lines that fit none before.
+ROUNDS = 3
 NO_ID = -(2**63)
+NODE = ["n_tokens", "lead"]
+LEAF = [*NODE, "leaf"]
 
 
-def template(line: Column) -> Column:
+def masked(line: Column) -> Column:
     """The line with single spaces and `<*>` for each token that holds a digit; where these are over half of the tokens, the line itself."""
     one = F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))
     general = F.regexp_replace(one, "[^ ]*[0-9][^ ]*", "<*>")
@@ -27,21 +38,67 @@ def template(line: Column) -> Column:
     return F.when(F.regexp_like(one, F.lit("[0-9]")) & few, general).otherwise(one)
 
 
-def template_paths(docs: DataFrame) -> DataFrame:
-    """doc, text_hash, pos and the path (n_tokens, lead, leaf) of every line with a word."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    key = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64(text).alias("text_hash"), F.split(text, "\n").alias("lines"))
-    lines = key.select("doc", "text_hash", F.posexplode("lines").alias("pos", "line")).where(F.regexp_like("line", F.lit(WORD)))
-    lines = lines.select("doc", "text_hash", "pos", template(F.col("line")).alias("template"))
-    n = (F.length("template") - F.length(F.replace("template", F.lit(" "), F.lit(""))) + 1).alias("n_tokens")
-    return lines.select("doc", "text_hash", "pos", n, F.xxhash64(F.substring_index("template", " ", LEAD)).alias("lead"), F.xxhash64("template").alias("leaf"))
+def _keys() -> tuple[Column, Column]:
+    """(doc, text_hash): null ids are one document, the smallest."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")
+
+
+def line_paths(docs: DataFrame) -> DataFrame:
+    """doc, text_hash, pos and n_tokens, lead, leaf (a hash of the masked line) of every line with a word."""
+    lines = docs.select(*_keys(), F.posexplode(F.split("text", "\n")).alias("pos", "line")).where(F.regexp_like("line", F.lit(WORD)))
+    lines = lines.select("doc", "text_hash", "pos", masked(F.col("line")).alias("m"))
+    n = (F.length("m") - F.length(F.replace("m", F.lit(" "), F.lit(""))) + 1).alias("n_tokens")
+    return lines.select("doc", "text_hash", "pos", n, F.xxhash64(F.substring_index("m", " ", LEAD)).alias("lead"), F.xxhash64("m").alias("leaf"))
+
+
+def learn_templates(docs: DataFrame, paths: DataFrame, short_tokens: int = 8, rounds: int = ROUNDS) -> DataFrame:
+    """n_tokens, lead, leaf, template, n_lines of the leaves that fit a centre; lines under short_tokens tokens fit none."""
+    place = F.min(F.struct("doc", "text_hash", "pos")).alias("place")
+    leaves = cut(paths.where(F.col("n_tokens") >= short_tokens).groupBy(*LEAF).agg(F.count("*").alias("n_lines"), place))
+    open_ = split_join(leaves, _several(leaves), NODE, "size")
+    # One line of each leaf, from the document that place names; a document's lines come out of one join row.
+    wanted = open_.groupBy("place.doc", "place.text_hash").agg(F.collect_list(F.struct("place.pos", *LEAF, "n_lines")).alias("lines"))
+    found = docs.select(*_keys(), "text").join(wanted, ["doc", "text_hash"]).select(F.split("text", "\n").alias("all"), F.explode("lines").alias("x"))
+    lines = cut(found.select("x.*", F.split(masked(F.get("all", F.col("x.pos"))), " ").alias("tokens")).drop("pos").dropDuplicates(LEAF))
+    out = None
+    for k in range(rounds):
+        # Of equally frequent tokens the greatest.
+        counted = lines.select(*NODE, F.posexplode("tokens").alias("at", "token")).groupBy(*NODE, "at", "token").agg(F.count("*").alias("n"))
+        most = counted.groupBy(*NODE, "at").agg(F.max(F.struct("n", "token"))["token"].alias("token"), F.sum("n").alias("size"))
+        centres = cut(most.groupBy(*NODE).agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "token"))), lambda x: x["token"]).alias("centre"), F.max("size").alias("size")))
+        both = split_join(lines, centres, NODE, "size").drop("size")
+        apart = F.size(F.filter(F.zip_with("tokens", "centre", lambda a, b: a != b), lambda x: x))
+        judged = cut(both.withColumn("fits", FIELDS * apart <= F.col("n_tokens")))
+        fit = judged.where("fits").select(*LEAF, F.xxhash64(F.lit(k), "centre").alias("template"), "n_lines")
+        out = fit if out is None else out.union(fit)
+        left = judged.where("NOT fits").drop("fits", "centre")
+        if k + 1 < rounds:
+            several = _several(left)
+            if several.isEmpty():
+                break
+            lines = split_join(left, several, NODE, "size").drop("size")
+    return out
+
+
+def _several(leaves: DataFrame) -> DataFrame:
+    """n_tokens, lead, size of the nodes with several leaves."""
+    return cut(leaves.groupBy(*NODE).agg(F.count("*").alias("size")).where("size > 1"))
+
+
+def recurring(lines: DataFrame, min_docs: int = 2, short_tokens: int = 8, short_min_docs: int = 10) -> DataFrame:
+    """n_tokens, lead, template, n_lines and first_doc of the templates that recur."""
+    path = [*NODE, "template"]
+    per = lines.groupBy(*path, "doc").agg(F.count("*").alias("n")).groupBy(*path).agg(F.count("*").alias("n_docs"), F.sum("n").alias("n_lines"), F.min("doc").alias("first_doc"))
+    return per.where(F.col("n_docs") >= F.when(F.col("n_tokens") < short_tokens, F.lit(short_min_docs)).otherwise(F.lit(min_docs))).drop("n_docs")
 
 
-def recurring(paths: DataFrame, min_docs: int = 2, short_tokens: int = 8, short_min_docs: int = 10) -> DataFrame:
-    """n_tokens, lead, leaf, n_docs and first_doc of the templates that recur."""
-    path = ["n_tokens", "lead", "leaf"]
-    per = paths.groupBy(*path, "doc").agg(F.lit(1).alias("one")).groupBy(*path).agg(F.count("*").alias("n_docs"), F.min("doc").alias("first_doc"))
-    return per.where(F.col("n_docs") >= F.when(F.col("n_tokens") < short_tokens, F.lit(short_min_docs)).otherwise(F.lit(min_docs)))
+def dropped_lines(docs: DataFrame, min_docs: int = 2, short_tokens: int = 8, short_min_docs: int = 10) -> DataFrame:
+    """doc, text_hash, pos of the lines to drop."""
+    paths = cut(line_paths(docs))
+    learnt = cut(learn_templates(docs, paths, short_tokens))
+    lines = cut(split_join(paths, learnt, LEAF, "n_lines", how="left").select("doc", "text_hash", "pos", *NODE, F.coalesce("template", "leaf").alias("template")))
+    again = cut(recurring(lines, min_docs, short_tokens, short_min_docs))
+    return split_join(lines, again, [*NODE, "template"], "n_lines").where("doc <> first_doc").select("doc", "text_hash", "pos")
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = 2, short_tokens: int = 8, short_min_docs: int = 10) -> DataFrame:
@@ -50,18 +107,15 @@ def dedup_lines(docs: DataFrame, min_docs: int = 2, short_tokens: int = 8, short
     A template recurs if min_docs documents hold it, or short_min_docs if it has under short_tokens tokens. All other
     lines, blank ones too, stay in order. A text that loses every line with a word becomes empty; the row stays. Null
     text stays null. Null ids count as one document, the smallest. Rows with equal id are one document, so they don't
-    make a template recur. Columns of the added names in docs are replaced. Empty: no rows.
+    make a template recur. Columns of the added names in docs are replaced; no other name clashes. Empty: no rows.
     """
-    docs = docs.drop("n_lines", "n_dropped")
-    paths = template_paths(docs)
-    path = ["n_tokens", "lead", "leaf"]
-    hits = paths.join(recurring(paths, min_docs, short_tokens, short_min_docs), path).where("doc <> first_doc")
-    drops = hits.groupBy("doc", "text_hash").agg(F.collect_set("pos").alias("_drop"))
-    keyed = docs.withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    both = keyed.join(drops.withColumnsRenamed({"doc": "_doc", "text_hash": "_hash"}), ["_doc", "_hash"], "left").drop("_doc", "_hash")
+    names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    drops = dropped_lines(docs, min_docs, short_tokens, short_min_docs).groupBy("doc", "text_hash").agg(F.collect_set("pos").alias("drop"))
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), *_keys())  # so that names of docs can't clash with ours
+    both = row.join(drops, ["doc", "text_hash"], "left").select("row", F.col("row.text").alias("text"), F.col("drop"))
     filled = F.filter(F.split("text", "\n"), lambda x: F.regexp_like(x, F.lit(WORD)))
     both = both.withColumn("n_lines", F.coalesce(F.when(F.col("text").isNotNull(), F.size(filled)), F.lit(0)).cast("long"))
-    both = both.withColumn("n_dropped", F.when(F.col("_drop").isNull(), 0).otherwise(F.size("_drop")).cast("long"))
-    kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_drop", i)), "\n")
-    text = F.when(F.col("_drop").isNull(), F.col("text")).when(F.col("n_dropped") == F.col("n_lines"), F.lit("")).otherwise(kept)
-    return both.withColumn("text", text).drop("_drop").select(*docs.columns, "n_lines", "n_dropped")
+    both = both.withColumn("n_dropped", F.when(F.col("drop").isNull(), 0).otherwise(F.size("drop")).cast("long"))
+    kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("drop", i)), "\n")
+    text = F.when(F.col("drop").isNull(), F.col("text")).when(F.col("n_dropped") == F.col("n_lines"), F.lit("")).otherwise(kept)
+    return both.select(*[text.alias("text") if c == "text" else F.col("row").getField(c).alias(c) for c in names], "n_lines", "n_dropped")
