@@ -1,42 +1,47 @@
 """Quality rules as a short-circuit cascade, with DataFrame functions only.
 
-Every rule is a column that is true where a text is rejected. On a bounded sample each rule's cost (seconds beyond an
-empty query) and selectivity (share rejected) are measured; the cascade asks the rules in order of rejection per cost and
-stops at the first that rejects. The order changes what a run costs, never what it keeps.
+Every rule is a column that is true where a text is rejected, made from measures of the text. On a bounded hash sample each
+rule's cost (seconds beyond an empty query, its own measures included) and selectivity (share rejected) are estimated;
+the cascade asks the rules in order of rejection per cost and stops at the first that rejects, so the measures of later
+rules are not computed there. The order changes what a run costs, never what it keeps.
 """
 
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, let, words
+from .common import WORD, let, sampled, words
 
 #: Words in a window of n_repeat_words.
 WINDOW = 8
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
+Measure = Callable[[str], Column]
+
+
 @dataclass(frozen=True)
 class Rule:
-    """rejects: SQL over the columns of BASE, n_lines and text."""
+    """rejects: from a function that gives a measure by its name, the column that is true for a bad text."""
 
     name: str
-    rejects: str
+    rejects: Callable[[Measure], Column]
 
 
 #: Integer arithmetic only, so that any engine agrees.
 RULES = (
-    Rule("too_short", "n_words < 20"),
-    Rule("repeats", "100 * n_repeat_words > 30 * n_words"),
-    Rule("word_length", "word_chars < 2 * n_words OR word_chars > 15 * n_words"),
-    Rule("symbols", "10 * n_symbols > n_words"),
-    Rule("duplicate_lines", "10 * n_dup_lines > 3 * n_lines"),
-    Rule("capitals", "2 * regexp_count(text, '[A-Z]') > word_chars"),
-    Rule("shouting", "4 * regexp_count(text, '!') > n_words"),
+    Rule("too_short", lambda m: m("n_words") < 20),
+    Rule("repeats", lambda m: 100 * m("n_repeat_words") > 30 * m("n_words")),
+    Rule("word_length", lambda m: (m("word_chars") < 2 * m("n_words")) | (m("word_chars") > 15 * m("n_words"))),
+    Rule("symbols", lambda m: 10 * m("n_symbols") > m("n_words")),
+    Rule("duplicate_lines", lambda m: 10 * m("n_dup_lines") > 3 * m("n_lines")),
+    Rule("capitals", lambda m: 2 * m("n_capitals") > m("word_chars")),
+    Rule("shouting", lambda m: 4 * m("n_shouts") > m("n_words")),
 )
 
 
@@ -58,8 +63,29 @@ def repeated_words(w: Column) -> Column:
     return F.when(F.size(w) <= WINDOW, F.lit(0)).otherwise(found)
 
 
+def _lines(text: Column) -> Column:
+    return F.filter(F.split(text, "\n"), lambda x: F.regexp_like(x, F.lit(WORD)))
+
+
+def _count(text: Column, pattern: str) -> Column:
+    return F.regexp_count(text, F.lit(pattern)).cast("long")
+
+
+#: Each measure of a text on its own, long; the text is never null.
+MEASURES: dict[str, Callable[[Column], Column]] = {
+    "n_words": lambda t: _count(t, WORD),
+    "word_chars": lambda t: F.length(F.regexp_replace(t, r"[\x20\x09-\x0D]+", "")).cast("long"),
+    "n_symbols": lambda t: _count(t, "[#*$%&|<>]"),
+    "n_dup_lines": lambda t: let(_lines(t), lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")),
+    "n_repeat_words": lambda t: let(words(t), lambda w: repeated_words(w).cast("long")),
+    "n_lines": lambda t: F.size(_lines(t)).cast("long"),
+    "n_capitals": lambda t: _count(t, "[A-Z]"),
+    "n_shouts": lambda t: _count(t, "!"),
+}
+
+
 def with_measures(docs: DataFrame) -> DataFrame:
-    """docs and the columns of BASE and n_lines (lines with a word), all long. Null text: zeros."""
+    """docs and the columns of BASE, all long, in one pass over the words and one over the lines. Null text: zeros."""
     text = F.coalesce(F.col("text"), F.lit(""))
     of_words = let(
         words(F.col("text")),
@@ -69,46 +95,59 @@ def with_measures(docs: DataFrame) -> DataFrame:
             repeated_words(w).cast("long").alias("n_repeat_words"),
         ),
     )
-    lines = F.filter(F.split(text, "\n"), lambda x: F.regexp_like(x, F.lit(WORD)))
-    of_lines = let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines")))
-    out = docs.drop(*BASE, "n_lines").withColumn("_w", of_words).withColumn("_l", of_lines)
-    out = out.withColumn("n_symbols", F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long"))
-    return out.select("*", "_w.*", "_l.*").drop("_w", "_l")
+    names = [c for c in docs.columns if c not in BASE]
+    out = docs.select(*[F.col(f"`{c}`") for c in names], F.struct(of_words.alias("w"), MEASURES["n_symbols"](text).alias("n_symbols"), MEASURES["n_dup_lines"](text).alias("n_dup_lines")).alias("_measured"))
+    of = lambda c: F.col("_measured.w").getField(c) if c in ("n_words", "word_chars", "n_repeat_words") else F.col("_measured").getField(c)
+    return out.select(*[F.col(f"`{c}`") for c in names], *[of(c).alias(c) for c in BASE])
 
 
-def cascade_order(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = 2_000) -> list[Rule]:
-    """The rules by rejection per cost, from sample_rows rows at most; no more partitions are read than these need."""
-    first = docs.select("text").limit(sample_rows).collect()
-    sample = with_measures(docs.sparkSession.createDataFrame(first, "text string")).persist()
+def rated(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = 2_000, sample_bytes: int = 16_000_000) -> list[tuple[Rule, float, float]]:
+    """(rule, share rejected, seconds) of each rule alone, from about sample_rows hash-chosen rows that hold sample_bytes at most."""
+    sample = sampled(docs, sample_rows, sample_bytes).persist()
     try:
         n = max(1, sample.count())
+        alone = lambda name: MEASURES[name](F.col("text"))
 
-        def timed(rejects: str) -> tuple[float, int]:
+        def timed(rejects: Column) -> tuple[float, int]:
             began = time.perf_counter()
-            hits = sample.agg(F.count_if(F.expr(rejects)).alias("n")).first()["n"]
+            hits = sample.agg(F.count_if(rejects).alias("n")).first()["n"]
             return time.perf_counter() - began, hits
 
-        timed("false")
-        idle = min(timed("false")[0] for _ in range(2))
-        rated = []
+        timed(F.lit(False))
+        idle = min(timed(F.lit(False))[0] for _ in range(2))
+        out = []
         for r in rules:
-            runs = [timed(r.rejects) for _ in range(2)]
-            rated.append((runs[0][1] / n / max(1e-4, min(s for s, _ in runs) - idle), r))
-        return [r for _, r in sorted(rated, key=lambda x: -x[0])]
+            runs = [timed(r.rejects(alone)) for _ in range(2)]
+            out.append((r, runs[0][1] / n, max(1e-3, min(s for s, _ in runs) - idle)))
+        return out
     finally:
         sample.unpersist()
 
 
-def quality_cascade(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = 2_000) -> DataFrame:
-    """docs and BASE, n_lines, base_failed, failed_rule (the first in the cascade's order that rejects; null: none), kept.
+def cascade_order(rates: list[tuple[Rule, float, float]]) -> list[Rule]:
+    """By rejection per cost; of equal ones, the cheaper first."""
+    return [r for r, share, seconds in sorted(rates, key=lambda x: (-x[1] / x[2], x[2]))]
+
+
+def quality_cascade(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = 2_000, known: tuple[str, ...] = ()) -> DataFrame:
+    """docs, failed_rule (the first in the cascade's order that rejects; null: none) and kept.
 
-    Which of several failing rules is named depends on the order; kept does not. Null or empty text: no words, so
+    known: measures that docs has as columns already, which the cascade then reads; all others are computed where a rule is
+    reached. Which of several failing rules is named depends on the order; kept does not. Null or empty text: no words, so
     rejected. Equal rows get equal verdicts. Columns of these names in docs are replaced. Empty: no rows.
     """
-    measured = with_measures(docs.drop("base_failed", "failed_rule", "kept"))
+    docs = docs.drop("failed_rule", "kept")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    lazy = lambda name: F.col(f"`{name}`") if name in known else MEASURES[name](text)
     chain = None
-    for r in cascade_order(docs, rules, sample_rows):
-        chain = (F if chain is None else chain).when(F.expr(r.rejects), F.lit(r.name))
+    for r in cascade_order(rated(docs, rules, sample_rows)):
+        chain = (F if chain is None else chain).when(r.rejects(lazy), F.lit(r.name))
+    out = docs.withColumn("failed_rule", F.lit(None).cast("string") if chain is None else chain)
+    return out.withColumn("kept", F.col("failed_rule").isNull())
+
+
+def with_verdict(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = 2_000) -> DataFrame:
+    """docs, BASE, base_failed (under 20 words, or over 30 % of them repeated), failed_rule and kept (false if base_failed)."""
+    out = quality_cascade(with_measures(docs.drop("base_failed")), rules, sample_rows, known=BASE)
     base = F.expr("n_words < 20 OR 100 * n_repeat_words > 30 * n_words")
-    out = measured.withColumn("base_failed", base).withColumn("failed_rule", F.lit(None).cast("string") if chain is None else chain)
-    return out.withColumn("kept", ~F.col("base_failed") & F.col("failed_rule").isNull())
+    return out.withColumn("base_failed", base).withColumn("kept", F.col("kept") & ~F.col("base_failed"))
