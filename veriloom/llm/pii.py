@@ -1,9 +1,11 @@
 """Personal data: fixed kinds by pattern and check, and bootstrapped contextual extraction.
 
-The fixed kinds' matches are the seeds. Their contexts (two words before; a word before and one after) are lexical patterns.
+The fixed kinds' matches are the seeds. Their contexts are lexical patterns, from narrow to wide: two words before; a word
+before and one after; one word before, with the marks between; the shapes of the words around and of the string itself.
 Spark scores the graph of patterns and instances in turns: a pattern is as good as the share of the identifier-like strings
 in its place that are instances of its kind, an unseen string as good as its patterns; what is good enough counts as an
-instance in the next turn. Strings that patterns of high confidence surround, and whose form suits the kind, are found too.
+instance in the next turn, until no score changes. Strings that patterns of high confidence surround, and whose form suits
+the kind, are found too.
 """
 
 from __future__ import annotations
@@ -17,7 +19,8 @@ from pyspark.sql import functions as F
 from .common import cut, lookup
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 3
+#: Turns after which scores that still change are an error.
+ROUNDS = 50
 #: A pattern needs so many instances (of any document) and such a smoothed share.
 SUPPORT = 5
 CONFIDENCE = 0.8
@@ -35,7 +38,6 @@ _FORMS = (
     (re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{1,4}(?![\w:.])"), (1,)),
     (re.compile(r"(?<![\w.+-])[(0-9](?:[\x20().-]{0,2}[0-9]){6,18}(?![\w])"), (2, 3)),
 )
-_WORD = re.compile(r"[^\W\d_]+")
 
 
 def _luhn(digits: str) -> bool:
@@ -76,14 +78,36 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+_BEFORE = re.compile(r"(?:([^\W\d_]+)[\W\d_]*)?([^\W\d_]+)([\W\d_]*)\Z")
+_AFTER = re.compile(r"[\W\d_]*([^\W\d_]+)")
+_RUNS = re.compile(r"[0-9]+|[^\W\d_]+")
+
+
+def _shape(word: str) -> str:
+    return "" if not word else "X" if word.isupper() else "Xx" if word[:1].isupper() else "x"
+
+
 def _patterns(text: str, start: int, end: int) -> list[str]:
-    before = [w.lower() for w in _WORD.findall(text[max(0, start - 60) : start])][-2:]
-    after = [w.lower() for w in _WORD.findall(text[end : end + 30])][:1]
+    """The patterns of a place, whole words however long."""
+    lo = start
+    for _ in range(3):  # the two words before and the marks between: a window that begins at a blank or at the text's start
+        lo = max(text.rfind(" ", 0, lo), text.rfind("\n", 0, lo), -1)
+        if lo < 0:
+            lo = 0
+            break
+    m = _BEFORE.search(text[lo:start])
+    second, first, marks = (m[1] or "", m[2], m[3].strip()) if m else ("", "", "")
+    m = _AFTER.match(text, end)
+    after = m[1] if m else ""
     out = []
-    if len(before) == 2:
-        out.append(f"{before[0]} {before[1]} _")
-    if before and after:
-        out.append(f"{before[-1]} _ {after[0]}")
+    if second:
+        out.append(f"{second.lower()} {first.lower()} _")
+    if first and after:
+        out.append(f"{first.lower()} _ {after.lower()}")
+    if first:
+        out.append(f"{first.lower()}{marks} _")
+    form = _RUNS.sub(lambda r: ("9" if r[0][0] in "0123456789" else "a") + (str(len(r[0])) if r[0][0] in "0123456789" else ""), text[start:end])
+    out.append(f"{_shape(second)} {_shape(first)}{marks} [{form}] {_shape(after)}")
     return out
 
 
@@ -91,13 +115,17 @@ def _others(text: str, base: list) -> list[tuple[int, int, int]]:
     """(start, form, end) of identifier-like strings that no base span meets."""
     if not _DIGIT.search(text) and "@" not in text and "at]" not in text and "at)" not in text:
         return []
+    found = [(form, m.start(), m.end()) for form, (regex, _) in enumerate(_FORMS) for m in regex.finditer(text)]
+    if not found:
+        return []
+    taken = bytearray(len(text))  # one look at each place, however many spans there are
+    for a, _, b in base:
+        taken[a:b] = b"\x01" * (b - a)
     out = []
-    taken = [(a, b) for a, _, b in base]
-    for form, (regex, _) in enumerate(_FORMS):
-        for m in regex.finditer(text):
-            if all(m.end() <= a or m.start() >= b for a, b in taken):
-                out.append((m.start(), form, m.end()))
-                taken.append((m.start(), m.end()))
+    for form, a, b in found:
+        if not any(taken[a:b]):
+            out.append((a, form, b))
+            taken[a:b] = b"\x01" * (b - a)
     return sorted(out)
 
 
@@ -133,23 +161,27 @@ def score_patterns(places: DataFrame, rounds: int = ROUNDS, support: int = SUPPO
     """pattern, kind, score of the patterns that pass, from places: pattern, instance, kind (-1: unseen), form.
 
     A pattern's score for a kind is the sum of its instances' scores for the kind over the number of its distinct
-    instances plus one; an unseen instance's score is that of its best passing pattern whose kind suits the form.
+    instances plus one; an unseen instance's score is that of its best passing pattern whose kind suits the form. Scores only
+    rise from turn to turn; the turns end when none changes in its third digit.
     """
     edges = cut(places.groupBy("pattern", "instance", "kind", "form").agg(F.count("*").alias("n")))
     suits = [(f, k) for f, (_, kinds) in enumerate(_FORMS) for k in kinds]
     suit = F.array(*[F.lit(10 * f + k) for f, k in suits])
     known = edges.where("kind >= 0").select("pattern", "instance", "kind", F.lit(1.0).alias("score"))
     totals = edges.groupBy("pattern").agg(F.count("*").alias("total"))
-    passing = None
+    state = None
     for _ in range(rounds):
         per = known.groupBy("pattern", "kind").agg(F.sum("score").alias("hits")).where(F.col("hits") >= support)
         scored = per.join(totals, "pattern").select("pattern", "kind", (F.col("hits") / (F.col("total") + 1)).alias("score"))
         passing = cut(scored.where(F.col("score") >= confidence))
+        before, state = state, tuple(passing.agg(F.count("*"), F.bit_xor(F.xxhash64("pattern", "kind", F.round("score", 3)))).first())
+        if state == before or not state[0]:
+            return passing
         grown = edges.where("kind < 0").join(passing.withColumnsRenamed({"kind": "to"}), "pattern").where(F.array_contains(suit, 10 * F.col("form") + F.col("to")))
         grown = grown.groupBy("instance", F.col("to").alias("kind")).agg(F.max("score").alias("score"))
         unseen = edges.where("kind < 0").select("pattern", "instance").join(grown, "instance").select("pattern", "instance", "kind", "score")
         known = edges.where("kind >= 0").select("pattern", "instance", "kind", F.lit(1.0).alias("score")).union(unseen)
-    return passing
+    raise RuntimeError(f"scores still change after {rounds} turns")
 
 
 def find_pii(docs: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
