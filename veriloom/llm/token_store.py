@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import cut, lookup, shared_dir
+from .common import cut, lookup, sampled, shared_dir
 
 MAGIC = b"VLTOKS01"
 HEAD = len(MAGIC) + 32
@@ -41,20 +41,37 @@ def _dictionary(content: bytes):
     return zstandard.ZstdCompressionDict(content) if content else None
 
 
-def train_dictionary(docs: DataFrame, tokenizer: str, sample_rows: int = 1_000, size: int = 65_536) -> bytes:
-    """A zstandard dictionary from the id arrays of sample_rows documents at most; too few for one: no dictionary."""
-    import zstandard
+def train_dictionary(docs: DataFrame, tokenizer: str, sample_rows: int = 1_000, size: int = 65_536, sample_bytes: int = 16_000_000) -> bytes:
+    """A zstandard dictionary from the id arrays of about sample_rows hash-chosen rows that hold sample_bytes of text at most; too few for one: no dictionary.
+
+    Texts become ids in the sample's own tasks, whole; one task trains.
+    """
+
+    def encoded(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        enc = tokens.encoder(tokenizer)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(enc.encode(batch.column(0).to_pylist()), pa.binary())], ["ids"])
+
+    def trained(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        import zstandard
+
+        samples = [x.as_py() for batch in batches for x in batch.column(0) if len(x.as_py())]
+        try:
+            content = zstandard.train_dictionary(size, samples).as_bytes()
+        except (zstandard.ZstdError, ValueError):
+            content = b""
+        yield pa.RecordBatch.from_arrays([pa.array([content], pa.binary())], ["content"])
 
-    texts = [r["text"] for r in docs.select("text").limit(sample_rows).collect()]
-    samples = [x[:262_144] for x in tokens.encoder(tokenizer).encode(texts)]
-    try:
-        return zstandard.train_dictionary(size, [x for x in samples if x]).as_bytes()
-    except (zstandard.ZstdError, ValueError):
-        return b""
+    ids = sampled(docs, sample_rows, sample_bytes).mapInArrow(encoded, "ids binary")
+    got = ids.repartition(1).sortWithinPartitions("ids").mapInArrow(trained, "content binary").collect()
+    return bytes(got[0]["content"]) if got else b""
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end: int = END, sample_rows: int = 1_000, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """Writes docs (doc_id, text) in ascending doc_id order, null ids first, ties by text; returns the manifest: shard, n_docs, n_tokens.
+    """Writes docs (doc_id, text) in ascending doc_id order, null ids first, ties by length and hash of the text; returns the manifest: shard, n_docs, n_tokens.
 
     Null text: the end id alone. Repeated rows are written as often. Empty: no shards.
     """
@@ -66,7 +83,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end:
     store.create_dir(base)
     with store.open_output_stream(f"{base}/dictionary.zstd") as f:
         f.write(content)
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Ranges of ids and, where many rows share an id (or have none), of their texts' lengths and hashes; equal rows may part.
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    place = ["doc_id", F.coalesce(F.length("text"), F.lit(-1)).alias("_n"), F.xxhash64("text").alias("_h"), F.monotonically_increasing_id().alias("_u")]
+    ordered = rows.select("text", *place).repartitionByRange("doc_id", "_n", "_h", "_u").sortWithinPartitions("doc_id", "_n", "_h", "_u").select("doc_id", "text")
     digest, tail = hashlib.sha256(content).digest(), end.to_bytes(4, "little")
 
     def write(batches: Iterator) -> Iterator:
