@@ -1,10 +1,11 @@
 """Exact top-k inner products by norm-bucketed retrieval.
 
-Vectors are range-partitioned by length, the longest first, and a worker takes its rows in buckets of BUCKET. The longest
-SEEDS vectors give every query a score that its k-th best can't fall below. In a bucket that score is a cosine threshold
-for the query: above 1 the bucket is skipped; else the bucket's rows are cut either by length (a prefix of the bucket) or by
-the feasible range of the query's largest coordinate, whichever leaves fewer, and what remains is verified by exact integer
-products. Queries go out in blocks of a fixed size.
+Vectors are dealt to ranges of length, the longest first, and written; a worker takes a range in buckets of BUCKET. The
+longest SEEDS vectors give every query a score that its k-th best can't fall below, so a query only goes to the ranges
+whose longest vector can reach it. It meets a range's rows there by the shuffle: the range's rows come first, the queries
+pass by in batches. In a bucket the score so far is a cosine threshold for the query: above 1 the bucket is skipped; else
+the bucket's rows are cut either by length (a prefix of the bucket) or by the feasible range of the query's largest
+coordinate, whichever leaves fewer, and what remains is verified by exact integer products.
 """
 
 from __future__ import annotations
@@ -19,18 +20,26 @@ from .common import cut
 K = 5
 BUCKET = 2_048
 SEEDS = 1_024
-BLOCK = 4_096
+#: Rows of a range, about; a task holds one range.
+RANGE = 16_384
+#: Queries that are searched together.
+BATCH = 1_024
+#: Products of longer vectors might pass 64 bits.
+LONGEST = 2**31
 
 
 def quantised(vectors: DataFrame, scale: int = 256) -> DataFrame:
     """uid, vec_id, v (array of floor(scale * x), long) and norm of the rows that take part.
 
-    No part: null ids, null vectors, vectors with a null or non-finite component.
+    No part: null vectors, vectors with a null or non-finite component. Null ids take part; as equal scores go, they are the
+    smallest. A vector (scaled) that is longer than LONGEST raises, since products must stay within 64 bits.
     """
     x = F.transform("embedding", lambda a: a.cast("double"))
     finite = F.forall("x", lambda a: a.isNotNull() & ~F.isnan(a) & (F.abs(a) < F.lit(float("inf"))))
-    rows = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), x.alias("x")).where(finite)
-    v = F.transform("x", lambda a: F.floor(scale * a).cast("long"))
+    rows = vectors.where(F.col("embedding").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), x.alias("x")).where(finite)
+    norm = F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, a: s + (scale * a) * (scale * a)))
+    x = F.when(norm >= LONGEST, F.raise_error(F.lit("a vector is too long for exact products")).cast("array<double>")).otherwise(F.col("x"))
+    v = F.transform(x, lambda a: F.floor(scale * a).cast("long"))
     rows = rows.select(F.monotonically_increasing_id().alias("uid"), "vec_id", v.alias("v"))
     return rows.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, a: s + a.cast("double") * a.cast("double"))))
 
@@ -49,6 +58,15 @@ def _matrix(arrow_column, width: int):
     return out
 
 
+#: Stands for a null id inside a task; smaller than any that Spark's long holds but one.
+NO_ID = -(2**63)
+
+
+def _ids(column):
+    """Ids as longs."""
+    return column.fill_null(NO_ID).to_numpy()
+
+
 def _product(q, c):
     """Exact products of integer rows: by floats where no sum can pass 2 ** 53."""
     import numpy as np
@@ -126,54 +144,95 @@ def _search_bucket(best: _Best, q, q_uid, q_norm, v, uid, vec_id, norm) -> None:
             best.add(i, scores[other], vec_id[other])
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: int = 256, bucket: int = BUCKET, seeds: int = SEEDS, block: int = BLOCK) -> DataFrame:
+def _floors(queries: DataFrame, longest, spans: list[float], k: int) -> DataFrame:
+    """uid, vec_id, v, norm, floor (a score that the k-th best can't be below; the least long: none) and ranges (how many may matter)."""
+    import numpy as np
+
+    s, s_uid = _matrix(longest.column("v"), 0), longest.column("uid").to_numpy()
+    sent = queries.sparkSession.sparkContext.broadcast((s, s_uid, np.array(spans)))  # SEEDS vectors, a number for each range
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        s, s_uid, spans = sent.value
+        for batch in batches:
+            for lo in range(0, batch.num_rows, BATCH):
+                part = batch.slice(lo, BATCH)
+                q, uid, norm = _matrix(part.column(2), s.shape[1]), part.column(0).to_numpy(), part.column(3).to_numpy()
+                scores = _product(q, s)
+                scores[uid[:, None] == s_uid[None, :]] = np.iinfo(np.int64).min
+                floor = np.partition(scores, -k, axis=1)[:, -k] if scores.shape[1] >= k else np.full(len(q), np.iinfo(np.int64).min)
+                reach = np.where(floor > 0, np.searchsorted(-spans, -floor / np.maximum(norm, 1e-300) * (1 - 1e-9), side="right"), len(spans))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(floor), pa.array(reach.astype("i4"))], ["uid", "vec_id", "v", "norm", "floor", "ranges"])
+
+    return queries.mapInArrow(run, "uid long, vec_id long, v array<long>, norm double, floor long, ranges int")
+
+
+def top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: int = 256, bucket: int = BUCKET, seeds: int = SEEDS, rows_each: int = RANGE) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k rows of highest integer product for each row that is_query marks.
 
     Candidates are all rows but the query's own; ties go to the smaller vec_id; fewer than k candidates: all. Repeated ids
     are rows of their own, as queries and as candidates. A vector that is shorter than another lacks its last components:
     they count as zero. Zero vectors score 0. Rows that quantised() leaves out take no part. Empty: no rows.
     """
-    import numpy as np
-
     rows = cut(quantised(vectors, scale))
-    spark = rows.sparkSession
-    queries = rows.where(is_query)
-    n_blocks = -(-queries.count() // block)
-    longest = rows.orderBy(F.desc("norm"), "uid").limit(seeds).select("uid", "v").toArrow()
-    ordered = rows.repartitionByRange(F.desc("norm"), "uid").sortWithinPartitions(F.desc("norm"), "uid")
-    found = None
-    for b in range(n_blocks):
-        some = queries.where(F.pmod(F.xxhash64("uid"), F.lit(n_blocks)) == b).select("uid", "vec_id", "v").toArrow()
-        if not some.num_rows:
-            continue
-        q, q_uid, q_id = _matrix(some.column("v"), 0), some.column("uid").to_numpy(), some.column("vec_id").to_numpy()
-        first = np.full(len(q), np.iinfo(np.int64).min)
-        s, s_uid = _matrix(longest.column("v"), 0), longest.column("uid").to_numpy()
-        for lo in range(0, len(q), 512):
-            scores = _product(q[lo : lo + 512], s)
-            scores[q_uid[lo : lo + 512, None] == s_uid[None, :]] = np.iinfo(np.int64).min
-            if scores.shape[1] >= k:
-                first[lo : lo + 512] = -np.partition(-scores[:, :], k - 1, axis=1)[:, k - 1] if scores.min(initial=0) > np.iinfo(np.int64).min else np.sort(scores, axis=1)[:, -k]
-        sent = spark.sparkContext.broadcast((q, q_uid, q_id, first))
-
-        def search(batches: Iterator, sent=sent) -> Iterator:
-            import pyarrow as pa
-
-            q, q_uid, q_id, first = sent.value
-            q_norm = np.sqrt((q.astype(np.float64) ** 2).sum(axis=1))
-            best = _Best(len(q), k, first)
-            for batch in batches:
-                for lo in range(0, batch.num_rows, bucket):
-                    part = batch.slice(lo, bucket)
-                    _search_bucket(best, q, q_uid, q_norm, _matrix(part.column(2), q.shape[1]), part.column(0).to_numpy(), part.column(1).to_numpy(), part.column(3).to_numpy())
-            hits = [(u, i, *x) for u, i, x in zip(q_uid, q_id, best.rows) if x is not None]
-            sizes = [len(x[2]) for x in hits]
-            cols = [np.repeat([x[0] for x in hits], sizes), np.repeat([x[1] for x in hits], sizes), np.concatenate([x[3] for x in hits]) if hits else [], np.concatenate([x[2] for x in hits]) if hits else []]
-            yield pa.RecordBatch.from_arrays([pa.array(np.asarray(c, dtype=np.int64)) for c in cols], ["query", "query_id", "vec_id", "score"])
-
-        part = ordered.mapInArrow(search, "query long, query_id long, vec_id long, score long")
-        found = part if found is None else found.union(part)
-    if found is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    n = max(1, -(-rows.count() // rows_each))
+    ranged = cut(rows.repartitionByRange(n, F.desc("norm"), "uid").withColumn("range", F.spark_partition_id()))
+    stats = ranged.groupBy("range").agg(F.max("norm").alias("longest"), F.count("*").alias("n")).orderBy("range").collect()  # a row for each range
+    spans = [0.0] * (stats[-1]["range"] + 1 if stats else 0)
+    held = first = 0
+    for r in stats:
+        spans[r["range"]] = r["longest"]
+        first, held = (r["range"], held + r["n"]) if held < seeds else (first, held)
+    for k_ in range(len(spans) - 2, -1, -1):  # an empty range reads as the one after it
+        spans[k_] = max(spans[k_], spans[k_ + 1])
+    longest = ranged.where(F.col("range") <= first).orderBy(F.desc("norm"), "uid").limit(seeds).select("uid", "v").toArrow()
+    sent = _floors(rows.where(is_query), longest, spans, k).where("ranges > 0").withColumn("range", F.explode(F.sequence(F.lit(0), F.col("ranges") - 1)))
+    both = ranged.select("range", F.lit(0).alias("kind"), "norm", "uid", "vec_id", "v", F.lit(0).cast("long").alias("floor"))
+    both = both.union(sent.select("range", F.lit(1), "norm", "uid", "vec_id", "v", "floor"))
+    both = both.repartition("range").sortWithinPartitions("range", "kind", F.desc("norm"))
+
+    def search(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        at, held, ready = None, [], None
+
+        def found(part):
+            """The k best of the held range for a batch of queries."""
+            nonlocal ready
+            if ready is None:
+                t = pa.Table.from_batches(held)
+                ready = _matrix(t.column("v"), 0), t.column("uid").to_numpy(), _ids(t.column("vec_id")), t.column("norm").to_numpy()
+            v, uid, vec_id, norm = ready
+            q, q_uid, floor = _matrix(part.column("v"), v.shape[1]), part.column("uid").to_numpy(), part.column("floor").to_numpy()
+            if q.shape[1] > v.shape[1]:
+                v = np.pad(v, ((0, 0), (0, q.shape[1] - v.shape[1])))
+            best = _Best(len(q), k, floor)
+            for lo in range(0, len(v), bucket):
+                hi = lo + bucket
+                _search_bucket(best, q, q_uid, part.column("norm").to_numpy(), v[lo:hi], uid[lo:hi], vec_id[lo:hi], norm[lo:hi])
+            hits = [(i, x) for i, x in enumerate(best.rows) if x is not None]
+            sizes = [len(x[0]) for _, x in hits]
+            pick = np.repeat(np.array([i for i, _ in hits], dtype=np.int64), sizes)
+            score, ids = (np.concatenate([x[j] for _, x in hits] or [np.array([], dtype=np.int64)]) for j in (0, 1))
+            query_id = part.column("vec_id").take(pa.array(pick))
+            return pa.RecordBatch.from_arrays([pa.array(q_uid[pick]), query_id, pa.array(ids, pa.int64(), mask=ids == NO_ID), pa.array(score.astype(np.int64))], ["query", "query_id", "vec_id", "score"])
+
+        for batch in batches:
+            while batch.num_rows:
+                ranges, kinds = batch.column("range").to_numpy(), batch.column("kind").to_numpy()
+                if ranges[0] != at:
+                    at, held, ready = ranges[0], [], None
+                same = (ranges == at) & (kinds == kinds[0])
+                size = len(same) if same.all() else int(same.argmin())
+                part, batch = batch.slice(0, size), batch.slice(size)
+                if kinds[0] == 0:
+                    held.append(part)
+                elif held:  # else an empty range
+                    for lo in range(0, part.num_rows, BATCH):
+                        yield found(part.slice(lo, BATCH))
+
+    hits = both.mapInArrow(search, "query long, query_id long, vec_id long, score long")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), F.col("vec_id").asc_nulls_first())
+    return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
