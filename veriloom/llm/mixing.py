@@ -1,8 +1,9 @@
 """Mixing sources to target weights with DataFrame functions only.
 
 Words are summed by source (partial sums first, so that a hot source costs no more than another), target words follow
-from the weights by filling up to a cap, and each document is taken floor(rate) times and once more with a probability
-that equals the fraction. The draw is a hash of the document's id, so reruns agree.
+from the weights by filling up to a cap, and each document is taken floor(rate) times and once more by a Bernoulli draw whose
+probability is the fraction. The draw is a hash of the document's id, so reruns agree. Texts are read twice, for the sums
+and for the rows: a second count of words costs less than a copy of all texts.
 """
 
 from __future__ import annotations
@@ -12,15 +13,13 @@ from pyspark.sql import functions as F
 
 from .common import cut, lookup, word_count
 
-#: Draws that one SHA-256 gives, 32 bits each.
-DRAWS = 8
-
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0) -> DataFrame:
     """source, source_size, weight, target, from rows of (source, size).
 
     Sources in order of code points, null last, get the weights in turn. share of all words is dealt by weight; a source
-    stops at cap times its words and the excess goes to the others by weight. One row for each source.
+    stops at cap times its words and the excess goes to the others by weight. One row for each source; the windows run over
+    these rows, which a corpus has few of.
     """
     per = cut(sizes.groupBy("source").agg(F.sum("size").alias("source_size")))
     order = Window.orderBy(F.col("source").asc_nulls_last())
@@ -38,35 +37,26 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share
     return per.select("source", "source_size", "weight", target.alias("target"))
 
 
-def draw(doc_id: Column, k: Column, seed: str) -> Column:
-    """The k-th of a document's draws, 0 <= x < 1."""
+def draw(doc_id: Column, seed: str) -> Column:
+    """0 <= x < 1 from 52 bits of the SHA-256 of seed and id."""
     digest = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit(""))), 256)
-    return F.conv(F.substring(digest, 8 * k + 1, F.lit(8)), 16, 10).cast("double") / F.lit(4294967296.0)
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(2**52))
 
 
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, seed: str = "mix") -> DataFrame:
     """docs and size, source_size, target, copies, taken (= copies * size).
 
-    Of a document's DRAWS hash draws, a source uses the one with which its taken words come nearest to its target (ties:
-    the first), chosen from sums over all its documents. Null text: size 0. Null sources are a source, the last. Null ids
-    draw as an empty id. Equal rows draw alike. Where docs has columns of these names, they are replaced. Empty: no rows.
+    Null text: size 0. Null sources are a source, the last. Null ids draw as an empty id. Equal ids draw alike. Where docs
+    has columns of these names, they are replaced; no other name clashes. Empty: no rows.
     """
-    made = ("size", "source_size", "target", "copies", "taken")
-    docs = docs.drop(*made)
-    sized = docs.withColumn("size", word_count(F.col("text")))
-    targets = source_targets(sized.select("source", "size"), weights, share, cap)
+    names = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies", "taken")]
+    sized = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("source"), word_count(F.col("text")).alias("size"))
+    targets = cut(source_targets(sized.select("source", "size"), weights, share, cap))
+    out = lookup(sized, targets.select("source", "source_size", "target"), "source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    rates = cut(targets.withColumn("whole", F.floor(rate)).withColumn("part", rate - F.floor(rate)))
-
-    slim = lookup(sized.select("doc_id", "source", "size"), rates, "source")
-    off = [F.abs(F.sum(F.col("size") * (F.col("whole") + (draw(F.col("doc_id"), F.lit(k), seed) < F.col("part")).cast("int"))) - F.first("target")) for k in range(DRAWS)]
-    best = slim.groupBy("source").agg(F.array_min(F.array(*[F.struct(x.alias("off"), F.lit(k).alias("k")) for k, x in enumerate(off)]))["k"].alias("k"))
-    key = best.withColumnRenamed("source", "_best")
-    chosen = cut(rates.join(key, rates["source"].eqNullSafe(key["_best"]), "left").select("source", "source_size", "target", "whole", "part", "k"))
-
-    out = lookup(sized.select(*[F.col(f"`{c}`") for c in docs.columns], "size"), chosen.withColumnsRenamed({"whole": "_whole", "part": "_part", "k": "_k"}), "source")
-    one_more = (draw(F.col("doc_id"), F.col("_k"), seed) < F.col("_part")).cast("int")
-    return out.withColumn("copies", (F.col("_whole") + one_more).cast("int")).withColumn("taken", (F.col("copies") * F.col("size")).cast("long")).drop("_whole", "_part", "_k")
+    copies = (F.floor(rate) + (draw(F.col("row.doc_id"), seed) < rate - F.floor(rate)).cast("int")).cast("int")
+    out = out.withColumn("copies", copies).withColumn("taken", (F.col("copies") * F.col("size")).cast("long"))
+    return out.select(*[F.col("row").getField(c).alias(c) for c in names], "size", "source_size", "target", "copies", "taken")
 
 
 def emit(mixed: DataFrame) -> DataFrame:
