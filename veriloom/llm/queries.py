@@ -26,7 +26,7 @@ def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = quality_rules.quality_cascade(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = quality_rules.with_verdict(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", *quality_rules.BASE, "base_failed", "kept")
 
 
@@ -73,17 +73,37 @@ QUERIES: dict[str, Query] = {
 
 ORACLE: dict[str, str] = {}
 
-ORACLE["op2_line_dedup"] = r"""
-WITH lines AS (
+
+def _tree_round(k: int) -> str:
+    """One centre of each node of the lines in lines{k} (m, tok, n, lead); those that fit none go to lines{k + 1}."""
+    return f"""
+nodes{k} AS (SELECT n, lead FROM lines{k} GROUP BY n, lead HAVING count(*) > 1),
+open{k} AS (SELECT * FROM lines{k} SEMI JOIN nodes{k} USING (n, lead)),
+places{k} AS (SELECT n, lead, unnest(tok) AS token, generate_subscripts(tok, 1) AS at FROM open{k}),
+most{k} AS (
+  SELECT n, lead, at, token FROM (SELECT n, lead, at, token, row_number() OVER (PARTITION BY n, lead, at ORDER BY count(*) DESC, token DESC) AS r FROM places{k} GROUP BY n, lead, at, token) WHERE r = 1),
+centres{k} AS (SELECT n, lead, list(token ORDER BY at) AS centre FROM most{k} GROUP BY n, lead),
+judged{k} AS (SELECT o.*, centre, 4 * len(list_filter(range(1, n + 1), lambda i: tok[i] <> centre[i])) <= n AS fits FROM open{k} o JOIN centres{k} USING (n, lead)),
+lines{k + 1} AS (SELECT m, tok, n, lead FROM judged{k} WHERE NOT fits),"""
+
+
+ORACLE["op2_line_dedup"] = rf"""
+WITH split AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents),
 single AS (
-  SELECT doc_id, pos, line, regexp_matches(line, '[^\x20\x09-\x0D]') AS filled, trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g')) AS one FROM lines),
-templates AS (
+  SELECT doc_id, pos, line, regexp_matches(line, '[^\x20\x09-\x0D]') AS filled, trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g')) AS one FROM split),
+masked AS (
   SELECT doc_id, pos, line, filled, CASE WHEN 2 * len(list_filter(string_split(one, ' '), lambda x: regexp_matches(x, '[0-9]'))) <= len(string_split(one, ' '))
-         THEN regexp_replace(one, '[^ ]*[0-9][^ ]*', '<*>', 'g') ELSE one END AS template FROM single),
+         THEN regexp_replace(one, '[^ ]*[0-9][^ ]*', '<*>', 'g') ELSE one END AS m FROM single),
+lines0 AS (
+  SELECT m, tok, len(tok) AS n, array_to_string(tok[1:3], ' ') AS lead FROM (SELECT DISTINCT m, string_split(m, ' ') AS tok FROM masked WHERE filled) WHERE len(tok) >= 8),
+{_tree_round(0)}{_tree_round(1)}{_tree_round(2)}
+learnt AS (
+  SELECT m, '0 ' || array_to_string(centre, ' ') AS template FROM judged0 WHERE fits UNION ALL SELECT m, '1 ' || array_to_string(centre, ' ') FROM judged1 WHERE fits
+  UNION ALL SELECT m, '2 ' || array_to_string(centre, ' ') FROM judged2 WHERE fits),
+templates AS (SELECT t.*, len(string_split(t.m, ' ')) AS n, coalesce(l.template, '- ' || t.m) AS template FROM masked t LEFT JOIN learnt l USING (m)),
 recurring AS (
-  SELECT template, min(doc_id) AS first_doc FROM templates WHERE filled GROUP BY template
-  HAVING count(DISTINCT doc_id) >= CASE WHEN len(string_split(template, ' ')) < 8 THEN 10 ELSE 2 END),
+  SELECT template, min(doc_id) AS first_doc FROM templates WHERE filled GROUP BY template HAVING count(DISTINCT doc_id) >= CASE WHEN any_value(n) < 8 THEN 10 ELSE 2 END),
 marked AS (
   SELECT t.doc_id, t.pos, t.line, t.filled, coalesce(t.filled AND r.first_doc <> t.doc_id, false) AS dropped
   FROM templates t LEFT JOIN recurring r USING (template))
@@ -143,14 +163,7 @@ targets AS (
 rates AS (
   SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0::DOUBLE END AS rate FROM targets),
 drawn AS (
-  SELECT s.doc_id, s.source, s.size, r.source_size, r.target, floor(r.rate)::BIGINT AS whole, r.rate - floor(r.rate) AS part,
-         sha256('mix:' || s.doc_id::VARCHAR) AS digest FROM sized s JOIN rates r ON s.source IS NOT DISTINCT FROM r.source),
-tried AS (
-  SELECT *, k, size * (whole + CASE WHEN ('0x' || substr(digest, 8 * k + 1, 8))::BIGINT::DOUBLE / 4294967296.0::DOUBLE < part THEN 1 ELSE 0 END) AS taken
-  FROM drawn, (SELECT unnest(range(0, 8)) AS k)),
-best AS (
-  SELECT source, k FROM (
-    SELECT source, k, row_number() OVER (PARTITION BY source ORDER BY abs(sum(taken)::DOUBLE - first(target)), k) AS r FROM tried GROUP BY source, k) WHERE r = 1)
-SELECT t.doc_id, t.size, t.source_size, t.target, t.taken::BIGINT AS taken
-FROM tried t JOIN best b ON t.source IS NOT DISTINCT FROM b.source AND t.k = b.k
+  SELECT s.*, r.source_size, r.target, floor(r.rate)::BIGINT AS whole, r.rate - floor(r.rate) AS part, ('0x' || substr(sha256('mix:' || s.doc_id::VARCHAR), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0::DOUBLE AS u
+  FROM sized s JOIN rates r ON s.source IS NOT DISTINCT FROM r.source)
+SELECT doc_id, size, source_size, target, (size * (whole + CASE WHEN u < part THEN 1 ELSE 0 END))::BIGINT AS taken FROM drawn
 """
