@@ -15,6 +15,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\x0c\r"
 #: A table of so many rows at most may be sent to every executor.
 BROADCAST_ROWS = 200_000
+#: The same where rows are joined by key from a table that grows with the corpus.
+SMALL_ROWS = 20_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,7 +54,7 @@ def sampled(docs: DataFrame, rows: int, bytes_most: int, seed: int = 0) -> DataF
     return some.where(F.col("_h") <= F.lit(-(2**63) if last is None else last)).select("text")
 
 
-def split_join(rows: DataFrame, small: DataFrame, on: list[str], weight: str, hot: float = 0.005, how: str = "inner", few: int = BROADCAST_ROWS) -> DataFrame:
+def split_join(rows: DataFrame, small: DataFrame, on: list[str], weight: str, hot: float = 0.005, how: str = "inner", few: int = SMALL_ROWS) -> DataFrame:
     """rows joined with small (a row for each key), whose column `weight` says how many of rows have its key.
 
     small is broadcast if it has few rows. Beyond that only its keys with over the share hot of all weights are, 1 / hot

@@ -66,7 +66,7 @@ def learn_templates(docs: DataFrame, paths: DataFrame, short_tokens: int = 8, ro
         counted = lines.select(*NODE, F.posexplode("tokens").alias("at", "token")).groupBy(*NODE, "at", "token").agg(F.count("*").alias("n"))
         most = counted.groupBy(*NODE, "at").agg(F.max(F.struct("n", "token"))["token"].alias("token"), F.sum("n").alias("size"))
         centres = cut(most.groupBy(*NODE).agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "token"))), lambda x: x["token"]).alias("centre"), F.max("size").alias("size")))
-        both = split_join(lines, centres, NODE, "size").drop("size")
+        both = split_join(lines, centres, NODE, "size", few=0).drop("size")  # whole lines: only the hot ones are broadcast
         apart = F.size(F.filter(F.zip_with("tokens", "centre", lambda a, b: a != b), lambda x: x))
         judged = cut(both.withColumn("fits", FIELDS * apart <= F.col("n_tokens")))
         fit = judged.where("fits").select(*LEAF, F.xxhash64(F.lit(k), "centre").alias("template"), "n_lines")
