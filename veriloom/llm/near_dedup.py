@@ -7,8 +7,11 @@ stays. Candidates come in two steps, and only a pair that passed the exact compa
    the pairs within RADIUS bits, the nearest first, is compared. This makes dense groups one class at a linear cost, and
    loses pairs (contiguous edits near the threshold most).
 2. The prefix filter loses none: under one order of all shingles, two sets of that similarity share one of the first
-   n - ceil(SIMILARITY n) + 1 shingles of each. Texts of different classes that share so many of these that they may be
-   similar are compared: first STARS times with one text of each shingle's list, then every such pair that is still apart.
+   n - ceil(SIMILARITY n) + 1 shingles of each. The order is by the number of texts that hold a shingle, counted over all
+   texts, so the first ones are those of one class alone, which can't join it with another: most texts have enough of them
+   and meet nobody, also where they share passages with many others. Texts of different classes that share so many of
+   their first shingles that they may be similar are compared: first STARS times with one text of each shingle's list, then
+   every such pair that is still apart.
 """
 
 from __future__ import annotations
@@ -16,10 +19,10 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, lookup
+from .common import cut, lookup, split_join
 from .components import components
 from .simhash import SEED, SHARD_NODES, fingerprint_links
 
@@ -29,9 +32,13 @@ RADIUS = 5
 SHINGLE = 5
 SIMILARITY = 0.8
 STARS = 2
-#: Texts from which common shingles are learnt; they come last in the order, which saves candidates and changes no result.
+#: Texts from which the most common shingles are learnt, and how many of these at most: they come last in the order without
+#: being counted, which changes no result and keeps their many rows off one task.
 SAMPLE = 4_000
+OFTEN = 40
 COMMON = 100_000
+#: The number of texts that stands for so many or more.
+MANY = 100_000
 
 
 def family_prints(text: bytes, families: int = FAMILIES, shingle: int = PRINT_SHINGLE, seed: int = SEED) -> list[int]:
@@ -104,17 +111,13 @@ def similar_pairs(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILA
     return both.mapInArrow(run, "a long, b long")
 
 
-def prefix(shingles: frozenset, common: dict[int, int], similarity: float = SIMILARITY) -> list[int]:
-    """The first shingles, rare ones first, of which two sets of the similarity share one; empty set: zero, as for all without words."""
-    n = len(shingles)
-    if not n:
-        return [0]
-    first = n - math.ceil(similarity * n - 1e-9) + 1
-    return sorted(shingles, key=lambda h: (common.get(h, 0), h))[:first]
+def first_shingles(n, similarity: float = SIMILARITY):
+    """How many first shingles of a set of n (a column) share one with those of any set of the similarity."""
+    return n - F.ceil(similarity * n - 1e-9) + 1
 
 
-def _common_shingles(texts: DataFrame, n: int) -> dict[int, int]:
-    """Shingles that several of a sample's texts hold, with their number; n: about how many texts there are."""
+def _common_shingles(texts: DataFrame, n: int) -> list[int]:
+    """Shingles that OFTEN or more of a sample's texts hold, COMMON at most; n: about how many texts there are."""
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -126,54 +129,93 @@ def _common_shingles(texts: DataFrame, n: int) -> dict[int, int]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.fromiter(s, dtype="<u8", count=len(s)).view("<i8"))], ["shingle"])
 
     sample = texts.where(F.pmod("node", F.lit(max(1, n // SAMPLE))) == 0).select("text").mapInArrow(run, "shingle long")
-    often = sample.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 2").orderBy(F.desc("n"), "shingle").limit(COMMON)
-    return {r.shingle % 2**64: r.n for r in often.collect()}
+    often = sample.groupBy("shingle").agg(F.count("*").alias("n")).where(F.col("n") >= OFTEN).orderBy(F.desc("n"), "shingle").limit(COMMON)
+    return [r.shingle for r in often.collect()]
 
 
-def shared_shingles(texts: DataFrame, common: dict[int, int], similarity: float = SIMILARITY) -> DataFrame:
-    """shingle, class, node, n (its shingles): the prefixes of texts (node, class, text), those shingles that several classes hold."""
+def shared_shingles(texts: DataFrame, common: list[int]) -> DataFrame:
+    """shingle, node, n (the node's shingles), df (nodes that hold the shingle, MANY at most): of texts (node, class, text) those shingles that several classes hold, and all common ones."""
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
+        last = np.sort(np.array(common, dtype=np.int64))
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            sets = [shingle_set(t.as_py()) for t in batch.column(2)]
-            made = [np.array(prefix(x, common, similarity), dtype="<u8").view("<i8") for x in sets]
-            sizes = [len(x) for x in made]
-            of, node, n = (np.repeat(x, sizes) for x in (batch.column(1).to_numpy(), batch.column(0).to_numpy(), np.array([len(x) for x in sets], dtype=np.int32)))
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.concatenate(made), of, node, n)], ["shingle", "class", "node", "n"])
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                sets = [shingle_set(t.as_py()) or {0} for t in part.column(2)]  # no words: one shingle, the same for all
+                made = np.concatenate([np.fromiter(x, dtype="<u8", count=len(x)).view("<i8") for x in sets])
+                sizes = [len(x) for x in sets]
+                node, of, n = (np.repeat(x, sizes) for x in (part.column(0).to_numpy(), part.column(1).to_numpy(), np.array(sizes, dtype=np.int32)))
+                is_last = last[np.minimum(np.searchsorted(last, made), len(last) - 1)] == made if len(last) else np.zeros(len(made), dtype=bool)
+                salt = np.where(is_last, node % 1024 + 1, 0).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (made, salt, node, node ^ of, n)], ["shingle", "salt", "node", "class", "n"])  # class: mostly 0, packs well
 
     def several(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        def lists(t):
-            shingle, of = t.column("shingle").to_numpy(), t.column("class").to_numpy()
+        def lists(t, whole):
+            """The rows of the lists that go on, repeated ones once; whole: the last list ends here."""
+            shingle, salt, node = (t.column(c).to_numpy() for c in ("shingle", "salt", "node"))
+            once = np.ones(len(shingle), dtype=bool)
+            once[1:] = (shingle[1:] != shingle[:-1]) | (salt[1:] != salt[:-1]) | (node[1:] != node[:-1])
+            if not once.all():
+                t = t.filter(pa.array(once))
+                shingle, salt = shingle[once], salt[once]
+            of = t.column("class").to_numpy() ^ t.column("node").to_numpy()
             new = np.ones(len(shingle), dtype=bool)
-            new[1:] = shingle[1:] != shingle[:-1]
+            new[1:] = (shingle[1:] != shingle[:-1]) | (salt[1:] != salt[:-1])
             at = np.flatnonzero(new)
-            many = np.minimum.reduceat(of, at) != np.maximum.reduceat(of, at)
-            return t.filter(pa.array(np.repeat(many, np.diff(np.append(at, len(shingle)))))).to_batches()
-
-        held = None
+            df = np.diff(np.append(at, len(shingle)))
+            many = (np.minimum.reduceat(of, at) != np.maximum.reduceat(of, at)) | (salt[at] > 0)
+            df = np.where(salt[at] > 0, MANY, np.minimum(df, MANY))
+            if not whole:
+                many[-1], df[-1] = True, MANY
+            keep = np.repeat(many, np.diff(np.append(at, len(shingle))))
+            out = [t.column("shingle"), t.column("node"), t.column("n"), pa.array(np.repeat(df, np.diff(np.append(at, len(shingle)))).astype(np.int32))]
+            return pa.table(out, ["shingle", "node", "n", "df"]).filter(pa.array(keep)).combine_chunks().to_batches()
+
+        held, long = None, None  # long: the list that went out as one of MANY rows already
         for batch in batches:
             if not batch.num_rows:
                 continue
             now = pa.Table.from_batches([batch])
             held = now if held is None else pa.concat_tables([held, now]).combine_chunks()
-            shingle = held.column("shingle").to_numpy()
-            whole = int(np.searchsorted(shingle, shingle[-1]))  # the last list may go on in the next batch
-            if whole:
-                yield from lists(held.slice(0, whole))
+            shingle, salt = held.column("shingle").to_numpy(), held.column("salt").to_numpy()
+            if long is not None:
+                on = (shingle == long[0]) & (salt == long[1])
+                size = len(on) if on.all() else int(on.argmin())
+                if size:
+                    yield from lists(held.slice(0, size), False)
+                    held = held.slice(size)
+                if not held.num_rows:
+                    held = None
+                    continue
+                long = None
+                shingle, salt = shingle[size:], salt[size:]
+            ends = (shingle != shingle[-1]) | (salt != salt[-1])
+            whole = int(np.flatnonzero(ends)[-1]) + 1 if ends.any() else 0
+            if whole:  # the last list may go on in the next batch
+                yield from lists(held.slice(0, whole), True)
                 held = held.slice(whole)
+            if held.num_rows >= MANY:
+                long = held.column("shingle")[0].as_py(), held.column("salt")[0].as_py()
+                yield from lists(held, False)
+                held = None
         if held is not None:
-            yield from lists(held)
+            yield from lists(held, True)
+
+    rows = texts.select("node", "class", "text").mapInArrow(run, "shingle long, salt int, node long, class long, n int")
+    return rows.repartition("shingle", "salt").sortWithinPartitions("shingle", "salt", "node").mapInArrow(several, "shingle long, node long, n int, df int")
 
-    schema = "shingle long, class long, node long, n int"
-    return texts.select("node", "class", "text").mapInArrow(run, schema).repartition("shingle").sortWithinPartitions("shingle").mapInArrow(several, schema)
+
+def prefixes(shared: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """shingle, node, n: of each node's first shingles those that it shares; all others come before them in the order."""
+    own = Window.partitionBy("node")  # a text's shingles
+    counted = shared.withColumn("all", F.count("*").over(own)).withColumn("k", F.row_number().over(own.orderBy("df", "shingle")))
+    return counted.where(F.col("k") <= first_shingles(F.col("n"), similarity) - (F.col("n") - F.col("all"))).select("shingle", "node", "n")
 
 
 def _labelled(rows: DataFrame, of: DataFrame, column: str) -> DataFrame:
@@ -185,28 +227,31 @@ def _labelled(rows: DataFrame, of: DataFrame, column: str) -> DataFrame:
 def similar_links(docs: DataFrame, reps: DataFrame, links: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Links (a, b) of similar texts whose components are those of all similar pairs; links: some similar pairs. reps: node, doc_id of each text once."""
 
+    def texts(of: DataFrame) -> DataFrame:
+        """node, text of the nodes in reps' form, from the row that reps names; equal rows repeat."""
+        owner = of.select(F.col("node").alias("_node"), F.col("doc_id").alias("_id"))
+        noded = _noded(docs)
+        return noded.join(owner, noded["doc_id"].eqNullSafe(owner["_id"]) & (noded["node"] == owner["_node"]), "left_semi").select("node", "text")
+
     def compared(pairs: DataFrame) -> DataFrame:
         used = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-        owner = used.join(reps.select("node", F.col("doc_id").alias("_id")), "node").withColumnRenamed("node", "_node")
-        noded = _noded(docs)
-        texts = noded.join(owner, noded["doc_id"].eqNullSafe(owner["_id"]) & (noded["node"] == owner["_node"]), "left_semi").select("node", "text").dropDuplicates(["node"])
-        return cut(similar_pairs(pairs, cut(texts), similarity))
+        return cut(similar_pairs(pairs, cut(texts(reps.join(used, "node")).dropDuplicates(["node"])), similarity))
 
     links = compared(links)
     of = cut(components(links))
-    common = _common_shingles(_noded(docs), reps.count())
-    lists = cut(shared_shingles(_labelled(_noded(docs), of, "node").withColumnRenamed("label", "class"), common, similarity))
+    labelled = _labelled(texts(reps), of, "node").withColumnRenamed("label", "class")
+    lists = cut(prefixes(cut(shared_shingles(labelled, _common_shingles(_noded(docs), reps.count()))), similarity))
     ends = ["a", "b", "n_a", "n_b"]
     for k in range(STARS):
-        rows = _labelled(lists, of, "class").select("shingle", "label", "node", "n").distinct()
-        hub = rows.groupBy("shingle").agg(F.min_by(F.struct("label", "node", "n"), F.xxhash64("label", "node", F.lit(k))).alias("hub"))
-        met = rows.join(hub, "shingle").where("label <> hub.label").select(F.col("node").alias("a"), F.col("hub.node").alias("b"), F.col("n").alias("n_a"), F.col("hub.n").alias("n_b"))
+        rows = cut(_labelled(lists, of, "node").select("shingle", "label", "node", "n"))
+        hub = cut(rows.groupBy("shingle").agg(F.min_by(F.struct("label", "node", "n"), F.xxhash64("label", "node", F.lit(k))).alias("hub"), F.count("*").alias("size")).where("size > 1"))
+        met = split_join(rows, hub, ["shingle"], "size").where("label <> hub.label").select(F.col("node").alias("a"), F.col("hub.node").alias("b"), F.col("n").alias("n_a"), F.col("hub.n").alias("n_b"))
         more = compared(cut(_possible(met.groupBy(*ends).agg(F.count("*").alias("met")), similarity)))
         if more.isEmpty():
             break
         links = links.union(more)
         of = cut(components(links))
-    rows = cut(_labelled(lists, of, "class").select("shingle", "label", "node", "n").distinct())
+    rows = cut(_labelled(lists, of, "node").select("shingle", "label", "node", "n"))
     left, right = (rows.select("shingle", F.col("label").alias(f"label_{x}"), F.col("node").alias(x), F.col("n").alias(f"n_{x}")) for x in "ab")
     met = left.join(right, "shingle").where("label_a < label_b").where(_sizes_fit(similarity)).groupBy(*ends).agg(F.count("*").alias("met"))
     return links.union(compared(cut(_possible(met, similarity))))
