@@ -79,10 +79,10 @@ def _tree_round(k: int) -> str:
     return f"""
 nodes{k} AS (SELECT n, lead FROM lines{k} GROUP BY n, lead HAVING count(*) > 1),
 open{k} AS (SELECT * FROM lines{k} SEMI JOIN nodes{k} USING (n, lead)),
-places{k} AS (SELECT n, lead, unnest(tok) AS token, generate_subscripts(tok, 1) AS at FROM open{k}),
+places{k} AS (SELECT n, lead, unnest(tok) AS token, generate_subscripts(tok, 1) AS slot FROM open{k}),
 most{k} AS (
-  SELECT n, lead, at, token FROM (SELECT n, lead, at, token, row_number() OVER (PARTITION BY n, lead, at ORDER BY count(*) DESC, token DESC) AS r FROM places{k} GROUP BY n, lead, at, token) WHERE r = 1),
-centres{k} AS (SELECT n, lead, list(token ORDER BY at) AS centre FROM most{k} GROUP BY n, lead),
+  SELECT n, lead, slot, token FROM (SELECT n, lead, slot, token, row_number() OVER (PARTITION BY n, lead, slot ORDER BY count(*) DESC, token DESC) AS r FROM places{k} GROUP BY n, lead, slot, token) WHERE r = 1),
+centres{k} AS (SELECT n, lead, list(token ORDER BY slot) AS centre FROM most{k} GROUP BY n, lead),
 judged{k} AS (SELECT o.*, centre, 4 * len(list_filter(range(1, n + 1), lambda i: tok[i] <> centre[i])) <= n AS fits FROM open{k} o JOIN centres{k} USING (n, lead)),
 lines{k + 1} AS (SELECT m, tok, n, lead FROM judged{k} WHERE NOT fits),"""
 
