@@ -109,10 +109,11 @@ def test_run_metrics_and_pass_at_k(spark):
     rows = [(2, False, 2, 1.0, [(1, (False, 0.5)), (1, None)]), (1, True, 2, 2.0, [(1, (False, 0.5)), (1, (True, 0.25))])]
     results = spark.createDataFrame(rows, RESULTS)
     got = metrics.run_metrics(results).first()
-    assert (got.attempted, got.solved, got.psr, got.failed_ids, got.verifier_calls, got.total_attempts, got.lean_seconds_sum) == (2, 1, 0.5, [2], 4, 4, 1.25)
+    assert (got.attempted, got.solved, got.psr, got.n_failed, got.verifier_calls, got.total_attempts, got.lean_seconds_sum) == (2, 1, 0.5, 1, 4, 4, 1.25)
+    assert [tuple(r) for r in metrics.failed_ids(results).collect()] == [(2, "failed")]
     assert {r.k: r.pass_at for r in metrics.pass_at_k(metrics.flat_attempts(results)).collect()} == {1: 0.0, 2: 0.5}
     empty = metrics.run_metrics(results.limit(0)).first()
-    assert (empty.attempted, empty.psr, empty.failed_ids) == (0, 0.0, [])
+    assert (empty.attempted, empty.psr, empty.n_failed) == (0, 0.0, 0)
     assert metrics.pass_at_k(metrics.flat_attempts(results.limit(0))).collect() == []
     none = spark.createDataFrame([(1, None, 0, None, [])], RESULTS)
     assert metrics.pass_at_k(metrics.flat_attempts(none)).collect() == [] and metrics.run_metrics(none).first().solved == 0
@@ -128,10 +129,11 @@ def test_pilot_shape(spark):
 def test_audited_metrics(spark):
     rows = spark.createDataFrame([(1, True, None, 3, 1, 2, 100), (2, False, None, 4, 2, 3, 200)], "id int, passed boolean, error string, verifier_calls int, planner_calls int, executor_calls int, tokens int")
     got = metrics.audited_metrics(rows).first()
-    assert (got.attempted, got.solved, got.psr, got.failed_ids, got.verifier_calls, got.planner_calls, got.executor_calls, got.tokens) == (2, 1, 0.5, [2], 7, 3, 5, 300)
+    assert (got.attempted, got.solved, got.psr, got.n_failed, got.verifier_calls, got.planner_calls, got.executor_calls, got.tokens) == (2, 1, 0.5, 1, 7, 3, 5, 300)
     lost = rows.unionByName(spark.createDataFrame([(9, None, "timeout", 1, 1, 1, 1)], rows.schema))
     got = metrics.subset_metrics(lost).first()
-    assert (got.attempted, got.infrastructure_errors, got.verifier_calls) == (2, [9], 7)
+    assert (got.attempted, got.n_infrastructure, got.verifier_calls) == (2, 1, 7)
+    assert sorted(map(tuple, metrics.failed_ids(lost, "passed", "error").collect())) == [(2, "failed"), (9, "infrastructure")]
 
 
 def test_replay_against_a_fold(spark):
@@ -319,3 +321,173 @@ def test_queries_against_sql(spark, sf_dir):
         assert sorted(names) == cols, name
         want = sorted(tuple(norm(r[names.index(c)]) for c in cols) for r in got.fetchall())
         assert sorted(tuple(norm(r[c]) for c in cols) for r in frame.collect()) == want, name
+
+
+def test_audit_with_a_process(spark):
+    clean = files(spark, (1, "Book/T.lean", "theorem t : True := by\n  trivial\n"), (2, "Book/T.lean", "theorem t : True := by\n  sorry\n"))
+    frozen = signatures.inventory(clean)
+    built = verifier.ProcessVerifier(("sh", "-c", "test -f Book/T.lean"))
+    got = {r.project: r for r in pipelines.audit(clean, frozen, built, spark.createDataFrame([(1, "a"), (1, "b"), (1, "b")], "project int, item string")).collect()}
+    assert got[1].passed and got[1].source_coverage == 2 and not got[2].passed and [(f.path, f.line, f.kind) for f in got[2].findings] == [("Book/T.lean", 2, "sorry")]
+    # the file's own command sees the whole project and the question
+    asked = verifier.ProcessVerifier(("true",), file_argv=("sh", "-c", 'cat "$0"; test -f Book/T.lean'))
+    got = {r.project: r for r in pipelines.audit(clean, frozen, asked).collect()}
+    assert got[1].passed and "#print axioms t" in got[1].axiom_output and "import Book.T" in got[1].axiom_output
+    unsound = verifier.ProcessVerifier(("true",), file_argv=("sh", "-c", "echo depends on sorryAx"))
+    assert not any(r.passed for r in pipelines.audit(clean, frozen, unsound).collect())
+
+
+def test_goal_state_and_retrieval_reach_the_plan(spark):
+    f = files(spark, (1, "Book/T.lean", "theorem longname : True := by\n  sorry\n"))
+    corpus = spark.createDataFrame([("M.lean", 4, "theorem longname_aux : True"), ("M.lean", 5, "nothing")], "path string, line int, text string")
+    shown = {}
+
+    def plan(rows):
+        for r in rows.collect():
+            shown.setdefault("plans", []).append((r.goal, r.retrieval, r.prior_plan, r.focus.line))
+        return rows.select("project", F.lit("a plan").alias("text"), F.lit(1).alias("tokens"))
+
+    def propose(rows):
+        shown.setdefault("feedback", []).append([(r.feedback, r.retrieval) for r in rows.collect()])
+        return rows.select("project", F.lit("no JSON").alias("text"), F.lit(1).alias("tokens"))
+
+    said = verifier.ProcessVerifier(("sh", "-c", "echo built"), file_argv=("sh", "-c", 'grep -n trace_state "$0"'))
+    done, state, trace = pipelines.repair(f, plan, propose, said, pipelines.Budget(2, 1), corpus)
+    assert [x[2:] for x in shown["plans"]] == [("", 2), ("a plan", 2)]
+    assert all(x[0].strip() == "2:  trace_state" and x[1] == "M.lean:4:theorem longname_aux : True" for x in shown["plans"])
+    assert state.first().verifier_calls == 4 and {r.error for r in trace.collect()} == {"unreadable or unsafe answer"}  # two builds, two goals
+    empty = corpus.limit(0)
+    asked = spark.createDataFrame([("q", "longname"), ("r", "a b")], "query_id string, query string")
+    assert {r.retrieval for r in retrieval.shown(asked, empty, retrieval.search(asked, empty)).collect()} == {retrieval.NO_CORPUS}
+    assert {r.query_id: r.retrieval for r in retrieval.shown(asked, corpus, retrieval.search(asked, corpus)).collect()} == {"q": "M.lean:4:theorem longname_aux : True", "r": ""}
+
+
+def test_baseline_runner(spark):
+    tasks_ = spark.createDataFrame([(k, f"T{k}.lean", f"theorem t{k} : True := by\n  sorry\n") for k in range(5)], "project int, path string, content string")
+    seen = []
+
+    def ask(rows):
+        seen.append({r.project: (r.feedback, r.previous) for r in rows.collect()})
+        proof = F.when(F.col("project") == F.col("attempt"), "by\n  trivial").when(F.col("project") == 4, "-- axiom\n/- sorry -/ trivial").otherwise("broken")
+        return rows.select("project", F.when((F.col("project") == 2) & (F.col("attempt") == 1), "[]").otherwise(F.to_json(F.struct(proof.alias("proof")))).alias("text"))
+
+    results, log = pipelines.baseline(tasks_, ask, verifier.OfflineVerifier(), 2)
+    got = {r.project: r for r in results.collect()}
+    assert [(got[k].success, got[k].attempt_count, got[k].verifier_calls) for k in range(5)] == [(False, 2, 2), (True, 1, 1), (True, 2, 1), (False, 2, 2), (False, 2, 2)]
+    assert got[1].content == "theorem t1 : True := by\n  trivial\n" and got[0].content.endswith("sorry\n")  # raw text: a hatch in a comment fails too
+    assert set(seen[1]) == {0, 2, 3, 4} and seen[1][0] == ("x: error: broken\n", "broken") and seen[1][2] == ("no proof in the answer", "")
+    assert log.count() == 9 and pipelines.baseline(tasks_.limit(0), ask, verifier.OfflineVerifier())[0].count() == 0
+
+
+def test_success_rules(spark):
+    none, some = F.expr("cast(array() as array<string>)"), F.array(F.lit("sorry"))
+    rows = [(0, none, 0, True, True), (0, some, 0, True, False), (0, some, 3, False, True), (0, none, 1, True, False), (1, none, 0, False, False), (None, none, 0, False, False)]
+    for code, kinds, holes, reject, want in rows:
+        assert one(spark, T.verified(F.lit(code).cast("int"), kinds, F.lit(holes), F.lit(reject))) is want
+    for path, want in (("a/b.lean", True), ("../x", False), ("a/../b", True), ("a/../../b", False), ("/a", False), ("./a", True)):
+        assert one(spark, T.inside(F.lit(path))) is want
+    ids = lambda *x: spark.createDataFrame([(k,) for k in x], "id int")
+    assert I.same_ids(ids(1, 2, 2), ids(2, 1)).first().same and not I.same_ids(ids(1), ids(1, 2)).first().same and not I.same_ids(ids(1, 2), ids(1)).first().same
+    assert [r.id for r in tasks.by_id(spark.createDataFrame([("10",), ("9",)], "id string")).collect()] == ["9", "10"]
+
+
+class _Chat(providers.ChatCompletions):
+    """Answers from a list; keeps what was asked."""
+
+    def __init__(self, *answers):
+        super().__init__("http://none", "m")
+        self.answers, self.asked = list(answers), []
+
+    def post(self, body, endpoint="chat/completions"):
+        import copy
+
+        self.asked.append((endpoint, copy.deepcopy(body)))
+        answer = self.answers.pop(0)
+        if isinstance(answer, Exception):
+            raise answer
+        return answer
+
+
+def test_providers_with_recorded_answers(tmp_path):
+    import urllib.error
+
+    said = lambda text=None, calls=None: {"choices": [{"message": {"role": "assistant", "content": text, "tool_calls": calls}}], "usage": {"prompt_tokens": 2, "completion_tokens": 1}}
+    call = lambda name, given, k="c": {"id": k, "type": "function", "function": {"name": name, "arguments": given}}
+    schema = {"type": "object"}
+    chat = _Chat(urllib.error.HTTPError("u", 422, "no", None, None), said("{}"))
+    assert chat.generate("s", "p", schema=schema).text == "{}"
+    assert "response_format" in chat.asked[0][1] and "response_format" not in chat.asked[1][1] and json_of(schema) in chat.asked[1][1]["messages"][-1]["content"]
+    with pytest.raises(urllib.error.HTTPError):
+        _Chat(urllib.error.HTTPError("u", 500, "no", None, None)).generate("s", "p", schema=schema)
+
+    (tmp_path / "A.lean").write_text("one\ntheorem two\n")
+    tools, described = providers.source_tools(str(tmp_path), lambda source: f"checked {source}")
+    assert tools["search"]("theorem") == "A.lean:2:theorem two" and tools["read"]("A.lean", 2, 2) == "2: theorem two" and tools["check"]("x") == "checked x"
+    chat = _Chat(said(calls=[call("read", '{"path": "../secret"}')]), said(calls=[call("search", '{"pattern": "two"}')]), said(calls=[call("submit_answer", '{"a": 1}')]))
+    got = providers.ToolAgent(chat, tools, described).generate("s", "p", schema=schema)
+    assert (got.text, got.prompt_tokens) == ('{"a": 1}', 6)
+    results = [m["content"] for m in chat.asked[2][1]["messages"] if m["role"] == "tool"]
+    assert results[0].startswith("PermissionError") and results[1] == "A.lean:2:theorem two"
+    # the last round: a forced submission with a schema, no tools without one
+    chat = _Chat(said(calls=[call("search", '{"pattern": "two"}')]), said(calls=[call("submit_answer", "{}")]))
+    assert providers.ToolAgent(chat, tools, described, rounds=1).generate("s", "p", schema=schema).text == "{}"
+    assert chat.asked[1][1]["tool_choice"]["function"]["name"] == "submit_answer" and len(chat.asked[1][1]["tools"]) == 1
+    chat = _Chat(said(calls=[call("search", '{"pattern": "two"}')]), said("text"))
+    assert providers.ToolAgent(chat, tools, described, rounds=1).generate("s", "p").text == "text" and "tools" not in chat.asked[1][1]
+
+    out = lambda *items: {"output": list(items), "usage": {"input_tokens": 3, "output_tokens": 1}}
+    asked = {"type": "function_call", "call_id": "c", "name": "search", "arguments": '{"pattern": "two"}'}
+    chat = _Chat(out(asked), out({**asked, "name": "submit_answer", "arguments": "{}"}))
+    got = providers.ResponsesAgent(chat, tools, described).generate("s", "p", schema=schema)
+    assert (got.text, got.prompt_tokens) == ("{}", 6) and chat.asked[0][0] == "responses" and chat.asked[1][1]["store"] is False
+    assert chat.asked[1][1]["input"][-1] == {"type": "function_call_output", "call_id": "c", "output": "A.lean:2:theorem two"}
+    chat = _Chat(out({"type": "message", "content": [{"type": "output_text", "text": "a plan"}]}))
+    assert providers.ResponsesAgent(chat, tools, described).generate("s", "p").text == "a plan"
+
+
+def json_of(x):
+    import json
+
+    return json.dumps(x)
+
+
+def test_operators_by_name():
+    from veriloom.plans import graph
+
+    assert graph.operator("repair") is pipelines.repair and len(graph.OPERATORS) == 12
+    with pytest.raises(KeyError, match="no operator"):
+        graph.operator("none")
+
+
+def test_tables_are_whole_versions(spark, tmp_path):
+    path = f"file://{tmp_path}/t.jsonl"
+    write = lambda *x: storage.write_jsonl(spark.createDataFrame([(k,) for k in x], "a int"), path)
+    read = lambda: sorted(r.a for r in storage.read_jsonl(spark, path, "a int").collect())
+    assert read() == []
+    write(1, 2)
+    assert read() == [1, 2]
+    os.makedirs(f"{tmp_path}/t.jsonl/v-lost")  # a run that died before its version was named
+    with open(f"{tmp_path}/t.jsonl/v-lost/part-0.json", "w") as f:
+        f.write('{"a": 99}\n')
+    assert read() == [1, 2]
+    write(3)
+    write(4)
+    assert read() == [4] and sum(x.startswith("v-") for x in os.listdir(f"{tmp_path}/t.jsonl")) == 2
+
+
+def test_discard_keeps_what_a_frame_reads(spark):
+    since = storage.mark()
+    a = storage.cut(spark.range(3).toDF("a"))
+    b = storage.cut(a.where("a > 0"))
+    storage.discard(spark, since, but=b)
+    assert sorted(r.a for r in b.collect()) == [1, 2] and not storage.exists(spark, a.inputFiles()[0])
+
+
+def test_depth_of_comments(spark):
+    flat = "".join(f"/- note {k} -/ sorry\n" for k in range(40))
+    deep = "/-" * 20 + " sorry " + "-/" * 20 + " sorry"
+    odd = "-/- sorry " * 15 + '"-/-" ' + "-/ " * 15 + "sorry"
+    for source in (flat, deep, odd):
+        assert one(spark, T.mask_code(F.lit(source))) == brute_mask(source)
+    rows = [(k,) for k in range(50)]
+    assert spark.createDataFrame(rows, "p int").select(T.matches(F.lit("𝒪ab sorry b sorry"), T.HOLE).alias("m")).first().m[1].offset == 12

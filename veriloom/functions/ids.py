@@ -24,3 +24,9 @@ def filter_ids(rows: DataFrame, ids: DataFrame | None, key: str = "id") -> DataF
 def missing_ids(wanted: DataFrame, rows: DataFrame, key: str = "id") -> DataFrame:
     """Wanted ids that no row has; empty when a run may start."""
     return wanted.select(key).distinct().join(rows.select(key), key, "left_anti")
+
+
+def same_ids(left: DataFrame, right: DataFrame, key: str = "id") -> DataFrame:
+    """One row, same: whether both sides have the same set of ids."""
+    apart = missing_ids(left, right, key).union(missing_ids(right, left, key))
+    return apart.agg((F.count("*") == 0).alias("same"))

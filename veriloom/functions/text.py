@@ -68,6 +68,18 @@ def _mask_fold(source: Column) -> Column:
     return let(F.regexp_extract_all(source, F.lit("(?s)."), F.lit(0)), lambda x: F.when(F.size(x) == 0, F.lit("")).otherwise(step(x)))
 
 
+def _depth(source: Column) -> Column:
+    """An upper bound of the depth of nested comments: marks in strings and line comments count as openings too, and a closing mark that an opening one follows at once doesn't."""
+    marks = F.regexp_extract_all(source, F.lit("/-|-/(?!-)"), F.lit(0))
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(a: Column, m: Column) -> Column:
+        now = F.when(m == "/-", a["now"] + 1).otherwise(F.greatest(a["now"] - 1, F.lit(0)))
+        return F.struct(now.alias("now"), F.greatest(a["most"], now).alias("most"))
+
+    return F.aggregate(marks, start, step, lambda a: a["most"])
+
+
 def mask_code(source: Column) -> Column:
     """Comments and string bodies blanked; newlines (but for one after a backslash in a string) and length stay."""
 
@@ -76,7 +88,8 @@ def mask_code(source: Column) -> Column:
         return F.when(F.startswith(t, F.lit("--")) | F.startswith(t, F.lit("/-")), F.regexp_replace(t, r"[^\n]", " ")).when(F.startswith(t, F.lit('"')), in_string).otherwise(t)
 
     shallow = F.array_join(F.transform(F.regexp_extract_all(source, F.lit(_TOKEN), F.lit(0)), blank), "")
-    return F.when(F.regexp_count(source, F.lit("/-")) > DEPTH, _mask_fold(source)).otherwise(shallow)
+    deep = (F.regexp_count(source, F.lit("/-")) > DEPTH) & (_depth(source) > DEPTH)
+    return F.when(deep, _mask_fold(source)).otherwise(shallow)
 
 
 def count_holes(masked: Column) -> Column:
@@ -84,14 +97,17 @@ def count_holes(masked: Column) -> Column:
 
 
 def matches(text: Column, pattern: str) -> Column:
-    """Array of (offset, text) of the matches, in order."""
+    """Array of (offset, text) of the matches, in order; one walk over the pieces between them."""
+    empty = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<offset:int,text:string>>)").alias("out"))
 
     def place(pieces: Column, found: Column) -> Column:
-        def before(k: Column) -> Column:
-            own = F.aggregate(F.slice(pieces, 1, k + 1), F.lit(0), lambda a, x: a + F.length(x))
-            return own + F.aggregate(F.slice(found, 1, k), F.lit(0), lambda a, x: a + F.length(x))
+        def step(a: Column, x: Column) -> Column:
+            at = a["at"] + F.length(x["piece"])
+            one = F.struct(at.alias("offset"), x["found"].alias("text"))
+            return F.struct((at + F.length(x["found"])).alias("at"), F.array_append(a["out"], one).alias("out"))
 
-        return F.transform(found, lambda m, k: F.struct(before(k).alias("offset"), m.alias("text")))
+        both = F.zip_with(F.slice(pieces, 1, F.size(found)), found, lambda p, f: F.struct(p.alias("piece"), f.alias("found")))
+        return F.aggregate(both, empty, step, lambda a: a["out"])
 
     return let(F.split(text, pattern, -1), lambda p: let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda f: place(p, f)))
 
@@ -106,6 +122,16 @@ def escape_kinds(code: Column) -> Column:
     return F.filter(F.array(*[F.when(F.regexp_like(code, F.lit(p)), F.lit(k)) for k, p in ESCAPES.items()]), lambda k: k.isNotNull())
 
 
+def baseline_success(exit_code: Column, before: Column, after: Column) -> Column:
+    """Exit 0, the statement unchanged, and no escape hatch in the raw text, comments and strings included."""
+    return F.coalesce((exit_code == 0) & (statement_prefix(before) == substring_prefix(after)) & (F.size(escape_kinds(after)) == 0), F.lit(False))
+
+
+def verified(exit_code: Column, forbidden: Column, holes: Column, reject_holes: Column) -> Column:
+    """Exit 0 and, where holes are rejected, no holes and no forbidden kinds."""
+    return F.coalesce((exit_code == 0) & (~reject_holes | ((holes == 0) & (F.size(forbidden) == 0))), F.lit(False))
+
+
 def tail(text: Column, n: int) -> Column:
     return F.right(text, F.lit(n))
 
@@ -119,6 +145,11 @@ def statement_prefix(source: Column) -> Column:
     return F.when(F.contains(source, F.lit(PROOF_MARK)), F.concat(F.substring_index(source, PROOF_MARK, 1), F.lit(PROOF_MARK))).otherwise(F.raise_error(F.lit("no ':= by' boundary")))
 
 
+def substring_prefix(source: Column) -> Column:
+    """As statement_prefix, but null where there is no proof mark."""
+    return F.when(F.contains(source, F.lit(PROOF_MARK)), F.concat(F.substring_index(source, PROOF_MARK, 1), F.lit(PROOF_MARK)))
+
+
 def strip(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)^\s+|\s+\z", "")
 
@@ -173,6 +204,17 @@ def safe_path(path: Column) -> Column:
     return ~F.startswith(path, F.lit("/")) & ~F.array_contains(F.split(path, "/"), "..") & F.regexp_like(path, F.lit(r"(?:^|/)[^/]+\.lean\z"))
 
 
+def inside(path: Column) -> Column:
+    """Whether a tool may read the path below its root: relative, and no step above it."""
+    depth = F.aggregate(F.split(path, "/"), F.struct(F.lit(0).alias("at"), F.lit(0).alias("least")), _walk, lambda a: a["least"])
+    return ~F.startswith(path, F.lit("/")) & (depth >= 0)
+
+
+def _walk(a: Column, step: Column) -> Column:
+    at = F.when(step == "..", a["at"] - 1).when(step.isin("", "."), a["at"]).otherwise(a["at"] + 1)
+    return F.struct(at.alias("at"), F.least(a["least"], at).alias("least"))
+
+
 def module_name(path: Column) -> Column:
     """A source path as a dotted module name, parts that aren't identifiers quoted."""
     parts = F.split(F.regexp_replace(path, r"\.lean\z", ""), "/")

@@ -1,4 +1,4 @@
-"""Run metrics. Everything is a partial aggregate first, so that a run of any size ends in a few rows."""
+"""Run metrics. Everything is a partial aggregate first, so that a run of any size ends in a few rows; ids are rows, never one list."""
 
 from __future__ import annotations
 
@@ -22,16 +22,22 @@ def pass_at_k(attempts: DataFrame, task: str = "task", idx: str = "idx", success
     return out.select("k", "n_passed", "n_tasks", _share(F.col("n_passed"), F.col("n_tasks")).alias("pass_at"))
 
 
-def run_metrics(results: DataFrame, order: str | None = None) -> DataFrame:
-    """One row from results (id, success, attempt_count, wall_seconds, attempts): the run's totals; failed_ids in the order of `order` (else of ids)."""
+def run_metrics(results: DataFrame) -> DataFrame:
+    """One row of totals from results (id, success, attempt_count, wall_seconds, attempts); the failed ids are rows of failed_ids()."""
     ok = F.coalesce("success", F.lit(False))
     seconds = F.aggregate(F.coalesce("attempts", F.expr("array()")), F.lit(0.0), lambda a, x: a + F.coalesce(x["verification"]["lean_seconds"].cast("double"), F.lit(0.0)))
     calls = F.aggregate(F.coalesce("attempts", F.expr("array()")), F.lit(0).cast("long"), lambda a, x: a + F.coalesce(x["verifier_calls"].cast("long"), F.lit(0).cast("long")))
-    failed = F.sort_array(F.collect_list(F.when(~ok, F.struct(F.col(order or "id").alias("o"), "id"))))
     return results.agg(
-        F.count("*").alias("attempted"), F.count_if(ok).alias("solved"), failed.alias("f"), F.round(F.coalesce(F.sum("wall_seconds"), F.lit(0.0)), 3).alias("total_wall_seconds_sum"),
+        F.count("*").alias("attempted"), F.count_if(ok).alias("solved"), F.count_if(~ok).alias("n_failed"), F.round(F.coalesce(F.sum("wall_seconds"), F.lit(0.0)), 3).alias("total_wall_seconds_sum"),
         F.coalesce(F.sum("attempt_count"), F.lit(0)).alias("total_attempts"), F.coalesce(F.sum(calls), F.lit(0)).alias("verifier_calls"), F.round(F.coalesce(F.sum(seconds), F.lit(0.0)), 3).alias("lean_seconds_sum"),
-    ).select("attempted", "solved", _share(F.col("solved"), F.col("attempted")).alias("psr"), F.transform("f", lambda x: x["id"]).alias("failed_ids"), "total_wall_seconds_sum", "total_attempts", "verifier_calls", "lean_seconds_sum")
+    ).withColumn("psr", _share(F.col("solved"), F.col("attempted")))
+
+
+def failed_ids(rows: DataFrame, success: str = "success", error: str | None = None) -> DataFrame:
+    """id, reason of the rows that didn't succeed: `failed`, or `infrastructure` for those with an error. A row for each, in no order."""
+    lost = F.col(error).isNotNull() if error else F.lit(False)
+    failed = rows.where(lost | ~F.coalesce(success, F.lit(False)))
+    return failed.select("id", F.when(lost, "infrastructure").otherwise("failed").alias("reason"))
 
 
 def flat_attempts(results: DataFrame) -> DataFrame:
@@ -50,32 +56,39 @@ def call_accounting(trace: DataFrame, by: str = "project") -> DataFrame:
 
 
 def audited_metrics(rows: DataFrame) -> DataFrame:
-    """One row from (id, passed, verifier_calls, planner_calls, executor_calls, tokens): solved by the final audit. failed_ids in id order."""
+    """One row from (id, passed, verifier_calls, planner_calls, executor_calls, tokens): solved by the final audit."""
     ok = F.coalesce("passed", F.lit(False))
     total = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("verifier_calls", "planner_calls", "executor_calls", "tokens")]
-    out = rows.agg(F.count("*").alias("attempted"), F.count_if(ok).alias("solved"), F.sort_array(F.collect_list(F.when(~ok, F.col("id")))).alias("failed_ids"), *total)
-    return out.select("attempted", "solved", _share(F.col("solved"), F.col("attempted")).alias("psr"), "failed_ids", *[c for c in ("verifier_calls", "planner_calls", "executor_calls", "tokens")])
+    out = rows.agg(F.count("*").alias("attempted"), F.count_if(ok).alias("solved"), F.count_if(~ok).alias("n_failed"), *total)
+    return out.withColumn("psr", _share(F.col("solved"), F.col("attempted")))
 
 
 def subset_metrics(rows: DataFrame) -> DataFrame:
-    """As audited_metrics, without tokens; rows with an error count as infrastructure_errors and not as attempted."""
+    """As audited_metrics, without tokens; rows with an error count as n_infrastructure and not as attempted."""
     good = F.col("error").isNull()
     ok = good & F.coalesce("passed", F.lit(False))
     total = [F.coalesce(F.sum(F.when(good, F.col(c))), F.lit(0)).alias(c) for c in ("verifier_calls", "planner_calls", "executor_calls")]
-    out = rows.agg(
-        F.count_if(good).alias("attempted"), F.count_if(ok).alias("solved"), F.sort_array(F.collect_list(F.when(good & ~ok, F.col("id")))).alias("failed_ids"),
-        F.sort_array(F.collect_list(F.when(~good, F.col("id")))).alias("infrastructure_errors"), *total,
-    )
+    out = rows.agg(F.count_if(good).alias("attempted"), F.count_if(ok).alias("solved"), F.count_if(good & ~ok).alias("n_failed"), F.count_if(~good).alias("n_infrastructure"), *total)
     return out.withColumn("psr", _share(F.col("solved"), F.col("attempted")))
 
 
-def verification_rollup(checks: DataFrame, by: str, last: int = 30_000) -> DataFrame:
-    """One verification of a project from its files' (path, exit_code, errors, holes, output, seconds, forbidden)."""
+def verification_rollup(checks: DataFrame, by: str, last: int = 30_000, projects: DataFrame | None = None) -> DataFrame:
+    """One verification of a project from its files' (path, exit_code, errors, holes, output, seconds, forbidden).
+
+    Of the outputs, joined in the order of paths, only the files that reach into the last characters are brought together.
+    projects (by): those without a file get a row too, a success.
+    """
     out = checks.groupBy(by).agg(
         F.bool_and(F.coalesce(F.col("exit_code") == 0, F.lit(False))).alias("success"), F.sum("errors").alias("global_errors"), F.sum("holes").alias("holes"),
-        F.right(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("path", "output"))), lambda x: x["output"]), "\n"), F.lit(last)).alias("output"),
-        F.round(F.sum("seconds"), 3).alias("seconds"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("forbidden")))).alias("forbidden"),
+        F.round(F.sum("seconds"), 3).alias("seconds"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("forbidden")))).alias("forbidden"),
     )
+    later = Window.partitionBy(by).orderBy(F.desc("path"), F.desc("output")).rowsBetween(Window.unboundedPreceding, -1)
+    ends = checks.select(by, "path", "output").withColumn("after", F.coalesce(F.sum(F.length("output") + 1).over(later), F.lit(0))).where(F.col("after") <= last)
+    tails = ends.groupBy(by).agg(F.right(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("path", "output"))), lambda x: x["output"]), "\n"), F.lit(last)).alias("output"))
+    out = out.join(tails, by, "left")
+    if projects is not None:
+        out = projects.select(by).distinct().join(out, by, "left").withColumn("success", F.coalesce("success", F.lit(True))).fillna(0, ["global_errors", "holes", "seconds"]).fillna("", ["output"])
+        out = out.withColumn("forbidden", F.coalesce("forbidden", F.expr("cast(array() as array<string>)")))
     return out.withColumn("exit_code", F.when(F.col("success"), 0).otherwise(1))
 
 

@@ -57,11 +57,11 @@ class ChatCompletions:
     key_variable: str = "LLM_API_KEY"
     timeout: int = 600
 
-    def post(self, body: dict) -> dict:
+    def post(self, body: dict, endpoint: str = "chat/completions") -> dict:
         headers = {"Content-Type": "application/json"}
         if key := os.environ.get(self.key_variable):
             headers["Authorization"] = f"Bearer {key}"
-        request = urllib.request.Request(f"{self.url.rstrip('/')}/chat/completions", json.dumps(body).encode(), headers)
+        request = urllib.request.Request(f"{self.url.rstrip('/')}/{endpoint}", json.dumps(body).encode(), headers)
         with urllib.request.urlopen(request, timeout=self.timeout) as answer:
             return json.load(answer)
 
@@ -76,6 +76,7 @@ class ChatCompletions:
         except urllib.error.HTTPError as e:
             if not form or e.code not in NO_SCHEMA:
                 raise
+            messages[-1]["content"] += f"\n\nThe answer is JSON of this schema:\n{json.dumps(schema)}"
             got = self.ask(messages)
         used = got.get("usage") or {}
         return Response(got["choices"][0]["message"]["content"] or "", got.get("model", self.model), used.get("prompt_tokens", 0), used.get("completion_tokens", 0))
@@ -96,22 +97,41 @@ class Command:
         return Response(run.stdout, self.argv[0])
 
 
+def _submission(schema: dict, name: str) -> dict:
+    return {"name": name, "description": "Hands in the final answer.", "parameters": schema}
+
+
 @dataclass
 class ToolAgent:
-    """At most `rounds` rounds of tool calls, then one forced submission. A tool's exception is its answer's text."""
+    """At most `rounds` rounds of tool calls, then one last answer: a forced submission where a schema is asked for, else text without tools. A tool's exception is its answer's text."""
 
     chat: ChatCompletions
     tools: dict[str, Callable[..., str]]
+    #: name, description, parameters of each tool.
     descriptions: list[dict]
     rounds: int = 12
     submit: str = "submit_answer"
 
+    def call(self, name: str, given: str) -> str:
+        try:
+            return self.tools[name](**json.loads(given))[-20_000:]
+        except Exception as e:  # the model sees it and may go on
+            return f"{type(e).__name__}: {e}"
+
+    def offered(self, schema: dict | None, last: bool) -> list[dict]:
+        own = [] if last else list(self.descriptions)
+        return own + ([_submission(schema, self.submit)] if schema else [])
+
     def generate(self, system: str, prompt: str, *, schema: dict | None = None) -> Response:
         messages: list[dict[str, Any]] = [{"role": "system", "content": system}, {"role": "user", "content": prompt}]
         spent = [0, 0]
         for k in range(self.rounds + 1):
-            forced = {"tool_choice": {"type": "function", "function": {"name": self.submit}}} if k == self.rounds else {}
-            got = self.chat.ask(messages, tools=self.descriptions, **forced)
+            last = k == self.rounds
+            offered = [{"type": "function", "function": d} for d in self.offered(schema, last)]
+            more = {"tools": offered} if offered else {}
+            if last and schema:
+                more["tool_choice"] = {"type": "function", "function": {"name": self.submit}}
+            got = self.chat.ask(messages, **more)
             used = got.get("usage") or {}
             spent = [spent[0] + used.get("prompt_tokens", 0), spent[1] + used.get("completion_tokens", 0)]
             said = got["choices"][0]["message"]
@@ -122,14 +142,76 @@ class ToolAgent:
                 name, given = call["function"]["name"], call["function"]["arguments"]
                 if name == self.submit:
                     return Response(given, self.chat.model, *spent)
-                try:
-                    text = self.tools[name](**json.loads(given))
-                except Exception as e:  # the model sees it and may go on
-                    text = f"{type(e).__name__}: {e}"
-                messages.append({"role": "tool", "tool_call_id": call["id"], "content": text[-20_000:]})
+                messages.append({"role": "tool", "tool_call_id": call["id"], "content": self.call(name, given)})
         raise RuntimeError("no submission")
 
 
+@dataclass
+class ResponsesAgent(ToolAgent):
+    """The same over an endpoint that keeps no state: every request carries all items so far."""
+
+    def generate(self, system: str, prompt: str, *, schema: dict | None = None) -> Response:
+        items: list[dict[str, Any]] = [{"role": "user", "content": prompt}]
+        spent = [0, 0]
+        for k in range(self.rounds + 1):
+            last = k == self.rounds
+            offered = [{"type": "function", **d} for d in self.offered(schema, last)]
+            body = {"model": self.chat.model, "instructions": system, "input": items, "store": False}
+            if offered:
+                body |= {"tools": offered, "tool_choice": "required" if last else "auto"}
+            got = self.chat.post(body, "responses")
+            if got.get("error"):
+                raise RuntimeError(str(got["error"]))
+            used = got.get("usage") or {}
+            spent = [spent[0] + used.get("input_tokens", 0), spent[1] + used.get("output_tokens", 0)]
+            calls = [x for x in got.get("output", []) if x.get("type") == "function_call"]
+            if not calls:
+                parts = [part.get("text", "") for x in got.get("output", []) if x.get("type") == "message" for part in x.get("content", [])]
+                return Response("\n".join(parts), self.chat.model, *spent)
+            for call in calls:
+                if call["name"] == self.submit:
+                    return Response(call["arguments"], self.chat.model, *spent)
+                items += [call, {"type": "function_call_output", "call_id": call["call_id"], "output": self.call(call["name"], call["arguments"])}]
+        raise RuntimeError("no submission")
+
+
+def source_tools(root: str, check: Callable[[str], str] | None = None, lines: int = 400, hits: int = 40) -> tuple[dict[str, Callable[..., str]], list[dict]]:
+    """(tools, descriptions) over a tree of source files where the task runs: search, read and, if a checker is given, check. Paths outside the tree raise."""
+    import re
+    from pathlib import Path
+
+    base = Path(root).resolve()
+
+    def inside(path: str) -> Path:
+        found = (base / path).resolve()
+        if not found.is_relative_to(base):
+            raise PermissionError(f"outside the source tree: {path}")
+        return found
+
+    def search(pattern: str) -> str:
+        wanted, out = re.compile(pattern), []
+        for file in sorted(base.rglob("*.lean")):
+            found = [f"{file.relative_to(base)}:{k}:{x}" for k, x in enumerate(file.read_text(encoding="utf-8").split("\n"), 1) if wanted.search(x)]
+            out += found[:hits]
+        return "\n".join(out)
+
+    def read(path: str, start: int = 1, end: int = lines) -> str:
+        rows = inside(path).read_text(encoding="utf-8").split("\n")
+        first, last = max(1, start), min(end, start + lines)
+        return "\n".join(f"{k}: {x}" for k, x in enumerate(rows, 1) if first <= k <= last)
+
+    text, number = {"type": "string"}, {"type": "integer"}
+    tools: dict[str, Callable[..., str]] = {"search": search, "read": read}
+    descriptions = [
+        {"name": "search", "description": "Lines of the source tree that match a regular expression.", "parameters": {"type": "object", "properties": {"pattern": text}, "required": ["pattern"]}},
+        {"name": "read", "description": "Numbered lines of a file.", "parameters": {"type": "object", "properties": {"path": text, "start": number, "end": number}, "required": ["path"]}},
+    ]
+    if check is not None:
+        tools["check"] = check
+        descriptions.append({"name": "check", "description": "The checker's output for a piece of source.", "parameters": {"type": "object", "properties": {"source": text}, "required": ["source"]}})
+    return tools, descriptions
+
+
 def generate(rows: DataFrame, provider: Provider, system: str, prompt: str, out: str = "response", schema: dict | None = None, tasks: int | None = None) -> DataFrame:
     """rows and the provider's answers to the column `prompt`, one call a row; a failed call has an error and no text. Written at once."""
     full = StructType.fromDDL(f"{out} {RESPONSE}")

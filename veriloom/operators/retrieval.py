@@ -22,19 +22,32 @@ def corpus_lines(corpus: DataFrame, path: str = "path", content: str = "content"
     return lines.select(F.col(path).alias("path"), (F.col("p") + 1).alias("line"), "text")
 
 
+#: What search() answers instead of lines (fixed texts of this library).
+NO_CORPUS, NO_TERMS = "[no corpus to search]", ""
+
+
 def search(queries: DataFrame, lines: DataFrame, per_file: int = 2, most: int = 20, term_chars: int = 4) -> DataFrame:
-    """query_id, path, line, text: lines that hold any of a query's terms, per_file for each file, most in all, by path and line.
+    """query_id, path, line, text, rank: lines that hold any of a query's terms, per_file for each file, most in all, by path and line.
 
-    A term occurs in a line if its first characters begin somewhere in it: lines and terms meet on grams of term_chars
-    characters, which the contains test then confirms. So the join is on keys, not all lines with all terms.
+    A term has letters, digits and underscores only, so it lies within one run of these. Terms meet the corpus's distinct
+    runs on their first term_chars characters, the contains test confirms, and what matches meets the lines on the run. Only
+    (path, line) travels; texts come for the lines that are left.
     """
-    asked = queries.select("query_id", F.explode(terms(F.col("query"))).alias("term")).distinct()
-    asked = asked.withColumn("gram", F.substring("term", 1, term_chars))
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("text") - term_chars + 1), lambda i: F.substring(F.col("text"), i, F.lit(term_chars))))
-    keyed = lines.where(F.length("text") >= term_chars).select("path", "line", "text", F.explode(grams).alias("gram"))
-    used = asked.select("gram").distinct()
-    hits = keyed.join(used, "gram", "left_semi").join(asked, "gram").where(F.contains("text", F.col("term"))).select("query_id", "path", "line", "text").distinct()
+    asked = queries.select("query_id", F.explode(terms(F.col("query"))).alias("term")).distinct().withColumn("gram", F.substring("term", 1, term_chars))
+    runs = lines.select("path", "line", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(f"[A-Za-z0-9_]{{{term_chars},}}"), F.lit(0)))).alias("run"))
+    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("run") - term_chars + 1), lambda i: F.substring(F.col("run"), i, F.lit(term_chars))))
+    words = runs.select("run").distinct().select("run", F.explode(grams).alias("gram"))
+    matched = words.join(asked, "gram").where(F.contains("run", F.col("term"))).select("query_id", "run").distinct()
+    hits = runs.join(matched, "run").select("query_id", "path", "line").distinct()
     in_file = F.row_number().over(Window.partitionBy("query_id", "path").orderBy("line"))
     overall = F.row_number().over(Window.partitionBy("query_id").orderBy("path", "line"))
-    kept = hits.withColumn("k", in_file).where(F.col("k") <= per_file).drop("k")
-    return kept.withColumn("rank", overall).where(F.col("rank") <= most)
+    kept = hits.withColumn("k", in_file).where(F.col("k") <= per_file).drop("k").withColumn("rank", overall).where(F.col("rank") <= most)
+    return kept.join(lines, ["path", "line"]).select("query_id", "path", "line", "text", "rank")
+
+
+def shown(queries: DataFrame, lines: DataFrame, found: DataFrame) -> DataFrame:
+    """query_id, retrieval: each query's lines as text; a fixed text where there is no corpus, an empty one without terms."""
+    text = found.groupBy("query_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", "path", "line", "text"))), lambda x: F.concat_ws(":", x["path"].cast("string"), x["line"].cast("string"), x["text"])), "\n").alias("t"))
+    empty = lines.isEmpty()
+    none = F.lit(NO_CORPUS) if empty else F.lit(NO_TERMS)
+    return queries.select("query_id").distinct().join(text, "query_id", "left").select("query_id", F.coalesce("t", none).alias("retrieval"))

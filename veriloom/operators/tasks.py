@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from veriloom.sources.storage import cut
+
 
 def load_tasks(inventory: DataFrame, ids: DataFrame | None = None, root: str = "") -> DataFrame:
     """id, informal_statement, formal_statement, tag (empty by default), version, source_file; of ids, if given."""
@@ -16,8 +18,8 @@ def load_tasks(inventory: DataFrame, ids: DataFrame | None = None, root: str = "
 
 
 def ordinal(rows: DataFrame, order: list[str], parts: int = 64) -> DataFrame:
-    """row_pos, from 0, in the given order, without one task that sorts everything: ranges are counted, then numbered each on its own."""
-    dealt = rows.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id())
+    """row_pos, from 0, in the given order, without one task that sorts everything: ranges are dealt and written once, counted, then numbered each on its own."""
+    dealt = cut(rows.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()))
     sizes = dealt.groupBy("_part").agg(F.count("*").alias("n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
     base = sizes.select("_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_base"))
@@ -25,6 +27,11 @@ def ordinal(rows: DataFrame, order: list[str], parts: int = 64) -> DataFrame:
     return dealt.withColumn("_k", k).join(F.broadcast(base), "_part").withColumn("row_pos", F.col("_base") + F.col("_k") - 1).drop("_part", "_k", "_base")
 
 
+def by_id(results: DataFrame, key: str = "id") -> DataFrame:
+    """Results in the order of their ids as numbers."""
+    return results.orderBy(F.col(key).cast("long"))
+
+
 def shard(rows: DataFrame, shards: int, pos: str = "row_pos") -> DataFrame:
     if shards < 1:
         raise ValueError("shards must be positive")

@@ -22,6 +22,10 @@ class Verifier(Protocol):
         """project, exit_code, global_errors, holes, output, seconds for each project of files (project, path, content)."""
         ...
 
+    def check(self, files: DataFrame, path: str) -> DataFrame:
+        """The same for one file (of this path) of each project, the rest of the project beside it."""
+        ...
+
 
 class OfflineVerifier:
     """Counts holes and reports a line with the word `broken` in code as an error. It checks plumbing, not proofs."""
@@ -32,15 +36,24 @@ class OfflineVerifier:
         out = n.groupBy("project").agg(F.sum("h").cast("int").alias("holes"), F.sum("e").cast("int").alias("global_errors"))
         return out.select("project", F.when(F.col("global_errors") > 0, 1).otherwise(0).alias("exit_code"), "global_errors", "holes", F.repeat(F.lit("x: error: broken\n"), F.col("global_errors")).alias("output"), F.lit(0.0).alias("seconds"))
 
+    def check(self, files: DataFrame, path: str) -> DataFrame:
+        return self.verify(files.where(F.col("path") == path))
+
 
 class ProcessVerifier:
-    """Writes a project's files to a folder of the task and runs the build there."""
+    """Writes a project's files to a folder of the task and runs the build there; check runs file_argv with the file's path, if given, else the build."""
 
-    def __init__(self, argv: tuple[str, ...] = ("lake", "build"), timeout: int = 600):
-        self.argv, self.timeout = argv, timeout
+    def __init__(self, argv: tuple[str, ...] = ("lake", "build"), timeout: int = 600, file_argv: tuple[str, ...] | None = None):
+        self.argv, self.timeout, self.file_argv = argv, timeout, file_argv
 
     def verify(self, files: DataFrame) -> DataFrame:
-        argv, timeout = self.argv, self.timeout
+        return self._run(files, self.argv)
+
+    def check(self, files: DataFrame, path: str) -> DataFrame:
+        return self._run(files, (*self.file_argv, path) if self.file_argv else self.argv)
+
+    def _run(self, files: DataFrame, argv: tuple[str, ...]) -> DataFrame:
+        timeout = self.timeout
         per = files.groupBy("project").agg(F.collect_list(F.struct("path", "content")).alias("files"), F.sum(T.count_holes(T.mask_code(F.col("content")))).cast("int").alias("holes"))
 
         def run(batches: Iterator) -> Iterator:
@@ -67,3 +80,17 @@ class ProcessVerifier:
         kind = files.schema["project"].dataType.simpleString()
         made = per.mapInPandas(run, f"project {kind}, exit_code int, holes int, output string, seconds double")
         return made.withColumn("global_errors", T.count_errors(F.col("output")).cast("int"))
+
+
+#: The file that asks for a goal; no project has one of that name.
+GOAL_FILE = "GoalQuery.lean"
+
+
+def goal_state(verifier: Verifier, files: DataFrame, focus: DataFrame, last: int = 10_000) -> DataFrame:
+    """project, goal: what the checker says at each project's focus (project, path, line).
+
+    The file in focus is checked once more under another name, with `trace_state` above the line if that holds a hole.
+    """
+    at = focus.select("project", "path", "line").join(files, ["project", "path"]).select("project", F.coalesce(T.trace_goal(F.col("content"), F.col("line")), "content").alias("content"))
+    asked = files.join(at.select("project"), "project", "left_semi").select("project", "path", "content").unionByName(at.select("project", F.lit(GOAL_FILE).alias("path"), "content"))
+    return verifier.check(asked, GOAL_FILE).select("project", T.tail(F.col("output"), last).alias("goal"))

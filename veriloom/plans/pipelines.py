@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veriloom.functions import text as T
-from veriloom.operators import projects, signatures
-from veriloom.operators.verifier import OfflineVerifier, Verifier
+from veriloom.operators import projects, providers, retrieval, signatures
+from veriloom.operators.verifier import OfflineVerifier, Verifier, goal_state
 from veriloom.plans import stages
 from veriloom.sources.storage import cut
 
@@ -54,6 +54,21 @@ def _none(rows: DataFrame) -> bool:
     return not rows.limit(1).count()
 
 
+def generate_files(rows: DataFrame, ask: Ask, templates: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(files, provenance) of projects from rows (project, math_items, blueprints): the model's files over the templates (path to content).
+
+    provenance: project, item, provenance of each item. An answer that can't be read or holds an unsafe path raises.
+    """
+    asked = rows.select("project", F.to_json(F.struct(F.col("math_items").alias("items"), F.col("blueprints"))).alias("payload"), "math_items", "blueprints")
+    patch, raised = _patch(cut(ask(asked)))
+    if not _none(raised.where("raised")):
+        raise ValueError("a generated project can't be read or has an unsafe path")
+    if templates:
+        shared = F.array(*[F.struct(F.lit(p).alias("path"), F.lit(c).alias("content")) for p, c in templates.items()])
+        patch = projects.overlay(rows.select("project", F.explode(shared).alias("f")).select("project", "f.*"), patch)
+    return cut(patch), stages.provenance(rows, "project")
+
+
 def compile_statements(files: DataFrame, ask: Ask, verifier: Verifier, budget: Budget = Budget()) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(files, verdicts, trace): repair rounds for projects that don't build; a candidate stays if its errors strictly fall."""
     files = cut(projects.checked_paths(files))
@@ -96,16 +111,19 @@ def split_large(files: DataFrame, ask: Ask, verifier: Verifier, max_lines: int =
     return cut(projects.choose(files, candidate, judged)), out
 
 
-def repair(files: DataFrame, plan: Ask, propose: Ask, verifier: Verifier, budget: Budget = Budget()) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(files, verdicts, trace): plan and patch until a project builds without holes.
+def repair(files: DataFrame, plan: Ask, propose: Ask, verifier: Verifier, budget: Budget = Budget(), corpus: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(files, verdicts, trace): plan and patch until a project builds without holes; then one last build of all.
 
     A candidate stays if (errors, holes) strictly falls and no statement changed; else, if its (holes, errors) is below the
     draft's, it is the next attempt's base, but not the project's files. Answers that can't be read, unsafe paths and changed
-    statements count as raising attempts.
+    statements count as raising attempts; they are not verified. A plan is asked with the focus, its goal, the lines that
+    the text around it finds in the corpus (path, line, text) and the plan before. verdicts: project, exit_code,
+    global_errors, holes, output, verifier_calls, of the last build.
     """
     files = cut(projects.checked_paths(files))
     frozen = cut(signatures.inventory(files))
-    state = cut(_verdict(verifier, files).withColumn("draft_holes", F.col("holes")).withColumn("draft_errors", F.col("global_errors")))
+    state = _verdict(verifier, files).withColumn("draft_holes", F.col("holes")).withColumn("draft_errors", F.col("global_errors"))
+    state = cut(state.withColumn("feedback", F.col("output")).withColumn("verifier_calls", F.lit(1)).withColumn("plan", F.lit("")))
     drafts = files.limit(0)
     trace = None
     solved: Column = (F.col("holes") == 0) & (F.col("exit_code") == 0)
@@ -113,34 +131,40 @@ def repair(files: DataFrame, plan: Ask, propose: Ask, verifier: Verifier, budget
         open_ = cut(state.where(~solved).select("project"))
         if _none(open_):
             break
-        inventory = projects.holes(files.join(open_, "project", "left_semi"))
-        focus = inventory.groupBy("project").agg(F.min(F.struct("path", "offset", "line")).alias("focus"))
-        view = files.withColumnsRenamed({"project": "_p", "path": "_path"})
-        focus = focus.join(view, (focus["project"] == view["_p"]) & (F.col("focus.path") == view["_path"]), "left")
-        focus = focus.select("project", "focus", T.around(F.col("content"), F.col("focus.offset")).alias("context"), T.trace_goal(F.col("content"), F.col("focus.line")).alias("goal_source"))
-        plans = cut(plan(open_.join(state.select("project", "output"), "project").join(focus, "project", "left")))
+        focus = _focus(files.join(open_, "project", "left_semi"), verifier, corpus)
+        rows = open_.join(state.select("project", "output", F.col("plan").alias("prior_plan")), "project").join(focus, "project", "left")
+        plans = cut(plan(rows.withColumn("goal", F.coalesce("goal", "output")).drop("retrieval").join(focus.select("project", "retrieval"), "project", "left")))
         plans = plans.select("project", F.col("text").alias("plan"), F.col("tokens").alias("planner_tokens"))
+        asked_goal = focus.select("project", F.lit(1).alias("goals"))
+        state = state.drop("plan").join(plans.select("project", "plan"), "project", "left").join(asked_goal, "project", "left")
+        state = cut(state.withColumn("verifier_calls", F.col("verifier_calls") + F.coalesce("goals", F.lit(0))).drop("goals"))
         for a in range(1, budget.executor_attempts + 1):
             current = files.join(open_, "project", "left_semi")
             shown = cut(projects.overlay(current, drafts.join(open_, "project", "left_semi")))
-            feedback = state.select("project", T.tail(F.col("output"), 10_000).alias("feedback"))
-            answers = cut(propose(_shown(shown).join(plans, "project").join(feedback, "project")))
+            answers = cut(propose(_shown(shown).join(plans, "project").join(state.select("project", T.tail(F.col("feedback"), 10_000).alias("feedback")), "project").join(focus.select("project", "retrieval"), "project", "left")))
             patch, raised = _patch(answers)
             candidate = cut(projects.overlay(shown, patch))
             same = signatures.frozen(frozen.join(open_, "project", "left_semi"), signatures.inventory(candidate))
-            new = _verdict(verifier, candidate).toDF("project", "_exit", "_errors", "_holes", "_output")
-            judged = open_.join(state, "project").join(new, "project", "left").join(raised, "project", "left").join(same, "project", "left").join(answers.select("project", F.col("tokens").alias("executor_tokens")), "project", "left").join(plans.select("project", "planner_tokens"), "project", "left")
-            bad = F.coalesce("raised", F.lit(True)) | ~F.coalesce("signatures_frozen", F.lit(True))
-            judged = judged.withColumn("error", F.when(F.coalesce("raised", F.lit(True)), "unreadable or unsafe answer").when(~F.coalesce("signatures_frozen", F.lit(True)), "changed a frozen statement"))
-            judged = judged.withColumn("accepted", ~bad & (F.struct("_errors", "_holes") < F.struct("global_errors", "holes")))
-            judged = cut(judged.withColumn("retained", ~bad & ~F.col("accepted") & (F.struct("_holes", "_errors") < F.struct("draft_holes", "draft_errors"))))
+            unread = F.coalesce("raised", F.lit(True))
+            changed = ~F.coalesce("signatures_frozen", F.lit(True))
+            sound = open_.join(raised, "project", "left").join(same, "project", "left").withColumn("error", F.when(unread, "unreadable or unsafe answer").when(changed, "changed a frozen statement")).select("project", "error")
+            sound = cut(sound)
+            tried = candidate.join(sound.where("error IS NULL"), "project", "left_semi")
+            new = _verdict(verifier, tried).toDF("project", "_exit", "_errors", "_holes", "_output")
+            judged = sound.join(state, "project").join(new, "project", "left").join(answers.select("project", F.col("tokens").alias("executor_tokens")), "project", "left").join(plans.select("project", "planner_tokens"), "project", "left")
+            ok = F.col("error").isNull() & F.col("_exit").isNotNull()
+            judged = judged.withColumn("accepted", F.coalesce(ok & (F.struct("_errors", "_holes") < F.struct("global_errors", "holes")), F.lit(False)))
+            judged = cut(judged.withColumn("retained", F.coalesce(ok & ~F.col("accepted") & (F.struct("_holes", "_errors") < F.struct("draft_holes", "draft_errors")), F.lit(False))))
             files = cut(projects.choose(files, candidate, judged))
             kept = candidate.join(judged.where("retained").select("project"), "project", "left_semi")
             stale = judged.where("accepted OR retained").select("project")
             drafts = cut(drafts.join(stale, "project", "left_anti").unionByName(kept))
             pick = lambda new, old: F.when(F.col("accepted"), F.col(new)).otherwise(F.col(old)).alias(old)
             rank = lambda new, old: F.when(F.col("accepted") | F.col("retained"), F.col(new)).otherwise(F.col(old)).alias(old)
-            moved = judged.select("project", pick("_exit", "exit_code"), pick("_errors", "global_errors"), pick("_holes", "holes"), F.coalesce("_output", "output").alias("output"), rank("_holes", "draft_holes"), rank("_errors", "draft_errors"))
+            moved = judged.select(
+                "project", pick("_exit", "exit_code"), pick("_errors", "global_errors"), pick("_holes", "holes"), pick("_output", "output"), rank("_holes", "draft_holes"), rank("_errors", "draft_errors"),
+                F.coalesce("_output", "output").alias("feedback"), (F.col("verifier_calls") + F.col("error").isNull().cast("int")).alias("verifier_calls"), "plan",
+            )
             state = cut(moved.unionByName(state.join(moved, "project", "left_anti")))
             step = judged.select("project", F.lit(r).alias("planning_round"), F.lit(a).alias("executor_attempt"), "accepted", "retained", "error", F.coalesce("planner_tokens", F.lit(0)).alias("planner_tokens"), F.coalesce("executor_tokens", F.lit(0)).alias("executor_tokens"))
             trace = step if trace is None else cut(trace.unionByName(step))
@@ -149,19 +173,75 @@ def repair(files: DataFrame, plan: Ask, propose: Ask, verifier: Verifier, budget
                 break
     if trace is None:
         trace = state.select("project").limit(0).selectExpr("project", "0 planning_round", "0 executor_attempt", "false accepted", "false retained", "cast(null as string) error", "0 planner_tokens", "0 executor_tokens")
-    return files, state, trace
+    final = cut(_verdict(verifier, files).join(state.select("project", (F.col("verifier_calls") + 1).alias("verifier_calls")), "project"))
+    return files, final, trace
+
+
+def _focus(files: DataFrame, verifier: Verifier, corpus: DataFrame | None) -> DataFrame:
+    """project, focus (its first hole), context, goal, retrieval of the projects with a hole."""
+    first = cut(projects.holes(files).groupBy("project").agg(F.min(F.struct("path", "offset", "line")).alias("focus")).select("project", "focus.*"))
+    around = first.join(files, ["project", "path"]).select("project", F.struct("path", "offset", "line").alias("focus"), T.around(F.col("content"), F.col("offset")).alias("context"))
+    around = cut(around.join(goal_state(verifier, files, first), "project", "left"))
+    if corpus is None:
+        return around.withColumn("retrieval", F.lit(retrieval.NO_CORPUS))
+    asked = around.select(F.col("project").alias("query_id"), F.col("context").alias("query"))
+    found = retrieval.shown(asked, corpus, retrieval.search(asked, corpus)).withColumnRenamed("query_id", "project")
+    return cut(around.join(found, "project", "left"))
 
 
-def audit(files: DataFrame, frozen: DataFrame, verifier: Verifier) -> DataFrame:
-    """project, passed, signatures_frozen, n_findings, exit_code, holes; the axiom question goes to the verifier as one more file."""
-    found = projects.escape_hatches(files.select("project", "content")).groupBy("project").agg(F.count("*").alias("n_findings"))
+def audit(files: DataFrame, frozen: DataFrame, verifier: Verifier, provenance: DataFrame | None = None) -> DataFrame:
+    """project, passed and its evidence: exit_code, holes, findings (kind, path, line), n_findings, signatures_frozen, source_coverage, axiom_exit, axiom_output.
+
+    The axiom question is checked as one more file of the project it asks about. provenance: project, item.
+    """
+    found = projects.escape_hatches(files.select("project", "path", "content")).groupBy("project").agg(F.sort_array(F.collect_list(F.struct("path", "line", "kind"))).alias("findings"))
     now = cut(signatures.inventory(files))
-    ask = stages.axiom_query(files, now).select("project", F.lit("AxiomAudit.lean").alias("path"), F.col("source").alias("content"))
-    axioms = _verdict(verifier, ask).select("project", F.col("exit_code").alias("axiom_exit"), F.col("output").alias("axiom_output"))
+    question = stages.axiom_query(files, now).select("project", F.lit(AXIOMS).alias("path"), F.col("source").alias("content"))
+    axioms = verifier.check(files.select("project", "path", "content").unionByName(question), AXIOMS).select("project", F.col("exit_code").alias("axiom_exit"), F.col("output").alias("axiom_output"))
     rows = _verdict(verifier, files).join(found, "project", "left").join(signatures.frozen(frozen, now), "project", "left").join(axioms, "project", "left")
-    rows = rows.withColumn("n_findings", F.coalesce("n_findings", F.lit(0))).withColumn("signatures_frozen", F.coalesce("signatures_frozen", F.lit(True)))
+    covered = provenance.groupBy("project").agg(F.count_distinct("item").alias("source_coverage")) if provenance is not None else rows.select("project", F.lit(0).cast("long").alias("source_coverage"))
+    rows = rows.join(covered, "project", "left").withColumn("findings", F.coalesce("findings", F.expr("cast(array() as array<struct<path:string,line:int,kind:string>>)")))
+    rows = rows.withColumn("n_findings", F.size("findings")).withColumn("signatures_frozen", F.coalesce("signatures_frozen", F.lit(True))).withColumn("source_coverage", F.coalesce("source_coverage", F.lit(0)))
     gate = stages.audit_gate(F.col("exit_code"), F.col("holes"), F.col("n_findings"), F.col("signatures_frozen"), F.col("axiom_exit"), F.coalesce("axiom_output", F.lit("")))
-    return rows.select("project", gate.alias("passed"), "signatures_frozen", "n_findings", "exit_code", "holes")
+    return rows.select("project", gate.alias("passed"), "signatures_frozen", "n_findings", "findings", "source_coverage", "exit_code", "holes", "axiom_exit", "axiom_output")
+
+
+#: The file that asks for the axioms behind a project's declarations.
+AXIOMS = "AxiomAudit.lean"
+
+
+def baseline(tasks: DataFrame, ask: Ask, verifier: Verifier, attempts: int = 3) -> tuple[DataFrame, DataFrame]:
+    """(results, attempts) of whole-proof attempts on tasks (project, path, content): each starts from the certified statement, with the last output as feedback.
+
+    ask answers with JSON {"proof": ...}. An attempt succeeds by exit 0, an unchanged statement and no escape hatch in the raw
+    text; a task stops at its first success. An answer without a proof is a failed attempt that isn't verified.
+    """
+    rows = cut(tasks.select("project", "path", "content").withColumn("feedback", F.lit("")).withColumn("previous", F.lit("")))
+    done, log = None, None
+    for k in range(1, attempts + 1):
+        if _none(rows):
+            break
+        answers = cut(ask(rows.withColumn("attempt", F.lit(k))))
+        proof = F.get_json_object(T.json_object(F.col("text")), "$.proof")
+        made = rows.join(answers.select("project", proof.alias("proof")), "project", "left")
+        made = cut(made.withColumn("candidate", F.when(F.col("proof").isNotNull() & F.contains("content", F.lit(T.PROOF_MARK)), T.install_proof(F.col("content"), F.col("proof")))))
+        said = _verdict(verifier, made.where("candidate IS NOT NULL").select("project", "path", F.col("candidate").alias("content")))
+        judged = made.join(said, "project", "left")
+        ok = F.col("candidate").isNotNull() & T.baseline_success(F.col("exit_code"), F.col("content"), F.coalesce("candidate", "content"))
+        error = F.when(F.col("candidate").isNull(), "no proof in the answer")
+        judged = cut(judged.withColumn("success", F.coalesce(ok, F.lit(False))).withColumn("error", error).withColumn("attempt", F.lit(k)))
+        step = judged.select("project", "attempt", "success", "error", F.col("candidate").isNotNull().cast("int").alias("verifier_calls"), F.coalesce("output", "error").alias("output"))
+        log = step if log is None else log.unionByName(step)
+        won = judged.where("success").select("project", "attempt", F.col("candidate").alias("content"))
+        done = won if done is None else done.unionByName(won)
+        rows = cut(judged.where("NOT success").select("project", "path", "content", F.coalesce("output", "error", F.lit("")).alias("feedback"), F.coalesce("proof", "previous").alias("previous")))
+    if log is None:
+        log = tasks.select("project").limit(0).selectExpr("project", "0 attempt", "false success", "cast(null as string) error", "0 verifier_calls", "'' output")
+        done = tasks.select("project").limit(0).selectExpr("project", "0 attempt", "'' content")
+    log = cut(log)
+    per = log.groupBy("project").agg(F.count("*").alias("attempt_count"), F.sum("verifier_calls").alias("verifier_calls"), F.bool_or("success").alias("success"))
+    out = tasks.select("project", "path", F.col("content").alias("_before")).join(per, "project", "left").join(done.select("project", "content"), "project", "left")
+    return out.select("project", "path", F.coalesce("content", "_before").alias("content"), F.coalesce("success", F.lit(False)).alias("success"), F.coalesce("attempt_count", F.lit(0)).alias("attempt_count"), F.coalesce("verifier_calls", F.lit(0)).alias("verifier_calls")), log
 
 
 # --- offline runs: answers are functions of what is shown -------------------------------------------------------------
@@ -174,8 +254,9 @@ def offline_plan(rows: DataFrame) -> DataFrame:
 
 
 def offline_patch(rows: DataFrame) -> DataFrame:
-    """Every `sorry` becomes `trivial`; projects divisible by 7 change a statement instead."""
-    fixed = F.transform("files", lambda f: F.struct(f["path"].alias("path"), F.when(F.pmod(F.xxhash64("project"), F.lit(7)) == 0, F.replace(f["content"], F.lit(": True"), F.lit(": False"))).otherwise(F.replace(f["content"], F.lit("sorry"), F.lit("trivial"))).alias("content")))
+    """Every `sorry` becomes `trivial`; projects that leave 3 by 7 change a statement instead."""
+    bad = F.pmod(F.col("project").cast("long"), F.lit(7)) == 3
+    fixed = F.transform("files", lambda f: F.struct(f["path"].alias("path"), F.when(bad, F.replace(f["content"], F.lit(": True"), F.lit(": False"))).otherwise(F.replace(f["content"], F.lit("sorry"), F.lit("trivial"))).alias("content")))
     return rows.select("project", _answer(fixed).alias("text"), F.size("files").alias("tokens"))
 
 
@@ -184,28 +265,46 @@ def offline_fix(rows: DataFrame) -> DataFrame:
     return rows.select("project", _answer(fixed).alias("text"), F.size("files").alias("tokens"))
 
 
-def _run(files: DataFrame, budget: Budget) -> tuple[DataFrame, DataFrame, DataFrame]:
+def offline_files(rows: DataFrame) -> DataFrame:
+    """A file for each item: its statement in a comment, then a theorem of its id; one in ten doesn't build, one in eleven has another name."""
+    p = F.col("project").cast("long")
+    note = lambda x: F.replace(F.replace(F.coalesce(x["statement"], F.lit("")), F.lit("-/"), F.lit("- /")), F.lit("/-"), F.lit("/ -"))
+    name = lambda x: F.concat(F.when(p % 11 == 5, "other").otherwise("t"), x["id"])
+    content = lambda x: F.concat(F.when(p % 10 == 0, "broken\n").otherwise(""), F.lit("/- "), note(x), F.lit(" -/\ntheorem "), name(x), F.lit(" : True := by\n  sorry\n"))
+    made = F.transform("math_items", lambda x: F.struct(F.concat(F.lit("Book/T"), x["id"], F.lit(".lean")).alias("path"), content(x).alias("content")))
+    return rows.select("project", _answer(made).alias("text"), F.size("math_items").alias("tokens"))
+
+
+def _named(prompt: str) -> str:
+    """A reviewer that matches an item where a file states a theorem of its id."""
+    import json
+
+    items, _, files = prompt.rpartition("\n")
+    stated = [f["content"] for f in json.loads(files)]
+    return json.dumps({"alignments": [{"id": x["id"], "matched": any(f"theorem t{x['id']} " in c for c in stated), "reason": ""} for x in json.loads(items)]})
+
+
+def _run(files: DataFrame, budget: Budget, provenance: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(after repair: project, success, ...), (audit), (calls)."""
     from veriloom.operators import metrics
 
     frozen = cut(signatures.inventory(files))
     files, state, trace = repair(files, offline_plan, offline_patch, OfflineVerifier(), budget)
-    return state, audit(files, frozen, OfflineVerifier()), metrics.call_accounting(trace)
+    return state, audit(files, frozen, OfflineVerifier(), provenance), metrics.call_accounting(trace)
 
 
 def offline_book(rows: DataFrame, budget: Budget = Budget(2, 2, 2)) -> DataFrame:
-    """documents to audited projects, one project for each row (id)."""
+    """documents to audited projects, one project for each row (id): items, blueprints, files, repair rounds, alignment, split, proofs, audit."""
     items = stages.atomic_items(stages.normalize_document(rows, "vqa_pair"))
-    named = items.select("id", F.transform("math_items", lambda x: x["id"]).alias("ids"))
-    statement = F.transform("ids", lambda i: F.struct(F.concat(F.lit("Book/T"), i, F.lit(".lean")).alias("path"), F.concat(F.when(F.col("id") % 10 == 0, "broken\n").otherwise(""), F.lit("theorem t"), i, F.lit(" : True := by\n  sorry\n")).alias("content")))
-    files = cut(named.select(F.col("id").alias("project"), F.explode(statement).alias("f")).select("project", "f.*"))
+    items = stages.blueprints(items, providers.Rule(lambda p: "by the definitions"), providers.Rule(lambda p: '{"verdict": "correct", "feedback": ""}' if len(p) % 2 else '{"verdict": "incorrect", "feedback": "gap"}'))
+    items = cut(items.withColumn("project", F.col("id")).select("id", "project", "math_items", "blueprints"))
+    files, provenance = generate_files(items, offline_files)
     files, compiled, _ = compile_statements(files, offline_fix, OfflineVerifier(), budget)
+    aligned = stages.align(items, files, providers.Rule(_named)).select("id", F.col("statement_alignment.scc").alias("scc"))
     files, _ = split_large(files, offline_patch, OfflineVerifier())
-    matched = files.groupBy("project").agg(F.count("*").alias("matched"))
-    state, audited, calls = _run(files, budget)
-    out = items.select("id", F.size("math_items").alias("total")).join(matched, F.col("id") == matched["project"], "left").drop("project")
-    out = out.withColumn("scc", F.coalesce(F.try_divide(F.coalesce("matched", F.lit(0)).cast("double"), F.col("total").cast("double")), F.lit(0.0)))
-    for more in (compiled.select("project", (F.col("exit_code") == 0).alias("compiled")), state.select("project", ((F.col("holes") == 0) & (F.col("exit_code") == 0)).alias("success")), audited.select("project", "signatures_frozen", "passed"), calls):
+    state, audited, calls = _run(files, budget, provenance)
+    out = items.select("id", F.size(F.filter("blueprints", lambda b: b["accepted"])).alias("accepted_blueprints")).join(aligned, "id", "left")
+    for more in (compiled.select("project", (F.col("exit_code") == 0).alias("compiled")), state.select("project", ((F.col("holes") == 0) & (F.col("exit_code") == 0)).alias("success"), "verifier_calls"), audited.select("project", "signatures_frozen", "passed", "source_coverage"), calls):
         out = out.join(more, F.col("id") == more["project"], "left").drop("project")
     return out.fillna(0, ["planner_calls", "executor_calls", "tokens"])
 
@@ -216,6 +315,18 @@ def offline_benchmark(rows: DataFrame, budget: Budget = Budget(2, 2)) -> DataFra
 
     templates = {"lakefile.lean": "-- build\n", "lean-toolchain.lean": "-- toolchain\n"}
     state, audited, calls = _run(cut(stages.workspaces(rows, templates)), budget)
-    per = state.select("project", F.lit(1).alias("verifier_calls")).join(audited, "project", "left").join(calls, "project", "left")
+    per = state.select("project", "verifier_calls").join(audited, "project", "left").join(calls, "project", "left")
     per = per.select(F.col("project").alias("id"), "passed", "verifier_calls", F.coalesce("planner_calls", F.lit(0)).alias("planner_calls"), F.coalesce("executor_calls", F.lit(0)).alias("executor_calls"), F.coalesce("tokens", F.lit(0)).alias("tokens"))
-    return metrics.audited_metrics(per).withColumn("failed_ids", F.array_join(F.transform("failed_ids", lambda x: x.cast("string")), ","))
+    return metrics.audited_metrics(per)
+
+
+def offline_baseline(rows: DataFrame, attempts: int = 3) -> DataFrame:
+    """Results of whole-proof attempts on a task list (id, formal_statement): task k is solved at attempt k mod 5, never for 0 or 4; where k mod 3 is 0, the first answer is no JSON."""
+
+    def ask(open_: DataFrame) -> DataFrame:
+        p = F.col("project").cast("long")
+        proof = F.when((p % 5 == F.col("attempt")) & (p % 5 < 4), "by\n    trivial").otherwise("sorry")
+        return open_.select("project", F.when((p % 3 == 0) & (F.col("attempt") == 1), "no answer").otherwise(F.to_json(F.struct(proof.alias("proof"), F.lit("").alias("notes")))).alias("text"), F.lit(1).alias("tokens"))
+
+    tasks = rows.select(F.col("id").alias("project"), F.concat(F.lit("T"), F.col("id").cast("string"), F.lit(".lean")).alias("path"), F.col("formal_statement").alias("content"))
+    return baseline(tasks, ask, OfflineVerifier(), attempts)[0]

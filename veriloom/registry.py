@@ -101,13 +101,20 @@ def results_of(spark, sf_dir) -> DataFrame:
     return per.select("id", "attempts", F.exists("attempts", lambda a: F.coalesce(a["verification"]["success"], F.lit(False))).alias("success"), F.size("attempts").alias("attempt_count"), (F.size("attempts") / 4).alias("wall_seconds"))
 
 
-@query(f"""WITH {ATTEMPTS_SQL},
-per AS (SELECT task AS id, bool_or(success AND event_id % 7 > 0) AS success, count(*) AS n, sum(idx % 2) AS calls, sum(CASE WHEN event_id % 7 > 0 THEN (event_id % 8) / 8.0::DOUBLE ELSE 0 END) AS secs FROM kept GROUP BY task)
-SELECT count(*) AS attempted, count(*) FILTER (success) AS solved, count(*) FILTER (success)::DOUBLE / count(*) AS psr,
-       coalesce(string_agg(id::VARCHAR, ',' ORDER BY id) FILTER (NOT success), '') AS failed_ids, round(sum(n / 4.0::DOUBLE), 3) AS total_wall_seconds_sum,
-       sum(n)::BIGINT AS total_attempts, sum(calls)::BIGINT AS verifier_calls, round(sum(secs), 3) AS lean_seconds_sum FROM per""")
+RESULTS_SQL = f"""{ATTEMPTS_SQL},
+per AS (SELECT task AS id, bool_or(success AND event_id % 7 > 0) AS success, count(*) AS n, sum(idx % 2) AS calls, sum(CASE WHEN event_id % 7 > 0 THEN (event_id % 8) / 8.0::DOUBLE ELSE 0 END) AS secs FROM kept GROUP BY task)"""
+
+
+@query(f"""WITH {RESULTS_SQL}
+SELECT count(*) AS attempted, count(*) FILTER (success) AS solved, count(*) FILTER (success)::DOUBLE / count(*) AS psr, count(*) FILTER (NOT success) AS n_failed,
+       round(sum(n / 4.0::DOUBLE), 3) AS total_wall_seconds_sum, sum(n)::BIGINT AS total_attempts, sum(calls)::BIGINT AS verifier_calls, round(sum(secs), 3) AS lean_seconds_sum FROM per""")
 def run_metrics(spark, sf_dir):
-    return metrics.run_metrics(results_of(spark, sf_dir)).withColumn("failed_ids", F.array_join(F.transform("failed_ids", lambda x: x.cast("string")), ","))
+    return metrics.run_metrics(results_of(spark, sf_dir))
+
+
+@query(f"WITH {RESULTS_SQL} SELECT id, 'failed' AS reason FROM per WHERE NOT success")
+def failed_ids(spark, sf_dir):
+    return metrics.failed_ids(results_of(spark, sf_dir))
 
 
 REPLAY_SQL = """s AS (SELECT user_id AS project, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS attempt,
@@ -163,17 +170,20 @@ AUDITED_SQL = """e AS (SELECT event_id AS id, CASE WHEN event_id % 10 > 0 THEN e
 
 
 @query(f"""WITH {AUDITED_SQL} SELECT count(*) AS attempted, count(*) FILTER (passed) AS solved, count(*) FILTER (passed)::DOUBLE / count(*) AS psr, count(*) FILTER (NOT passed) AS n_failed,
-  md5(string_agg(id::VARCHAR, ',' ORDER BY id) FILTER (NOT passed)) AS failed_md5, sum(v)::BIGINT AS verifier_calls, sum(p)::BIGINT AS planner_calls, sum(x)::BIGINT AS executor_calls, sum(t)::BIGINT AS tokens FROM e""")
+  sum(v)::BIGINT AS verifier_calls, sum(p)::BIGINT AS planner_calls, sum(x)::BIGINT AS executor_calls, sum(t)::BIGINT AS tokens FROM e""")
 def audited_metrics(spark, sf_dir):
-    out = metrics.audited_metrics(audited_of(spark, sf_dir))
-    return out.withColumn("n_failed", F.size("failed_ids").cast("long")).withColumn("failed_md5", F.md5(F.array_join(F.transform("failed_ids", lambda x: x.cast("string")), ","))).drop("failed_ids")
+    return metrics.audited_metrics(audited_of(spark, sf_dir))
 
 
 @query(f"""WITH {AUDITED_SQL} SELECT count(*) FILTER (NOT lost) AS attempted, count(*) FILTER (NOT lost AND passed) AS solved, count(*) FILTER (NOT lost AND passed)::DOUBLE / count(*) FILTER (NOT lost) AS psr,
   count(*) FILTER (NOT lost AND NOT passed) AS n_failed, count(*) FILTER (lost) AS n_infrastructure, sum(v) FILTER (NOT lost)::BIGINT AS verifier_calls, sum(p) FILTER (NOT lost)::BIGINT AS planner_calls, sum(x) FILTER (NOT lost)::BIGINT AS executor_calls FROM e""")
 def subset_metrics(spark, sf_dir):
-    out = metrics.subset_metrics(audited_of(spark, sf_dir))
-    return out.withColumn("n_failed", F.size("failed_ids").cast("long")).withColumn("n_infrastructure", F.size("infrastructure_errors").cast("long")).drop("failed_ids", "infrastructure_errors")
+    return metrics.subset_metrics(audited_of(spark, sf_dir))
+
+
+@query(f"WITH {AUDITED_SQL} SELECT id, CASE WHEN lost THEN 'infrastructure' ELSE 'failed' END AS reason FROM e WHERE lost OR NOT passed")
+def subset_failures(spark, sf_dir):
+    return metrics.failed_ids(audited_of(spark, sf_dir), "passed", "error")
 
 
 @query("""WITH c AS (SELECT o_custkey AS project, printf('%09d', o_orderkey) AS path, (o_orderkey % 17 = 0)::INT AS exit_code, o_orderkey % 3 AS errors, o_orderkey % 4 AS holes, 'out ' || o_orderkey AS output, (o_orderkey % 8) / 8.0::DOUBLE AS seconds,
@@ -239,6 +249,11 @@ def missing_ids(spark, sf_dir):
     return I.missing_ids(wanted, table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id")))
 
 
+@query("""SELECT (SELECT count(*) FROM (SELECT o_orderkey FROM orders EXCEPT SELECT l_orderkey FROM lineitem)) = 0 AND (SELECT count(*) FROM (SELECT l_orderkey FROM lineitem EXCEPT SELECT o_orderkey FROM orders)) = 0 AS same""")
+def same_ids(spark, sf_dir):
+    return I.same_ids(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id")), table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id")))
+
+
 # --- documents, items, blueprints -------------------------------------------------------------------------------------
 @query("""WITH r AS (SELECT conv_id, turn, CASE WHEN turn % 4 = 0 THEN text END AS vqa, CASE WHEN turn % 4 = 1 THEN '' WHEN turn % 4 = 2 THEN role || ': ' || text END AS messages, CASE WHEN turn % 3 = 0 THEN text END AS content, role AS context FROM conversations)
 SELECT conv_id, turn, coalesce(vqa, nullif(messages, ''), nullif(content, ''), nullif(context, ''), '') AS text, 'unknown' AS source_name, sha256(coalesce(vqa, nullif(messages, ''), nullif(content, ''), nullif(context, ''), '')) AS digest FROM r""")
@@ -321,7 +336,10 @@ def signature_inventory(spark, sf_dir):
     return signatures.inventory(sources_of(spark, sf_dir)).select("project", "path", "key", "signature")
 
 
-@query("SELECT DISTINCT p_partkey % 100 AS project, p_partkey % 100 % 2 = 0 AS signatures_frozen FROM part")
+@query(f"""WITH {SOURCES_SQL},
+changed AS (SELECT project, CASE WHEN project % 2 = 1 THEN replace(content, '(x : Nat)', '(y : Nat)') ELSE content END AS after, content FROM src),
+d AS (SELECT project, unnest(regexp_extract_all(content, '(?:theorem|def)[^\\n]*?:=')) AS a, unnest(regexp_extract_all(after, '(?:theorem|def)[^\\n]*?:=')) AS b FROM changed)
+SELECT project, list(a ORDER BY a) = list(b ORDER BY b) AS signatures_frozen FROM d WHERE starts_with(a, 'theorem') OR starts_with(a, 'def') GROUP BY project""")
 def signature_freeze(spark, sf_dir):
     files = sources_of(spark, sf_dir)
     changed = F.when(F.col("project") % 2 == 1, F.regexp_replace("content", r"\(x : Nat\)", "(y : Nat)")).otherwise(F.concat("content", F.lit("-- moved\n")))
@@ -385,7 +403,7 @@ def module_names(spark, sf_dir):
     return tree_of(spark, sf_dir).select("path").distinct().select("path", T.module_name(F.col("path")).alias("module"))
 
 
-@query("""WITH x AS (SELECT p_partkey AS p, CASE p_partkey % 4 WHEN 0 THEN 'A/B' || p_partkey || '.lean' WHEN 1 THEN '../x.lean' WHEN 2 THEN '/abs/x.lean' ELSE 'A/x.txt' END AS path FROM part) SELECT p, path, p % 4 = 0 AS safe FROM x""")
+@query("""WITH x AS (SELECT p_partkey AS p, CASE p_partkey % 4 WHEN 0 THEN 'A/B' || p_partkey || '.lean' WHEN 1 THEN '../x.lean' WHEN 2 THEN '/abs/x.lean' ELSE 'A/x.txt' END AS path FROM part) SELECT p, path, left(path, 1) <> '/' AND NOT list_contains(string_split(path, '/'), '..') AND regexp_matches(path, '(^|/)[^/]+[.]lean$') AS safe FROM x""")
 def path_safety(spark, sf_dir):
     k = F.col("p_partkey")
     path = F.when(k % 4 == 0, F.concat(F.lit("A/B"), k.cast("string"), F.lit(".lean"))).when(k % 4 == 1, "../x.lean").when(k % 4 == 2, "/abs/x.lean").otherwise("A/x.txt")
@@ -428,28 +446,86 @@ def read_range(spark, sf_dir):
 
 
 # --- audit ------------------------------------------------------------------------------------------------------------
-@query(f"""WITH {SOURCES_SQL}, x AS (SELECT DISTINCT p % 100 AS project FROM src)
-SELECT project, project % 3 = 0 AND project % 5 > 0 AND project % 4 > 1 AND project % 2 = 0 AND project % 7 > 0 AS passed,
-  (SELECT count(DISTINCT p) FROM src s WHERE s.project = x.project) AS source_coverage FROM x""")
+HATCHES_SQL = """hatches AS (
+  SELECT DISTINCT project FROM (SELECT project, unnest(string_split(code, chr(10))) AS line FROM masked) WHERE regexp_matches(line, '\\b(sorry|admit)\\b|^\\s*(axiom|unsafe)\\b'))"""
+
+
+def audit_projects(spark, sf_dir) -> DataFrame:
+    """Projects by the hundred's remainder and by whether a part's file has hatches at all, so that some are clean."""
+    return sources_of(spark, sf_dir).withColumn("project", F.when((F.col("p") % 6 > 1) & (F.col("p") % 4 > 1), F.col("project")).otherwise(F.col("project") + 1_000))
+
+
+AUDIT_SRC_SQL = f"src AS (SELECT p, CASE WHEN p % 6 > 1 AND p % 4 > 1 THEN project ELSE project + 1000 END AS project, path, content FROM (SELECT p, p % 100 AS project, 'Book/F' || p || '.lean' AS path, {SOURCE_DUCK} AS content FROM (SELECT p_partkey AS p FROM part)))"
+
+
+@query(f"""WITH {AUDIT_SRC_SQL}, {MASK_SQL}, {HATCHES_SQL}, x AS (SELECT project, count(DISTINCT p) AS source_coverage FROM src GROUP BY project)
+SELECT x.project, x.project % 3 = 0 AND x.project % 5 > 0 AND x.project NOT IN (SELECT project FROM hatches) AND x.project % 2 = 0 AND x.project % 7 > 0 AS passed, source_coverage FROM x""")
 def audit_gate(spark, sf_dir):
-    files = sources_of(spark, sf_dir)
+    files = audit_projects(spark, sf_dir)
     rows = files.groupBy("project").agg(F.count_distinct("p").alias("source_coverage"))
     p = F.col("project")
     gate = stages.audit_gate(F.when(p % 3 == 0, 0).otherwise(1), F.when(p % 5 == 0, 1).otherwise(0), F.col("n_findings"), p % 2 == 0, F.when(p % 7 == 0, 1).otherwise(0), F.lit("clean"))
-    found = projects.escape_hatches(files.where("p % 6 > 1").select("project", "content")).groupBy("project").agg(F.count("*").alias("n_findings"))
+    found = projects.escape_hatches(files.select("project", "content")).groupBy("project").agg(F.count("*").alias("n_findings"))
     return rows.join(found, "project", "left").withColumn("n_findings", F.coalesce("n_findings", F.lit(0))).select("project", gate.alias("passed"), "source_coverage")
 
 
-@query()
+@query(f"""WITH {AUDIT_SRC_SQL}, {MASK_SQL}, {HATCHES_SQL},
+h AS (SELECT project, sum(len(regexp_extract_all(code, '\\b(sorry|admit)\\b')))::INTEGER AS holes, count(*) AS source_coverage FROM masked GROUP BY project)
+SELECT project, holes, source_coverage, 0 AS exit_code, true AS signatures_frozen, holes = 0 AND project NOT IN (SELECT project FROM hatches) AS passed FROM h""")
+def audit_evidence(spark, sf_dir):
+    """The audit itself over all projects, nothing changed since the statements were frozen, by the offline verifier."""
+    from veriloom.operators.verifier import OfflineVerifier
+    from veriloom.plans import pipelines
+
+    files = audit_projects(spark, sf_dir)
+    own = files.select("project", "path", "content")
+    provenance = files.select("project", F.col("p").alias("item"))
+    return pipelines.audit(own, signatures.inventory(own), OfflineVerifier(), provenance).select("project", "holes", "source_coverage", "exit_code", "signatures_frozen", "passed")
+
+
+@query("""WITH r AS (SELECT l_orderkey AS k, l_linenumber AS n, (l_partkey % 3)::INT AS exit_code, l_suppkey % 2 AS holes, l_partkey % 5 = 0 AS forbidden, l_linenumber % 2 = 0 AS reject FROM lineitem)
+SELECT k, n, exit_code = 0 AND (NOT reject OR (holes = 0 AND NOT forbidden)) AS success FROM r""")
+def verify_success(spark, sf_dir):
+    l = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n"), "l_partkey", "l_suppkey")
+    kinds = F.when(F.col("l_partkey") % 5 == 0, F.array(F.lit("sorry"))).otherwise(F.expr("cast(array() as array<string>)"))
+    return l.select("k", "n", T.verified(F.col("l_partkey") % 3, kinds, F.col("l_suppkey") % 2, F.col("n") % 2 == 0).alias("success"))
+
+
+@query(f"""WITH {SOURCES_SQL}, c AS (SELECT p, content, CASE WHEN p % 5 = 0 THEN replace(content, '(x : Nat)', '(y : Nat)') ELSE replace(replace(content, 'sorry', 'trivial'), 'admit', 'trivial') END AS after FROM src)
+SELECT p, p % 3 < 2 AND split_part(content, ':= by', 1) = split_part(after, ':= by', 1) AND NOT regexp_matches(after, '\\b(sorry|admit)\\b') AND len(list_filter(string_split(after, chr(10)), lambda x: regexp_matches(x, '^\\s*(axiom|unsafe)\\b'))) = 0 AS success FROM c""")
+def raw_success(spark, sf_dir):
+    files = sources_of(spark, sf_dir)
+    after = F.when(F.col("p") % 5 == 0, F.replace("content", F.lit("(x : Nat)"), F.lit("(y : Nat)"))).otherwise(F.replace(F.replace("content", F.lit("sorry"), F.lit("trivial")), F.lit("admit"), F.lit("trivial")))
+    return files.select("p", T.baseline_success(F.when(F.col("p") % 3 < 2, 0).otherwise(1), F.col("content"), after).alias("success"))
+
+
+@query("""WITH t AS (SELECT p_partkey AS id, p_partkey % 5 AS hit, p_partkey % 3 = 0 AS mute FROM part)
+SELECT id, hit BETWEEN 1 AND 3 AND NOT (mute AND hit = 1) AS success, (CASE WHEN hit BETWEEN 1 AND 3 AND NOT (mute AND hit = 1) THEN hit ELSE 3 END)::BIGINT AS attempt_count,
+  (CASE WHEN hit BETWEEN 1 AND 3 AND NOT (mute AND hit = 1) THEN hit ELSE 3 END - mute::INT)::BIGINT AS verifier_calls,
+  'theorem t' || id || ' : True := by' || chr(10) || '  ' || CASE WHEN hit BETWEEN 1 AND 3 AND NOT (mute AND hit = 1) THEN 'trivial' ELSE 'sorry' END || chr(10) AS content FROM t""")
+def baseline_run(spark, sf_dir):
+    """Whole-proof attempts over a task list with recorded answers and the offline verifier."""
+    from veriloom.plans import pipelines
+
+    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"))
+    rows = rows.withColumn("formal_statement", F.concat(F.lit("theorem t"), F.col("id").cast("string"), F.lit(" : True := by\n  sorry\n")))
+    return pipelines.offline_baseline(rows).select(F.col("project").alias("id"), "success", "attempt_count", "verifier_calls", "content")
+
+
+@query("""WITH d AS (SELECT doc_id AS id, doc_id % 7 = 3 AS bad, doc_id % 11 <> 5 AS named FROM documents)
+SELECT id, true AS compiled, CASE WHEN named THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS scc, NOT bad AS success, true AS signatures_frozen, NOT bad AS passed, 1::BIGINT AS source_coverage,
+  CASE WHEN bad THEN 2 ELSE 1 END::BIGINT AS planner_calls, CASE WHEN bad THEN 4 ELSE 1 END::BIGINT AS executor_calls, 4::INTEGER AS verifier_calls FROM d""")
 def book_pipeline(spark, sf_dir):
     """The whole book graph over documents with offline providers and the offline verifier."""
     from veriloom.plans import pipelines
 
     rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("content"), F.col("source").alias("name"))
-    return pipelines.offline_book(rows).select("id", "compiled", "scc", "success", "signatures_frozen", "passed", "planner_calls", "executor_calls")
+    return pipelines.offline_book(rows).select("id", "compiled", "scc", "success", "signatures_frozen", "passed", "source_coverage", "planner_calls", "executor_calls", "verifier_calls")
 
 
-@query()
+@query("""WITH b AS (SELECT item_id, item_id % 7 = 3 AS bad FROM benchmark)
+SELECT count(*) AS attempted, count(*) FILTER (NOT bad) AS solved, count(*) FILTER (bad) AS n_failed, count(*) FILTER (NOT bad)::DOUBLE / count(*) AS psr, (4 * count(*))::BIGINT AS verifier_calls,
+  sum(CASE WHEN bad THEN 2 ELSE 1 END)::BIGINT AS planner_calls, sum(CASE WHEN bad THEN 4 ELSE 1 END)::BIGINT AS executor_calls, sum(CASE WHEN bad THEN 32 ELSE 8 END)::BIGINT AS tokens FROM b""")
 def benchmark_pipeline(spark, sf_dir):
     """Workspaces, repair loop and audit over a task list with offline providers and the offline verifier."""
     from veriloom.plans import pipelines

@@ -27,7 +27,7 @@ def read_jsonl(spark: SparkSession, path: str, schema: StructType | str) -> Data
 
 
 #: The file of a versioned table that names its current version.
-CURRENT = "_CURRENT"
+CURRENT = "CURRENT"
 
 
 def _version(spark: SparkSession, path: str) -> str:
