@@ -704,11 +704,10 @@ def test_near_copies_among_common_shingles(spark, monkeypatch):
     texts = [f"{some(40)} {shared} {some(40)}" for _ in range(50)]
     texts += [t.replace(" ", " extra ", 1) for t in texts[:20]] + [f"{shared} {some(4)}" for _ in range(20)] + ["", " ", shared, shared.upper()]
     want = brute_components(texts)
-    for many, often, stars in ((100_000, 40, 2), (7, 3, 0), (3, 10**9, 1)):
-        monkeypatch.setattr(near_dedup, "MANY", many)
+    for bucket, often, stars in ((1_000_000, 40, 2), (500, 3, 0), (2_000, 10**9, 1)):
+        monkeypatch.setattr(near_dedup, "BUCKET", bucket)
         monkeypatch.setattr(near_dedup, "OFTEN", often)
         monkeypatch.setattr(near_dedup, "STARS", stars)
-        monkeypatch.setattr(near_dedup, "RADIUS", 5)
         assert near_groups(spark, texts) == want
     again = spark.createDataFrame([(k, t) for k, t in enumerate(texts)] * 2, "doc_id long, text string")
     kept = sorted(x.doc_id for x in near_dedup.drop_near_copies(again).collect())
