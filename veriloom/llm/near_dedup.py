@@ -11,14 +11,16 @@ stays. Candidates come in two steps, and only a pair that passed the exact compa
    texts, so the first ones are those of one class alone, which can't join it with another: most texts have enough of them
    and meet nobody, also where they share passages with many others. Texts of different classes that share so many of
    their first shingles that they may be similar are compared: first STARS times with one text of each shingle's list, then
-   every such pair that is still apart.
+   every such pair that is still apart. Long texts take part with those shingles only whose hash is below a share of all
+   (LEVELS); of these, too, at most n - ceil(SIMILARITY n) can be missing from a similar text.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, lookup, split_join
@@ -36,12 +38,12 @@ STARS = 2
 SAMPLE = 4_000
 OFTEN = 20
 COMMON = 100_000
-#: The number of texts that a common shingle counts as; no other reaches it.
-MANY = 2**31 - 1
-#: Shingles that are counted together in one bucket, about.
-BUCKET = 1_000_000
-#: Bits of a shingle's hash that travel besides those of its bucket.
-BITS = 40
+#: The number of texts that stands for so many or more.
+MANY = 100_000
+#: From so many shingles on, the share of hashes that a text takes part with. A share must hold over 1 - SIMILARITY of a text's
+#: shingles: by chance it does not for fewer than one in 10 ** 8 texts, which may then miss a partner. Texts of up to 1 /
+#: SIMILARITY times the next level's first size take part at both, so that every similar pair has a level in common.
+LEVELS = ((0, 1.0), (100, 0.5), (400, 0.35))
 
 
 def family_prints(text: bytes, families: int = FAMILIES, shingle: int = PRINT_SHINGLE, seed: int = SEED) -> list[int]:
@@ -114,9 +116,13 @@ def similar_pairs(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILA
     return both.mapInArrow(run, "a long, b long")
 
 
-def _common_shingles(texts: DataFrame, n: int, buckets: int) -> list[int]:
-    """Shingles (their bits) that OFTEN or more of a sample's texts hold, COMMON at most; n: about how many texts there are."""
-    top = buckets.bit_length() - 1
+def first_shingles(n, similarity: float = SIMILARITY):
+    """How many first shingles of a set of n (a column) share one with those of any set of the similarity."""
+    return n - F.ceil(similarity * n - 1e-9) + 1
+
+
+def _common_shingles(texts: DataFrame, n: int) -> list[int]:
+    """Shingles that OFTEN or more of a sample's texts hold, COMMON at most; n: about how many texts there are."""
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -124,31 +130,27 @@ def _common_shingles(texts: DataFrame, n: int, buckets: int) -> list[int]:
 
         for batch in batches:
             for t in batch.column(0):
-                s = shingle_set(t.as_py()) or {0}
-                h = np.fromiter(s, dtype="<u8", count=len(s))
-                h = np.unique(h >> np.uint64(64 - top - BITS)) if top + BITS < 64 else h
-                yield pa.RecordBatch.from_arrays([pa.array(h.view("<i8"))], ["shingle"])
+                s = shingle_set(t.as_py())
+                yield pa.RecordBatch.from_arrays([pa.array(np.fromiter(s, dtype="<u8", count=len(s)).view("<i8"))], ["shingle"])
 
     sample = texts.where(F.pmod("node", F.lit(max(1, n // SAMPLE))) == 0).select("text").mapInArrow(run, "shingle long")
     often = sample.groupBy("shingle").agg(F.count("*").alias("n")).where(F.col("n") >= OFTEN).orderBy(F.desc("n"), "shingle").limit(COMMON)
     return [r.shingle for r in often.collect()]
 
 
-def first_shingles(texts: DataFrame, common: list[int], buckets: int, similarity: float = SIMILARITY) -> DataFrame:
-    """shingle, node, n (the node's shingles): of texts (node, class, text) those of each text's first shingles that several classes hold.
+def shared_shingles(texts: DataFrame, common: list[int], similarity: float = SIMILARITY) -> DataFrame:
+    """shingle, level, node, n (the node's shingles), own (those at this level), df (nodes that hold the shingle there, MANY at most).
 
-    The first shingles are those in the fewest texts, common ones last, ties by hash. A text's shingles travel packed, a row
-    for each bucket of hashes; a bucket's lists are made and counted in one task, and what several classes hold goes back to
-    its text, packed again. All other shingles of a text come before these in the order, so only their number is needed.
-    buckets: a power of two.
+    Of texts (node, class, text) those shingles that several classes hold, and all common ones.
     """
-    top = buckets.bit_length() - 1
 
-    def deal(batches: Iterator) -> Iterator:
+    def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        last = np.sort(np.array(common, dtype="<i8").view("<u8"))
+        last = np.sort(np.array(common, dtype=np.int64))
+        ends = [*[lo / similarity for lo, _ in LEVELS[1:]], float("inf")]
+        names = ["shingle", "salt", "node", "class", "n", "own"]
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
@@ -156,112 +158,83 @@ def first_shingles(texts: DataFrame, common: list[int], buckets: int, similarity
                 for node, of, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2)):
                     own = shingle_set(text.as_py()) or {0}  # no words: one shingle, the same for all
                     h = np.fromiter(own, dtype="<u8", count=len(own))
-                    h = np.unique(h >> np.uint64(64 - top - BITS)) if top + BITS < 64 else np.sort(h)
-                    is_last = np.isin(h, last)
-                    if is_last.any():
-                        rows.append((-1 - node % 1024, node, node ^ of, len(h), h[is_last].tobytes()))
-                    rest = h[~is_last]
-                    bucket = (rest >> np.uint64(BITS)).astype(np.int64)
-                    data = np.ascontiguousarray(rest.view(np.uint8).reshape(-1, 8)[:, : BITS // 8]).tobytes()
-                    at = np.flatnonzero(np.diff(bucket, prepend=-1))
-                    ends = [*at[1:].tolist(), len(rest)]
-                    for k, (x, y) in enumerate(zip(at.tolist(), ends)):
-                        rows.append((int(bucket[x]), node, node ^ of, len(h), data[x * BITS // 8 : y * BITS // 8]))
-                types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows) if rows else [[]] * 5, types)], ["bucket", "node", "off", "n", "data"])
-
-    def count(batches: Iterator) -> Iterator:
+                    for level, ((first, share), end) in enumerate(zip(LEVELS, ends)):
+                        if first <= len(h) < end:
+                            some = h if share == 1 else h[h < np.uint64(share * 2**64)]
+                            rows.append((some.view("<i8"), level, node, node ^ of, len(h), len(some)))  # class: mostly 0, packs well
+                sizes = [len(r[0]) for r in rows]
+                made = np.concatenate([r[0] for r in rows]) if rows else np.array([], dtype=np.int64)
+                level, node, of, n, own = (np.repeat(np.array([r[k] for r in rows], dtype=t), sizes) for k, t in ((1, np.int32), (2, np.int64), (3, np.int64), (4, np.int32), (5, np.int32)))
+                is_last = last[np.minimum(np.searchsorted(last, made), len(last) - 1)] == made if len(last) else np.zeros(len(made), dtype=bool)
+                salt = np.where(is_last, len(LEVELS) * (node % 1024 + 1), 0).astype(np.int32) + level  # common ones are spread by text
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (made, salt, node, of, n, own)], names)
+
+    def several(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        def ids(data, width):
-            raw = np.frombuffer(b"".join(data), dtype=np.uint8).reshape(-1, width)
-            out = np.zeros((len(raw), 8), dtype=np.uint8)
-            out[:, :width] = raw
-            return out.view("<u8").ravel()
-
-        def packed(node, n, shingle, df):
-            """One row for each node of what is left, by node."""
-            by = np.argsort(node, kind="stable")
-            node, n, shingle, df = node[by], n[by], shingle[by], df[by]
-            at = np.flatnonzero(np.diff(node, prepend=node[0] - 1)) if len(node) else np.array([], dtype=np.int64)
-            offsets = pa.array(np.append(at, len(node)).astype(np.int32))
-            cols = [pa.array(node[at]), pa.array(n[at]), pa.ListArray.from_arrays(offsets, pa.array(shingle.view("<i8"))), pa.ListArray.from_arrays(offsets, pa.array(df))]
-            return pa.RecordBatch.from_arrays(cols, ["node", "n", "shingles", "dfs"])
-
-        def lists(t):
-            bucket = t.column("bucket")[0].as_py()
-            data = t.column("data").to_pylist()
-            width = 8 if bucket < 0 else BITS // 8
-            sizes = np.array([len(x) // width for x in data])
-            shingle = ids(data, width)
-            node, off, n = (np.repeat(t.column(c).to_numpy(), sizes) for c in ("node", "off", "n"))
-            if bucket < 0:
-                return packed(node, n, shingle, np.full(len(node), MANY, dtype=np.int32))
-            by = np.lexsort((node, shingle))
-            shingle, node, off, n = shingle[by], node[by], off[by], n[by]
+        def lists(t, whole):
+            """The rows of the lists that go on, repeated ones once; whole: the last list ends here."""
+            shingle, salt, node = (t.column(c).to_numpy() for c in ("shingle", "salt", "node"))
             once = np.ones(len(shingle), dtype=bool)
-            once[1:] = (shingle[1:] != shingle[:-1]) | (node[1:] != node[:-1])  # rows that repeat
-            shingle, node, off, n = shingle[once], node[once], off[once], n[once]
-            at = np.flatnonzero(np.concatenate([[True], shingle[1:] != shingle[:-1]]))
-            df, of = np.diff(np.append(at, len(shingle))), node ^ off
-            keep = np.repeat(np.minimum.reduceat(of, at) != np.maximum.reduceat(of, at), df)
-            df = np.repeat(df, df).astype(np.int32)
-            whole = shingle | np.uint64(bucket << BITS)
-            return packed(node[keep], n[keep], whole[keep], df[keep])
-
-        held = []
-        for batch in batches:
-            while batch.num_rows:
-                bucket = batch.column("bucket").to_numpy()
-                if held and held[0].column("bucket")[0].as_py() != bucket[0]:
-                    yield lists(pa.Table.from_batches(held))
-                    held = []
-                same = bucket == bucket[0]
-                size = len(same) if same.all() else int(same.argmin())
-                held.append(batch.slice(0, size))
-                batch = batch.slice(size)
-        if held:
-            yield lists(pa.Table.from_batches(held))
-
-    def first(batches: Iterator) -> Iterator:
-        import numpy as np
-        import pyarrow as pa
-
-        def chosen(t):
-            """(shingle, node, n) of the first shingles of the table's nodes, whose rows lie together."""
-            sizes = np.diff(np.concatenate([[0], np.cumsum(np.array([len(x) for x in t.column("shingles")], dtype=np.int64))]))
-            node, n = (np.repeat(t.column(c).to_numpy(), sizes) for c in ("node", "n"))
-            flat = lambda c: t.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False)
-            shingle, df = flat("shingles"), flat("dfs")
-            by = np.lexsort((shingle, df, node))
-            node, n, shingle = node[by], n[by], shingle[by]
-            at = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]])) if len(node) else np.array([], dtype=np.int64)
-            own = np.diff(np.append(at, len(node)))
-            rank = np.arange(len(node)) - np.repeat(at, own)
-            # One more than the bound, for two shingles of a text whose bits are the same.
-            most = n - np.ceil(similarity * n - 1e-9).astype(np.int64) + 2 - (n - np.repeat(own, own))
-            keep = rank < most
-            return pa.RecordBatch.from_arrays([pa.array(shingle[keep]), pa.array(node[keep]), pa.array(n[keep])], ["shingle", "node", "n"])
-
-        held = None
+            once[1:] = (shingle[1:] != shingle[:-1]) | (salt[1:] != salt[:-1]) | (node[1:] != node[:-1])
+            if not once.all():
+                t = t.filter(pa.array(once))
+                shingle, salt = shingle[once], salt[once]
+            of = t.column("class").to_numpy() ^ t.column("node").to_numpy()
+            new = np.ones(len(shingle), dtype=bool)
+            new[1:] = (shingle[1:] != shingle[:-1]) | (salt[1:] != salt[:-1])
+            at = np.flatnonzero(new)
+            df = np.diff(np.append(at, len(shingle)))
+            common = salt[at] >= len(LEVELS)
+            many = (np.minimum.reduceat(of, at) != np.maximum.reduceat(of, at)) | common
+            df = np.where(common, MANY, np.minimum(df, MANY))
+            if not whole:
+                many[-1], df[-1] = True, MANY
+            keep = np.repeat(many, np.diff(np.append(at, len(shingle))))
+            level, df = pa.array((salt % len(LEVELS)).astype(np.int32)), pa.array(np.repeat(df, np.diff(np.append(at, len(shingle)))).astype(np.int32))
+            return pa.table([t.column("shingle"), level, t.column("node"), t.column("n"), t.column("own"), df], ["shingle", "level", "node", "n", "own", "df"]).filter(pa.array(keep)).combine_chunks().to_batches()
+
+        held, long = None, None  # long: the list that went out as one of MANY rows already
         for batch in batches:
             if not batch.num_rows:
                 continue
             now = pa.Table.from_batches([batch])
             held = now if held is None else pa.concat_tables([held, now]).combine_chunks()
-            node = held.column("node").to_numpy()
-            ends = np.flatnonzero(node != node[-1])
-            whole = int(ends[-1]) + 1 if len(ends) else 0
-            if whole:  # the last text may go on in the next batch
-                yield chosen(held.slice(0, whole))
+            shingle, salt = held.column("shingle").to_numpy(), held.column("salt").to_numpy()
+            if long is not None:
+                on = (shingle == long[0]) & (salt == long[1])
+                size = len(on) if on.all() else int(on.argmin())
+                if size:
+                    yield from lists(held.slice(0, size), False)
+                    held = held.slice(size)
+                if not held.num_rows:
+                    held = None
+                    continue
+                long = None
+                shingle, salt = shingle[size:], salt[size:]
+            ends = (shingle != shingle[-1]) | (salt != salt[-1])
+            whole = int(np.flatnonzero(ends)[-1]) + 1 if ends.any() else 0
+            if whole:  # the last list may go on in the next batch
+                yield from lists(held.slice(0, whole), True)
                 held = held.slice(whole)
+            if held.num_rows >= MANY:
+                long = held.column("shingle")[0].as_py(), held.column("salt")[0].as_py()
+                yield from lists(held, False)
+                held = None
         if held is not None:
-            yield chosen(held)
+            yield from lists(held, True)
+
+    rows = texts.select("node", "class", "text").mapInArrow(run, "shingle long, salt int, node long, class long, n int, own int")
+    return rows.repartition("shingle", "salt").sortWithinPartitions("shingle", "salt", "node").mapInArrow(several, "shingle long, level int, node long, n int, own int, df int")
+
 
-    dealt = texts.select("node", "class", "text").mapInArrow(deal, "bucket long, node long, off long, n int, data binary")
-    counted = dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(count, "node long, n int, shingles array<long>, dfs array<int>")
-    return counted.repartition("node").sortWithinPartitions("node").mapInArrow(first, "shingle long, node long, n int")
+def prefixes(shared: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """shingle, node, n: of each node's first shingles at each of its levels those that it shares; all others come before them in the order."""
+    most = first_shingles(F.col("n"), similarity) - F.col("own")  # less those that it shares with no other class
+    enough = shared.groupBy("node", "level", "n", "own").agg(F.count("*").alias("all")).where(F.col("all") + most > 0).select("node", "level", "all")
+    counted = shared.join(enough, ["node", "level"]).withColumn("k", F.row_number().over(Window.partitionBy("node", "level").orderBy("df", "shingle")))
+    return counted.where(F.col("k") <= F.col("all") + most).select("shingle", "node", "n").distinct()
 
 
 def _labelled(rows: DataFrame, of: DataFrame, column: str) -> DataFrame:
@@ -286,9 +259,7 @@ def similar_links(docs: DataFrame, reps: DataFrame, links: DataFrame, similarity
     links = compared(links)
     of = cut(components(links))
     labelled = _labelled(texts(reps), of, "node").withColumnRenamed("label", "class")
-    n, words = reps.agg(F.count("*"), F.coalesce(F.sum("words"), F.lit(0))).first()
-    buckets = 1 << min(60 - BITS, max(0, words // BUCKET).bit_length())
-    lists = cut(first_shingles(labelled, _common_shingles(_noded(docs), n, buckets), buckets, similarity))
+    lists = cut(prefixes(cut(shared_shingles(labelled, _common_shingles(_noded(docs), reps.count()), similarity)), similarity))
     ends = ["a", "b", "n_a", "n_b"]
     for k in range(STARS):
         rows = cut(_labelled(lists, of, "node").select("shingle", "label", "node", "n"))
@@ -327,14 +298,12 @@ def near_components(docs: DataFrame, similarity: float = SIMILARITY, radius: int
         import pyarrow as pa
 
         for batch in batches:
-            texts = [t.as_py() or b"" for t in batch.column(2).cast(pa.large_binary())]
-            made = [[x - 2**64 if x >= 2**63 else x for x in family_prints(t)] for t in texts]
-            words = [t.count(b" ") + 1 for t in texts]  # about
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, pa.list_(pa.int64())), pa.array(words, pa.int64())], ["doc_id", "node", "fps", "words"])
+            made = [[x - 2**64 if x >= 2**63 else x for x in family_prints(t.as_py() or b"")] for t in batch.column(2).cast(pa.large_binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, pa.list_(pa.int64()))], ["doc_id", "node", "fps"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    prints = cut(_noded(docs).select("doc_id", "node", "text").mapInArrow(run, f"doc_id {kind}, node long, fps array<long>, words long"))
-    reps = cut(prints.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("fps").alias("fps"), F.max("words").alias("words")))
+    prints = cut(_noded(docs).select("doc_id", "node", "text").mapInArrow(run, f"doc_id {kind}, node long, fps array<long>"))
+    reps = cut(prints.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("fps").alias("fps")))
     owned = cut(reps.select("node", F.posexplode("fps").alias("family", "fp")))
     first = cut(owned.groupBy("family", "fp").agg(F.min("node").alias("first")))
     links = fingerprint_links(first.select("family", "fp"), radius, shard_nodes)
