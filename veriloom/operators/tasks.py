@@ -17,14 +17,19 @@ def load_tasks(inventory: DataFrame, ids: DataFrame | None = None, root: str = "
     return tasks if ids is None else tasks.join(ids.select(F.col("id").cast("int").alias("id")).distinct(), "id", "left_semi")
 
 
-def ordinal(rows: DataFrame, order: list[str], parts: int = 64) -> DataFrame:
-    """row_pos, from 0, in the given order, without one task that sorts everything: ranges are dealt and written once, counted, then numbered each on its own."""
-    dealt = cut(rows.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()))
-    sizes = dealt.groupBy("_part").agg(F.count("*").alias("n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
-    base = sizes.select("_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_base"))
-    k = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    return dealt.withColumn("_k", k).join(F.broadcast(base), "_part").withColumn("row_pos", F.col("_base") + F.col("_k") - 1).drop("_part", "_k", "_base")
+def ordinal(rows: DataFrame, order: list[str], pos: str = "row_pos") -> DataFrame:
+    """row_pos, from 0, in the given order, without one task that sorts everything: ranges are sorted, written once with each row's place, and counted.
+
+    Of rows that are equal in all columns of the order, any may come first. A column named `pos` is replaced; no other name clashes.
+    """
+    bits = 33  # of monotonically_increasing_id, below the partition's number
+    row = F.struct(*[F.col(f"`{c}`") for c in rows.columns if c != pos]).alias("row")
+    dealt = cut(rows.repartitionByRange(*order).sortWithinPartitions(*order).select(row, F.monotonically_increasing_id().alias("at")))
+    part = F.shiftright("at", bits).alias("part")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    base = dealt.groupBy(part).agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    placed = dealt.select("row", "at", part).join(F.broadcast(base), "part")
+    return placed.select("row.*", (F.col("base") + F.col("at").bitwiseAND((1 << bits) - 1)).alias(pos))
 
 
 def by_id(results: DataFrame, key: str = "id") -> DataFrame:
