@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mil_quality, mixing, packing, pii, quality_rules, simhash, token_store, topk, toxicity
+from . import line_dedup, mil_quality, mixing, packing, pii, prefix_trie, quality_rules, secret_scan, simhash, token_store, topk, toxicity, turn_repair
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,10 +66,28 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    n = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{kind}") for k, kind in enumerate(secret_scan.KINDS[:3])]
+    return found.select("doc_id", *n, F.sha2(secret_scan.joined("base"), 256).alias("base_sha256"), secret_scan.joined("spans").alias("spans"))
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair_turns(table(spark, sf_dir, "conversations"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_simhash, op2_line_dedup, op3_topk, op4_quality_rules, op5_pii, op6_toxicity, op7_packing, op8_mil_quality, op9_token_store, op10_mixing)
-}
+    for f in (
+        op1_simhash, op2_line_dedup, op3_topk, op4_quality_rules, op5_pii, op6_toxicity, op7_packing, op8_mil_quality, op9_token_store, op10_mixing, op11_secret_scan, op12_turn_repair,
+        op13_prefix_trie,
+    )
+}
 
 ORACLE: dict[str, str] = {}
 
@@ -167,3 +185,67 @@ drawn AS (
   FROM sized s JOIN rates r ON s.source IS NOT DISTINCT FROM r.source)
 SELECT doc_id, size, source_size, target, (size * (whole + CASE WHEN u < part THEN 1 ELSE 0 END))::BIGINT AS taken FROM drawn
 """
+
+
+def _crc32(text: str) -> str:
+    """The CRC-32 of a text of ASCII characters, bit by bit."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))"
+    return f"xor(list_reduce({steps}, lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, 4294967295::BIGINT), 4294967295)"
+
+
+ORACLE["op12_turn_repair"] = rf"""
+WITH RECURSIVE hit AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS kind FROM conversations),
+broken AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy FROM hit WHERE kind <> 0),
+placed AS (
+  SELECT conv_id, turn, role, text, left(role, 1) AS ini, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS k,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen FROM broken),
+turns AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN seen > 1 THEN 'duplicate' WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+         lag(ini) OVER (PARTITION BY conv_id ORDER BY k) || ini AS pair FROM placed),
+walk AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS k, 0 AS s, 0::BIGINT AS cost, '' AS audit, []::VARCHAR[] AS said FROM turns
+  UNION ALL
+  SELECT conv_id, k, after, min(cost), arg_min(audit, (cost, audit)), arg_min(said, (cost, audit)) FROM (
+    SELECT conv_id, k, cost, audit, CASE edit WHEN 'D' THEN here WHEN 'R' THEN CASE here WHEN 2 THEN 3 ELSE 2 END ELSE CASE WHEN here = 0 AND ini = 's' THEN 1 WHEN here <> 2 AND ini = 'u' THEN 2 WHEN here = 2 AND ini = 'a' THEN 3 END END AS after,
+           said || CASE edit WHEN 'D' THEN [] WHEN 'K' THEN [role || ':' || text] ELSE [CASE here WHEN 2 THEN 'assistant:' ELSE 'user:' END || text] END AS said
+    FROM (
+      SELECT w.conv_id, t.k, t.role, t.text, t.ini, edit, audit || CASE WHEN more THEN 'I' ELSE '' END || edit AS audit, CASE WHEN NOT more THEN s WHEN s = 2 THEN 3 ELSE 2 END AS here,
+             said || CASE WHEN NOT more THEN [] WHEN s = 2 THEN ['assistant:'] ELSE ['user:'] END AS said,
+             cost + CASE WHEN more THEN 3 ELSE 0 END + CASE edit WHEN 'D' THEN 4 WHEN 'R' THEN 3 ELSE 0 END + CASE WHEN edit <> 'D' AND fault = 'truncated' THEN 3 ELSE 0 END AS cost
+      FROM walk w JOIN turns t ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND t.k = w.k + 1, (VALUES ('D'), ('K'), ('R')) AS e(edit), (VALUES (true), (false)) AS i(more)
+      WHERE edit = 'D' OR fault IN ('', 'truncated')))
+  WHERE after IS NOT NULL GROUP BY conv_id, k, after),
+ended AS (
+  SELECT conv_id, cost + CASE s WHEN 1 THEN 6 WHEN 2 THEN 3 ELSE 0 END AS cost, audit || CASE s WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END AS audit, said || CASE s WHEN 1 THEN ['user:', 'assistant:'] WHEN 2 THEN ['assistant:'] ELSE [] END AS said
+  FROM walk JOIN (SELECT conv_id AS c, max(k) AS n FROM turns GROUP BY conv_id) ON c IS NOT DISTINCT FROM conv_id AND n = k),
+best AS (SELECT conv_id, min(cost) AS cost, arg_min(audit, (cost, audit)) AS audit, arg_min(said, (cost, audit)) AS said FROM ended GROUP BY conv_id),
+per AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM turns GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(said, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN per p ON p.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+ORACLE["op13_prefix_trie"] = rf"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS k FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT conv_id AS c, conv_id - conv_id % 20 AS base, {_crc32("conv_id::VARCHAR")} % 4 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+built AS (
+  SELECT c, role, text, row_number() OVER (PARTITION BY c ORDER BY own, k) AS d
+  FROM (SELECT c, false AS own, k, role, text FROM ids JOIN t ON t.conv_id = base AND k < h UNION ALL SELECT c, true, k, role, text FROM ids JOIN t ON t.conv_id = c AND k >= h)),
+member AS (
+  SELECT c, d, md5(array_to_string(list(md5(length(role) || ':' || role || text)) OVER (PARTITION BY c ORDER BY d), ',')) AS node, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words FROM built
+  UNION ALL SELECT c, 0, '', 0 FROM ids),
+nodes AS (SELECT node, any_value(d) AS d, min(c) AS conv_id, count(*) AS n_convs, any_value(words) AS words FROM member GROUP BY node),
+ups AS (SELECT n.node, m.node AS up, n.d - m.d AS away, n.n_convs, n.words FROM nodes n JOIN member m ON m.c = n.conv_id AND m.d <= n.d),
+kids AS (SELECT up AS node, count(*) AS n FROM ups WHERE away = 1 GROUP BY up),
+sums AS (
+  SELECT up AS node, sum((n_convs - 1) * words)::BIGINT AS saved_tokens, count(*) FILTER (kids.n IS NULL) AS n_leaves FROM ups LEFT JOIN kids ON kids.node = ups.node GROUP BY up),
+ends AS (SELECT node, string_agg(c::VARCHAR, ',' ORDER BY c) AS ids FROM member JOIN (SELECT c AS e, max(d) AS last FROM member GROUP BY c) ON e = c AND d = last GROUP BY node)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(kids.n, 0) AS n_children, n_leaves, saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM nodes n JOIN sums USING (node) LEFT JOIN kids USING (node) LEFT JOIN ends USING (node) LEFT JOIN ups u ON u.node = n.node AND u.away = 1 LEFT JOIN nodes p ON p.node = u.up
+"""
