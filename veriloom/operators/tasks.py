@@ -17,14 +17,16 @@ def load_tasks(inventory: DataFrame, ids: DataFrame | None = None, root: str = "
     return tasks if ids is None else tasks.join(ids.select(F.col("id").cast("int").alias("id")).distinct(), "id", "left_semi")
 
 
-def ordinal(rows: DataFrame, order: list[str], pos: str = "row_pos") -> DataFrame:
+def ordinal(rows: DataFrame, order: list[str], parts: int | None = None, pos: str = "row_pos") -> DataFrame:
     """row_pos, from 0, in the given order, without one task that sorts everything: ranges are sorted, written once with each row's place, and counted.
 
-    Of rows that are equal in all columns of the order, any may come first. A column named `pos` is replaced; no other name clashes.
+    Of rows that are equal in all columns of the order, any may come first. A column named `pos` is replaced; no other name
+    clashes. parts: the number of ranges, else the session's number of shuffle partitions.
     """
     bits = 33  # of monotonically_increasing_id, below the partition's number
     row = F.struct(*[F.col(f"`{c}`") for c in rows.columns if c != pos]).alias("row")
-    dealt = cut(rows.repartitionByRange(*order).sortWithinPartitions(*order).select(row, F.monotonically_increasing_id().alias("at")))
+    ranged = rows.repartitionByRange(parts, *order) if parts else rows.repartitionByRange(*order)
+    dealt = cut(ranged.sortWithinPartitions(*order).select(row, F.monotonically_increasing_id().alias("at")))
     part = F.shiftright("at", bits).alias("part")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
     base = dealt.groupBy(part).agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
