@@ -101,6 +101,10 @@ def _submission(schema: dict, name: str) -> dict:
     return {"name": name, "description": "Hands in the final answer.", "parameters": schema}
 
 
+#: Told before the last round, in which no tool is offered.
+LAST_ROUND = "No further look-ups. Hand in your answer now."
+
+
 @dataclass
 class ToolAgent:
     """At most `rounds` rounds of tool calls, then one last answer: a forced submission where a schema is asked for, else text without tools. A tool's exception is its answer's text."""
@@ -127,6 +131,8 @@ class ToolAgent:
         spent = [0, 0]
         for k in range(self.rounds + 1):
             last = k == self.rounds
+            if last:
+                messages.append({"role": "user", "content": LAST_ROUND})
             offered = [{"type": "function", "function": d} for d in self.offered(schema, last)]
             more = {"tools": offered} if offered else {}
             if last and schema:
@@ -155,6 +161,8 @@ class ResponsesAgent(ToolAgent):
         spent = [0, 0]
         for k in range(self.rounds + 1):
             last = k == self.rounds
+            if last:
+                items.append({"role": "user", "content": LAST_ROUND})
             offered = [{"type": "function", **d} for d in self.offered(schema, last)]
             body = {"model": self.chat.model, "instructions": system, "input": items, "store": False}
             if offered:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from veriloom.sources.storage import cut
+
 # Words that are no search terms.
 STOP = ("theorem", "lemma", "have", "exact", "import", "Mathlib", "open", "Polynomial", "Show", "that", "sorry", "integrally", "closed")
 
@@ -34,15 +36,21 @@ def search(queries: DataFrame, lines: DataFrame, per_file: int = 2, most: int =
     (path, line) travels; texts come for the lines that are left.
     """
     asked = queries.select("query_id", F.explode(terms(F.col("query"))).alias("term")).distinct().withColumn("gram", F.substring("term", 1, term_chars))
-    runs = lines.select("path", "line", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(f"[A-Za-z0-9_]{{{term_chars},}}"), F.lit(0)))).alias("run"))
+    # Cut from the lines once, and written: the distinct runs and the hits are both read from there.
+    runs = cut(lines.select("path", "line", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(f"[A-Za-z0-9_]{{{term_chars},}}"), F.lit(0)))).alias("run")))
     grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("run") - term_chars + 1), lambda i: F.substring(F.col("run"), i, F.lit(term_chars))))
     words = runs.select("run").distinct().select("run", F.explode(grams).alias("gram"))
-    matched = words.join(asked, "gram").where(F.contains("run", F.col("term"))).select("query_id", "run").distinct()
-    hits = runs.join(matched, "run").select("query_id", "path", "line").distinct()
+    matched = cut(words.join(asked, "gram").where(F.contains("run", F.col("term"))).select("query_id", "run").distinct())
+    hits = runs.join(_sent(matched), "run").select("query_id", "path", "line").distinct()
     in_file = F.row_number().over(Window.partitionBy("query_id", "path").orderBy("line"))
     overall = F.row_number().over(Window.partitionBy("query_id").orderBy("path", "line"))
-    kept = hits.withColumn("k", in_file).where(F.col("k") <= per_file).drop("k").withColumn("rank", overall).where(F.col("rank") <= most)
-    return kept.join(lines, ["path", "line"]).select("query_id", "path", "line", "text", "rank")
+    kept = cut(hits.withColumn("k", in_file).where(F.col("k") <= per_file).drop("k").withColumn("rank", overall).where(F.col("rank") <= most))
+    return lines.join(_sent(kept), ["path", "line"]).select("query_id", "path", "line", "text", "rank")
+
+
+def _sent(rows: DataFrame, few: int = 20_000) -> DataFrame:
+    """To be broadcast, if it has few rows."""
+    return F.broadcast(rows) if rows.limit(few + 1).count() <= few else rows
 
 
 def shown(queries: DataFrame, lines: DataFrame, found: DataFrame) -> DataFrame:

@@ -26,6 +26,10 @@ class Verifier(Protocol):
         """The same for one file (of this path) of each project, the rest of the project beside it."""
         ...
 
+    def check_files(self, files: DataFrame, targets: DataFrame) -> DataFrame:
+        """project, path, exit_code, global_errors, holes, output of each target (project, path, level), lower levels of a project first, its other files beside it."""
+        ...
+
 
 class OfflineVerifier:
     """Counts holes and reports a line with the word `broken` in code as an error. It checks plumbing, not proofs."""
@@ -39,6 +43,11 @@ class OfflineVerifier:
     def check(self, files: DataFrame, path: str) -> DataFrame:
         return self.verify(files.where(F.col("path") == path))
 
+    def check_files(self, files: DataFrame, targets: DataFrame) -> DataFrame:
+        wanted = files.join(targets.select("project", "path"), ["project", "path"], "left_semi")
+        each = self.verify(wanted.select(F.struct("project", "path").alias("project"), "path", "content"))
+        return each.select("project.project", "project.path", "exit_code", "global_errors", "holes", "output")
+
 
 class ProcessVerifier:
     """Writes a project's files to a folder of the task and runs the build there; check runs file_argv with the file's path, if given, else the build."""
@@ -52,6 +61,28 @@ class ProcessVerifier:
     def check(self, files: DataFrame, path: str) -> DataFrame:
         return self._run(files, (*self.file_argv, path) if self.file_argv else self.argv)
 
+    def check_files(self, files: DataFrame, targets: DataFrame) -> DataFrame:
+        timeout, argv = self.timeout, self.file_argv or self.argv
+        wanted = targets.groupBy("project").agg(F.sort_array(F.collect_list(F.struct("level", "path"))).alias("targets"))
+        mine = files.join(wanted.select("project"), "project", "left_semi")
+        per = mine.groupBy("project").agg(F.collect_list(F.struct("path", "content")).alias("files")).join(wanted, "project")
+
+        def run(batches: Iterator) -> Iterator:
+            import pandas as pd
+
+            for rows in batches:
+                out = []
+                for r in rows.itertuples():
+                    with tempfile.TemporaryDirectory() as own:
+                        _write_files(own, r.files)
+                        out += [(r.project, t["path"], *_command((*argv, t["path"]), own, timeout)[:2]) for t in r.targets]
+                yield pd.DataFrame(out, columns=["project", "path", "exit_code", "output"])
+
+        kind = files.schema["project"].dataType.simpleString()
+        made = per.mapInPandas(run, f"project {kind}, path string, exit_code int, output string")
+        holes = mine.select("project", "path", T.count_holes(T.mask_code(F.col("content"))).alias("holes"))
+        return made.join(holes, ["project", "path"]).select("project", "path", "exit_code", T.count_errors(F.col("output")).cast("int").alias("global_errors"), "holes", "output")
+
     def _run(self, files: DataFrame, argv: tuple[str, ...]) -> DataFrame:
         timeout = self.timeout
         per = files.groupBy("project").agg(F.collect_list(F.struct("path", "content")).alias("files"), F.sum(T.count_holes(T.mask_code(F.col("content")))).cast("int").alias("holes"))
@@ -63,18 +94,9 @@ class ProcessVerifier:
                 out = []
                 for r in rows.itertuples():
                     with tempfile.TemporaryDirectory() as own:
-                        for f in r.files:
-                            path = os.path.join(own, f["path"])
-                            os.makedirs(os.path.dirname(path), exist_ok=True)
-                            with open(path, "w", encoding="utf-8") as o:
-                                o.write(f["content"])
-                        began = time.monotonic()
-                        try:
-                            done = subprocess.run(argv, cwd=own, text=True, stdout=subprocess.PIPE, stderr=subprocess.STDOUT, timeout=timeout)
-                            code, said = done.returncode, done.stdout
-                        except (OSError, subprocess.TimeoutExpired) as e:
-                            code, said = 127, f"x: error: {type(e).__name__}: {e}"
-                        out.append((r.project, code, r.holes, said[-T.OUTPUT_TAIL :], round(time.monotonic() - began, 3)))
+                        _write_files(own, r.files)
+                        code, said, took = _command(argv, own, timeout)
+                        out.append((r.project, code, r.holes, said, took))
                 yield pd.DataFrame(out, columns=["project", "exit_code", "holes", "output", "seconds"])
 
         kind = files.schema["project"].dataType.simpleString()
@@ -82,6 +104,25 @@ class ProcessVerifier:
         return made.withColumn("global_errors", T.count_errors(F.col("output")).cast("int"))
 
 
+def _write_files(root: str, files) -> None:
+    for f in files:
+        path = os.path.join(root, f["path"])
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "w", encoding="utf-8") as o:
+            o.write(f["content"])
+
+
+def _command(argv: tuple[str, ...], folder: str, timeout: int) -> tuple[int, str, float]:
+    """(exit code, the end of what it said, seconds) of a program in a folder; 127 where it can't be run or takes too long."""
+    began = time.monotonic()
+    try:
+        done = subprocess.run(argv, cwd=folder, text=True, stdout=subprocess.PIPE, stderr=subprocess.STDOUT, timeout=timeout)
+        code, said = done.returncode, done.stdout
+    except (OSError, subprocess.TimeoutExpired) as e:
+        code, said = 127, f"x: error: {type(e).__name__}: {e}"
+    return code, said[-T.OUTPUT_TAIL :], round(time.monotonic() - began, 3)
+
+
 #: The file that asks for a goal; no project has one of that name.
 GOAL_FILE = "GoalQuery.lean"
 

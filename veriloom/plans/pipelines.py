@@ -8,14 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veriloom.functions import text as T
-from veriloom.operators import projects, providers, retrieval, signatures
+from veriloom.operators import projects, providers, retrieval, signatures, versions
 from veriloom.operators.verifier import OfflineVerifier, Verifier, goal_state
 from veriloom.plans import stages
+from veriloom.sources import keyed
 from veriloom.sources.storage import cut
 
 FILES = "files array<struct<path:string,content:string>>, delete array<string>"
@@ -111,6 +113,46 @@ def split_large(files: DataFrame, ask: Ask, verifier: Verifier, max_lines: int =
     return cut(projects.choose(files, candidate, judged)), out
 
 
+class Appended:
+    """Rows that only grow, a table for each piece. FOLD tables of a level become one of the next, so a row is rewritten a logarithmic number of times and plans stay short."""
+
+    FOLD = 8
+
+    def __init__(self, first: DataFrame):
+        self.none, self.levels = first.limit(0), [[first]]
+
+    def add(self, rows: DataFrame) -> None:
+        table, level = cut(rows.select(self.none.columns)), 1
+        while True:
+            if len(self.levels) <= level:
+                self.levels.append([])
+            self.levels[level].append(table)
+            if len(self.levels[level]) < self.FOLD:
+                return
+            table = cut(reduce(DataFrame.unionByName, self.levels[level]))
+            self.levels[level], level = [], level + 1
+
+    def all(self) -> DataFrame:
+        return reduce(DataFrame.unionByName, [t for level in self.levels for t in level], self.none)
+
+
+def tried(open_: DataFrame, shown: DataFrame, answers: DataFrame, verifier: Verifier) -> tuple[DataFrame, DataFrame]:
+    """(patch, judged): the files that the answers write, and project, error, _exit, _errors, _holes, _output of each open project's candidate.
+
+    The shown files hold the frozen statements, so a candidate does if its patch states what the files that it replaces state; only these are
+    read for that. What can't be read, has an unsafe path or changes a statement isn't verified.
+    """
+    patch, raised = _patch(answers)
+    patch = cut(patch)
+    old = shown.join(patch.select("project", "path"), ["project", "path"], "left_semi")
+    same = signatures.frozen(signatures.inventory(old), signatures.inventory(patch))
+    unread, changed = F.coalesce("raised", F.lit(True)), ~F.coalesce("signatures_frozen", F.lit(True))
+    error = F.when(unread, "unreadable or unsafe answer").when(changed, "changed a frozen statement").alias("error")
+    sound = cut(open_.select("project").join(raised, "project", "left").join(same, "project", "left").select("project", error))
+    candidate = projects.overlay(shown, patch).join(sound.where("error IS NULL"), "project", "left_semi")
+    return patch, sound.join(_verdict(verifier, candidate).toDF("project", "_exit", "_errors", "_holes", "_output"), "project", "left")
+
+
 def repair(files: DataFrame, plan: Ask, propose: Ask, verifier: Verifier, budget: Budget = Budget(), corpus: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(files, verdicts, trace): plan and patch until a project builds without holes; then one last build of all.
 
@@ -118,69 +160,68 @@ def repair(files: DataFrame, plan: Ask, propose: Ask, verifier: Verifier, budget
     draft's, it is the next attempt's base, but not the project's files. Answers that can't be read, unsafe paths and changed
     statements count as raising attempts; they are not verified. A plan is asked with the focus, its goal, the lines that
     the text around it finds in the corpus (path, line, text) and the plan before. verdicts: project, exit_code,
-    global_errors, holes, output, verifier_calls, of the last build.
+    global_errors, holes, output, verifier_calls, of the last build. An attempt writes the files that it changes and the states
+    of open projects, nothing else; repair_stream runs the same as a stream that can be restarted.
     """
-    files = cut(projects.checked_paths(files))
-    frozen = cut(signatures.inventory(files))
-    state = _verdict(verifier, files).withColumn("draft_holes", F.col("holes")).withColumn("draft_errors", F.col("global_errors"))
+    base = cut(projects.checked_paths(files).select("project", "path", "content"))
+    log = Appended(base.withColumn("version", F.lit(0).cast("long")))
+    state = _verdict(verifier, base).withColumn("draft_holes", F.col("holes")).withColumn("draft_errors", F.col("global_errors"))
     state = cut(state.withColumn("feedback", F.col("output")).withColumn("verifier_calls", F.lit(1)).withColumn("plan", F.lit("")))
-    drafts = files.limit(0)
-    trace = None
     solved: Column = (F.col("holes") == 0) & (F.col("exit_code") == 0)
+    done = Appended(cut(state.where(solved)))
+    state = cut(state.where(~solved))
+    drafts, trace, n = base.limit(0), None, 0
     for r in range(1, budget.planning_rounds + 1):
-        open_ = cut(state.where(~solved).select("project"))
-        if _none(open_):
+        if _none(state):
             break
-        focus = _focus(files.join(open_, "project", "left_semi"), verifier, corpus)
-        rows = open_.join(state.select("project", "output", F.col("plan").alias("prior_plan")), "project").join(focus, "project", "left")
+        current = versions.latest(log.all().join(state.select("project"), "project", "left_semi"))
+        focus = _focus(current, verifier, corpus)
+        rows = state.select("project", "output", F.col("plan").alias("prior_plan")).join(focus, "project", "left")
         plans = cut(plan(rows.withColumn("goal", F.coalesce("goal", "output")).drop("retrieval").join(focus.select("project", "retrieval"), "project", "left")))
         plans = plans.select("project", F.col("text").alias("plan"), F.col("tokens").alias("planner_tokens"))
         asked_goal = focus.select("project", F.lit(1).alias("goals"))
         state = state.drop("plan").join(plans.select("project", "plan"), "project", "left").join(asked_goal, "project", "left")
         state = cut(state.withColumn("verifier_calls", F.col("verifier_calls") + F.coalesce("goals", F.lit(0))).drop("goals"))
         for a in range(1, budget.executor_attempts + 1):
-            current = files.join(open_, "project", "left_semi")
-            shown = cut(projects.overlay(current, drafts.join(open_, "project", "left_semi")))
-            answers = cut(propose(_shown(shown).join(plans, "project").join(state.select("project", T.tail(F.col("feedback"), 10_000).alias("feedback")), "project").join(focus.select("project", "retrieval"), "project", "left")))
-            patch, raised = _patch(answers)
-            candidate = cut(projects.overlay(shown, patch))
-            same = signatures.frozen(frozen.join(open_, "project", "left_semi"), signatures.inventory(candidate))
-            unread = F.coalesce("raised", F.lit(True))
-            changed = ~F.coalesce("signatures_frozen", F.lit(True))
-            sound = open_.join(raised, "project", "left").join(same, "project", "left").withColumn("error", F.when(unread, "unreadable or unsafe answer").when(changed, "changed a frozen statement")).select("project", "error")
-            sound = cut(sound)
-            tried = candidate.join(sound.where("error IS NULL"), "project", "left_semi")
-            new = _verdict(verifier, tried).toDF("project", "_exit", "_errors", "_holes", "_output")
-            judged = sound.join(state, "project").join(new, "project", "left").join(answers.select("project", F.col("tokens").alias("executor_tokens")), "project", "left").join(plans.select("project", "planner_tokens"), "project", "left")
+            n += 1
+            current = versions.latest(log.all().join(state.select("project"), "project", "left_semi"))
+            shown = projects.overlay(current, drafts)
+            feedback = state.select("project", T.tail(F.col("feedback"), 10_000).alias("feedback"))
+            answers = cut(propose(_shown(shown).join(plans, "project").join(feedback, "project").join(focus.select("project", "retrieval"), "project", "left")))
+            patch, judged = tried(state, shown, answers, verifier)
+            judged = judged.join(state, "project").join(answers.select("project", F.col("tokens").alias("executor_tokens")), "project", "left").join(plans.select("project", "planner_tokens"), "project", "left")
             ok = F.col("error").isNull() & F.col("_exit").isNotNull()
             judged = judged.withColumn("accepted", F.coalesce(ok & (F.struct("_errors", "_holes") < F.struct("global_errors", "holes")), F.lit(False)))
             judged = cut(judged.withColumn("retained", F.coalesce(ok & ~F.col("accepted") & (F.struct("_holes", "_errors") < F.struct("draft_holes", "draft_errors")), F.lit(False))))
-            files = cut(projects.choose(files, candidate, judged))
-            kept = candidate.join(judged.where("retained").select("project"), "project", "left_semi")
-            stale = judged.where("accepted OR retained").select("project")
-            drafts = cut(drafts.join(stale, "project", "left_anti").unionByName(kept))
+            moved_files = projects.overlay(drafts, patch)  # what a candidate changes of its project's files
+            log.add(moved_files.join(judged.where("accepted").select("project"), "project", "left_semi").withColumn("version", F.lit(n).cast("long")))
             pick = lambda new, old: F.when(F.col("accepted"), F.col(new)).otherwise(F.col(old)).alias(old)
             rank = lambda new, old: F.when(F.col("accepted") | F.col("retained"), F.col(new)).otherwise(F.col(old)).alias(old)
             moved = judged.select(
                 "project", pick("_exit", "exit_code"), pick("_errors", "global_errors"), pick("_holes", "holes"), pick("_output", "output"), rank("_holes", "draft_holes"), rank("_errors", "draft_errors"),
                 F.coalesce("_output", "output").alias("feedback"), (F.col("verifier_calls") + F.col("error").isNull().cast("int")).alias("verifier_calls"), "plan",
             )
-            state = cut(moved.unionByName(state.join(moved, "project", "left_anti")))
             step = judged.select("project", F.lit(r).alias("planning_round"), F.lit(a).alias("executor_attempt"), "accepted", "retained", "error", F.coalesce("planner_tokens", F.lit(0)).alias("planner_tokens"), F.coalesce("executor_tokens", F.lit(0)).alias("executor_tokens"))
-            trace = step if trace is None else cut(trace.unionByName(step))
-            open_ = cut(open_.join(state.where(~solved).select("project"), "project", "left_semi"))
-            if _none(open_):
+            if trace is None:
+                trace = Appended(step.limit(0))
+            trace.add(step)
+            done.add(moved.where(solved))
+            state = cut(moved.where(~solved))
+            kept = moved_files.join(judged.where("retained").select("project"), "project", "left_semi")
+            old = drafts.join(judged.where("accepted OR retained").select("project"), "project", "left_anti")
+            drafts = cut(old.unionByName(kept).join(state.select("project"), "project", "left_semi"))
+            if _none(state):
                 break
-    if trace is None:
-        trace = state.select("project").limit(0).selectExpr("project", "0 planning_round", "0 executor_attempt", "false accepted", "false retained", "cast(null as string) error", "0 planner_tokens", "0 executor_tokens")
-    final = cut(_verdict(verifier, files).join(state.select("project", (F.col("verifier_calls") + 1).alias("verifier_calls")), "project"))
-    return files, final, trace
+    files = versions.latest(log.all())
+    final = cut(_verdict(verifier, files).join(done.all().unionByName(state.select(done.none.columns)).select("project", (F.col("verifier_calls") + 1).alias("verifier_calls")), "project"))
+    steps = trace.all() if trace is not None else state.limit(0).selectExpr("project", "0 planning_round", "0 executor_attempt", "false accepted", "false retained", "cast(null as string) error", "0 planner_tokens", "0 executor_tokens")
+    return files, final, steps
 
 
 def _focus(files: DataFrame, verifier: Verifier, corpus: DataFrame | None) -> DataFrame:
-    """project, focus (its first hole), context, goal, retrieval of the projects with a hole."""
+    """project, focus (its first hole), context, source (its file), goal, retrieval of the projects with a hole."""
     first = cut(projects.holes(files).groupBy("project").agg(F.min(F.struct("path", "offset", "line")).alias("focus")).select("project", "focus.*"))
-    around = first.join(files, ["project", "path"]).select("project", F.struct("path", "offset", "line").alias("focus"), T.around(F.col("content"), F.col("offset")).alias("context"))
+    around = first.join(files, ["project", "path"]).select("project", F.struct("path", "offset", "line").alias("focus"), T.around(F.col("content"), F.col("offset")).alias("context"), F.col("content").alias("source"))
     around = cut(around.join(goal_state(verifier, files, first), "project", "left"))
     if corpus is None:
         return around.withColumn("retrieval", F.lit(retrieval.NO_CORPUS))
@@ -210,11 +251,12 @@ def audit(files: DataFrame, frozen: DataFrame, verifier: Verifier, provenance: D
 AXIOMS = "AxiomAudit.lean"
 
 
-def baseline(tasks: DataFrame, ask: Ask, verifier: Verifier, attempts: int = 3) -> tuple[DataFrame, DataFrame]:
+def baseline(tasks: DataFrame, ask: Ask, verifier: Verifier, attempts: int = 3, traces: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(results, attempts) of whole-proof attempts on tasks (project, path, content): each starts from the certified statement, with the last output as feedback.
 
     ask answers with JSON {"proof": ...}. An attempt succeeds by exit 0, an unchanged statement and no escape hatch in the raw
-    text; a task stops at its first success. An answer without a proof is a failed attempt that isn't verified.
+    text; a task stops at its first success. An answer without a proof is a failed attempt that isn't verified. traces: a folder that keeps
+    what the model said at each attempt, by `project/attempt` (the answers' column trace, else their text); see keyed.KeyedResults.
     """
     rows = cut(tasks.select("project", "path", "content").withColumn("feedback", F.lit("")).withColumn("previous", F.lit("")))
     done, log = None, None
@@ -222,6 +264,8 @@ def baseline(tasks: DataFrame, ask: Ask, verifier: Verifier, attempts: int = 3)
         if _none(rows):
             break
         answers = cut(ask(rows.withColumn("attempt", F.lit(k))))
+        if traces is not None:
+            keyed.write_traces(answers.select("project", F.lit(k).alias("attempt"), F.col("trace" if "trace" in answers.columns else "text").alias("trace")), traces)
         proof = F.get_json_object(T.json_object(F.col("text")), "$.proof")
         made = rows.join(answers.select("project", proof.alias("proof")), "project", "left")
         made = cut(made.withColumn("candidate", F.when(F.col("proof").isNotNull() & F.contains("content", F.lit(T.PROOF_MARK)), T.install_proof(F.col("content"), F.col("proof")))))
@@ -254,23 +298,30 @@ def offline_plan(rows: DataFrame) -> DataFrame:
 
 
 def offline_patch(rows: DataFrame) -> DataFrame:
-    """Every `sorry` becomes `trivial`; projects that leave 3 by 7 change a statement instead."""
-    bad = F.pmod(F.col("project").cast("long"), F.lit(7)) == 3
+    """Every `sorry` becomes `trivial`; where a file with a theorem has a length that leaves 3 by 7, the project's statements are changed instead."""
+    bad = F.exists("files", lambda f: F.contains(f["content"], F.lit("theorem")) & (F.length(f["content"]) % 7 == 3))
     fixed = F.transform("files", lambda f: F.struct(f["path"].alias("path"), F.when(bad, F.replace(f["content"], F.lit(": True"), F.lit(": False"))).otherwise(F.replace(f["content"], F.lit("sorry"), F.lit("trivial"))).alias("content")))
     return rows.select("project", _answer(fixed).alias("text"), F.size("files").alias("tokens"))
 
 
+def offline_split(rows: DataFrame) -> DataFrame:
+    """All files move to a folder of their own; a project whose first file has an even length answers without JSON."""
+    moved = F.transform("files", lambda f: F.struct(F.concat(F.lit("Part/"), f["path"]).alias("path"), f["content"].alias("content")))
+    whole = F.to_json(F.struct(moved.alias("files"), F.col("files.path").alias("delete")))
+    return rows.select("project", F.when(F.length(F.col("files")[0]["content"]) % 2 == 1, whole).otherwise("no JSON").alias("text"), F.size("files").alias("tokens"))
+
+
 def offline_fix(rows: DataFrame) -> DataFrame:
     fixed = F.transform("files", lambda f: F.struct(f["path"].alias("path"), F.replace(f["content"], F.lit("broken\n"), F.lit("")).alias("content")))
     return rows.select("project", _answer(fixed).alias("text"), F.size("files").alias("tokens"))
 
 
 def offline_files(rows: DataFrame) -> DataFrame:
-    """A file for each item: its statement in a comment, then a theorem of its id; one in ten doesn't build, one in eleven has another name."""
-    p = F.col("project").cast("long")
+    """A file for each item: its statement in a comment, then a theorem of its id; where the statement's length leaves 0 by 10 it doesn't build, 5 by 11 it has another name."""
     note = lambda x: F.replace(F.replace(F.coalesce(x["statement"], F.lit("")), F.lit("-/"), F.lit("- /")), F.lit("/-"), F.lit("/ -"))
-    name = lambda x: F.concat(F.when(p % 11 == 5, "other").otherwise("t"), x["id"])
-    content = lambda x: F.concat(F.when(p % 10 == 0, "broken\n").otherwise(""), F.lit("/- "), note(x), F.lit(" -/\ntheorem "), name(x), F.lit(" : True := by\n  sorry\n"))
+    size = lambda x: F.length(F.coalesce(x["statement"], F.lit("")))
+    name = lambda x: F.concat(F.when(size(x) % 11 == 5, "other").otherwise("t"), x["id"])
+    content = lambda x: F.concat(F.when(size(x) % 10 == 0, "broken\n").otherwise(""), F.lit("/- "), note(x), F.lit(" -/\ntheorem "), name(x), F.lit(" : True := by\n  sorry\n"))
     made = F.transform("math_items", lambda x: F.struct(F.concat(F.lit("Book/T"), x["id"], F.lit(".lean")).alias("path"), content(x).alias("content")))
     return rows.select("project", _answer(made).alias("text"), F.size("math_items").alias("tokens"))
 
@@ -293,40 +344,44 @@ def _run(files: DataFrame, budget: Budget, provenance: DataFrame | None = None)
     return state, audit(files, frozen, OfflineVerifier(), provenance), metrics.call_accounting(trace)
 
 
-def offline_book(rows: DataFrame, budget: Budget = Budget(2, 2, 2)) -> DataFrame:
+def offline_book(rows: DataFrame, budget: Budget = Budget(2, 2, 2), max_lines: int = 2_000) -> DataFrame:
     """documents to audited projects, one project for each row (id): items, blueprints, files, repair rounds, alignment, split, proofs, audit."""
     items = stages.atomic_items(stages.normalize_document(rows, "vqa_pair"))
-    items = stages.blueprints(items, providers.Rule(lambda p: "by the definitions"), providers.Rule(lambda p: '{"verdict": "correct", "feedback": ""}' if len(p) % 2 else '{"verdict": "incorrect", "feedback": "gap"}'))
+    items = stages.blueprints(items, providers.Rule(lambda p: "Unfold and simplify."), providers.Rule(lambda p: '{"verdict": "correct", "feedback": ""}' if p.count("e") % 3 else '{"verdict": "incorrect", "feedback": "gap"}'))
     items = cut(items.withColumn("project", F.col("id")).select("id", "project", "math_items", "blueprints"))
     files, provenance = generate_files(items, offline_files)
+    built_at_once = _verdict(OfflineVerifier(), files).select("project", (F.col("exit_code") == 0).alias("built_at_once"))
     files, compiled, _ = compile_statements(files, offline_fix, OfflineVerifier(), budget)
     aligned = stages.align(items, files, providers.Rule(_named)).select("id", F.col("statement_alignment.scc").alias("scc"))
-    files, _ = split_large(files, offline_patch, OfflineVerifier())
+    files, split = split_large(files, offline_split, OfflineVerifier(), max_lines)
     state, audited, calls = _run(files, budget, provenance)
     out = items.select("id", F.size(F.filter("blueprints", lambda b: b["accepted"])).alias("accepted_blueprints")).join(aligned, "id", "left")
-    for more in (compiled.select("project", (F.col("exit_code") == 0).alias("compiled")), state.select("project", ((F.col("holes") == 0) & (F.col("exit_code") == 0)).alias("success"), "verifier_calls"), audited.select("project", "signatures_frozen", "passed", "source_coverage"), calls):
+    for more in (
+        built_at_once, compiled.select("project", (F.col("exit_code") == 0).alias("compiled")), split.select("project", F.col("needed").alias("split_needed"), F.col("accepted").alias("split_accepted")),
+        state.select("project", ((F.col("holes") == 0) & (F.col("exit_code") == 0)).alias("success"), "verifier_calls"), audited.select("project", "signatures_frozen", "passed", "source_coverage"), calls,
+    ):
         out = out.join(more, F.col("id") == more["project"], "left").drop("project")
     return out.fillna(0, ["planner_calls", "executor_calls", "tokens"])
 
 
-def offline_benchmark(rows: DataFrame, budget: Budget = Budget(2, 2)) -> DataFrame:
-    """The audited metrics of a task list (id, formal_statement)."""
+def offline_benchmark(rows: DataFrame, budget: Budget = Budget(2, 2), task_files: DataFrame | None = None) -> DataFrame:
+    """The audited metrics of a task list (id, formal_statement), or of tasks whose files are given (id, content)."""
     from veriloom.operators import metrics
 
     templates = {"lakefile.lean": "-- build\n", "lean-toolchain.lean": "-- toolchain\n"}
-    state, audited, calls = _run(cut(stages.workspaces(rows, templates)), budget)
+    state, audited, calls = _run(cut(stages.workspaces(rows, templates, task_files=task_files)), budget)
     per = state.select("project", "verifier_calls").join(audited, "project", "left").join(calls, "project", "left")
     per = per.select(F.col("project").alias("id"), "passed", "verifier_calls", F.coalesce("planner_calls", F.lit(0)).alias("planner_calls"), F.coalesce("executor_calls", F.lit(0)).alias("executor_calls"), F.coalesce("tokens", F.lit(0)).alias("tokens"))
     return metrics.audited_metrics(per)
 
 
-def offline_baseline(rows: DataFrame, attempts: int = 3) -> DataFrame:
-    """Results of whole-proof attempts on a task list (id, formal_statement): task k is solved at attempt k mod 5, never for 0 or 4; where k mod 3 is 0, the first answer is no JSON."""
+def offline_baseline(rows: DataFrame, attempts: int = 3, traces: str | None = None) -> DataFrame:
+    """Results of whole-proof attempts on a task list (id, formal_statement): with n the statement's length, a task is solved at attempt n mod 5, never for 0 or 4; where n mod 3 is 0, the first answer is no JSON."""
 
     def ask(open_: DataFrame) -> DataFrame:
-        p = F.col("project").cast("long")
-        proof = F.when((p % 5 == F.col("attempt")) & (p % 5 < 4), "by\n    trivial").otherwise("sorry")
-        return open_.select("project", F.when((p % 3 == 0) & (F.col("attempt") == 1), "no answer").otherwise(F.to_json(F.struct(proof.alias("proof"), F.lit("").alias("notes")))).alias("text"), F.lit(1).alias("tokens"))
+        n = F.length("content")
+        proof = F.when((n % 5 == F.col("attempt")) & (n % 5 < 4), "by\n    trivial").otherwise("sorry")
+        return open_.select("project", F.when((n % 3 == 0) & (F.col("attempt") == 1), "no answer").otherwise(F.to_json(F.struct(proof.alias("proof"), F.lit("").alias("notes")))).alias("text"), F.lit(1).alias("tokens"))
 
     tasks = rows.select(F.col("id").alias("project"), F.concat(F.lit("T"), F.col("id").cast("string"), F.lit(".lean")).alias("path"), F.col("formal_statement").alias("content"))
-    return baseline(tasks, ask, OfflineVerifier(), attempts)[0]
+    return baseline(tasks, ask, OfflineVerifier(), attempts, traces)[0]

@@ -347,12 +347,17 @@ def signature_freeze(spark, sf_dir):
     return signatures.frozen(signatures.inventory(files), signatures.inventory(after))
 
 
-@query("""SELECT p_partkey AS p, 'theorem t : ' || p_brand || ' := by' AS prefix, 'theorem t : ' || p_brand || ' := by' || chr(10) || '  intro x' || chr(10) || '    exact ' || p_size || chr(10) AS installed FROM part""")
+#: A part's statement with a proof of its own, and a proof to install: indented by its key, under an outer `by` or not.
+STATED = f"concat('theorem t : ', p_brand, ' := by', {NL}, '  let y := by exact 1', {NL}, '  sorry', {NL})"
+PROOF = f"""concat(CASE WHEN p_partkey % 2 = 0 THEN concat('by', {NL}) ELSE '' END, repeat(' ', CAST(p_partkey % 5 AS INTEGER)), 'intro x', {NL}, repeat(' ', CAST(p_partkey % 5 + 2 AS INTEGER)), 'exact ', p_size, {NL})"""
+
+
+@query(f"""WITH t AS (SELECT p_partkey AS p, {STATED} AS source, {PROOF} AS proof FROM part), l AS (SELECT p, source, list_filter(string_split(proof, chr(10)), lambda x: trim(x) <> '' AND x <> 'by') AS lines FROM t),
+d AS (SELECT p, source, lines, list_min(list_transform(lines, lambda x: length(x) - length(ltrim(x)))) AS indent FROM l)
+SELECT p, split_part(source, ':= by', 1) || ':= by' AS prefix, split_part(source, ':= by', 1) || ':= by' || chr(10) || array_to_string(list_transform(lines, lambda x: '  ' || x[indent + 1:]), chr(10)) || chr(10) AS installed FROM d""")
 def install_proof(spark, sf_dir):
-    p = table(spark, sf_dir, "part")
-    source = F.concat(F.lit("theorem t : "), "p_brand", F.lit(" := by\n  let y := by exact 1\n  sorry\n"))
-    proof = F.concat(F.when(F.col("p_partkey") % 2 == 0, "by\n").otherwise(""), F.lit("    intro x\n      exact "), F.col("p_size").cast("string"), F.lit("\n"))
-    return p.select(F.col("p_partkey").alias("p"), T.statement_prefix(source).alias("prefix"), T.install_proof(source, proof).alias("installed"))
+    t = table(spark, sf_dir, "part").selectExpr("p_partkey AS p", f"{STATED} AS source", f"{PROOF} AS proof")
+    return t.select("p", T.statement_prefix(F.col("source")).alias("prefix"), T.install_proof(F.col("source"), F.col("proof")).alias("installed"))
 
 
 @query("""SELECT event_id, CASE WHEN event_id % 3 = 2 THEN NULL ELSE props END AS body, CASE WHEN event_id % 3 = 2 THEN NULL ELSE (props->>'k')::BIGINT END AS k FROM events""")
@@ -499,37 +504,50 @@ def raw_success(spark, sf_dir):
     return files.select("p", T.baseline_success(F.when(F.col("p") % 3 < 2, 0).otherwise(1), F.col("content"), after).alias("success"))
 
 
-@query("""WITH t AS (SELECT p_partkey AS id, p_partkey % 5 AS hit, p_partkey % 3 = 0 AS mute FROM part)
-SELECT id, hit BETWEEN 1 AND 3 AND NOT (mute AND hit = 1) AS success, (CASE WHEN hit BETWEEN 1 AND 3 AND NOT (mute AND hit = 1) THEN hit ELSE 3 END)::BIGINT AS attempt_count,
-  (CASE WHEN hit BETWEEN 1 AND 3 AND NOT (mute AND hit = 1) THEN hit ELSE 3 END - mute::INT)::BIGINT AS verifier_calls,
-  'theorem t' || id || ' : True := by' || chr(10) || '  ' || CASE WHEN hit BETWEEN 1 AND 3 AND NOT (mute AND hit = 1) THEN 'trivial' ELSE 'sorry' END || chr(10) AS content FROM t""")
+#: A statement with a text in its comment.
+def _stated(name: str, text: str) -> str:
+    bare = f"replace(replace(coalesce({text}, ''), '-/', '- /'), '/-', '/ -')"
+    return f"concat('/- ', {bare}, ' -/', {NL}, 'theorem ', {name}, ' : True := by', {NL}, '  sorry', {NL})"
+
+
+@query(f"""WITH s AS (SELECT p_partkey AS id, {_stated("concat('t', p_partkey)", "p_name")} AS source FROM part), t AS (SELECT id, source, length(source) % 5 AS hit, length(source) % 3 = 0 AS mute FROM s),
+u AS (SELECT *, hit BETWEEN 1 AND 3 AND NOT (mute AND hit = 1) AS success FROM t)
+SELECT id, success, (CASE WHEN success THEN hit ELSE 3 END)::BIGINT AS attempt_count, (CASE WHEN success THEN hit ELSE 3 END - mute::INT)::BIGINT AS verifier_calls, CASE WHEN success THEN replace(source, '  sorry', '  trivial') ELSE source END AS content FROM u""")
 def baseline_run(spark, sf_dir):
-    """Whole-proof attempts over a task list with recorded answers and the offline verifier."""
+    """Whole-proof attempts over a task list with answers that depend on the statement, and the offline verifier."""
     from veriloom.plans import pipelines
 
-    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"))
-    rows = rows.withColumn("formal_statement", F.concat(F.lit("theorem t"), F.col("id").cast("string"), F.lit(" : True := by\n  sorry\n")))
+    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.expr(_stated("concat('t', p_partkey)", "p_name")).alias("formal_statement"))
     return pipelines.offline_baseline(rows).select(F.col("project").alias("id"), "success", "attempt_count", "verifier_calls", "content")
 
 
-@query("""WITH d AS (SELECT doc_id AS id, doc_id % 7 = 3 AS bad, doc_id % 11 <> 5 AS named FROM documents)
-SELECT id, true AS compiled, CASE WHEN named THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS scc, NOT bad AS success, true AS signatures_frozen, NOT bad AS passed, 1::BIGINT AS source_coverage,
-  CASE WHEN bad THEN 2 ELSE 1 END::BIGINT AS planner_calls, CASE WHEN bad THEN 4 ELSE 1 END::BIGINT AS executor_calls, 4::INTEGER AS verifier_calls FROM d""")
+#: Files of more lines than this are split in book_pipeline (the default is 2,000, which no document reaches).
+BOOK_LINES = 8
+
+
+@query(f"""WITH s AS (SELECT doc_id AS id, coalesce(text, '') AS text, length(coalesce(text, '')) % 11 <> 5 AS named, length(coalesce(text, '')) % 10 <> 0 AS built_at_once FROM documents),
+f AS (SELECT *, {_stated("concat(CASE WHEN named THEN 't' ELSE 'other' END, id)", "text")} AS source FROM s),
+d AS (SELECT *, length(source) % 7 = 3 AS bad, length(source) - length(replace(source, chr(10), '')) > {BOOK_LINES} AS split_needed FROM f)
+SELECT id, ((1 + length(text) - length(replace(text, 'e', ''))) % 3 > 0)::INTEGER AS accepted_blueprints, built_at_once, true AS compiled, CASE WHEN named THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS scc, split_needed, split_needed AND length(source) % 2 = 1 AS split_accepted,
+  NOT bad AS success, true AS signatures_frozen, NOT bad AS passed, 1::BIGINT AS source_coverage, CASE WHEN bad THEN 2 ELSE 1 END::BIGINT AS planner_calls, CASE WHEN bad THEN 4 ELSE 1 END::BIGINT AS executor_calls, 4::INTEGER AS verifier_calls FROM d""")
 def book_pipeline(spark, sf_dir):
-    """The whole book graph over documents with offline providers and the offline verifier."""
+    """The whole book graph over documents with offline providers, whose answers depend on the texts, and the offline verifier."""
     from veriloom.plans import pipelines
 
     rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("content"), F.col("source").alias("name"))
-    return pipelines.offline_book(rows).select("id", "compiled", "scc", "success", "signatures_frozen", "passed", "source_coverage", "planner_calls", "executor_calls", "verifier_calls")
+    made = pipelines.offline_book(rows, max_lines=BOOK_LINES)
+    return made.select("id", "accepted_blueprints", "built_at_once", "compiled", "scc", "split_needed", "split_accepted", "success", "signatures_frozen", "passed", "source_coverage", "planner_calls", "executor_calls", "verifier_calls")
 
 
-@query("""WITH b AS (SELECT item_id, item_id % 7 = 3 AS bad FROM benchmark)
+@query(f"""WITH b AS (SELECT length({_stated("concat('t', item_id)", "text")}) % 7 = 3 AS bad FROM benchmark)
 SELECT count(*) AS attempted, count(*) FILTER (NOT bad) AS solved, count(*) FILTER (bad) AS n_failed, count(*) FILTER (NOT bad)::DOUBLE / count(*) AS psr, (4 * count(*))::BIGINT AS verifier_calls,
   sum(CASE WHEN bad THEN 2 ELSE 1 END)::BIGINT AS planner_calls, sum(CASE WHEN bad THEN 4 ELSE 1 END)::BIGINT AS executor_calls, sum(CASE WHEN bad THEN 32 ELSE 8 END)::BIGINT AS tokens FROM b""")
 def benchmark_pipeline(spark, sf_dir):
-    """Workspaces, repair loop and audit over a task list with offline providers and the offline verifier."""
+    """Workspaces of task files, repair loop and audit over a task list with offline providers, whose answers depend on the files, and the offline verifier."""
     from veriloom.plans import pipelines
 
-    rows = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), F.col("text").alias("informal_statement"))
-    rows = rows.withColumn("formal_statement", F.concat(F.lit("theorem t"), F.col("id").cast("string"), F.lit(" : True := by\n  sorry\n")))
-    return pipelines.offline_benchmark(rows)
+    items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), F.col("text").alias("informal_statement"), F.expr(_stated("concat('t', item_id)", "text")).alias("content"))
+    return pipelines.offline_benchmark(items.select("id", "informal_statement"), task_files=items.select("id", "content"))
+
+
+from veriloom import registry_stores  # noqa: E402, F401  registers the queries over versions, graphs, indexes and stores

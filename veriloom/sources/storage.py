@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -88,11 +89,13 @@ def memory(spark: SparkSession, rows: list[dict], schema) -> DataFrame:
 
 
 def read_inventory(spark: SparkSession, path: str, schema) -> DataFrame:
-    """A JSON array of objects, with row_pos, its order."""
-    text = spark.read.text(path, wholetext=True)
+    """A JSON array of objects, with row_pos, its order; read by ranges of the file, so its size doesn't matter."""
+    from veriloom.sources import json_array
+
     kind = schema if isinstance(schema, str) else schema.simpleString()
-    items = text.select(F.posexplode(F.from_json("value", f"array<struct<{kind}>>" if not kind.startswith("struct") else f"array<{kind}>", {"mode": "FAILFAST"})).alias("row_pos", "r"))
-    return items.select("row_pos", "r.*")
+    kind = kind if kind.startswith("struct") else f"struct<{kind}>"
+    items = json_array.array_elements(json_array.pieces(spark, path))
+    return items.select("row_pos", F.from_json("element", kind, {"mode": "FAILFAST"}).alias("r")).select("row_pos", "r.*")
 
 
 def read_tree(spark: SparkSession, root: str, suffix: str = "lean") -> DataFrame:
@@ -109,10 +112,6 @@ def write_results(rows: DataFrame, root: str, key: str = "id", error: str = "err
     kept.where(F.col(error).isNotNull()).select(key, error).write.partitionBy(key).mode("overwrite").json(f"{root}/errors")
 
 
-#: Tables that cut() wrote in this process, oldest first.
-_written: list[str] = []
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a folder of this machine serves local runs; a cluster has none and raises."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
@@ -124,27 +123,55 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+class _Written(threading.local):
+    """Tables that cut() wrote in this thread, oldest first: a run never sees those of runs in other threads."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+
+_written = _Written()
+
+
 def cut(rows: DataFrame) -> DataFrame:
     """The same rows, read from a table in the shared folder: the lineage ends there and a lost executor loses nothing."""
     spark = rows.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
     rows.write.parquet(path)
-    _written.append(path)
+    _written.paths.append(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
 def mark() -> int:
-    """For discard(): the place after the tables that were cut so far."""
-    return len(_written)
+    """For discard(): the place after the tables that this thread cut so far."""
+    return len(_written.paths)
 
 
 def discard(spark: SparkSession, since: int = 0, but: DataFrame | None = None) -> None:
-    """Deletes the tables that were cut since a mark, but those that the frame reads; what was made of the others must be written by then."""
+    """Deletes the tables that this thread cut since a mark, but those that the frame reads; what was made of the others must be written by then."""
     kept = {f.rsplit("/", 2)[-2] for f in but.inputFiles()} if but is not None else set()
-    for path in _written[since:]:
+    for path in _written.paths[since:]:
         if path.rsplit("/", 1)[-1] not in kept:
-            _delete(spark, path)
-            _written.remove(path)
+            delete(spark, path)
+            _written.paths.remove(path)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder; a missing one has none."""
+    p, fs = _file_system(spark, path)
+    return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def replace_folder(rows: DataFrame, path: str) -> None:
+    """Writes a table of Parquet files beside its folder and then renames it: the folder is there whole or not at all."""
+    spark = rows.sparkSession
+    beside = f"{path.rsplit('/', 1)[0]}/.{path.rsplit('/', 1)[1]}-{uuid.uuid4().hex}"
+    rows.write.parquet(beside)
+    target, fs = _file_system(spark, path)
+    if fs.exists(target):
+        fs.delete(target, True)
+    if not fs.rename(_file_system(spark, beside)[0], target):
+        raise OSError(f"can't rename {beside}")
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -152,6 +179,6 @@ def _file_system(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete(spark: SparkSession, path: str) -> None:
     p, fs = _file_system(spark, path)
     fs.delete(p, True)
