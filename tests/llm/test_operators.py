@@ -596,7 +596,7 @@ def test_line_templates_by_words(spark, monkeypatch):
     assert {r.doc_id: r.text for r in line_dedup.dedup_lines(frame).collect()} == want
     # hot nodes and templates split: the same
     split = common.split_join
-    monkeypatch.setattr(line_dedup, "split_join", lambda *a, **k: split(*a, **k, few=0, hot=0.2))
+    monkeypatch.setattr(line_dedup, "split_join", lambda *a, **k: split(*a, **{**k, "few": 0, "hot": 0.2}))
     assert {r.doc_id: r.text for r in line_dedup.dedup_lines(frame).collect()} == want
 
 
