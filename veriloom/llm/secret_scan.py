@@ -26,8 +26,8 @@ from .common import cut
 KINDS = ("assign", "access", "hex", "random")
 #: Of the strings that the tests add, this share may be ordinary text.
 FALSE_SHARE = 0.01
-#: A string fails the battery if one of the three tests' p-values is below LEVEL / 3.
-LEVEL = 0.003
+#: A string fails the battery if one of the three tests' p-values is below LEVEL / 3: so many random strings are lost. Regular ones are far below.
+LEVEL = 0.0001
 SHORTEST = 16
 #: Scores are logarithms of e-values, rounded down to 1 / BINS, MOST at most.
 BINS, MOST = 8, 1_000
