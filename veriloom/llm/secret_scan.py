@@ -26,8 +26,6 @@ from .common import cut
 KINDS = ("assign", "access", "hex", "random")
 #: Of the strings that the tests add, this share may be ordinary text.
 FALSE_SHARE = 0.01
-#: A string fails the battery if one of the three tests' p-values is below LEVEL / 3: so many random strings are lost. Regular ones are far below.
-LEVEL = 0.0001
 SHORTEST = 16
 #: Scores are logarithms of e-values, rounded down to 1 / BINS, MOST at most.
 BINS, MOST = 8, 1_000
@@ -66,6 +64,14 @@ def encoding_of(body: str) -> str | None:
     return next((name for name, a in _SETS.items() if used <= a), None)
 
 
+def battery_level(n: int) -> float:
+    """A string of n symbols fails the battery if one of its three p-values is below a third of this, the share of random strings that are lost.
+
+    p-values of regular strings fall exponentially with the length, so the level does: 1 in 250 at 16 symbols, 1 in 60,000 at 40.
+    """
+    return 10 ** (-(n + 8) / 10)
+
+
 def battery(values, k: int) -> tuple[float, float, float]:
     """p-values (uniformity, runs, serial correlation) of a string of symbols 0..k-1 under the hypothesis that they are uniform and independent."""
     import numpy as np
@@ -91,7 +97,7 @@ def battery(values, k: int) -> tuple[float, float, float]:
     return uniform, math.erfc(abs(runs - mean) / math.sqrt(2 * var)), math.erfc(abs(serial) / math.sqrt(2))
 
 
-def log_evidence(text: str, log_pairs, level: float = LEVEL) -> float | None:
+def log_evidence(text: str, log_pairs) -> float | None:
     """The logarithm of a string's e-value against ordinary text; null: no encoding, or the battery rejects it. log_pairs: see pair_model."""
     import numpy as np
 
@@ -103,7 +109,7 @@ def log_evidence(text: str, log_pairs, level: float = LEVEL) -> float | None:
     alphabet = ENCODINGS[name]
     at = np.zeros(128, dtype=np.int64)
     at[[ord(c) for c in alphabet]] = range(len(alphabet))
-    if min(battery(at[codes], len(alphabet))) < level / 3:
+    if min(battery(at[codes], len(alphabet))) < battery_level(len(codes)) / 3:
         return None
     ratio = -math.log(len(alphabet)) * (len(codes) - 1) - float(log_pairs[codes[:-1], codes[1:]].sum())
     return ratio - math.log(len(ENCODINGS))  # the encoding was chosen by the string
@@ -146,7 +152,7 @@ def pair_model(counts: DataFrame):
     return out
 
 
-def scan(docs: DataFrame, log_pairs, level: float = LEVEL) -> DataFrame:
+def scan(docs: DataFrame, log_pairs) -> DataFrame:
     """doc_id, base (start, kind, end), candidates (start, end, score: the rounded log e-value, null if the battery rejects it) of every row."""
 
     def run(batches: Iterator) -> Iterator:
@@ -164,7 +170,7 @@ def scan(docs: DataFrame, log_pairs, level: float = LEVEL) -> DataFrame:
                     while k < len(ordered) and ordered[k][0] < m.end():
                         reach, k = max(reach, ordered[k][1]), k + 1
                     if reach <= m.start():  # meets no base span
-                        e = log_evidence(m[0], log_pairs, level)
+                        e = log_evidence(m[0], log_pairs)
                         found.append({"start": m.start(), "end": m.end(), "score": None if e is None else max(0, min(BINS * MOST, math.floor(BINS * e)))})
                 bases.append([{"start": a, "kind": kind, "end": b} for a, kind, b in base])
                 others.append(found)
@@ -185,14 +191,14 @@ def discovery_score(counts: list[tuple[int | None, int]], share: float = FALSE_S
     return found
 
 
-def find_secrets(docs: DataFrame, share: float = FALSE_SHARE, level: float = LEVEL) -> DataFrame:
+def find_secrets(docs: DataFrame, share: float = FALSE_SHARE) -> DataFrame:
     """doc_id, base and spans: arrays of (start, kind, end), by start, then kind; a row for each row.
 
     spans holds base and the random strings, which meet no base span. Starts and ends are code points of the whole text. Null
     and empty texts: none. Repeated rows are rows of their own, and each of their strings is a candidate. Other columns are left
     out, so none can clash. Empty: no rows.
     """
-    rows = cut(scan(docs, pair_model(pair_counts(docs)), level))
+    rows = cut(scan(docs, pair_model(pair_counts(docs))))
     counts = rows.select(F.explode("candidates").alias("c")).groupBy("c.score").agg(F.count("*").alias("n")).collect()  # BINS * MOST + 2 rows at most
     least = discovery_score([(r["score"], r["n"]) for r in counts], share)
     more = F.transform(F.filter("candidates", lambda c: c["score"] >= least), lambda c: F.struct(c["start"].alias("start"), F.lit(len(KINDS) - 1).alias("kind"), c["end"].alias("end")))
