@@ -11,7 +11,8 @@ stays. Candidates come in two steps, and only a pair that passed the exact compa
    texts, so the first ones are those of one class alone, which can't join it with another: most texts have enough of them
    and meet nobody, also where they share passages with many others. Texts of different classes that share so many of
    their first shingles that they may be similar are compared: first STARS times with one text of each shingle's list, then
-   every such pair that is still apart. Long texts take part with those shingles only whose hash is below a share of all
+   every such pair that is still apart. Lists of more than HOT_LIST texts (a template whose texts are nearly similar) make no
+   pairs of rows: blocks of their shingle sets meet, and a task counts the common shingles of two blocks at once. Long texts take part with those shingles only whose hash is below a share of all
    (LEVELS); of these, too, at most n - ceil(SIMILARITY n) can be missing from a similar text.
 """
 
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, lookup, split_join
+from .common import SMALL_ROWS, cut, lookup, split_join
 from .components import components
 from .simhash import SEED, SHARD_NODES, fingerprint_links
 
@@ -38,6 +39,10 @@ STARS = 2
 SAMPLE = 4_000
 OFTEN = 20
 COMMON = 100_000
+#: Lists of so many texts at most are paired up row by row.
+HOT_LIST = 64
+#: Of a longer one, texts of a block at most, and their shingles (one text may have more).
+BLOCK_TEXTS, BLOCK_SHINGLES = 256, 400_000
 #: The number of texts that stands for so many or more.
 MANY = 100_000
 #: From so many shingles on, the share of hashes that a text takes part with. A share must hold over 1 - SIMILARITY of a text's
@@ -259,7 +264,8 @@ def similar_links(docs: DataFrame, reps: DataFrame, links: DataFrame, similarity
     links = compared(links)
     of = cut(components(links))
     labelled = _labelled(texts(reps), of, "node").withColumnRenamed("label", "class")
-    lists = cut(prefixes(cut(shared_shingles(labelled, _common_shingles(_noded(docs), reps.count()), similarity)), similarity))
+    labelled = cut(labelled)  # each text once, however often it stands in docs
+    lists = cut(prefixes(cut(shared_shingles(labelled, _common_shingles(labelled, reps.count()), similarity)), similarity))
     ends = ["a", "b", "n_a", "n_b"]
     for k in range(STARS):
         rows = cut(_labelled(lists, of, "node").select("shingle", "label", "node", "n"))
@@ -271,11 +277,114 @@ def similar_links(docs: DataFrame, reps: DataFrame, links: DataFrame, similarity
         links = links.union(more)
         of = cut(components(links))
     rows = cut(_labelled(lists, of, "node").select("shingle", "label", "node", "n"))
+    per = cut(rows.groupBy("shingle", "label").agg(F.count("*").alias("size"), F.sum("n").alias("n_shingles")))
+    most = F.max(F.struct("size", "n_shingles", "label")).alias("most")
+    long = cut(per.groupBy("shingle").agg(F.sum("size").alias("size"), F.sum("n_shingles").alias("n_shingles"), most).where(F.col("size") > HOT_LIST))
+    hot = cut(split_join(rows, long, ["shingle"], "size"))
+    if not hot.isEmpty():
+        links = links.union(cut(block_links(hot, labelled.select("node", "text"), similarity)))
+        rows = rows.join(F.broadcast(long) if long.count() <= SMALL_ROWS else long, "shingle", "left_anti")
     left, right = (rows.select("shingle", F.col("label").alias(f"label_{x}"), F.col("node").alias(x), F.col("n").alias(f"n_{x}")) for x in "ab")
+    # Pairs with a long list in common were compared there; those that are left over have all common shingles in short ones.
     met = left.join(right, "shingle").where("label_a < label_b").where(_sizes_fit(similarity)).groupBy(*ends).agg(F.count("*").alias("met"))
     return links.union(compared(cut(_possible(met, similarity))))
 
 
+def block_links(hot: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Links (a, b) that span, block by block, the similar texts of different labels in each long list.
+
+    hot: shingle, label, node, n, and of its list size, n_shingles and most (the same of its largest label, and that). A list is cut into
+    blocks by a hash, those of the largest label apart, which needn't meet each other. Two blocks meet in one task's
+    batch as sets of shingles; no texts and no pairs travel.
+    """
+
+    def sets(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            made = [np.sort(np.fromiter(s, dtype="<u8", count=len(s)).view("<i8")) for s in (shingle_set(t.as_py()) for t in batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.list_(pa.int64()))], ["node", "own"])
+
+    def met(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        def linked(rows):
+            """Spanning links of two blocks' rows (block, label, node, own)."""
+            block, label, node = (np.array([r[k] for r in rows], dtype=np.int64) for k in range(3))
+            size = np.array([len(r[3]) for r in rows])
+            first = block == block.min()
+            of = np.repeat(np.arange(len(rows)), size)
+            own = np.concatenate([np.asarray(r[3], dtype=np.int64) for r in rows])
+            names, at = np.unique(own, return_inverse=True)
+            sides = [np.flatnonzero(first), np.flatnonzero(~first)] if not first.all() else [np.arange(len(rows))] * 2
+            place = [np.full(len(rows), -1), np.full(len(rows), -1)]
+            for s, p in zip(sides, place):
+                p[s] = np.arange(len(s))
+            common = np.zeros((len(sides[0]), len(sides[1])), dtype=np.float32)
+            held = np.bincount(at, minlength=len(names)) > 1  # what one text alone has is common to none
+            order = np.argsort(at, kind="stable")
+            order = order[held[at[order]]]
+            for lo in range(0, len(names), 8_192):
+                some = order[np.searchsorted(at[order], lo) : np.searchsorted(at[order], lo + 8_192)]
+                if len(some):
+                    width = min(8_192, len(names) - lo)
+                    both = []
+                    for s, p in zip(sides, place):
+                        m = np.zeros((len(s), width), dtype=np.float32)
+                        mine = some[p[of[some]] >= 0]
+                        m[p[of[mine]], at[mine] - lo] = 1
+                        both.append(m)
+                    common += both[0] @ both[1].T
+            a, b = sides
+            yes = (common >= similarity * (size[a][:, None] + size[b][None, :] - common) - 1e-6) & (label[a][:, None] != label[b][None, :])
+            up = {x: x for x in node.tolist()}
+
+            def top(x):
+                while up[x] != x:
+                    up[x] = up[up[x]]
+                    x = up[x]
+                return x
+
+            out = []
+            for i, j in zip(*np.nonzero(yes)):
+                x, y = int(node[a[i]]), int(node[b[j]])
+                p, q = top(x), top(y)
+                if p != q:
+                    up[max(p, q)] = min(p, q)
+                    out.append((min(x, y), max(x, y)))
+            return out
+
+        def made(rows):
+            out = linked(rows) if len(rows) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(2)], ["a", "b"])
+
+        now, held = None, []
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("shingle", "meeting", "block", "label", "node")]
+            for shingle, meeting, block, label, node, own in zip(*columns, batch.column("own")):
+                if now != (shingle, meeting):
+                    if held:
+                        yield made(held)
+                    now, held = (shingle, meeting), []
+                held.append((block, label, node, own.values.to_numpy()))
+        if held:
+            yield made(held)
+
+    used = hot.select("node").distinct()
+    of = cut(texts.join(used, "node", "left_semi").dropDuplicates(["node"]).mapInArrow(sets, "node long, own array<long>"))
+    blocks = lambda size, n: F.greatest(F.ceil(size / BLOCK_TEXTS), F.ceil(n / BLOCK_SHINGLES), F.lit(1))
+    large = F.col("label") == F.col("most.label")
+    rest, all_ = blocks(F.col("size") - F.col("most.size"), F.col("n_shingles") - F.col("most.n_shingles")), F.col("rest") + blocks(F.col("most.size"), F.col("most.n_shingles"))
+    dealt = hot.withColumn("rest", rest).withColumn("all", all_).withColumn("hash", F.xxhash64("node"))
+    dealt = dealt.withColumn("block", F.when(large, F.col("rest") + F.pmod("hash", F.col("all") - F.col("rest"))).otherwise(F.pmod("hash", "rest")))
+    paired = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.when(large, F.col("rest") - 1).otherwise(F.col("all") - 1))))
+    paired = paired.select("shingle", (F.least("block", "other") * F.col("all") + F.greatest("block", "other")).alias("meeting"), "block", "label", "node")
+    key = ["shingle", "meeting"]
+    return paired.join(of, "node").repartition(*key).sortWithinPartitions(*key).select(*key, "block", "label", "node", "own").mapInArrow(met, "a long, b long")
+
+
 def _sizes_fit(similarity: float):
     return F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b") - 1e-6
 
@@ -328,8 +437,9 @@ def drop_near_copies(docs: DataFrame, similarity: float = SIMILARITY, radius: in
     """
     found = cut(near_components(docs, similarity, radius, shard_nodes))
     head = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node"))
-    keep = cut(found.groupBy("component").agg(head.alias("h")).select(F.col("h.doc_id").alias("_id"), F.col("h.node").alias("_node")))
-    keyed = docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    rows = keyed.join(keep, keyed["doc_id"].eqNullSafe(keep["_id"]) & (keyed["_key"] == keep["_node"]), "left_semi")
+    keep = cut(found.groupBy("component").agg(head.alias("h")).select(F.col("h.doc_id").alias("id"), F.col("h.node").alias("kept")))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")  # so that names of docs can't clash with ours
+    keyed = docs.select(row, F.col("doc_id").alias("own_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"))
+    rows = keyed.join(keep, keyed["own_id"].eqNullSafe(keep["id"]) & (keyed["key"] == keep["kept"]), "left_semi")
     repeated = found.groupBy("doc_id", "node").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
-    return (rows.dropDuplicates(["doc_id", "_key"]) if repeated else rows).drop("_key")
+    return (rows.dropDuplicates(["own_id", "key"]) if repeated else rows).select("row.*")
