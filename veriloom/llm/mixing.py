@@ -61,4 +61,5 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: fl
 
 def emit(mixed: DataFrame) -> DataFrame:
     """Each document as often as the mix takes it."""
-    return mixed.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("_copy")
+    rows = mixed.where("copies > 0").select(F.struct(*[F.col(f"`{c}`") for c in mixed.columns]).alias("row"), F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return rows.select("row.*")

@@ -96,9 +96,10 @@ def with_measures(docs: DataFrame) -> DataFrame:
         ),
     )
     names = [c for c in docs.columns if c not in BASE]
-    out = docs.select(*[F.col(f"`{c}`") for c in names], F.struct(of_words.alias("w"), MEASURES["n_symbols"](text).alias("n_symbols"), MEASURES["n_dup_lines"](text).alias("n_dup_lines")).alias("_measured"))
-    of = lambda c: F.col("_measured.w").getField(c) if c in ("n_words", "word_chars", "n_repeat_words") else F.col("_measured").getField(c)
-    return out.select(*[F.col(f"`{c}`") for c in names], *[of(c).alias(c) for c in BASE])
+    row = F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")  # so that names of docs can't clash with ours
+    out = docs.select(row, of_words.alias("w"), MEASURES["n_symbols"](text).alias("n_symbols"), MEASURES["n_dup_lines"](text).alias("n_dup_lines"))
+    of = lambda c: F.col("w").getField(c) if c in ("n_words", "word_chars", "n_repeat_words") else F.col(c)
+    return out.select(*[F.col("row").getField(c).alias(c) for c in names], *[of(c).alias(c) for c in BASE])
 
 
 def rated(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = 2_000, sample_bytes: int = 16_000_000) -> list[tuple[Rule, float, float]]:
