@@ -18,9 +18,9 @@ def terms(query: Column, most: int = 8) -> Column:
     return F.slice(F.transform(ranked, lambda x: x["t"]), 1, most)
 
 
-def corpus_lines(corpus: DataFrame, path: str = "path", content: str = "content") -> DataFrame:
-    """path, line (from 1), text."""
-    lines = corpus.select(path, F.posexplode(F.split(F.regexp_replace(content, r"\n\z", ""), "\n")).alias("p", "text"))
+def corpus_lines(corpus: DataFrame, path: str = "path", content: str = "content", tasks: int | None = None) -> DataFrame:
+    """path, line (from 1), text. tasks: deals the texts out to so many tasks first, for a corpus that is one file's one part; a large one needs no such shuffle."""
+    lines = (corpus.select(path, content).repartition(tasks) if tasks else corpus).select(path, F.posexplode(F.split(F.regexp_replace(content, r"\n\z", ""), "\n")).alias("p", "text"))
     return lines.select(F.col(path).alias("path"), (F.col("p") + 1).alias("line"), "text")
 
 

@@ -439,7 +439,9 @@ a AS (SELECT *, row_number() OVER (PARTITION BY query_id, path ORDER BY line) AS
 b AS (SELECT query_id, path, line, text, row_number() OVER (PARTITION BY query_id ORDER BY path, line) AS rank FROM a WHERE k <= 2)
 SELECT query_id, path, line::INTEGER AS line, text, rank::INTEGER AS rank FROM b WHERE rank <= 20""")
 def retrieval_topk(spark, sf_dir):
-    lines = retrieval.corpus_lines(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), F.col("text").alias("content")))
+    corpus = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), F.col("text").alias("content"))
+    cores = spark.sparkContext.defaultParallelism
+    lines = retrieval.corpus_lines(corpus, tasks=cores if corpus.rdd.getNumPartitions() < cores else None)
     return retrieval.search(table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query")), lines)
 
 
