@@ -1,16 +1,18 @@
 """Quality rules as a short-circuit cascade, with DataFrame functions only.
 
 Every rule is a column that is true where a text is rejected, made from measures of the text. On a bounded hash sample each
-rule's cost (seconds beyond an empty query, its own measures included) and selectivity (share rejected) are estimated;
-the cascade asks the rules in order of rejection per cost and stops at the first that rejects, so the measures of later
-rules are not computed there. The order changes what a run costs, never what it keeps.
+rule's cost (seconds of the measures that aren't columns yet) and selectivity are estimated; the cascade asks the rules in
+order of rejection per cost, among the rows that the rules before let pass, and stops at the first that rejects, so the
+measures of later rules are not computed there. The order changes what a run costs, never what it keeps.
 """
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
+from statistics import median
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +21,8 @@ from .common import WORD, let, sampled, words
 
 #: Words in a window of n_repeat_words.
 WINDOW = 8
+#: Timings of a measure, and the seconds of a rule that computes nothing.
+TIMINGS, FREE = 5, 1e-3
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -102,34 +106,73 @@ def with_measures(docs: DataFrame) -> DataFrame:
     return out.select(*[F.col("row").getField(c).alias(c) for c in names], *[of(c).alias(c) for c in BASE])
 
 
-def rated(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = 2_000, sample_bytes: int = 16_000_000) -> list[tuple[Rule, float, float]]:
-    """(rule, share rejected, seconds) of each rule alone, from about sample_rows hash-chosen rows that hold sample_bytes at most."""
+def measures_of(rule: Rule) -> set[str]:
+    """The names of the measures that a rule asks for."""
+    asked: set[str] = set()
+
+    def note(name: str) -> Column:
+        asked.add(name)
+        return F.lit(0)
+
+    rule.rejects(note)
+    return asked
+
+
+def surveyed(docs: DataFrame, rules: tuple[Rule, ...] = RULES, known: tuple[str, ...] = (), sample_rows: int = 2_000, sample_bytes: int = 16_000_000) -> tuple[list[float], dict[int, int]]:
+    """(seconds of each rule, rows of each set of rejecting rules as bits), from about sample_rows hash-chosen rows that hold sample_bytes at most.
+
+    A rule costs what its measures cost that aren't known: the cascade computes these anew wherever it reaches the rule. Each is
+    timed alone, TIMINGS times; the median is rounded to a power of two, so that noise doesn't change the order.
+    """
     sample = sampled(docs, sample_rows, sample_bytes).persist()
     try:
-        n = max(1, sample.count())
+        sample.count()
         alone = lambda name: MEASURES[name](F.col("text"))
 
-        def timed(rejects: Column) -> tuple[float, int]:
+        def timed(value: Column) -> float:
             began = time.perf_counter()
-            hits = sample.agg(F.count_if(rejects).alias("n")).first()["n"]
-            return time.perf_counter() - began, hits
-
-        timed(F.lit(False))
-        idle = min(timed(F.lit(False))[0] for _ in range(2))
-        out = []
-        for r in rules:
-            runs = [timed(r.rejects(alone)) for _ in range(2)]
-            out.append((r, runs[0][1] / n, max(1e-3, min(s for s, _ in runs) - idle)))
-        return out
+            sample.agg(F.sum(value)).first()
+            return time.perf_counter() - began
+
+        def seconds(value: Column) -> float:
+            timed(value)  # compiles
+            return median(timed(value) for _ in range(TIMINGS))
+
+        idle = seconds(F.lit(0))
+        dear = {m: 2.0 ** round(math.log2(max(FREE, seconds(alone(m)) - idle))) for m in sorted({m for r in rules for m in measures_of(r)} - {*known})}
+        costs = [FREE + sum(dear[m] for m in measures_of(r) - {*known}) for r in rules]
+        bits = F.lit(0).cast("long")
+        for k, r in enumerate(rules):
+            bits = bits + F.when(r.rejects(alone), 1 << k).otherwise(0)
+        return costs, {r["bits"]: r["n"] for r in sample.select(bits.alias("bits")).groupBy("bits").agg(F.count("*").alias("n")).collect()}  # 2 ** len(rules) rows at most
     finally:
         sample.unpersist()
 
 
+def rated(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = 2_000, sample_bytes: int = 16_000_000, known: tuple[str, ...] = ()) -> list[tuple[Rule, float, float]]:
+    """(rule, share rejected, seconds) of each rule alone."""
+    costs, sets = surveyed(docs, rules, known, sample_rows, sample_bytes)
+    n = max(1, sum(sets.values()))
+    return [(r, sum(m for bits, m in sets.items() if bits >> k & 1) / n, costs[k]) for k, r in enumerate(rules)]
+
+
 def cascade_order(rates: list[tuple[Rule, float, float]]) -> list[Rule]:
     """By rejection per cost; of equal ones, the cheaper first."""
     return [r for r, share, seconds in sorted(rates, key=lambda x: (-x[1] / x[2], x[2]))]
 
 
+def survivors_order(rules: tuple[Rule, ...], costs: list[float], sets: dict[int, int]) -> list[Rule]:
+    """The rules one by one, each the one that rejects most per cost of the rows that those before it let pass; of equal ones the cheaper, then the earlier."""
+    left, out = list(range(len(rules))), []
+    while left:
+        rates = [(rules[k], sum(n for bits, n in sets.items() if bits >> k & 1), costs[k]) for k in left]
+        best = left[[r[0] for r in rates].index(cascade_order(rates)[0])]
+        out.append(rules[best])
+        left.remove(best)
+        sets = {bits: n for bits, n in sets.items() if not bits >> best & 1}
+    return out
+
+
 def quality_cascade(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = 2_000, known: tuple[str, ...] = ()) -> DataFrame:
     """docs, failed_rule (the first in the cascade's order that rejects; null: none) and kept.
 
@@ -141,7 +184,7 @@ def quality_cascade(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_row
     text = F.coalesce(F.col("text"), F.lit(""))
     lazy = lambda name: F.col(f"`{name}`") if name in known else MEASURES[name](text)
     chain = None
-    for r in cascade_order(rated(docs, rules, sample_rows)):
+    for r in survivors_order(rules, *surveyed(docs, rules, known, sample_rows)):
         chain = (F if chain is None else chain).when(r.rejects(lazy), F.lit(r.name))
     out = docs.withColumn("failed_rule", F.lit(None).cast("string") if chain is None else chain)
     return out.withColumn("kept", F.col("failed_rule").isNull())
