@@ -420,3 +420,24 @@ def test_workspaces_of_task_files(spark):
     given = spark.createDataFrame([("1", "theorem one"), ("3", "theorem three")], "id string, content string")
     got = {(r.project, r.path): r.content for r in stages.workspaces(tasks, {"lakefile.lean": "-- build\n"}, task_files=given).collect()}
     assert got == {(1, "Tasks/1.lean"): "theorem one", (1, "Tasks.lean"): "import Tasks.«1»\n", (1, "lakefile.lean"): "-- build\n"}
+
+
+def test_ordinal_keeps_clashing_columns(spark):
+    from veriloom.operators import tasks
+
+    rows = spark.createDataFrame([(k * 7 % 50, k, "p", k, "b") for k in range(50)], "k int, at int, part string, row int, base string")
+    got = tasks.ordinal(rows.withColumn("row_pos", F.lit(9)).repartition(5), ["k"]).collect()
+    assert all(r.row_pos == r.k and r.at * 7 % 50 == r.k and r.row == r.at and (r.part, r.base) == ("p", "b") for r in got) and len(got) == 50
+    assert tasks.ordinal(rows.limit(0), ["k"]).collect() == []
+
+
+def test_discard_leaves_other_threads_tables(spark):
+    from threading import Thread
+
+    since = storage.mark()
+    mine, other = storage.cut(spark.range(2)), []
+    thread = Thread(target=lambda: other.append(storage.cut(spark.range(3))))
+    thread.start()
+    thread.join()
+    storage.discard(spark, since)
+    assert other[0].count() == 3 and not storage.exists(spark, mine.inputFiles()[0])

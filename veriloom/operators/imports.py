@@ -55,15 +55,16 @@ def _peeled(nodes: DataFrame, imports: DataFrame, above: str, below: str) -> Dat
     up = imports.select("project", F.col(above).alias("module"), F.col(below).alias("to"))
     degree = cut(up.groupBy(*NODE).agg(F.count("*").alias("degree")))
     frontier = cut(nodes.join(degree, NODE, "left_anti").select(*NODE, F.lit(0).alias("level")))
-    found = [frontier]
+    found, level = [frontier], 0
     while not frontier.isEmpty():
+        level += 1
         reached = up.join(frontier.select("project", F.col("module").alias("to")), ["project", "to"], "left_semi").select(*NODE).distinct()
         known = reduce(DataFrame.unionByName, found).select("project", F.col("module").alias("to"))
         met = up.join(reached, NODE, "left_semi").join(known, ["project", "to"], "left_semi").groupBy(*NODE).agg(F.count("*").alias("met"))
-        frontier = cut(met.join(degree, NODE).where("met = degree").select(*NODE, F.lit(len(found)).alias("level")))
+        frontier = cut(met.join(degree, NODE).where("met = degree").select(*NODE, F.lit(level).alias("level")))
         found.append(frontier)
         if len(found) % 16 == 0:  # short plans
-            found = [cut(reduce(DataFrame.unionByName, found)), *[frontier.limit(0)] * (len(found) - 1)]
+            found = [cut(reduce(DataFrame.unionByName, found))]
     return reduce(DataFrame.unionByName, found)
 
 
@@ -87,12 +88,16 @@ def fingerprints(files: DataFrame) -> DataFrame:
     imports = cut(edges(files))
     placed = cut(own.join(levels(own, imports), NODE))
     highest = placed.agg(F.max("level")).first()[0]
-    done = cut(placed.where("level = 0").select(*NODE, F.sha2("text", 256).alias("fingerprint")))
+    done = [cut(placed.where("level = 0").select(*NODE, F.sha2("text", 256).alias("fingerprint")))]
     for k in range(1, (highest or 0) + 1):
         now = placed.where(F.col("level") == k).select(*NODE, "text")
-        below = imports.join(now.select(*NODE), NODE, "left_semi").join(done.select("project", F.col("module").alias("imports"), "fingerprint"), ["project", "imports"])
+        known = reduce(DataFrame.unionByName, done).select("project", F.col("module").alias("imports"), "fingerprint")
+        below = imports.join(now.select(*NODE), NODE, "left_semi").join(known, ["project", "imports"])
         parts = below.groupBy(*NODE).agg(F.array_join(F.sort_array(F.collect_list(F.concat_ws("=", "imports", "fingerprint"))), ",").alias("below"))
-        done = cut(done.unionByName(now.join(parts, NODE).select(*NODE, F.sha2(F.concat_ws("|", "text", "below"), 256).alias("fingerprint"))))
+        done.append(cut(now.join(parts, NODE).select(*NODE, F.sha2(F.concat_ws("|", "text", "below"), 256).alias("fingerprint"))))
+        if len(done) % 16 == 0:  # short plans
+            done = [cut(reduce(DataFrame.unionByName, done))]
+    done = reduce(DataFrame.unionByName, done)
     return placed.join(done, NODE, "left").select(*NODE, "path", "level", "on_cycle", "fingerprint")
 
 
