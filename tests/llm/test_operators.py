@@ -558,25 +558,27 @@ def test_passages_of_long_texts_in_pieces():
 
 def brute_templates(lines):
     """A template for each masked line, by the rules of line_dedup."""
-    learnt, left = {}, [x for x in lines if len(x.split(" ")) >= 8]
-    for k in range(line_dedup.ROUNDS):
-        nodes = collections.defaultdict(list)
-        for x in left:
-            w = x.split(" ")
-            nodes[len(w), tuple(w[: line_dedup.LEAD])].append(w)
-        left = []
-        for key, own in nodes.items():
-            if len(own) < 2:
-                continue
-            centre = []
-            for column in zip(*own):
-                n = collections.Counter(column)
-                centre.append(max(n, key=lambda t: (n[t], t.encode())))
-            for w in own:
-                if line_dedup.FIELDS * sum(a != b for a, b in zip(w, centre)) <= len(w):
-                    learnt[" ".join(w)] = (k, *centre)
-                else:
-                    left.append(" ".join(w))
+    learnt, level = {}, collections.defaultdict(list)
+    for w in (x.split(" ") for x in lines):
+        if len(w) >= 8:
+            level[len(w), *w[: line_dedup.LEAD]].append(w)
+    while level:
+        below = collections.defaultdict(list)
+        for key, own in level.items():
+            counts = [collections.Counter(column) for column in zip(*own)]
+            centre = [next((t for t, n in c.items() if 2 * n > len(own)), None) for c in counts]
+            fits = [line_dedup.FIELDS * sum(a != b for a, b in zip(w, centre)) <= len(w) for w in own]
+            telling = [i for i, c in enumerate(counts) if 1 < max(c.values()) < len(own)]
+            at = max(telling, key=lambda i: (sum(n * n for n in counts[i].values()), -i), default=None)
+            for w, fit in zip(own, fits):
+                if len(own) > 1 and 2 * sum(fits) > len(own):
+                    if fit:
+                        learnt[" ".join(w)] = (key, *centre)
+                    else:
+                        below[key, ""].append(w)
+                elif at is not None:
+                    below[key, w[at] if counts[at][w[at]] > 1 else ""].append(w)
+        level = below
     return {x: learnt.get(x, x) for x in lines}
 
 
@@ -620,6 +622,20 @@ def test_line_templates_by_words(spark, monkeypatch):
     assert {r.doc_id: r.text for r in line_dedup.dedup_lines(frame).collect()} == want
 
 
+@pytest.mark.parametrize("sizes, kept", [([6], 1), ([6, 6], 2), ([6] * 4, 4), ([9, 8, 7, 6, 5, 4], 6), ([5] * 20, 20)])
+def test_line_templates_of_mixed_nodes(spark, sizes, kept):
+    """Families of twelve tokens with three leading tokens in common and a field each; one line of each family stays."""
+    rows = []
+    for f, n in enumerate(sizes):
+        body = [f"{chr(97 + f)}{chr(97 + k)}" for k in range(9)]
+        for k in range(n):
+            rows.append((len(rows), " ".join(["one", "two", "three", *body[: f % 9], f"field{chr(97 + f)}{chr(97 + k)}", *body[f % 9 + 1 :]])))
+    rows += [(1000 + k, "one two three " + " ".join(f"{chr(97 + k)}{chr(97 + i)}apart" for i in range(9))) for k in range(3)]  # no family
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_lines(rows)
+    assert sum(x != "" for x in got.values()) == kept + 3 and all(got[1000 + k] for k in range(3))
+
+
 def test_pipeline_against_brute_force(spark, sf_dir):
     import corpus_pipeline
 

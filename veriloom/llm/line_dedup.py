@@ -1,11 +1,15 @@
 """Line dedup by a log-template tree, with DataFrame functions only.
 
 A line goes down a tree of fixed depth: its number of tokens, its LEAD leading tokens (`<*>` for one that holds a digit),
-then the templates of that node, which are learnt from the node's own lines. A template's centre has at each place the token
-that most of the node's distinct lines have there; a line is of the template if at most one in FIELDS of its tokens differ
-from the centre, and the places where its lines vary are the template's fields. Lines that fit no centre make the next
-one, ROUNDS times; what then remains is its own template. A template that several documents share recurs: the document with
-the smallest id keeps its lines, all others lose them.
+then the templates of that node, which are learnt from the node's own distinct lines. The lines of a node are one group at
+first. A group's centre has at each place the token that over half of its lines have there; where none has, the place is a
+field. A line fits if at most one in FIELDS of its tokens differ from the centre, fields included. If over half of a group fit,
+these are a template, and the others are a group again. Else the group holds several families: it is split by its most
+telling place, the one where two of its lines most often agree and not all do. Lines alone with their token there stay
+together, as that place may be a field of theirs. This goes on until each group is a template, or one line, or lines of which no two
+agree anywhere but where all do. A node may hold any number of templates; the rounds are as many as the deepest node needs, fewer
+than its lines have places. A template that several documents share recurs: the document with the smallest id keeps its
+lines, all others lose them.
 
 Lines travel as hashes. Tokens are counted for one line of each distinct text, and only in nodes with several of them, from
 pre-aggregated (node, place, token) rows; nodes and templates that hold a large share of all lines are joined by a broadcast
@@ -23,8 +27,6 @@ from .common import WORD, cut, split_join
 LEAD = 3
 #: Of a line's tokens one in so many may differ from its template's centre.
 FIELDS = 4
-#: Centres that a node gets at most, one after the other from the lines that fit none before.
-ROUNDS = 3
 NO_ID = -(2**63)
 NODE = ["n_tokens", "lead"]
 LEAF = [*NODE, "leaf"]
@@ -51,38 +53,49 @@ def line_paths(docs: DataFrame) -> DataFrame:
     return lines.select("doc", "text_hash", "pos", n, F.xxhash64(F.substring_index("m", " ", LEAD)).alias("lead"), F.xxhash64("m").alias("leaf"))
 
 
-def learn_templates(docs: DataFrame, paths: DataFrame, short_tokens: int = 8, rounds: int = ROUNDS) -> DataFrame:
+def learn_templates(docs: DataFrame, paths: DataFrame, short_tokens: int = 8) -> DataFrame:
     """n_tokens, lead, leaf, template, n_lines of the leaves that fit a centre; lines under short_tokens tokens fit none."""
     place = F.min(F.struct("doc", "text_hash", "pos")).alias("place")
     leaves = cut(paths.where(F.col("n_tokens") >= short_tokens).groupBy(*LEAF).agg(F.count("*").alias("n_lines"), place))
-    open_ = split_join(leaves, _several(leaves), NODE, "size")
+    several = cut(leaves.groupBy(*NODE).agg(F.count("*").alias("size")).where("size > 1"))
+    open_ = split_join(leaves, several, NODE, "size")
     # One line of each leaf, from the document that place names; a document's lines come out of one join row.
     wanted = open_.groupBy("place.doc", "place.text_hash").agg(F.collect_list(F.struct("place.pos", *LEAF, "n_lines")).alias("lines"))
     found = docs.select(*_keys(), "text").join(wanted, ["doc", "text_hash"]).select(F.split("text", "\n").alias("all"), F.explode("lines").alias("x"))
-    lines = cut(found.select("x.*", F.split(masked(F.get("all", F.col("x.pos"))), " ").alias("tokens")).drop("pos").dropDuplicates(LEAF))
-    out = None
-    for k in range(rounds):
-        # Of equally frequent tokens the greatest.
-        counted = lines.select(*NODE, F.posexplode("tokens").alias("at", "token")).groupBy(*NODE, "at", "token").agg(F.count("*").alias("n"))
-        most = counted.groupBy(*NODE, "at").agg(F.max(F.struct("n", "token"))["token"].alias("token"), F.sum("n").alias("size"))
-        centres = cut(most.groupBy(*NODE).agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "token"))), lambda x: x["token"]).alias("centre"), F.max("size").alias("size")))
-        both = split_join(lines, centres, NODE, "size", few=0).drop("size")  # whole lines: only the hot ones are broadcast
-        apart = F.size(F.filter(F.zip_with("tokens", "centre", lambda a, b: a != b), lambda x: x))
-        judged = cut(both.withColumn("fits", FIELDS * apart <= F.col("n_tokens")))
-        fit = judged.where("fits").select(*LEAF, F.xxhash64(F.lit(k), "centre").alias("template"), "n_lines")
-        out = fit if out is None else out.union(fit)
-        left = judged.where("NOT fits").drop("fits", "centre")
-        if k + 1 < rounds:
-            several = _several(left)
-            if several.isEmpty():
-                break
-            lines = split_join(left, several, NODE, "size").drop("size")
-    return out
-
-
-def _several(leaves: DataFrame) -> DataFrame:
-    """n_tokens, lead, size of the nodes with several leaves."""
-    return cut(leaves.groupBy(*NODE).agg(F.count("*").alias("size")).where("size > 1"))
+    lines = found.select("x.*", F.split(masked(F.get("all", F.col("x.pos"))), " ").alias("tokens")).drop("pos").dropDuplicates(LEAF)
+    lines = cut(lines.withColumn("group", F.xxhash64(*NODE)))
+    done = lines.select(*LEAF, F.lit(0).cast("long").alias("template"), "n_lines").limit(0)
+    while not lines.isEmpty():
+        judged, won = _judge(lines)
+        both = split_join(judged, won, ["group"], "size", how="left").drop("size")
+        done = done.union(both.where("won AND fits").select(*LEAF, F.xxhash64("group", F.lit("template")).alias("template"), "n_lines"))
+        lines = cut(_regrouped(both))
+    return done
+
+
+def _judge(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The lines of groups of two and more with `fits` and `branch` (their token at the group's most telling place, null if there is none), and the groups that are templates (group, size, won)."""
+    counted = lines.select("group", F.posexplode("tokens").alias("at", "token")).groupBy("group", "at", "token").agg(F.count("*").alias("n"))
+    agree = F.sum(F.col("n").cast("double") * F.col("n")).alias("agree")
+    places = counted.groupBy("group", "at").agg(F.max(F.struct("n", "token")).alias("top"), F.sum("n").alias("size"), agree)
+    token = F.when(F.col("top.n") * 2 > F.col("size"), F.col("top.token")).alias("token")
+    telling = F.when((F.col("top.n") > 1) & (F.col("top.n") < F.col("size")), F.struct("agree", (-F.col("at")).alias("back")))
+    centre = F.transform(F.sort_array(F.collect_list(F.struct("at", token))), lambda x: x["token"]).alias("centre")
+    groups = cut(places.groupBy("group").agg(centre, F.max("size").alias("size"), (-F.max(telling)["back"]).alias("split")).where("size > 1"))
+    both = split_join(lines, groups, ["group"], "size", few=0)  # whole lines: only the hot ones are broadcast
+    apart = F.size(F.filter(F.zip_with("tokens", "centre", lambda a, b: ~a.eqNullSafe(b)), lambda x: x))
+    judged = cut(both.withColumn("fits", FIELDS * apart <= F.col("n_tokens")).withColumn("branch", F.get("tokens", F.col("split"))).drop("centre", "size", "split"))
+    return judged, cut(judged.groupBy("group").agg(F.count("*").alias("size"), (2 * F.count_if("fits") > F.count("*")).alias("won")).where("won"))
+
+
+def _regrouped(judged: DataFrame) -> DataFrame:
+    """The lines that no template took, in the groups of the next round."""
+    left = judged.where("(won AND NOT fits) OR (won IS NULL AND branch IS NOT NULL)")
+    rest = F.xxhash64("group", F.lit(""))  # no token is empty
+    left = left.withColumn("next", F.when(F.col("won"), rest).otherwise(F.xxhash64("group", "branch")))
+    several = cut(left.groupBy("next").agg(F.count("*").alias("size")).where("size > 1"))
+    both = split_join(left, several, ["next"], "size", how="left").where("size IS NOT NULL OR won IS NULL")
+    return both.select(*LEAF, "n_lines", "tokens", F.when(F.col("size").isNull(), rest).otherwise(F.col("next")).alias("group"))
 
 
 def recurring(lines: DataFrame, min_docs: int = 2, short_tokens: int = 8, short_min_docs: int = 10) -> DataFrame:

@@ -92,33 +92,32 @@ QUERIES: dict[str, Query] = {
 ORACLE: dict[str, str] = {}
 
 
-def _tree_round(k: int) -> str:
-    """One centre of each node of the lines in lines{k} (m, tok, n, lead); those that fit none go to lines{k + 1}."""
-    return f"""
-nodes{k} AS (SELECT n, lead FROM lines{k} GROUP BY n, lead HAVING count(*) > 1),
-open{k} AS (SELECT * FROM lines{k} SEMI JOIN nodes{k} USING (n, lead)),
-places{k} AS (SELECT n, lead, unnest(tok) AS token, generate_subscripts(tok, 1) AS slot FROM open{k}),
-most{k} AS (
-  SELECT n, lead, slot, token FROM (SELECT n, lead, slot, token, row_number() OVER (PARTITION BY n, lead, slot ORDER BY count(*) DESC, token DESC) AS r FROM places{k} GROUP BY n, lead, slot, token) WHERE r = 1),
-centres{k} AS (SELECT n, lead, list(token ORDER BY slot) AS centre FROM most{k} GROUP BY n, lead),
-judged{k} AS (SELECT o.*, centre, 4 * len(list_filter(range(1, n + 1), lambda i: tok[i] <> centre[i])) <= n AS fits FROM open{k} o JOIN centres{k} USING (n, lead)),
-lines{k + 1} AS (SELECT m, tok, n, lead FROM judged{k} WHERE NOT fits),"""
-
-
-ORACLE["op2_line_dedup"] = rf"""
-WITH split AS (
+ORACLE["op2_line_dedup"] = r"""
+WITH RECURSIVE split AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents),
 single AS (
   SELECT doc_id, pos, line, regexp_matches(line, '[^\x20\x09-\x0D]') AS filled, trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g')) AS one FROM split),
 masked AS (
   SELECT doc_id, pos, line, filled, CASE WHEN 2 * len(list_filter(string_split(one, ' '), lambda x: regexp_matches(x, '[0-9]'))) <= len(string_split(one, ' '))
          THEN regexp_replace(one, '[^ ]*[0-9][^ ]*', '<*>', 'g') ELSE one END AS m FROM single),
-lines0 AS (
-  SELECT m, tok, len(tok) AS n, array_to_string(tok[1:3], ' ') AS lead FROM (SELECT DISTINCT m, string_split(m, ' ') AS tok FROM masked WHERE filled) WHERE len(tok) >= 8),
-{_tree_round(0)}{_tree_round(1)}{_tree_round(2)}
-learnt AS (
-  SELECT m, '0 ' || array_to_string(centre, ' ') AS template FROM judged0 WHERE fits UNION ALL SELECT m, '1 ' || array_to_string(centre, ' ') FROM judged1 WHERE fits
-  UNION ALL SELECT m, '2 ' || array_to_string(centre, ' ') FROM judged2 WHERE fits),
+tree AS (
+  SELECT 0 AS round, m, tok, concat(len(tok), ' ', array_to_string(tok[1:3], ' ')) AS grp, NULL::VARCHAR AS template
+  FROM (SELECT DISTINCT m, string_split(m, ' ') AS tok FROM masked WHERE filled) WHERE len(tok) >= 8
+  UNION ALL (
+    WITH live AS (SELECT * FROM tree WHERE template IS NULL),
+    places AS (SELECT grp, unnest(tok) AS token, generate_subscripts(tok, 1) AS slot FROM live),
+    counted AS (SELECT grp, slot, token, count(*) AS c FROM places GROUP BY grp, slot, token),
+    per AS (SELECT grp, slot, arg_max(token, c) AS token, max(c) AS top, sum(c) AS size, sum(c * c) AS agree FROM counted GROUP BY grp, slot),
+    groups AS (
+      SELECT grp, any_value(size) AS size, list(CASE WHEN 2 * top > size THEN token END ORDER BY slot) AS centre,
+             (list(slot ORDER BY agree DESC, slot) FILTER (top > 1 AND top < size))[1] AS telling FROM per GROUP BY grp HAVING any_value(size) > 1),
+    judged AS (
+      SELECT l.*, size, tok[telling] AS branch, 4 * len(list_filter(range(1, len(tok) + 1), lambda i: tok[i] IS DISTINCT FROM centre[i])) <= len(tok) AS fits
+      FROM live l JOIN groups USING (grp)),
+    ruled AS (SELECT *, 2 * count(*) FILTER (fits) OVER (PARTITION BY grp) > size AS won, count(*) OVER (PARTITION BY grp, branch) > 1 AS shared FROM judged)
+    SELECT round + 1, m, tok, CASE WHEN NOT won AND shared THEN concat(grp, '|', branch) ELSE concat(grp, '|') END, CASE WHEN won AND fits THEN grp END
+    FROM ruled WHERE won OR branch IS NOT NULL)),
+learnt AS (SELECT m, concat('of ', template) AS template FROM tree WHERE template IS NOT NULL),
 templates AS (SELECT t.*, len(string_split(t.m, ' ')) AS n, coalesce(l.template, '- ' || t.m) AS template FROM masked t LEFT JOIN learnt l USING (m)),
 recurring AS (
   SELECT template, min(doc_id) AS first_doc FROM templates WHERE filled GROUP BY template HAVING count(DISTINCT doc_id) >= CASE WHEN any_value(n) < 8 THEN 10 ELSE 2 END),
