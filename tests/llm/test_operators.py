@@ -568,16 +568,17 @@ def brute_templates(lines):
             counts = [collections.Counter(column) for column in zip(*own)]
             centre = [next((t for t, n in c.items() if 2 * n > len(own)), None) for c in counts]
             fits = [line_dedup.FIELDS * sum(a != b for a, b in zip(w, centre)) <= len(w) for w in own]
-            telling = [i for i, c in enumerate(counts) if 1 < max(c.values()) < len(own)]
-            at = max(telling, key=lambda i: (sum(n * n for n in counts[i].values()), -i), default=None)
-            for w, fit in zip(own, fits):
+            shared = [{t: n for t, n in c.items() if 1 < n < len(own)} for c in counts]
+            best = [max(((c[t], -i, t) for i, (c, t) in enumerate(zip(shared, w)) if t in c), default=None) for w in own]
+            alike = collections.Counter(best)
+            for w, fit, pair in zip(own, fits, best):
                 if len(own) > 1 and 2 * sum(fits) > len(own):
                     if fit:
                         learnt[" ".join(w)] = (key, *centre)
                     else:
                         below[key, ""].append(w)
-                elif at is not None:
-                    below[key, w[at] if counts[at][w[at]] > 1 else ""].append(w)
+                elif pair is not None:
+                    below[key, pair if alike[pair] > 1 else ""].append(w)
         level = below
     return {x: learnt.get(x, x) for x in lines}
 

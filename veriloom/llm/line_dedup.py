@@ -4,11 +4,10 @@ A line goes down a tree of fixed depth: its number of tokens, its LEAD leading t
 then the templates of that node, which are learnt from the node's own distinct lines. The lines of a node are one group at
 first. A group's centre has at each place the token that over half of its lines have there; where none has, the place is a
 field. A line fits if at most one in FIELDS of its tokens differ from the centre, fields included. If over half of a group fit,
-these are a template, and the others are a group again. Else the group holds several families: it is split by its most
-telling place, the one where two of its lines most often agree and not all do. Lines alone with their token there stay
-together, as that place may be a field of theirs. This goes on until each group is a template, or one line, or lines of which no two
-agree anywhere but where all do. A node may hold any number of templates; the rounds are as many as the deepest node needs, fewer
-than its lines have places. A template that several documents share recurs: the document with the smallest id keeps its
+these are a template, and the others are a group again. Else the group holds several families: each line goes with those
+whose commonest token, of tokens at their places that two of the lines share and not all, is the same. Lines left alone are a
+group again. This goes on until each group is a template, or one line, or lines of which no two agree anywhere but where all do.
+A node may hold any number of templates; the rounds are as many as the deepest node needs. A template that several documents share recurs: the document with the smallest id keeps its
 lines, all others lose them.
 
 Lines travel as hashes. Tokens are counted for one line of each distinct text, and only in nodes with several of them, from
@@ -66,36 +65,38 @@ def learn_templates(docs: DataFrame, paths: DataFrame, short_tokens: int = 8) ->
     lines = cut(lines.withColumn("group", F.xxhash64(*NODE)))
     done = lines.select(*LEAF, F.lit(0).cast("long").alias("template"), "n_lines").limit(0)
     while not lines.isEmpty():
-        judged, won = _judge(lines)
-        both = split_join(judged, won, ["group"], "size", how="left").drop("size")
+        counted, judged, won = _judge(lines)
+        both = split_join(judged, won.withColumn("won", F.lit(True)), ["group"], "lines", how="left").drop("lines")
         done = done.union(both.where("won AND fits").select(*LEAF, F.xxhash64("group", F.lit("template")).alias("template"), "n_lines"))
-        lines = cut(_regrouped(both))
+        lines = cut(_regrouped(cut(both.where("won IS NULL OR NOT fits")), counted))
     return done
 
 
-def _judge(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The lines of groups of two and more with `fits` and `branch` (their token at the group's most telling place, null if there is none), and the groups that are templates (group, size, won)."""
-    counted = lines.select("group", F.posexplode("tokens").alias("at", "token")).groupBy("group", "at", "token").agg(F.count("*").alias("n"))
-    agree = F.sum(F.col("n").cast("double") * F.col("n")).alias("agree")
-    places = counted.groupBy("group", "at").agg(F.max(F.struct("n", "token")).alias("top"), F.sum("n").alias("size"), agree)
-    token = F.when(F.col("top.n") * 2 > F.col("size"), F.col("top.token")).alias("token")
-    telling = F.when((F.col("top.n") > 1) & (F.col("top.n") < F.col("size")), F.struct("agree", (-F.col("at")).alias("back")))
-    centre = F.transform(F.sort_array(F.collect_list(F.struct("at", token))), lambda x: x["token"]).alias("centre")
-    groups = cut(places.groupBy("group").agg(centre, F.max("size").alias("size"), (-F.max(telling)["back"]).alias("split")).where("size > 1"))
+def _judge(lines: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Counts of tokens (group, at, token, n) that two lines of a group share; the lines of groups of two and more with size and `fits`; the groups that are templates (group, lines)."""
+    counted = cut(lines.select("group", F.posexplode("tokens").alias("at", "token")).groupBy("group", "at", "token").agg(F.count("*").alias("n")).where("n > 1"))
+    groups = cut(lines.groupBy("group").agg(F.count("*").alias("size")).where("size > 1"))
+    most = split_join(counted, groups, ["group"], "size").where("2 * n > size")  # one token a place at most
+    centres = most.groupBy("group").agg(F.collect_list(F.concat_ws(" ", "at", "token")).alias("centre"))
+    groups = cut(groups.join(centres, "group", "left"))
     both = split_join(lines, groups, ["group"], "size", few=0)  # whole lines: only the hot ones are broadcast
-    apart = F.size(F.filter(F.zip_with("tokens", "centre", lambda a, b: ~a.eqNullSafe(b)), lambda x: x))
-    judged = cut(both.withColumn("fits", FIELDS * apart <= F.col("n_tokens")).withColumn("branch", F.get("tokens", F.col("split"))).drop("centre", "size", "split"))
-    return judged, cut(judged.groupBy("group").agg(F.count("*").alias("size"), (2 * F.count_if("fits") > F.count("*")).alias("won")).where("won"))
+    placed = F.transform("tokens", lambda t, i: F.concat_ws(" ", i, t))
+    alike = F.size(F.array_intersect(placed, F.coalesce("centre", F.array().cast("array<string>"))))
+    judged = cut(both.withColumn("fits", FIELDS * (F.col("n_tokens") - alike) <= F.col("n_tokens")).drop("centre"))
+    return counted, judged, cut(judged.groupBy("group").agg(F.count("*").alias("lines"), (2 * F.count_if("fits") > F.count("*")).alias("most")).where("most").drop("most"))
 
 
-def _regrouped(judged: DataFrame) -> DataFrame:
+def _regrouped(left: DataFrame, counted: DataFrame) -> DataFrame:
     """The lines that no template took, in the groups of the next round."""
-    left = judged.where("(won AND NOT fits) OR (won IS NULL AND branch IS NOT NULL)")
-    rest = F.xxhash64("group", F.lit(""))  # no token is empty
-    left = left.withColumn("next", F.when(F.col("won"), rest).otherwise(F.xxhash64("group", "branch")))
-    several = cut(left.groupBy("next").agg(F.count("*").alias("size")).where("size > 1"))
-    both = split_join(left, several, ["next"], "size", how="left").where("size IS NOT NULL OR won IS NULL")
-    return both.select(*LEAF, "n_lines", "tokens", F.when(F.col("size").isNull(), rest).otherwise(F.col("next")).alias("group"))
+    rest = F.xxhash64("group", F.lit(""))
+    lost = left.where("won IS NULL")
+    pairs = lost.select("group", "size", *LEAF, F.posexplode("tokens").alias("at", "token"))
+    found = split_join(pairs, counted, ["group", "at", "token"], "n").where("n < size")
+    best = cut(found.groupBy(*LEAF, "group").agg(F.max(F.struct("n", (-F.col("at")).alias("back"), "token")).alias("pair")).select(*LEAF, F.xxhash64("group", "pair.back", "pair.token").alias("next")))
+    several = cut(best.groupBy("next").agg(F.count("*").alias("alike")).where("alike > 1"))
+    best = split_join(best, several, ["next"], "alike", how="left").select(*LEAF, F.when(F.col("alike").isNotNull(), F.col("next")).alias("next"))
+    moved = lost.join(best, LEAF).withColumn("group", F.coalesce("next", rest)).drop("next")
+    return left.where("won").withColumn("group", rest).unionByName(moved).select(*LEAF, "n_lines", "tokens", "group")
 
 
 def recurring(lines: DataFrame, min_docs: int = 2, short_tokens: int = 8, short_min_docs: int = 10) -> DataFrame:

@@ -107,16 +107,20 @@ tree AS (
     WITH live AS (SELECT * FROM tree WHERE template IS NULL),
     places AS (SELECT grp, unnest(tok) AS token, generate_subscripts(tok, 1) AS slot FROM live),
     counted AS (SELECT grp, slot, token, count(*) AS c FROM places GROUP BY grp, slot, token),
-    per AS (SELECT grp, slot, arg_max(token, c) AS token, max(c) AS top, sum(c) AS size, sum(c * c) AS agree FROM counted GROUP BY grp, slot),
+    per AS (SELECT grp, slot, arg_max(token, c) AS token, max(c) AS top, sum(c) AS size FROM counted GROUP BY grp, slot),
     groups AS (
-      SELECT grp, any_value(size) AS size, list(CASE WHEN 2 * top > size THEN token END ORDER BY slot) AS centre,
-             (list(slot ORDER BY agree DESC, slot) FILTER (top > 1 AND top < size))[1] AS telling FROM per GROUP BY grp HAVING any_value(size) > 1),
+      SELECT grp, any_value(size) AS size, list(CASE WHEN 2 * top > size THEN token END ORDER BY slot) AS centre FROM per GROUP BY grp HAVING any_value(size) > 1),
     judged AS (
-      SELECT l.*, size, tok[telling] AS branch, 4 * len(list_filter(range(1, len(tok) + 1), lambda i: tok[i] IS DISTINCT FROM centre[i])) <= len(tok) AS fits
+      SELECT l.*, size, 4 * len(list_filter(range(1, len(tok) + 1), lambda i: tok[i] IS DISTINCT FROM centre[i])) <= len(tok) AS fits
       FROM live l JOIN groups USING (grp)),
-    ruled AS (SELECT *, 2 * count(*) FILTER (fits) OVER (PARTITION BY grp) > size AS won, count(*) OVER (PARTITION BY grp, branch) > 1 AS shared FROM judged)
-    SELECT round + 1, m, tok, CASE WHEN NOT won AND shared THEN concat(grp, '|', branch) ELSE concat(grp, '|') END, CASE WHEN won AND fits THEN grp END
-    FROM ruled WHERE won OR branch IS NOT NULL)),
+    ruled AS (SELECT *, 2 * count(*) FILTER (fits) OVER (PARTITION BY grp) > size AS won FROM judged),
+    pairs AS (SELECT m, grp, size, unnest(tok) AS token, generate_subscripts(tok, 1) AS slot FROM ruled WHERE NOT won),
+    best AS (
+      SELECT m, concat(slot, ' ', token) AS pair FROM (SELECT m, slot, token, row_number() OVER (PARTITION BY m ORDER BY c DESC, slot) AS r
+      FROM pairs JOIN counted USING (grp, slot, token) WHERE c > 1 AND c < size) WHERE r = 1),
+    moved AS (SELECT r.*, pair, count(*) OVER (PARTITION BY grp, pair) > 1 AS shared FROM ruled r LEFT JOIN best USING (m))
+    SELECT round + 1, m, tok, CASE WHEN NOT won AND shared THEN concat(grp, '|', pair) ELSE concat(grp, '|') END, CASE WHEN won AND fits THEN grp END
+    FROM moved WHERE won OR pair IS NOT NULL)),
 learnt AS (SELECT m, concat('of ', template) AS template FROM tree WHERE template IS NOT NULL),
 templates AS (SELECT t.*, len(string_split(t.m, ' ')) AS n, coalesce(l.template, '- ' || t.m) AS template FROM masked t LEFT JOIN learnt l USING (m)),
 recurring AS (
