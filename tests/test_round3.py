@@ -12,3 +12,15 @@ def test_rounds_delete_their_tables(spark):
     assert len(left) < 20  # before, each of the four attempts left its nine
     got = {r.id: r for r in made.collect()}
     assert len(got) == 40 and {r.source_coverage for r in got.values()} == {1}
+
+
+def test_templates_are_read_from_tables(spark):
+    """No join of an earlier round is left in the plan; odd blanks, a digit token and families of one node as before."""
+    from veriloom.llm import line_dedup
+
+    rows = [(k, f"one two three  \t alike alike alike{k % 2} alike field{chr(97 + k)} end\x0b") for k in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    learnt = line_dedup.learn_templates(docs, line_dedup.line_paths(docs))
+    assert "Join" not in learnt._jdf.queryExecution().optimizedPlan().toString()
+    assert learnt.count() == 6 and learnt.select("template").distinct().count() == 1
+    assert [r.n_dropped for r in line_dedup.dedup_lines(docs).orderBy("doc_id").collect()] == [0, 1, 1, 1, 1, 1]

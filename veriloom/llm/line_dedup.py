@@ -8,20 +8,24 @@ these are a template, and the others are a group again. Else the group holds sev
 telling place, the one where two of its lines most often agree and not all do. Lines alone with their token there stay
 together, as that place may be a field of theirs. This goes on until each group is a template, or one line, or lines of which no two
 agree anywhere but where all do. A node may hold any number of templates; the rounds are as many as the deepest node needs, fewer
-than its lines have places. A template that several documents share recurs: the document with the smallest id keeps its
+than its lines have places. A round writes the lines that it settles and those that are left, and deletes the tables of the round before. A template that several documents share recurs: the document with the smallest id keeps its
 lines, all others lose them.
 
-Lines travel as hashes. Tokens are counted for one line of each distinct text, and only in nodes with several of them, from
+Lines travel as hashes, tokens too, as only their equality counts. Tokens are counted for one line of each distinct text, and only in nodes with several of them, from
 pre-aggregated (node, place, token) rows; nodes and templates that hold a large share of all lines are joined by a broadcast
 of at most 1 / share rows, so none is one task's work.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, cut, split_join
+from veriloom.sources.storage import discard, mark
+
+from .common import BLANKS, cut, split_join
 
 #: Leading tokens that are levels of the tree.
 LEAD = 3
@@ -34,12 +38,20 @@ LEAF = [*NODE, "leaf"]
 
 def masked(line: Column) -> Column:
     """The line with single spaces and `<*>` for each token that holds a digit; where these are over half of the tokens, the line itself."""
-    one = F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))
+    uneven = F.contains(line, F.lit("  "))
+    for blank in BLANKS[1:]:
+        uneven = uneven | F.contains(line, F.lit(blank))
+    one = F.trim(F.when(uneven, F.regexp_replace(line, r"[\x20\x09-\x0D]+", " ")).otherwise(line))
     general = F.regexp_replace(one, "[^ ]*[0-9][^ ]*", "<*>")
-    few = 2 * F.regexp_count(one, F.lit("[^ ]*[0-9][^ ]*")) <= F.regexp_count(one, F.lit(" ")) + 1
+    few = 2 * F.regexp_count(one, F.lit("[^ ]*[0-9][^ ]*")) <= F.length(one) - F.length(F.replace(one, F.lit(" "), F.lit(""))) + 1
     return F.when(F.regexp_like(one, F.lit("[0-9]")) & few, general).otherwise(one)
 
 
+def _filled(line: Column) -> Column:
+    """Whether the line has a word."""
+    return F.trim(line, F.lit(BLANKS)) != ""
+
+
 def _keys() -> tuple[Column, Column]:
     """(doc, text_hash): null ids are one document, the smallest."""
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")
@@ -47,7 +59,7 @@ def _keys() -> tuple[Column, Column]:
 
 def line_paths(docs: DataFrame) -> DataFrame:
     """doc, text_hash, pos and n_tokens, lead, leaf (a hash of the masked line) of every line with a word."""
-    lines = docs.select(*_keys(), F.posexplode(F.split("text", "\n")).alias("pos", "line")).where(F.regexp_like("line", F.lit(WORD)))
+    lines = docs.select(*_keys(), F.posexplode(F.split("text", "\n")).alias("pos", "line")).where(_filled(F.col("line")))
     lines = lines.select("doc", "text_hash", "pos", masked(F.col("line")).alias("m"))
     n = (F.length("m") - F.length(F.replace("m", F.lit(" "), F.lit(""))) + 1).alias("n_tokens")
     return lines.select("doc", "text_hash", "pos", n, F.xxhash64(F.substring_index("m", " ", LEAD)).alias("lead"), F.xxhash64("m").alias("leaf"))
@@ -55,6 +67,7 @@ def line_paths(docs: DataFrame) -> DataFrame:
 
 def learn_templates(docs: DataFrame, paths: DataFrame, short_tokens: int = 8) -> DataFrame:
     """n_tokens, lead, leaf, template, n_lines of the leaves that fit a centre; lines under short_tokens tokens fit none."""
+    since, spark = mark(), docs.sparkSession
     place = F.min(F.struct("doc", "text_hash", "pos")).alias("place")
     leaves = cut(paths.where(F.col("n_tokens") >= short_tokens).groupBy(*LEAF).agg(F.count("*").alias("n_lines"), place))
     several = cut(leaves.groupBy(*NODE).agg(F.count("*").alias("size")).where("size > 1"))
@@ -62,24 +75,29 @@ def learn_templates(docs: DataFrame, paths: DataFrame, short_tokens: int = 8) ->
     # One line of each leaf, from the document that place names; a document's lines come out of one join row.
     wanted = open_.groupBy("place.doc", "place.text_hash").agg(F.collect_list(F.struct("place.pos", *LEAF, "n_lines")).alias("lines"))
     found = docs.select(*_keys(), "text").join(wanted, ["doc", "text_hash"]).select(F.split("text", "\n").alias("all"), F.explode("lines").alias("x"))
-    lines = found.select("x.*", F.split(masked(F.get("all", F.col("x.pos"))), " ").alias("tokens")).drop("pos").dropDuplicates(LEAF)
+    tokens = F.transform(F.split(masked(F.get("all", F.col("x.pos"))), " "), lambda t: F.xxhash64(t))
+    lines = found.select("x.*", tokens.alias("tokens")).drop("pos").dropDuplicates(LEAF)
     lines = cut(lines.withColumn("group", F.xxhash64(*NODE)))
-    done = lines.select(*LEAF, F.lit(0).cast("long").alias("template"), "n_lines").limit(0)
+    done = [cut(lines.select(*LEAF, F.lit(0).cast("long").alias("template"), "n_lines").limit(0))]
     while not lines.isEmpty():
         judged, won = _judge(lines)
         both = split_join(judged, won, ["group"], "size", how="left").drop("size")
-        done = done.union(both.where("won AND fits").select(*LEAF, F.xxhash64("group", F.lit("template")).alias("template"), "n_lines"))
+        # Written at once: a plan over the joins of all rounds holds a broadcast for each of them.
+        done.append(cut(both.where("won AND fits").select(*LEAF, F.xxhash64("group", F.lit("template")).alias("template"), "n_lines")))
         lines = cut(_regrouped(both))
-    return done
+        if len(done) == 8:
+            done = [cut(reduce(DataFrame.union, done))]
+        discard(spark, since, but=[lines, reduce(DataFrame.union, done)])
+    return reduce(DataFrame.union, done)
 
 
 def _judge(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The lines of groups of two and more with `fits` and `branch` (their token at the group's most telling place, null if there is none), and the groups that are templates (group, size, won)."""
     counted = lines.select("group", F.posexplode("tokens").alias("at", "token")).groupBy("group", "at", "token").agg(F.count("*").alias("n"))
     agree = F.sum(F.col("n").cast("double") * F.col("n")).alias("agree")
-    places = counted.groupBy("group", "at").agg(F.max(F.struct("n", "token")).alias("top"), F.sum("n").alias("size"), agree)
-    token = F.when(F.col("top.n") * 2 > F.col("size"), F.col("top.token")).alias("token")
-    telling = F.when((F.col("top.n") > 1) & (F.col("top.n") < F.col("size")), F.struct("agree", (-F.col("at")).alias("back")))
+    places = counted.groupBy("group", "at").agg(F.max("n").alias("most"), F.max_by("token", "n").alias("common"), F.sum("n").alias("size"), agree)
+    token = F.when(F.col("most") * 2 > F.col("size"), F.col("common")).alias("token")
+    telling = F.when((F.col("most") > 1) & (F.col("most") < F.col("size")), F.struct("agree", (-F.col("at")).alias("back")))
     centre = F.transform(F.sort_array(F.collect_list(F.struct("at", token))), lambda x: x["token"]).alias("centre")
     groups = cut(places.groupBy("group").agg(centre, F.max("size").alias("size"), (-F.max(telling)["back"]).alias("split")).where("size > 1"))
     both = split_join(lines, groups, ["group"], "size", few=0)  # whole lines: only the hot ones are broadcast
@@ -91,7 +109,7 @@ def _judge(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _regrouped(judged: DataFrame) -> DataFrame:
     """The lines that no template took, in the groups of the next round."""
     left = judged.where("(won AND NOT fits) OR (won IS NULL AND branch IS NOT NULL)")
-    rest = F.xxhash64("group", F.lit(""))  # no token is empty
+    rest = F.xxhash64("group", F.lit("rest"))
     left = left.withColumn("next", F.when(F.col("won"), rest).otherwise(F.xxhash64("group", "branch")))
     several = cut(left.groupBy("next").agg(F.count("*").alias("size")).where("size > 1"))
     both = split_join(left, several, ["next"], "size", how="left").where("size IS NOT NULL OR won IS NULL")
@@ -126,7 +144,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 2, short_tokens: int = 8, short
     drops = dropped_lines(docs, min_docs, short_tokens, short_min_docs).groupBy("doc", "text_hash").agg(F.collect_set("pos").alias("drop"))
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), *_keys())  # so that names of docs can't clash with ours
     both = row.join(drops, ["doc", "text_hash"], "left").select("row", F.col("row.text").alias("text"), F.col("drop"))
-    filled = F.filter(F.split("text", "\n"), lambda x: F.regexp_like(x, F.lit(WORD)))
+    filled = F.filter(F.split("text", "\n"), _filled)
     both = both.withColumn("n_lines", F.coalesce(F.when(F.col("text").isNotNull(), F.size(filled)), F.lit(0)).cast("long"))
     both = both.withColumn("n_dropped", F.when(F.col("drop").isNull(), 0).otherwise(F.size("drop")).cast("long"))
     kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("drop", i)), "\n")
