@@ -24,3 +24,17 @@ def test_templates_are_read_from_tables(spark):
     assert "Join" not in learnt._jdf.queryExecution().optimizedPlan().toString()
     assert learnt.count() == 6 and learnt.select("template").distinct().count() == 1
     assert [r.n_dropped for r in line_dedup.dedup_lines(docs).orderBy("doc_id").collect()] == [0, 1, 1, 1, 1, 1]
+
+
+def test_affected_through_shuffled_joins(spark, monkeypatch):
+    """What every round meets isn't broadcast, so it doesn't pass through the driver."""
+    from veriloom.operators import imports
+
+    plans = []
+    monkeypatch.setattr(imports, "cut", lambda rows: (plans.append(rows._jdf.queryExecution().optimizedPlan().toString()), storage.cut(rows))[1])
+
+    edges = spark.createDataFrame([(0, f"M{k}", f"M{k // 2}") for k in range(1, 40)], "project int, module string, imports string")
+    found = imports.affected(edges, spark.createDataFrame([(0, "M3")], "project int, module string"))
+    assert {r.module for r in found.collect()} == {"M3", "M6", "M7", *(f"M{k}" for k in (*range(12, 16), *range(24, 32)))}
+    met = [p for p in plans if "Join LeftAnti" in p]
+    assert met and all("strategy=merge" in p for p in met)
