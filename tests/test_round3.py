@@ -38,3 +38,16 @@ def test_affected_through_shuffled_joins(spark, monkeypatch):
     assert {r.module for r in found.collect()} == {"M3", "M6", "M7", *(f"M{k}" for k in (*range(12, 16), *range(24, 32)))}
     met = [p for p in plans if "Join LeftAnti" in p]
     assert met and all("strategy=merge" in p for p in met)
+
+
+def test_keyed_index_grows_batch_by_batch(tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from veriloom.sources import keyed
+
+    batches = [pa.record_batch({"kind": ["a", "a"], "key": [f"{k}0", f"{k}1"], "body": ["é", None]}) for k in range(3)]
+    said = keyed.KeyedWriter(f"file://{tmp_path}", True).write(iter(batches))
+    index = pq.ParquetFile(tmp_path / "parts" / said.index)
+    assert said.rows == 6 and index.num_row_groups == 3
+    assert index.read().column("start").to_pylist() == [0, 3, 4, 7, 8, 11] and index.read().column("size").to_pylist() == [2, 0] * 3

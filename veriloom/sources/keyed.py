@@ -50,20 +50,23 @@ class KeyedWriter(DataSourceArrowWriter):
         store, base = _store(self.root)
         name = uuid.uuid4().hex
         store.create_dir(f"{base}/parts", recursive=True)
-        index: list[tuple] = []
-        at = 0
-        with store.open_output_stream(f"{base}/parts/{name}.data") as f:
+        shape = pa.schema([("kind", pa.string()), ("key", pa.string()), ("file", pa.string()), ("start", pa.int64()), ("size", pa.int64())])
+        at = rows = 0
+        # Both files grow batch by batch: a task holds one batch, however many keys it writes.
+        with store.open_output_stream(f"{base}/parts/{name}.data") as f, pq.ParquetWriter(f"{base}/parts/{name}.parquet", shape, filesystem=store) as index:
             for batch in iterator:
-                for kind, key, body in zip(*(batch.column(c).to_pylist() for c in ("kind", "key", "body"))):
+                starts, sizes = [], []
+                for body in batch.column("body").to_pylist():
                     raw = (body or "").encode("utf-8", "surrogatepass")
                     f.write(raw + b"\n")
-                    index.append((kind, key, f"{name}.data", at, len(raw)))
+                    starts.append(at)
+                    sizes.append(len(raw))
                     at += len(raw) + 1
-        names = ("kind", "key", "file", "start", "size")
-        types = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64())
-        index.sort(key=lambda r: (r[0] or "", r[1] or ""))
-        pq.write_table(pa.table([pa.array([r[k] for r in index], t) for k, t in enumerate(types)], names), f"{base}/parts/{name}.parquet", filesystem=store, row_group_size=20_000)
-        return Written(f"{name}.data", f"{name}.parquet", len(index))
+                if starts:
+                    columns = [batch.column("kind").cast(pa.string()), batch.column("key").cast(pa.string()), pa.array([f"{name}.data"] * len(starts)), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64())]
+                    index.write_batch(pa.record_batch(columns, schema=shape))
+                    rows += len(starts)
+        return Written(f"{name}.data", f"{name}.parquet", rows)
 
     def commit(self, messages: list) -> None:
         store, base = _store(self.root)
