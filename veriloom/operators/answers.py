@@ -1,13 +1,16 @@
 """A log of model answers: a question that was answered once is never asked again, by no run and by no repeated task.
 
 The key of a question is a digest of everything that the answer depends on (model, system text, prompt, schema). Distinct questions
-without an answer are dealt to tasks; a task writes each answer to the shared folder before it asks for the next, and one that
-is repeated finds what its earlier attempts wrote. So a lost executor costs the calls that were on their way.
+without an answer are dealt to tasks; a task appends each answer to a file of the shared folder before it asks for the next, and one
+that is repeated finds what its earlier attempts wrote. A file is closed after SECONDS, so where a store shows files only once they are
+closed, a lost executor costs the calls of the last SECONDS, elsewhere those that were on their way. Files are as many as the seconds
+that calls take, not as the answers.
 """
 
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -18,6 +21,8 @@ from veriloom.operators.providers import RESPONSE, Provider
 from veriloom.sources import storage
 
 ANSWER = "key string, text string, model string, prompt_tokens int, completion_tokens int"
+#: A file of answers is closed, and the next one begun, after so long.
+SECONDS = 2.0
 
 
 class AnswerLog:
@@ -32,8 +37,8 @@ class AnswerLog:
         found = self.spark.read.schema(ANSWER).parquet(*tables) if tables else self.spark.createDataFrame([], ANSWER)
         if storage.children(self.spark, f"{self.root}/pieces"):
             lines = self.spark.read.option("recursiveFileLookup", "true").text(f"{self.root}/pieces")
-            read = lines.select(F.from_json("value", ANSWER, {"mode": "PERMISSIVE"}).alias("a")).select("a.*").where("key IS NOT NULL AND text IS NOT NULL")
-            found = found.unionByName(read)
+            read = lines.select(F.from_json("value", f"{ANSWER}, torn string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "torn"}).alias("a")).select("a.*")
+            found = found.unionByName(read.where("torn IS NULL AND key IS NOT NULL AND text IS NOT NULL").drop("torn"))
         return found.dropDuplicates(["key"])
 
     def merge(self) -> None:
@@ -73,22 +78,41 @@ class AnswerLog:
             store, base = fs.FileSystem.from_uri(root)
             own = f"{base}/{TaskContext.get().partitionId()}"
             store.create_dir(own, recursive=True)
-            before = {x.base_name.split(".")[0] for x in store.get_file_info(fs.FileSelector(own)) if x.base_name.endswith(".json")}
-            for batch in batches:
-                errors = []
-                for key, prompt in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    error = None
-                    if key not in before:
-                        try:
-                            r = provider.generate(system, prompt, schema=schema)
-                            line = json.dumps({"key": key, "text": r.text, "model": r.model, "prompt_tokens": r.prompt_tokens, "completion_tokens": r.completion_tokens})
-                            beside = f"{own}/.{key}.{uuid.uuid4().hex}"
-                            with store.open_output_stream(beside) as f:
+            before, f, began = _asked_before(store, own), None, 0.0
+            try:
+                for batch in batches:
+                    errors = []
+                    for key, prompt in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                        error = None
+                        if key not in before:
+                            try:
+                                r = provider.generate(system, prompt, schema=schema)
+                                line = json.dumps({"key": key, "text": r.text, "model": r.model, "prompt_tokens": r.prompt_tokens, "completion_tokens": r.completion_tokens})
+                            except Exception as e:  # a row's failure doesn't end the batch
+                                error = f"{type(e).__name__}: {e}"
+                            else:
+                                if f is None:
+                                    f, began = store.open_output_stream(f"{own}/{uuid.uuid4().hex}.json", compression=None), time.monotonic()
                                 f.write(line.encode() + b"\n")
-                            store.move(beside, f"{own}/{key}.json")  # an answer is there whole or not at all
-                        except Exception as e:  # a row's failure doesn't end the batch
-                            error = f"{type(e).__name__}: {e}"
-                    errors.append(error)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(errors, pa.string())], ["question_key", "error"])
+                                f.flush()
+                                if time.monotonic() - began > SECONDS:
+                                    f = f.close()
+                        errors.append(error)
+                    yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(errors, pa.string())], ["question_key", "error"])
+            finally:
+                if f is not None:
+                    f.close()
 
         return todo.select("question_key", "prompt").mapInArrow(run, "question_key string, error string")
+
+
+def _asked_before(store, folder: str) -> set[str]:
+    """The questions that whole lines of a task's files answer."""
+    from pyarrow import fs
+
+    found = set()
+    for x in store.get_file_info(fs.FileSelector(folder)):
+        if x.base_name.endswith(".json"):
+            with store.open_input_stream(x.path) as f:
+                found |= {json.loads(line)["key"] for line in f.read().split(b"\n")[:-1] if line}
+    return found
