@@ -13,7 +13,6 @@ from itertools import product
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriloom.operators.retrieval import corpus_lines
 from veriloom.sources import storage
 
 GRAM = 3
@@ -21,6 +20,8 @@ GRAM = 3
 STRINGS, ALTERNATIVES = 16, 32
 #: Trigrams of an alternative that are looked up.
 LOOKED_UP = 4
+#: Files of a folder of postings.
+PIECES = 4
 
 
 def _grams(text: str) -> frozenset[str]:
@@ -153,10 +154,12 @@ class GramIndex:
         texts = corpus.where(F.col("content").isNotNull()).select("path", "content", self._part("path").alias("part"))
         texts.repartition(self.parts, "part").write.partitionBy("part").mode("overwrite").parquet(f"{self.root}/texts")
         stored = self.spark.read.parquet(f"{self.root}/texts")
-        # Trigrams by code point; each once a text before anything is shuffled.
-        cut_up = F.array_distinct(F.flatten(F.transform(F.split("content", "\n"), lambda x: F.transform(F.sequence(F.lit(1), F.greatest(F.length(x) - GRAM + 1, F.lit(1))), lambda i: F.substring(x, i, F.lit(GRAM))))))
-        rows = stored.select("path", F.explode(cut_up).alias("gram")).where(F.length("gram") == GRAM).withColumn("part", self._part("gram"))
-        rows.repartition("part", "gram").sortWithinPartitions("part", "gram").write.partitionBy("part").mode("overwrite").parquet(f"{self.root}/postings")
+        # Trigrams by code point, in one walk over a text; each once a text before anything is shuffled.
+        cut_up = F.array_distinct(F.regexp_extract_all("content", F.lit(rf"(?=([^\n]{{{GRAM}}}))[^\n]"), F.lit(1)))
+        rows = stored.select("path", F.explode(cut_up).alias("gram")).withColumn("part", self._part("gram"))
+        # A folder's postings are dealt to PIECES files at most: a file for each shuffle partition and folder cost more than the postings.
+        piece = F.pmod(F.xxhash64("path"), F.lit(PIECES))
+        rows.repartition("part", piece).sortWithinPartitions("part").write.partitionBy("part").mode("overwrite").parquet(f"{self.root}/postings")
         counted = self.spark.read.parquet(f"{self.root}/postings").groupBy("part", "gram").agg(F.count("*").alias("n"))
         counted.repartition("part").sortWithinPartitions("part", "gram").write.partitionBy("part").mode("overwrite").parquet(f"{self.root}/counts")
 
@@ -167,33 +170,49 @@ class GramIndex:
     def _parts_of(self, rows: DataFrame) -> list[int]:
         return sorted(r[0] for r in rows.select("part").distinct().collect())  # as many as there are folders
 
-    def candidates(self, asked: DataFrame) -> DataFrame:
-        """query_id, path: texts that hold all looked-up trigrams of an alternative; asked: expressions() with alternatives."""
+    def _looked_up(self, asked: DataFrame) -> DataFrame:
+        """query_id, alternative, size, rank (from 0, the rarest first), gram, part of the trigrams that are looked up; asked: expressions() with alternatives. Alternatives with a trigram that no text holds are left out."""
         wanted = storage.cut(asked.where("alternative IS NOT NULL").withColumn("part", self._part("gram")))
         parts = self._parts_of(wanted)
         counted = wanted.join(self._read("counts", parts).select("gram", "n"), "gram", "left").withColumn("n", F.coalesce("n", F.lit(0)))
         chosen = counted.groupBy("query_id", "alternative").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "gram"))), 1, LOOKED_UP).alias("g"))
-        grams = storage.cut(chosen.where(F.col("g")[0]["n"] > 0).select("query_id", "alternative", F.size("g").alias("size"), F.explode("g.gram").alias("gram")).withColumn("part", self._part("gram")))
-        held = self._read("postings", self._parts_of(grams)).select("gram", "path").join(grams.drop("part"), "gram")
-        full = held.groupBy("query_id", "alternative", "size", "path").agg(F.count("*").alias("n")).where("n = size")
+        return storage.cut(chosen.where(F.col("g")[0]["n"] > 0).select("query_id", "alternative", F.size("g").alias("size"), F.posexplode("g.gram").alias("rank", "gram")).withColumn("part", self._part("gram")))
+
+    def candidates(self, asked: DataFrame) -> DataFrame:
+        """query_id, path: texts that hold all looked-up trigrams of an alternative; asked: expressions() with alternatives."""
+        return self._holding(self._looked_up(asked))
+
+    def _holding(self, grams: DataFrame) -> DataFrame:
+        held = self._read("postings", self._parts_of(grams)).select("gram", "path").join(grams.drop("part", "rank"), "gram")
+        # One shuffle, by path, serves the count, the distinct pairs and search()'s lists.
+        full = held.select("path", "query_id", "alternative", "size").repartition("path").groupBy("path", "query_id", "alternative", "size").agg(F.count("*").alias("n")).where("n = size")
         return full.select("query_id", "path").distinct()
 
     def search(self, queries: DataFrame) -> DataFrame:
         """query_id, path, line, text of all lines that an expression (query_id, pattern) finds. Those that the index can't help are held against every line; null patterns find nothing."""
         asked = storage.cut(expressions(queries))
-        found = storage.cut(self.candidates(asked).withColumn("part", self._part("path")))
-        texts = self._read("texts", self._parts_of(found)).select("path", "content").join(found.drop("part"), "path")
-        patterns = asked.where("alternative IS NOT NULL").select("query_id", "pattern").distinct()
-        hits = _matching(texts.join(patterns, "query_id"))
-        rest = storage.cut(asked.where("alternative IS NULL AND pattern IS NOT NULL").select("query_id", "pattern"))
+        grams = self._looked_up(asked)
+        rarest = grams.where("rank = 0").groupBy("query_id").agg(F.collect_set("gram").alias("holds"))
+        patterns = storage.cut(asked.where("alternative IS NOT NULL").select("query_id", "pattern").distinct().join(rarest, "query_id"))
+        found = self._holding(grams).join(patterns, "query_id").groupBy("path").agg(F.collect_list(F.struct("query_id", "pattern", "holds")).alias("asked"))
+        found = storage.cut(found.withColumn("part", self._part("path")))
+        rest = storage.cut(asked.where("alternative IS NULL AND pattern IS NOT NULL").select("query_id", "pattern", F.lit(None).cast("array<string>").alias("holds")))
         if rest.isEmpty():
-            return hits
-        every = self.spark.read.parquet(f"{self.root}/texts").select("path", "content")
-        together = rest.agg(F.collect_list(F.struct("query_id", "pattern")).alias("asked"))  # the stated expressions, one row for every text
-        met = every.join(F.broadcast(together)).select("path", "content", F.inline("asked"))
-        return hits.unionByName(_matching(met))
+            return _matching(self._read("texts", self._parts_of(found)).select("path", "content").join(found.drop("part"), "path"))
+        every = self.spark.read.parquet(f"{self.root}/texts").select("path", "content").join(found.drop("part"), "path", "left")
+        together = rest.agg(F.collect_list(F.struct("query_id", "pattern", "holds")).alias("rest"))  # the stated expressions, one row for every text
+        met = every.join(F.broadcast(together)).select("path", "content", F.when(F.col("asked").isNull(), F.col("rest")).otherwise(F.concat("asked", "rest")).alias("asked"))
+        return _matching(met)
 
 
 def _matching(texts: DataFrame) -> DataFrame:
-    lines = corpus_lines(texts.withColumn("at", F.struct("query_id", "pattern", "path")), "at")
-    return lines.where(F.regexp_like("text", F.col("path.pattern"))).select("path.query_id", F.col("path.path").alias("path"), "line", "text")
+    """query_id, path, line, text of the lines that match, from rows (path, content, asked: query_id, pattern, holds). A text is shuffled and cut into lines once, whatever is asked of it.
+
+    holds: trigrams of which a matching line has one; null: any line may match. An expression meets all lines of a text before
+    the next one does, and regexp_instr keeps its last expression compiled, which regexp_like doesn't. Every text has a line,
+    so posexplode_outer adds none; for posexplode Spark would cut the texts a second time, to ask whether they have any.
+    """
+    lines = texts.select("path", F.split(F.regexp_replace("content", r"\n\z", ""), "\n").alias("lines"), "asked")
+    each = lines.select("path", "lines", F.inline("asked")).select("path", "query_id", "pattern", "holds", F.posexplode_outer("lines").alias("at", "text"))
+    may = F.when(F.col("holds").isNull(), True).otherwise(F.exists("holds", lambda g: F.contains("text", g)))
+    return each.where(F.when(may, F.regexp_instr("text", F.col("pattern")) > 0)).select("query_id", "path", (F.col("at") + 1).alias("line"), "text")
