@@ -19,3 +19,12 @@ def test_search_shuffles_a_text_once(spark, tmp_path, monkeypatch):
         (1, 0, 2, "xyz"), (3, 1, 2, "\U0001d538bc ab"), (4, 1, 2, "\U0001d538bc ab"), (4, 2, 2, "de abc"), (4, 4, 1, "ab"),
     }
     assert sum(met) == len(texts)
+
+
+def test_texts_of_keys_are_made_by_all_cores(spark, sf_dir):
+    """Before, a small table's one part made the texts of all its keys in one task."""
+    from veriloom import registry, registry_stores
+
+    cores = spark.sparkContext.defaultParallelism
+    for files in (registry.sources_of(spark, sf_dir), registry.audit_projects(spark, sf_dir), registry_stores.graph_of(spark, sf_dir)):
+        assert files.rdd.getNumPartitions() >= cores and files.count() == registry.table(spark, sf_dir, "part").count()
