@@ -339,6 +339,26 @@ def test_tokens_with_little_kept(monkeypatch):
     assert [np.frombuffer(x, "<u4").tolist() for x in enc.encode(texts)] == [plain_ids(t) for t in texts]
 
 
+def test_a_word_is_encoded_once_for_all_marks_and_lines(monkeypatch):
+    names = [f"{a}{b}" for a in ("ouwh", "Thnd", "éti", "ströße") for b in ("er", "ing", "tion", "ly", "haz")]
+    texts = [f"So {a}{mark}\n{b}{mark} {b}." for a in names for b in names for mark in ("", ",", "***", "?!")]
+    enc, given = tokens.Encoder(tokens.default_path()), []
+    plain = enc._ids
+    monkeypatch.setattr(enc, "_ids", lambda text: given.append(text) or plain(text))
+    assert [np.frombuffer(x, "<u4").tolist() for x in enc.encode(texts)] == [plain_ids(t) for t in texts]
+    # Each name after a space and after a newline, and the marks; not each of the 400 pairs with each mark.
+    assert sum(map(len, given)) <= 2 * sum(len(x) + 1 for x in names) + 10
+
+
+def test_tokens_of_many_chunks(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(tokens, "CHUNK", 50)
+    texts = [None, *TOKEN_TEXTS, None, LONG[:500], "", *TOKEN_TEXTS]
+    got = list(tokens.Encoder(tokens.default_path()).stream(pa.array(["left out", *texts]).slice(1)))
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [plain_ids(t) for t in texts]
+
+
 def test_packing(docs, nothing, spark):
     more = docs.unionByName(spark.createDataFrame([(1000 + k, prose(rng.randrange(0, 900)), "en", "s", 0, "", 1) for k in range(150)], DOCS))
     rows = packing.pack(more).collect()

@@ -48,10 +48,10 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, smallest: int, end: i
         tail = end.to_bytes(4, "little")
         names = ["doc_id", "start", "length", "ids", "doc_tokens", "part", "cls", "rank"]
         for batch in batches:
+            coded = enc.stream(batch.column(1))
             for lo in range(0, batch.num_rows, 200):
-                some = batch.slice(lo, 200)
                 cols: list[list] = [[] for _ in names]
-                for doc_id, ids in zip(some.column(0).to_pylist(), enc.encode(some.column(1).to_pylist())):
+                for doc_id, ids in zip(batch.column(0).slice(lo, 200).to_pylist(), coded):
                     ids += tail
                     n, at = len(ids) // 4, 0
                     while at < n:

@@ -52,7 +52,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str, sample_rows: int = 1_000,
 
         enc = tokens.encoder(tokenizer)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(enc.encode(batch.column(0).to_pylist()), pa.binary())], ["ids"])
+            yield pa.RecordBatch.from_arrays([pa.array(enc.stream(batch.column(0)), pa.binary())], ["ids"])
 
     def trained(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -115,15 +115,13 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end:
             frames, index, at = [], [], HEAD
 
         for batch in batches:
-            for lo in range(0, batch.num_rows, 200):
-                some = batch.slice(lo, 200)
-                for doc_id, ids in zip(some.column(0).to_pylist(), enc.encode(some.column(1).to_pylist())):
-                    frame = pack.compress(ids + tail)
-                    frames.append(frame)
-                    index.append((doc_id is not None, doc_id or 0, at, len(ids) // 4 + 1))
-                    at += len(frame)
-                    if at >= shard_bytes:
-                        flush()
+            for doc_id, ids in zip(batch.column(0).to_pylist(), enc.stream(batch.column(1))):
+                frame = pack.compress(ids + tail)
+                frames.append(frame)
+                index.append((doc_id is not None, doc_id or 0, at, len(ids) // 4 + 1))
+                at += len(frame)
+                if at >= shard_bytes:
+                    flush()
         flush()
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in done], t) for k, t in enumerate((pa.string(), pa.int64(), pa.int64()))], ["shard", "n_docs", "n_tokens"])
 
